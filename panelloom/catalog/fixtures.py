@@ -18,26 +18,26 @@ NULL_RULES = {
 }
 STATEMENT_FORMULAS = {
     "TotalRevenue": "total_revenue",
-    "GrossProfit": "total_revenue * 0.4e0",
+    "GrossProfit": "total_revenue / 3e0",
     "OperatingIncome": "operating_income",
     "NetIncome": "net_income",
     "EBITDA": "operating_income + d_and_a",
     "BasicAverageShares": "basic_average_shares",
-    "CashAndCashEquivalents": "total_assets * 0.05e0",
+    "CashAndCashEquivalents": "total_assets / 19e0",
     "CurrentDebt": "current_debt",
     "LongTermDebt": "long_term_debt",
     "TotalDebt": "current_debt + long_term_debt",
-    "StockholdersEquity": "total_assets * 0.01e0 + operating_income * 2e0",
+    "StockholdersEquity": "total_assets / 97e0 + operating_income * 2e0",
     "TotalAssets": "total_assets",
-    "CurrentAssets": "total_assets * 0.25e0",
-    "CurrentLiabilities": "total_assets * 0.15e0",
-    "TotalNoncurrentLiabilities": "total_assets * 0.2e0",
-    "TotalLiabilities": "total_assets * 0.15e0 + total_assets * 0.2e0",
+    "CurrentAssets": "total_assets / 3.7e0",
+    "CurrentLiabilities": "total_assets / 7e0",
+    "TotalNoncurrentLiabilities": "total_assets / 5.3e0",
+    "TotalLiabilities": "total_assets / 7e0 + total_assets / 5.3e0",
     "OperatingCashFlow": "net_income + d_and_a",
-    "InvestingCashFlow": "total_assets * -0.02e0",
-    "FinancingCashFlow": "net_income * 0.1e0",
-    "FreeCashFlow": "net_income + d_and_a - total_revenue * 0.03e0",
-    "CapitalExpenditure": "total_revenue * -0.03e0",
+    "InvestingCashFlow": "total_assets / -47e0",
+    "FinancingCashFlow": "net_income / 11e0",
+    "FreeCashFlow": "net_income + d_and_a - total_revenue / 31e0",
+    "CapitalExpenditure": "total_revenue / -31e0",
     "DepreciationAndAmortization": "d_and_a",
 }
 
@@ -53,9 +53,9 @@ def _statement_expr(name):
 STATEMENT_SELECT = ", ".join(_statement_expr(c) for c in STATEMENT_FORMULAS)
 
 
-def _money(text):
+def _money(text, scale=4):
     """Exact sums: the addends become decimals, so the order of addition cannot matter."""
-    return F.sum(F.expr(text).cast("decimal(18,4)")).cast("double")
+    return F.sum(F.expr(text).cast(f"decimal(18,{scale})")).cast("double")
 
 
 class Tables:
@@ -95,7 +95,7 @@ def prices_gappy(t):
 
 
 def market(t, source=None):
-    mean = {c: (_money(c) / F.count(F.lit(1))).alias(c) for c in ("Open", "Close")}
+    mean = {c: (_money(c, 8) / F.count(F.lit(1))).alias(c) for c in ("Open", "Close")}
     return (
         (prices(t) if source is None else source).groupBy("Date").agg(mean["Open"], mean["Close"])
         .select(F.lit("MKT").alias("Ticker"), "Date", "Open", "Close")
@@ -229,8 +229,8 @@ _NO_DA = ", ".join(c for c in STATEMENT_FORMULAS if c != "DepreciationAndAmortiz
 _ROW = "row(l_shipdate, l_orderkey, l_linenumber, l_partkey)"
 
 
-def _sum(text):
-    return f"CAST(sum(CAST({text} AS DECIMAL(18,4))) AS DOUBLE)"
+def _sum(text, scale=4):
+    return f"CAST(sum(CAST({text} AS DECIMAL(18,{scale}))) AS DOUBLE)"
 
 
 SQL = {
@@ -246,8 +246,8 @@ SQL = {
                CASE WHEN (CAST(substr(Ticker, 2) AS BIGINT) * 31 + year(Date) * 4 + month(Date)) % 13 <> 0
                     THEN Open END AS Open, Close, Volume FROM prices"""),
     "market": (["prices"], f"""
-        SELECT 'MKT' AS Ticker, Date, {_sum('Open')} / count(*) AS Open,
-               {_sum('Close')} / count(*) AS Close
+        SELECT 'MKT' AS Ticker, Date, {_sum('Open', 8)} / count(*) AS Open,
+               {_sum('Close', 8)} / count(*) AS Close
         FROM prices GROUP BY Date"""),
     "statements_base": ([], f"""
         SELECT *, k * 31 + year(q) * 4 + quarter(q) AS h FROM (

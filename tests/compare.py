@@ -14,6 +14,7 @@ import duckdb
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
+CLOCK = {}
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
     "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
@@ -46,6 +47,7 @@ def compare(spark, con, name, queries, oracle, folder):
     """Problems found for one query, as text; empty when both sides agree."""
     df = queries[name](spark, folder)
     got = rows_of(df.columns, [tuple(x) for x in df.collect()])
+    CLOCK[name] = time.time()
     if name not in oracle:
         return [] if got else ["no rows"]
     cur = con.execute(oracle[name])
@@ -82,8 +84,9 @@ def main(argv):
         except Exception as error:  # report and go on with the next query
             problems = [f"{type(error).__name__}: {str(error)[:1500]}"]
         bad += bool(problems)
+        spent = CLOCK.get(name, time.time()) - start
         kind = "sql" if name in oracle else "rows"
-        print(f"{'BAD' if problems else 'ok '} {kind:4} {time.time() - start:6.2f}s {name}", flush=True)
+        print(f"{'BAD' if problems else 'ok '} {kind:4} {spent:6.2f}s + {time.time() - start - spent:5.2f}s {name}", flush=True)
         for text in problems:
             print("     ", text[:1500])
     print(f"{bad} of {len(argv[1:] or queries)} differ")
