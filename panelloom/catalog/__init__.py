@@ -5,6 +5,8 @@ from importlib import import_module
 MODULES = [
     "windows_q",
     "scalars_q",
+    "merges_q",
+    "stats_q",
 ]
 
 
