@@ -7,6 +7,7 @@ MODULES = [
     "scalars_q",
     "merges_q",
     "stats_q",
+    "plans_q",
 ]
 
 

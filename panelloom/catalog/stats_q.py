@@ -123,7 +123,7 @@ _GROUP_MEDIAN = ("SELECT {0} AS grp, quantile_cont({1}, 0.5) AS med FROM {2} WHE
     SELECT Ticker, Date, {r('coalesce(TotalDebt, med, (SELECT quantile_cont(TotalDebt, 0.5) FROM metrics_input))', 'TotalDebt')}
     FROM metrics_input LEFT JOIN g ON grp = Sector""")
 def group_median_impute(t):
-    df = X.metrics_input(t).select("Ticker", "Date", "Sector", "TotalDebt")
+    df = stage(X.metrics_input(t).select("Ticker", "Date", "Sector", "TotalDebt"))
     return rounded(I.group_median_impute(df, "TotalDebt", "Sector").drop("Sector"), "TotalDebt")
 
 
@@ -142,7 +142,7 @@ RATIO_FILL = [
     SELECT Ticker, Date, {r('coalesce(v, med, (SELECT quantile_cont(v, 0.5) FROM filled))', _DA)}
     FROM filled LEFT JOIN g2 ON grp = Sector""")
 def group_ratio_impute(t):
-    df = X.metrics_input(t).select("Ticker", "Date", "Sector", "TotalAssets", _DA)
+    df = stage(X.metrics_input(t).select("Ticker", "Date", "Sector", "TotalAssets", _DA))
     out = I.group_ratio_impute(df, _DA, "Sector", "TotalAssets")
     return rounded(out.select("Ticker", "Date", _DA), _DA)
 
@@ -153,7 +153,7 @@ def group_ratio_impute(t):
     SELECT Ticker, Date, {r('coalesce(CurrentAssets, TotalAssets * coalesce(med, (SELECT quantile_cont(ratio, 0.5) FROM ca)))', 'CurrentAssets')}
     FROM ca LEFT JOIN g ON grp = Sector""")
 def current_assets_by_sector(t):
-    df = X.metrics_input(t).select("Ticker", "Date", "Sector", "TotalAssets", "CurrentAssets")
+    df = stage(X.metrics_input(t).select("Ticker", "Date", "Sector", "TotalAssets", "CurrentAssets"))
     return rounded(I.current_assets_by_group(df).select("Ticker", "Date", "CurrentAssets"), "CurrentAssets")
 
 

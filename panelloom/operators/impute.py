@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from panelloom.operators.quantiles import ACCURACY, DIRECT_LIMIT, column_quantiles, group_quantiles
-from panelloom.session import lookup_join, stage
+from panelloom.session import lookup_join
 
 
 def _medians(df, value, group, direct_limit, accuracy):
@@ -24,8 +24,11 @@ def _joined(df, value_expr, group, direct_limit, accuracy):
 
 
 def group_median_impute(df, col, group, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
-    """Null to the group's median, else to the median of the whole column."""
-    df = stage(df)
+    """Null to the group's median, else to the median of the whole column.
+
+    Like its siblings below it reads two or three columns of ``df`` a few times: a costly
+    input should be staged first, projections and small joins over a staged one need not.
+    """
     joined = _joined(df, F.col(col), group, direct_limit, accuracy)
     return joined.select([
         F.coalesce(F.col(c), F.col("__median")).alias(c) if c == col else F.col(c) for c in df.columns])
@@ -37,7 +40,6 @@ def group_ratio_impute(df, col, group, denominator, direct_limit=DIRECT_LIMIT, a
     Only positive denominators enter the median, any sign is projected. What is still null
     (no denominator) takes the group's, else the overall, median of the filled column.
     """
-    df = stage(df)
     valid = F.when(F.col(denominator) > 0, F.col(col) / F.col(denominator))
     joined = _joined(df, valid, group, direct_limit, accuracy)
     filled = joined.select([
@@ -49,7 +51,6 @@ def group_ratio_impute(df, col, group, denominator, direct_limit=DIRECT_LIMIT, a
 def current_assets_by_group(df, group="Sector", assets="CurrentAssets", total="TotalAssets",
                             direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
     """Null current assets to total assets x the group's median ratio (zero totals have no ratio)."""
-    df = stage(df)
     joined = _joined(df, F.try_divide(assets, total), group, direct_limit, accuracy)
     return joined.select([
         F.coalesce(F.col(c), F.col(total) * F.col("__median")).alias(c) if c == assets else F.col(c)

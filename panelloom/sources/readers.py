@@ -65,13 +65,17 @@ def load_statements(families, keys=(KEY, "Report Date")):
     return out.withColumn(KEY, clean_symbol(KEY))
 
 
-def standardise_columns(df, as_of=None, names=PROVIDER_B_NAMES, missing=COMPUTED_LATER, tag=PROVIDER_B):
-    """Provider B under the common names, dated to the month after publication."""
+def standardise_columns(df, as_of=None, names=PROVIDER_B_NAMES, missing=COMPUTED_LATER, tag=PROVIDER_B,
+                        extra=()):
+    """Provider B under the common names, dated to the month after publication.
+
+    ``extra`` names further columns to keep, such as the report date.
+    """
     if "Report Date" in df.columns:
         published = F.col("Publish Date") if "Publish Date" in df.columns else F.lit(None).cast("date")
         df = df.withColumn("Publish Date", publish_date(published, F.col("Report Date")))
     renamed = df.withColumnsRenamed(names).withColumns({c: F.lit(None).cast("double") for c in missing})
     dated = renamed.withColumn(TIME, next_month_begin(F.to_date("Publish Date")))
-    wanted = list(dict.fromkeys([*names.values(), *missing, TIME, KEY]))
+    wanted = list(dict.fromkeys([*names.values(), *missing, TIME, KEY, *extra]))
     out = add_source_tag(dated.select(*[c for c in wanted if c in dated.columns]), tag)
     return out if as_of is None else drop_future_rows(out, as_of)
