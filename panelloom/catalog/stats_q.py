@@ -226,8 +226,7 @@ def outlier_share(t):
     SELECT Ticker, Date, {rs(_OUT)} FROM {_BY_ROW.format(*[
         f'CASE WHEN x > hi THEN hi + ln(1 + x - hi) WHEN x < lo THEN lo - ln(1 + lo - x) ELSE x END AS {c}' for c in _OUT])}""")
 def soft_winsorize(t):
-    df = _spread(t)
-    return rounded(O.soft_winsorize(df, _OUT, staged=df), *_OUT)
+    return rounded(O.soft_winsorize(_spread(t), _OUT), *_OUT)
 
 
 @query("outliers_to_null", needs=["metrics_input"], extra=_RULES, sql=f"""

@@ -3,24 +3,28 @@
 from pyspark.sql import functions as F
 
 from panelloom.operators.quantiles import ACCURACY, DIRECT_LIMIT, column_quantiles, group_quantiles
-from panelloom.session import lookup_join
+from panelloom.session import lookup_join, stage
 
 
 def _medians(df, value, group, direct_limit, accuracy):
     """(per-group medians, median of all rows). The latter counts rows without a group as well."""
+    if df.agg(F.count(value)).first()[0] <= direct_limit:
+        both = stage(df.rollup(group).agg(
+            F.grouping(group).alias("__all"), F.percentile(value, 0.5).alias("__median")))
+        overall = both.filter("__all = 1").first()
+        table = both.filter((F.col("__all") == 0) & F.col(group).isNotNull()).drop("__all")
+        return table, overall["__median"] if overall else None
     per_group = group_quantiles(df, [value], [0.5], [group], direct_limit, accuracy)
     overall = column_quantiles(df, [value], [0.5], direct_limit, accuracy)[value][0]
-    known = overall is not None and overall == overall
-    table = per_group.select(group, F.col(value)[0].alias("__median"))
-    return table, F.lit(overall if known else None).cast("double")
+    return stage(per_group.select(group, F.col(value)[0].alias("__median"))), overall
 
 
 def _joined(df, value_expr, group, direct_limit, accuracy):
     """``df`` with ``__median``: the group's median of ``value_expr``, else the overall one."""
     narrow = df.select(group, value_expr.alias("__value"))
     table, overall = _medians(narrow, "__value", group, direct_limit, accuracy)
-    out = lookup_join(df, table, [group])
-    return out.withColumn("__median", F.coalesce("__median", overall))
+    out = lookup_join(df, table, [group], ready=True)
+    return out.withColumn("__median", F.coalesce("__median", F.lit(overall).cast("double")))
 
 
 def group_median_impute(df, col, group, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):

@@ -3,11 +3,9 @@
 Fitting yields a few numbers per column, which are collected; applying them is a projection.
 """
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
-from panelloom.operators.quantiles import ACCURACY, DIRECT_LIMIT, column_quantiles
+from panelloom.operators.quantiles import ACCURACY, DIRECT_LIMIT, column_quantiles, stack_columns
 from panelloom.operators.windows import bias_corrected_skew
 from panelloom.session import stage
 
@@ -15,66 +13,67 @@ SKEW_LIMIT, Z_LIMIT, MAD_LIMIT, IQR_FACTOR = 3.0, 3.0, 6.0, 3.0
 
 
 def fit_outlier_rule(df, cols, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
-    """Centre, spread, skew and quartiles per column. ``df`` is read several times: stage it first."""
+    """``{column: rule}``; ``df`` is read several times, so stage it first.
+
+    A value is far out when it lies more than ``reach`` from ``centre`` (three deviations from
+    the mean for mild skew, else six median absolute deviations from the median) and also
+    below ``low`` or above ``high`` (three interquartile ranges beyond the quartiles).
+    """
     cols = list(cols)
-    row = df.agg(*[x for c in cols for x in (
-        F.avg(c).alias(f"{c}|mean"), F.stddev_samp(c).alias(f"{c}|std"),
-        bias_corrected_skew(F.count(c), F.skewness(c), F.var_pop(c)).alias(f"{c}|skew"))]).first()
+    moments = stack_columns(df, cols).groupBy("__i").agg(
+        F.avg("__x").alias("mean"), F.stddev_samp("__x").alias("std"),
+        bias_corrected_skew(F.count("__x"), F.skewness("__x"), F.var_pop("__x")).alias("skew"))
+    moments = {cols[row["__i"]]: row for row in moments.collect()}
     quartiles = column_quantiles(df, cols, [0.25, 0.5, 0.75], direct_limit, accuracy)
+    known = [c for c in cols if c in moments]
+    skewed = [c for c in known if moments[c]["skew"] is None or abs(moments[c]["skew"]) >= SKEW_LIMIT]
+    deviations = {}
+    if skewed:
+        distance = df.select([F.abs(F.col(c) - quartiles[c][1]).alias(c) for c in skewed])
+        deviations = column_quantiles(distance, skewed, [0.5], direct_limit, accuracy)
     rules = {}
-    for c in cols:
+    for c in known:
         q1, median, q3 = quartiles[c]
-        skew = row[f"{c}|skew"]
-        rules[c] = {
-            "mean": row[f"{c}|mean"], "std": row[f"{c}|std"], "median": median, "q1": q1, "q3": q3,
-            "symmetric": skew is not None and abs(skew) < SKEW_LIMIT,
-        }
-    skewed = [c for c in cols if not rules[c]["symmetric"]]
-    if skewed:
-        distance = df.select([F.abs(F.col(c) - rules[c]["median"]).alias(c) for c in skewed])
-        for c, (mad,) in column_quantiles(distance, skewed, [0.5], direct_limit, accuracy).items():
-            rules[c]["mad"] = mad
+        if c in deviations:
+            centre, reach = median, MAD_LIMIT * deviations[c][0]
+        else:
+            std = moments[c]["std"]
+            centre, reach = moments[c]["mean"], Z_LIMIT * std if std else float("inf")
+        span = IQR_FACTOR * (q3 - q1)
+        rules[c] = {"centre": centre, "reach": reach, "low": q1 - span, "high": q3 + span}
     return rules
 
 
-def outlier_conditions(col, rule):
-    """(low, high) boolean expressions of one column; both false on null."""
-    x = F.col(col)
-    if rule["symmetric"]:
-        spread, centre, limit = rule["std"], rule["mean"], Z_LIMIT
-        far = F.abs((x - centre) / spread) > limit if spread else F.lit(False)
-    else:
-        spread, centre, limit = rule["mad"], rule["median"], MAD_LIMIT
-        far = F.abs((x - centre) / spread) > limit if spread else x != centre
-    reach = IQR_FACTOR * (rule["q3"] - rule["q1"])
-    low, high = x < rule["q1"] - reach, x > rule["q3"] + reach
-    no = F.lit(False)
-    return (F.coalesce(far & (low | high) & (x < rule["q1"]), no),
-            F.coalesce(far & (low | high) & (x > rule["q3"]), no))
-
-
-def outlier_share(df, cols, rules=None):
-    """Percent of low, high and all outliers per column."""
-    if rules is None:
-        df = stage(df.select(*cols))
-        rules = fit_outlier_rule(df, cols)
-    parts = []
-    for c in cols:
-        low, high = outlier_conditions(c, rules[c])
-        parts.append(F.struct(F.lit(c).alias("column"),
-                              F.try_divide(F.count_if(low).cast("double"), F.count(c)).alias("l"),
-                              F.try_divide(F.count_if(high).cast("double"), F.count(c)).alias("h")).alias(c))
-    return df.agg(*parts).select(F.inline(F.array(*[F.col(c) for c in cols]))).select(
-        "column", (F.col("l") * 100).alias("low"), (F.col("h") * 100).alias("high"),
-        ((F.col("l") + F.col("h")) * 100).alias("total"))
+def outlier_conditions(x, rule):
+    """(low, high) conditions on ``x``; the rule's figures may be numbers or columns."""
+    far = F.abs(x - rule["centre"]) > rule["reach"]
+    return far & (x < rule["low"]), far & (x > rule["high"])
 
 
-def fit_winsor_bounds(df, cols, rules):
-    """Per column (largest low outlier, smallest high outlier), None where there is none."""
-    row = df.agg(*[x for c in cols for x in (
-        F.max(F.when(outlier_conditions(c, rules[c])[0], F.col(c))).alias(f"{c}|low"),
-        F.min(F.when(outlier_conditions(c, rules[c])[1], F.col(c))).alias(f"{c}|high"))]).first()
-    return {c: (row[f"{c}|low"], row[f"{c}|high"]) for c in cols}
+def outlier_figures(df, cols, rules):
+    """Per column: values, low and high outliers, and the outliers nearest to the bulk, in one job."""
+    cols = [c for c in cols if c in rules]
+    at = F.col("__i")
+    rule = {name: F.get(F.array(*[F.lit(float(rules[c][name])) for c in cols]), at)
+            for name in ("centre", "reach", "low", "high")}
+    x = F.col("__x")
+    low, high = outlier_conditions(x, rule)
+    rows = stack_columns(df, cols).groupBy("__i").agg(
+        F.count("__x").alias("n"), F.count_if(low).alias("n_low"), F.count_if(high).alias("n_high"),
+        F.max(F.when(low, x)).alias("low"), F.min(F.when(high, x)).alias("high"))
+    return {cols[row["__i"]]: row for row in rows.collect()}
+
+
+def outlier_share(df, cols):
+    """Percent of low, high and all outliers per column; the result has one row per column."""
+    data = stage(df.select(*cols))
+    rules = fit_outlier_rule(data, cols)
+    figures = outlier_figures(data, cols, rules)
+    rows = []
+    for c in cols:
+        n, low, high = (figures[c][x] for x in ("n", "n_low", "n_high")) if c in figures else (0, 0, 0)
+        rows.append((c, *[x * 100 / n if n else None for x in (low, high, low + high)]))
+    return df.sparkSession.createDataFrame(rows, "column string, low double, high double, total double")
 
 
 def compress(col, low, high):
@@ -88,16 +87,19 @@ def compress(col, low, high):
     return out
 
 
-def soft_winsorize(df, cols, staged=None):
-    """Compress the tails of ``cols``. ``staged`` may pass an already staged copy of them."""
-    data = staged if staged is not None else stage(df.select(*cols))
-    rules = fit_outlier_rule(data, cols)
-    bounds = fit_winsor_bounds(data, cols, rules)
-    return df.withColumns({c: compress(c, *bounds[c]) for c in cols})
+def soft_winsorize(df, cols):
+    """Compress the tails of ``cols`` from the outlier nearest to the bulk on."""
+    data = stage(df.select(*cols))
+    figures = outlier_figures(data, cols, fit_outlier_rule(data, cols))
+    bounds = {c: (row["low"], row["high"]) for c, row in figures.items()}
+    return df.withColumns({c: compress(c, *b) for c, b in bounds.items() if b != (None, None)})
 
 
 def outliers_to_null(df, cols):
     data = stage(df.select(*cols))
     rules = fit_outlier_rule(data, cols)
-    conditions = {c: reduce(lambda a, b: a | b, outlier_conditions(c, rules[c])) for c in cols}
-    return df.withColumns({c: F.when(~conditions[c], F.col(c)) for c in cols})
+    changes = {}
+    for c in rules:
+        low, high = outlier_conditions(F.col(c), rules[c])
+        changes[c] = F.when(~(low | high), F.col(c))
+    return df.withColumns(changes)

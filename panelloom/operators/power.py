@@ -29,11 +29,15 @@ def _log_likelihoods(data, cols, candidates):
     Each row is expanded to its (column, exponent) pairs inside the task and reduced by a
     partial aggregate, so one job serves all columns and only figures are shuffled.
     """
-    cells = [
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(c).alias("x"), F.lit(float(lam)).alias("lam"))
-        for i, c in enumerate(cols) for j, lam in enumerate(candidates[c])
-    ]
-    long = data.select(F.inline(F.array(*cells))).filter("x IS NOT NULL")
+    width = len(next(iter(candidates.values())))
+    # one array literal: the generated code does not change from round to round
+    exponents = F.array(*[F.lit(float(lam)) for c in cols for lam in candidates[c]])
+    cells = [F.struct(F.lit(i).alias("i"), F.col(c).alias("x")) for i, c in enumerate(cols)]
+    long = (
+        data.select(F.inline(F.array(*cells))).filter("x IS NOT NULL")
+        .select("i", "x", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("j"))
+        .withColumn("lam", F.get(exponents, F.col("i") * width + F.col("j")))
+    )
     rows = long.groupBy("i", "j").agg(
         F.var_pop(yeo_johnson(F.col("x"), F.col("lam"))).alias("v"),
         F.avg(_signed_log(F.col("x"))).alias("s"),
@@ -46,6 +50,10 @@ def _log_likelihoods(data, cols, candidates):
     return out
 
 
+def _narrow(df, cols):
+    return stage(df.select([F.col(c).cast("double").alias(c) for c in cols]))
+
+
 def fit_exponents(df, cols, tolerance=1e-7, rounds=60):
     """Exponent per column by safeguarded Newton steps on the profile likelihood.
 
@@ -54,45 +62,83 @@ def fit_exponents(df, cols, tolerance=1e-7, rounds=60):
     step would leave it. Usually six to eight rounds, each one scan of the given columns.
     """
     cols = list(cols)
-    data = stage(df.select([F.col(c).cast("double").alias(c) for c in cols]))
-    current = {c: 1.0 for c in cols}
-    step = {c: STEP for c in cols}
-    low, high = {c: -math.inf for c in cols}, {c: math.inf for c in cols}
-    open_cols = list(cols)
+    return _search(_narrow(df, cols), cols, tolerance, rounds)
+
+
+def _search(data, cols, tolerance, rounds):
+    states = {c: _Exponent() for c in cols}
     for _ in range(rounds):
+        open_cols = [c for c in cols if not states[c].done]
         if not open_cols:
             break
-        tried = {c: [current[c] - step[c], current[c], current[c] + step[c]] for c in open_cols}
+        tried = {c: states[c].candidates() for c in open_cols}
         likelihood = _log_likelihoods(data, open_cols, tried)
-        still_open = []
         for i, c in enumerate(open_cols):
-            a, b, d = (likelihood.get((i, j)) for j in range(3))
-            if None in (a, b, d):
-                continue  # constant or empty column: the exponent stays
-            h = step[c]
-            slope, curvature = (d - a) / (2 * h), (d - 2 * b + a) / (h * h)
-            if slope > 0:
-                low[c] = max(low[c], current[c])
-            else:
-                high[c] = min(high[c], current[c])
-            move = -slope / curvature if curvature < 0 else math.copysign(1.0, slope)
-            target = current[c] + max(-2.0, min(2.0, move))
-            if not low[c] <= target <= high[c]:
-                target = (low[c] + high[c]) / 2
-            moved = abs(target - current[c])
-            current[c] = target
-            step[c] = FINE_STEP if moved < STEP else STEP
-            if moved >= tolerance and high[c] - low[c] >= tolerance:
-                still_open.append(c)
-        open_cols = still_open
-    return current
-
-
-def fit_yeo_johnson(df, cols, exponents=None):
+            states[c].advance([likelihood.get((i, j)) for j in range(3)], tolerance)
+    return {c: states[c].value for c in cols}
+
+
+class _Exponent:
+    """State of one column's search."""
+
+    def __init__(self):
+        self.value, self.previous = 1.0, None
+        self.low, self.high = -math.inf, math.inf
+        self.trust = 2.0
+        self.relative_step = STEP
+        self.done = False
+
+    def scale(self):
+        return max(1.0, abs(self.value))
+
+    def candidates(self):
+        h = self.relative_step * self.scale()
+        return [self.value - h, self.value, self.value + h]
+
+    def advance(self, likelihoods, tolerance):
+        if any(x is None or not math.isfinite(x) for x in likelihoods):
+            self._retreat()
+            return
+        a, b, d = likelihoods
+        h = self.relative_step * self.scale()
+        slope, curvature = (d - a) / (2 * h), (d - 2 * b + a) / (h * h)
+        if slope > 0:
+            self.low = max(self.low, self.value)
+        else:
+            self.high = min(self.high, self.value)
+        move = -slope / curvature if curvature < 0 else math.copysign(math.inf, slope)
+        if abs(move) > self.trust:
+            move = math.copysign(self.trust, move)
+            self.trust *= 4
+        target = self.value + move
+        if not self.low <= target <= self.high:
+            target = (self.low + self.high) / 2
+        moved = abs(target - self.value)
+        self.previous, self.value = self.value, target
+        self.relative_step = FINE_STEP if moved < STEP * self.scale() else STEP
+        self.done = min(moved, self.high - self.low) < tolerance * self.scale()
+
+    def _retreat(self):
+        """The transform overflowed here (or the column is constant): go halfway back."""
+        if self.previous is None:
+            self.done = True
+            return
+        if self.value > self.previous:
+            self.high = min(self.high, self.value)
+        else:
+            self.low = max(self.low, self.value)
+        self.trust = max(abs(self.value - self.previous) / 4, STEP)
+        self.value = (self.value + self.previous) / 2
+
+
+def fit_yeo_johnson(df, cols, exponents=None, tolerance=1e-7, rounds=60):
     """``{column: (exponent, mean, population std)}`` of the transformed column."""
-    exponents = fit_exponents(df, cols) if exponents is None else exponents
-    shaped = {c: yeo_johnson(F.col(c).cast("double"), exponents[c]) for c in cols}
-    row = df.agg(*[x for c in cols for x in (
+    cols = list(cols)
+    data = _narrow(df, cols)
+    if exponents is None:
+        exponents = _search(data, cols, tolerance, rounds)
+    shaped = {c: yeo_johnson(F.col(c), exponents[c]) for c in cols}
+    row = data.agg(*[x for c in cols for x in (
         F.avg(shaped[c]).alias(f"{c}|mean"), F.stddev_pop(shaped[c]).alias(f"{c}|std"))]).first()
     return {c: (exponents[c], row[f"{c}|mean"], row[f"{c}|std"]) for c in cols}
 

@@ -13,8 +13,6 @@ Step 2 makes the result exact whatever the sketch returned; the sketch only deci
 values step 3 moves.
 """
 
-import math
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -22,6 +20,17 @@ from panelloom.session import lookup_join, stage
 
 DIRECT_LIMIT = 1_000_000
 ACCURACY = 10_000
+NARROWED_AT_ONCE = 6
+
+
+def stack_columns(df, cols, by=()):
+    """Rows (by..., __i, __x): one per non-null value, ``__i`` being the position in ``cols``.
+
+    Statistics of many columns as one aggregate over few expressions: the generated code
+    stays small, and map-side combining reduces the extra rows before any shuffle.
+    """
+    cells = [F.struct(F.lit(i).alias("__i"), F.col(c).cast("double").alias("__x")) for i, c in enumerate(cols)]
+    return df.select(*by, F.inline(F.array(*cells))).filter("__x IS NOT NULL")
 
 
 def group_quantiles(df, cols, probs, by=(), direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
@@ -33,12 +42,25 @@ def group_quantiles(df, cols, probs, by=(), direct_limit=DIRECT_LIMIT, accuracy=
     """
     by, cols, probs = list(by), list(cols), [float(p) for p in probs]
     data = df.select(*by, *cols).dropna(subset=by) if by else df.select(*cols)
-    sizes = data.groupBy(*by).agg(*[F.count(c).alias(c) for c in cols])
-    largest = sizes.agg(F.max(F.greatest(*cols) if len(cols) > 1 else F.col(cols[0]))).first()[0] or 0
-    if largest * len(cols) <= direct_limit:
+    if len(cols) == 1:
+        sizes = data.groupBy(*by).agg(F.count(cols[0]).alias("__n"))
+    else:
+        sizes = stack_columns(data, cols, by).groupBy(*by, "__i").agg(F.count("__x").alias("__n"))
+    largest = sizes.agg(F.max("__n")).first()[0] or 0
+    if largest * len(cols) > direct_limit:
+        return _narrowed(data, by, cols, probs, accuracy)
+    if len(cols) == 1:
         return data.groupBy(*by).agg(
-            *[F.percentile(c, probs).alias(c) for c in cols], *[F.count(c).alias(f"{c}__n") for c in cols])
-    return _narrowed(data, by, cols, probs, accuracy)
+            F.percentile(cols[0], probs).alias(cols[0]), F.count(cols[0]).alias(f"{cols[0]}__n"))
+    long = stack_columns(data, cols, by).groupBy(*by, "__i").agg(
+        F.percentile("__x", probs).alias("__q"), F.count("__x").alias("__n"))
+    return _spread_columns(long, by, cols)
+
+
+def _spread_columns(long, by, cols):
+    return long.groupBy(*by).agg(
+        *[F.first(F.when(F.col("__i") == i, F.col("__q")), True).alias(c) for i, c in enumerate(cols)],
+        *[F.first(F.when(F.col("__i") == i, F.col("__n")), True).alias(f"{c}__n") for i, c in enumerate(cols)])
 
 
 def _narrowed(data, by, cols, probs, accuracy):
@@ -93,9 +115,7 @@ def _narrowed(data, by, cols, probs, accuracy):
         lo, hi, frac = F.col(f"__lo{k}"), F.col(f"__hi{k}"), ranks(F.col("__n"), p)[2]
         values.append(lo + (hi - lo) * frac)
     long = placed.groupBy(*group, "__i", "__n").agg(*picks).select(*group, "__i", F.array(*values).alias("__q"))
-    wide = long.groupBy(*group).agg(
-        *[F.first(F.when(F.col("__i") == i, F.col("__q")), True).alias(c) for i, c in enumerate(cols)],
-        *[F.first(F.when(F.col("__i") == i, F.col("__n")), True).alias(f"{c}__n") for i, c in enumerate(cols)])
+    wide = _spread_columns(long, group, cols)
     return wide if by else wide.drop("__all")
 
 
@@ -109,6 +129,16 @@ def _with_marks(data, table, group, by):
 
 def column_quantiles(df, cols, probs, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
     """Quantiles of whole columns as a dict ``column -> list``; a few numbers, so on the driver."""
-    row = group_quantiles(df, cols, probs, (), direct_limit, accuracy).first()
-    out = {c: (row[c] if row is not None else None) for c in cols}
-    return {c: (v if v is not None else [math.nan] * len(probs)) for c, v in out.items()}
+    cols, out = list(cols), {}
+    narrow = df.select(*cols)
+    n = narrow.count()
+    step = len(cols) if n * len(cols) <= direct_limit else NARROWED_AT_ONCE
+    for at in range(0, len(cols), step):
+        some = cols[at:at + step]
+        if n * len(cols) <= direct_limit:
+            long = stack_columns(narrow, some).groupBy("__i").agg(F.percentile("__x", probs).alias("__q"))
+            out |= {some[row["__i"]]: row["__q"] for row in long.collect()}
+        else:
+            row = _narrowed(narrow.select(*some), [], some, [float(p) for p in probs], accuracy).first()
+            out |= {c: row[c] for c in some if row is not None}
+    return {c: out.get(c) or [None] * len(probs) for c in cols}

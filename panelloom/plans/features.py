@@ -62,7 +62,9 @@ def build_features(raw, index, as_of, spared_first=S.NOT_REQUIRED_FIRST, spared_
     completed = stage(drop_rows_any_null(completed, spared=spared_first))
 
     featured = W.returns_and_betas(derive_features(completed, as_of), index)
-    featured = W.rolling_impute(featured, _doubles(featured))
+    known = [c for c in completed.columns if c not in spared_first]
+    open_cols = [c for c in _doubles(featured, known) if featured.schema[c].nullable]
+    featured = W.rolling_impute(featured, open_cols)
     featured = stage(drop_rows_any_null(featured, spared=spared_second))
 
     out = M.log_transform(featured, S.LOG_COLUMNS, plus_one=True)

@@ -64,13 +64,14 @@ def stage(df: DataFrame) -> DataFrame:
     return out
 
 
-def lookup_join(df: DataFrame, table: DataFrame, keys, how="left") -> DataFrame:
+def lookup_join(df: DataFrame, table: DataFrame, keys, how="left", ready=False) -> DataFrame:
     """Join a per-group table back to its rows; null keys never match.
 
     The table is staged, hence its size is known to the planner: a small one is broadcast and
     the rows are not shuffled, a large one is joined by sort-merge with adaptive skew handling.
+    ``ready`` says that it already reads from a staged table.
     """
-    return df.join(stage(table), list(keys), how)
+    return df.join(table if ready else stage(table), list(keys), how)
 
 
 def null_if_nan(df: DataFrame) -> DataFrame:
