@@ -9,6 +9,7 @@ statements, users' sign-ups and purchases the period ends and publications.
 from pyspark.sql import functions as F
 
 from panelloom import schema as S
+from panelloom.session import stage
 
 NULL_RULES = {
     "EBITDA": (3, 0), "TotalDebt": (3, 0), "CurrentDebt": (5, 0), "LongTermDebt": (4, 1),
@@ -61,15 +62,28 @@ def _money(text, scale=4):
 class Tables:
     """The test tables of one folder, read on demand."""
 
-    def __init__(self, spark, folder):
+    def __init__(self, spark, folder, landed=False):
         self.spark = spark
         self.folder = folder
+        self.landed = {} if landed else None
+
+    def land(self, name, build):
+        """``build()``, written once and read back where the fixtures stand for landed files."""
+        if self.landed is None:
+            return build()
+        if name not in self.landed:
+            self.landed[name] = stage(build())
+        return self.landed[name]
 
     def read(self, name):
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
 def prices(t: Tables):
+    return t.land("prices", lambda: _prices(t))
+
+
+def _prices(t):
     order = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
     price = F.col("l_extendedprice") / F.col("l_quantity")
     return (
@@ -103,6 +117,10 @@ def market(t, source=None):
 
 
 def statements_base(t):
+    return t.land("statements_base", lambda: _statements_base(t))
+
+
+def _statements_base(t):
     line = t.read("lineitem").select(
         "l_orderkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_quantity")
     order = t.read("orders").select("o_orderkey", "o_orderdate")

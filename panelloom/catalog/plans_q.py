@@ -30,6 +30,8 @@ def provider_b(t):
 
 
 def raw_panel(t):
+    """The raw panel of all suppliers that qualify, from landed fixtures."""
+    t = X.Tables(t.spark, t.folder, landed=True) if t.landed is None else t
     return R.build_raw_panel(
         provider_b(t), X.prices(t), X.statements_a(t).withColumnsRenamed(INVERSE), X.info(t), X.constituents(t),
         AS_OF, exclusions=X.exclusions(t), metric="Revenue", min_rows=19, top=TOP)
@@ -135,18 +137,37 @@ def yeo_johnson_exponents(t):
 
 
 def feature_panel(t):
-    prices = stage(X.prices(t))
-    raw = raw_panel(t)
-    return P.build_features(raw, X.market(t, prices), AS_OF)
+    landed = X.Tables(t.spark, t.folder, landed=True)
+    return P.build_features(raw_panel(landed), X.market(landed), AS_OF)
 
 
-@query("build_features")
-def build_features(t):
-    return feature_panel(t)
+_PHASES = {}
+
+
+def _phase(t, name, build):
+    """A phase's result, kept for the session: the phases hand over through written tables."""
+    key = (t.spark.sparkContext.applicationId, t.folder, name)
+    if key not in _PHASES:
+        _PHASES[key] = build()
+    return _PHASES[key]
 
 
 def _clean(t):
-    return stage(feature_panel(t))
+    return _phase(t, "clean", lambda: stage(feature_panel(t)))
+
+
+def _trained(t):
+    return _phase(t, "trained", lambda: T.train(_clean(t)))
+
+
+def _ranked(t):
+    trained = _trained(t)
+    return O.ranked_predictions(trained.model, trained.live)
+
+
+@query("build_features")
+def build_features(t):
+    return _clean(t)
 
 
 @query("encode_features")
@@ -165,7 +186,7 @@ def class_weights(t):
 
 @query("fit_forest")
 def fit_forest(t):
-    trained = T.train(_clean(t))
+    trained = _trained(t)
     scored = trained.model.transform(trained.history)
     return scored.select("Ticker", "Date", O.LABEL, F.col("prediction").cast("int").alias("predicted"),
                          O.probability_of().alias("probability"))
@@ -173,7 +194,7 @@ def fit_forest(t):
 
 @query("ranked_predictions")
 def ranked_predictions(t):
-    return T.train_and_rank(_clean(t))
+    return _ranked(t)
 
 
 @query("train_and_rank")
@@ -185,29 +206,28 @@ def train_and_rank(t):
 
 @query("report_join")
 def report_join(t):
-    panel = _clean(t)
-    return Q.report_join(T.train_and_rank(panel), panel)
+    return Q.report_join(_ranked(t), _clean(t))
 
 
 @query("feature_importance")
 def feature_importance(t):
-    trained = T.train(_clean(t))
+    trained = _trained(t)
     return O.feature_importance(t.spark, trained.model, trained.names)
 
 
 @query("prediction_contributions")
 def prediction_contributions(t):
-    trained = T.train(_clean(t))
+    trained = _trained(t)
     return N.prediction_contributions(trained.model, trained.live, trained.names)
 
 
 @query("time_series_cv")
 def time_series_cv(t):
     _, history, _ = T.prepare(_clean(t))
-    return V.time_series_cv(history, parallelism=2)
+    return V.time_series_cv(history, parallelism=3)
 
 
 @query("grid_search_ts")
 def grid_search_ts(t):
     _, history, _ = T.prepare(_clean(t))
-    return V.grid_search_ts(history, {"numTrees": [S.FOREST["numTrees"]]}, parallelism=2)
+    return V.grid_search_ts(history, {"numTrees": [S.FOREST["numTrees"]]}, parallelism=3)

@@ -114,7 +114,7 @@ def _narrowed(data, by, cols, probs, accuracy):
         picks += [at(low).alias(f"__lo{k}"), at(high).alias(f"__hi{k}")]
         lo, hi, frac = F.col(f"__lo{k}"), F.col(f"__hi{k}"), ranks(F.col("__n"), p)[2]
         values.append(lo + (hi - lo) * frac)
-    long = placed.groupBy(*group, "__i", "__n").agg(*picks).select(*group, "__i", F.array(*values).alias("__q"))
+    long = placed.groupBy(*group, "__i", "__n").agg(*picks).select(*group, "__i", "__n", F.array(*values).alias("__q"))
     wide = _spread_columns(long, group, cols)
     return wide if by else wide.drop("__all")
 
@@ -124,7 +124,8 @@ def _with_marks(data, table, group, by):
     if by:
         return lookup_join(data, table, group, "inner")
     row = table.first().asDict()
-    return data.withColumns({c: F.lit(v) for c, v in row.items() if c not in group})
+    kinds = {f.name: f.dataType for f in table.schema}
+    return data.withColumns({c: F.lit(v).cast(kinds[c]) for c, v in row.items() if c not in group})
 
 
 def column_quantiles(df, cols, probs, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
