@@ -9,7 +9,7 @@ statements, users' sign-ups and purchases the period ends and publications.
 from pyspark.sql import functions as F
 
 from panelloom import schema as S
-from panelloom.session import stage
+from panelloom.session import spread, stage
 
 NULL_RULES = {
     "EBITDA": (3, 0), "TotalDebt": (3, 0), "CurrentDebt": (5, 0), "LongTermDebt": (4, 1),
@@ -55,8 +55,9 @@ STATEMENT_SELECT = ", ".join(_statement_expr(c) for c in STATEMENT_FORMULAS)
 
 
 def _money(text, scale=4):
-    """Exact sums: the addends become decimals, so the order of addition cannot matter."""
-    return F.sum(F.expr(text).cast(f"decimal(18,{scale})")).cast("double")
+    """Exact sums: the addends become whole units, so the order of addition cannot matter."""
+    unit = float(10 ** scale)
+    return F.sum(F.rint(F.expr(text) * unit).cast("bigint")) / unit
 
 
 class Tables:
@@ -76,7 +77,7 @@ class Tables:
         return self.landed[name]
 
     def read(self, name):
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
 
 def prices(t: Tables):

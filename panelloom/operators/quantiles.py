@@ -47,7 +47,7 @@ def group_quantiles(df, cols, probs, by=(), direct_limit=DIRECT_LIMIT, accuracy=
     else:
         sizes = stack_columns(data, cols, by).groupBy(*by, "__i").agg(F.count("__x").alias("__n"))
     largest = sizes.agg(F.max("__n")).first()[0] or 0
-    if largest * len(cols) > direct_limit:
+    if largest > direct_limit:
         return _narrowed(data, by, cols, probs, accuracy)
     if len(cols) == 1:
         return data.groupBy(*by).agg(
@@ -75,7 +75,7 @@ def _narrowed(data, by, cols, probs, accuracy):
         *[F.count(c).alias(f"__n_{c}") for c in cols],
     )
     marked = _with_marks(data, sketch, group, by)
-    marks = marked.groupBy(*group).agg(
+    counts = marked.groupBy(*group).agg(
         *[F.first(f"__{x}_{c}").alias(f"__{x}_{c}") for c in cols for x in ("s", "n")],
         *[F.array(*[F.count_if(F.col(c) <= F.col(f"__s_{c}")[j]) for j in range(len(ends))])
           .alias(f"__r_{c}") for c in cols],
@@ -85,18 +85,27 @@ def _narrowed(data, by, cols, probs, accuracy):
         at = F.round((n - 1) * p, 9)
         return F.floor(at), F.ceil(at), at - F.floor(at)
 
+    def marks_of(c):
+        """Bracket ends, rank before each bucket, and whether the bucket holds a wanted rank."""
+        n, r = F.col(f"__n_{c}"), F.col(f"__r_{c}")
+        starts = [F.lit(0).cast("bigint"), *[r[j] for j in range(len(ends))], n]
+        wanted = []
+        for start, stop in zip(starts, starts[1:]):
+            hit = F.lit(False)
+            for p in probs:
+                for rank in ranks(n, p)[:2]:
+                    hit = hit | ((rank >= start) & (rank < stop))
+            wanted.append(hit)
+        return [F.col(f"__s_{c}"), n, F.array(*starts[:-1]).alias(f"__at_{c}"), F.array(*wanted).alias(f"__w_{c}")]
+
+    marks = counts.select(*group, *[x for c in cols for x in marks_of(c)])
+
     def cell(i, c):
-        s, r, n, v = F.col(f"__s_{c}"), F.col(f"__r_{c}"), F.col(f"__n_{c}"), F.col(c).cast("double")
+        s, v = F.col(f"__s_{c}"), F.col(c).cast("double")
         bucket = sum(((v > s[j]).cast("int") for j in range(1, len(ends))), (v > s[0]).cast("int"))
-        start = F.when(bucket > 0, F.get(r, bucket - 1)).otherwise(F.lit(0))
-        stop = F.coalesce(F.get(r, bucket), n)
-        wanted = F.lit(False)
-        for p in probs:
-            low, high, _ = ranks(n, p)
-            wanted = wanted | ((low >= start) & (low < stop)) | ((high >= start) & (high < stop))
-        return F.when(v.isNotNull() & wanted,
-                      F.struct(F.lit(i).alias("__i"), n.alias("__n"), bucket.alias("__b"),
-                               start.alias("__at"), v.alias("__v")))
+        return F.when(v.isNotNull() & F.get(F.col(f"__w_{c}"), bucket),
+                      F.struct(F.lit(i).alias("__i"), F.col(f"__n_{c}").alias("__n"), bucket.alias("__b"),
+                               F.get(F.col(f"__at_{c}"), bucket).alias("__at"), v.alias("__v")))
 
     inside = _with_marks(data, marks, group, by).select(
         *group, F.inline(F.array_compact(F.array(*[cell(i, c) for i, c in enumerate(cols)]))))
@@ -132,11 +141,11 @@ def column_quantiles(df, cols, probs, direct_limit=DIRECT_LIMIT, accuracy=ACCURA
     """Quantiles of whole columns as a dict ``column -> list``; a few numbers, so on the driver."""
     cols, out = list(cols), {}
     narrow = df.select(*cols)
-    n = narrow.count()
-    step = len(cols) if n * len(cols) <= direct_limit else NARROWED_AT_ONCE
+    small = narrow.count() <= direct_limit
+    step = len(cols) if small else NARROWED_AT_ONCE
     for at in range(0, len(cols), step):
         some = cols[at:at + step]
-        if n * len(cols) <= direct_limit:
+        if small:
             long = stack_columns(narrow, some).groupBy("__i").agg(F.percentile("__x", probs).alias("__q"))
             out |= {some[row["__i"]]: row["__q"] for row in long.collect()}
         else:

@@ -74,6 +74,16 @@ def lookup_join(df: DataFrame, table: DataFrame, keys, how="left", ready=False)
     return df.join(table if ready else stage(table), list(keys), how)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute an input that has fewer splits than the session has cores.
+
+    A small file set (or a file of one row group) would otherwise be read and pre-aggregated by
+    one task. An input of many splits is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def null_if_nan(df: DataFrame) -> DataFrame:
     """Sources turn NaN into null once; inside the engine only null means missing."""
     floats = {"double", "float"}

@@ -24,7 +24,8 @@ def test_feature_panel_is_complete(feature_panel):
     assert feature_panel.groupBy("Ticker", "Date").count().filter("count > 1").isEmpty()
     figures = feature_panel.agg(*[F.avg(f"{c}_Yeo").alias(c) for c in S.POWER_COLUMNS]).first()
     np.testing.assert_allclose(list(figures), 0, atol=0.2)
-    shares = feature_panel.groupBy("Date").agg(F.avg(O.LABEL).alias("s"), F.count("*").alias("n")).filter("n >= 20").collect()
+    shares = feature_panel.groupBy("Date").agg(F.avg(O.LABEL).alias("s"), F.countDistinct("MonthlyExcessReturn_Quantile").alias("k"),
+                                                  F.count("*").alias("n")).filter("n >= 20 and k = 5").collect()
     assert all(0.1 < r["s"] < 0.35 for r in shares)
 
 
