@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from panelloom.session import lookup_join, stage
 
-DIRECT_LIMIT = 1_000_000
+DIRECT_LIMIT = 250_000
 ACCURACY = 10_000
 NARROWED_AT_ONCE = 6
 

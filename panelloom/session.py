@@ -78,10 +78,11 @@ def spread(df: DataFrame) -> DataFrame:
     """Redistribute an input that has fewer splits than the session has cores.
 
     A small file set (or a file of one row group) would otherwise be read and pre-aggregated by
-    one task. An input of many splits is returned as it is, without a shuffle.
+    one task. An input of many splits is returned as it is, without a shuffle. Hashing the
+    first column avoids the local sort that a round-robin exchange needs to be repeatable.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
 
 
 def null_if_nan(df: DataFrame) -> DataFrame:
