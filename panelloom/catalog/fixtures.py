@@ -235,7 +235,7 @@ def predictions_reg(t):
         t.read("lineitem").select("l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
         .join(t.read("part").select("p_partkey", "p_retailprice"), F.expr("l_partkey = p_partkey"))
         .selectExpr("'S' || CAST(l_suppkey AS STRING) AS Ticker",
-                    "p_retailprice * l_quantity AS Predicted", "l_extendedprice AS Observed")
+                    "p_retailprice * l_quantity / 0.97e0 AS Predicted", "l_extendedprice / 0.97e0 AS Observed")
     )
 
 
@@ -326,7 +326,7 @@ SQL = {
                CAST(l_discount > 0.05e0 AS INTEGER) AS predicted FROM lineitem"""),
     "predictions_reg": ([], """
         SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS Ticker,
-               p_retailprice * l_quantity AS Predicted, l_extendedprice AS Observed
+               p_retailprice * l_quantity / 0.97e0 AS Predicted, l_extendedprice / 0.97e0 AS Observed
         FROM lineitem JOIN part ON l_partkey = p_partkey"""),
 }
 

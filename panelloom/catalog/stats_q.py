@@ -75,11 +75,11 @@ _STATS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
 
 
 @query("describe", sql=" UNION ALL ".join(f"""
-    SELECT '{c}' AS column, CAST(count({c}) AS DOUBLE) AS "count", {r(f'avg({c})', 'mean')}, {r(f'stddev_samp({c})', 'std')},
-      {r(f'min({c})', '"min"')}, {r(f'quantile_cont({c}, 0.25)', 'q25')}, {r(f'quantile_cont({c}, 0.5)', 'q50')},
-      {r(f'quantile_cont({c}, 0.75)', 'q75')}, {r(f'max({c})', '"max"')} FROM lineitem""" for c in _DESCRIBED))
+    SELECT '{c}' AS column, CAST(count({c}) AS DOUBLE) AS "count", {r(f'avg({c})', 'mean', 7)}, {r(f'stddev_samp({c})', 'std', 7)},
+      {r(f'min({c})', '"min"', 7)}, {r(f'quantile_cont({c}, 0.25)', 'q25', 7)}, {r(f'quantile_cont({c}, 0.5)', 'q50', 7)},
+      {r(f'quantile_cont({c}, 0.75)', 'q75', 7)}, {r(f'max({c})', '"max"', 7)} FROM lineitem""" for c in _DESCRIBED))
 def describe(t):
-    return rounded(A.describe(t.read("lineitem"), _DESCRIBED), *_STATS)
+    return rounded(A.describe(t.read("lineitem"), _DESCRIBED), *_STATS, places=7)
 
 
 @query("row_at_extreme", sql="""

@@ -21,6 +21,18 @@ def trailing(rows, key=KEY, time=TIME):
     return entity_window(key, time).rowsBetween(-(rows - 1), 0)
 
 
+def require_panel(df, key=KEY, time=TIME):
+    """Raise unless ``df`` has one row per entity and month.
+
+    That is what bounds the windows below: no entity can hold more rows than the calendar has
+    months, however many rows there are in all.
+    """
+    months = df.select(key, F.trunc(time, "MM").alias(time))
+    if not months.groupBy(key, time).count().filter("count > 1").isEmpty():
+        raise ValueError(f"more than one row per {key} and month; reduce them with keep_last first")
+    return df
+
+
 def ffill_limit(df, cols, limit, key=KEY, time=TIME):
     """Carry the last known value over at most ``limit`` rows."""
     frame = entity_window(key, time).rowsBetween(-limit, 0)

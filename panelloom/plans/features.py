@@ -57,7 +57,7 @@ def build_features(raw, index, as_of, spared_first=S.NOT_REQUIRED_FIRST, spared_
     cleaned = clean_raw(raw, unit_errors)
     if patches:
         cleaned = patch_by_key(cleaned, patches)
-    completed = complete_statements(stage(cleaned))
+    completed = complete_statements(W.require_panel(stage(cleaned)))
     completed = W.rolling_impute(completed, _doubles(completed))
     completed = stage(drop_rows_any_null(completed, spared=spared_first))
 

@@ -10,9 +10,13 @@ from panelloom.schema import KEY, TIME
 
 
 def write_panel(df, path, time=TIME):
-    """Parquet, partitioned by year, one task per (year, slice) so that files stay few and large."""
-    dated = df.withColumn("year", F.year(time))
-    dated.repartition("year", F.pmod(F.hash(time), F.lit(16))).write.mode("overwrite").partitionBy("year").parquet(path)
+    """Parquet, partitioned by year.
+
+    The rebalance keeps a year's rows together in tasks of the advisory size: a small year gives
+    one file, a large one is split over as many tasks as it needs.
+    """
+    dated = df.withColumn("year", F.year(time)).hint("rebalance", "year")
+    dated.write.mode("overwrite").partitionBy("year").parquet(path)
 
 
 def read_written(spark, path):

@@ -166,3 +166,11 @@ def test_exponents_maximise_the_likelihood(spark):
     np.testing.assert_allclose(out[["a_Yeo", "b_Yeo"]].mean(), 0, atol=1e-9)
     np.testing.assert_allclose(out[["a_Yeo", "b_Yeo"]].std(ddof=0), 1, rtol=1e-9)
     assert list(out.columns) == ["c", "d", "k", "a_Yeo", "b_Yeo"]
+
+
+def test_duplicate_months_are_refused(spark):
+    rows = [("A", dt.date(2020, 1, 1), 1.0), ("A", dt.date(2020, 1, 15), 2.0)]
+    df = spark.createDataFrame(rows, "Ticker string, Date date, v double")
+    with pytest.raises(ValueError):
+        W.require_panel(df)
+    assert W.require_panel(df.limit(1)).count() == 1
