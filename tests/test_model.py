@@ -56,6 +56,9 @@ def test_contributions_add_up(spark, trained):
     out = N.prediction_contributions(trained.model, trained.live, trained.names)
     assert out.count() == trained.live.count() * len(trained.names)
     assert N.additivity_gap(out).first()["gap"] < 1e-9
+    sliced = N.prediction_contributions(trained.model, trained.live, trained.names, at_once=100)
+    assert len(N.tree_slices(trained.model, 100)) > 1
+    assert sliced.count() == out.count() and N.additivity_gap(sliced).first()["gap"] < 1e-9
 
 
 def test_contributions_equal_the_subset_definition():
