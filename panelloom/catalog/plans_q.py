@@ -6,9 +6,9 @@ from panelloom import schema as S
 from panelloom.catalog import fixtures as X
 from panelloom.catalog.merges_q import MERGED
 from panelloom.catalog.registry import query, r, rounded, rs
-from panelloom.catalog.stats_q import _SPREAD, _spread, _yj_sql
+from panelloom.catalog.stats_q import _SPREAD, _spread
 from panelloom.modelling import contributions as N, forest as O, report as Q, validation as V
-from panelloom.operators import joins as J, windows as W
+from panelloom.operators import joins as J
 from panelloom.operators.power import fit_exponents
 from panelloom.plans import features as P, macro, raw_panel as R, train as T
 from panelloom.session import stage

@@ -187,8 +187,8 @@ def cross_section_zscore(t):
 # --- outliers and power transform -------------------------------------------------------------------
 
 _OUT = ["Margin", "Revenue", "Cover"]
-_SPREAD = [("spread", """SELECT Ticker, Date, OperatingIncome_TTM / NetIncome_TTM AS Margin, TotalRevenue_TTM AS Revenue,
-    EBITDA_TTM / CurrentDebt AS Cover FROM metrics_input""")]
+_SPREAD = [("spread", """SELECT Ticker, Date, OperatingIncome_TTM / nullif(NetIncome_TTM, 0) AS Margin, TotalRevenue_TTM AS Revenue,
+    EBITDA_TTM / nullif(CurrentDebt, 0) AS Cover FROM metrics_input""")]
 
 
 def _spread(t):

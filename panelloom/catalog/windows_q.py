@@ -10,7 +10,7 @@ from panelloom.session import stage
 W_SQL = "PARTITION BY Ticker ORDER BY Date"
 FEATURES = ["MonthlyReturn", "ShortTermBeta", "Variance", "MonthlyExcessReturn"]
 
-# the reference grid: every month x every entity, absent cells included
+# the full grid in SQL: every month x every entity, absent cells included
 GRID = [
     ("months", "SELECT DISTINCT Date FROM prices UNION SELECT Date FROM market"),
     ("grid", """SELECT m.Date, e.Ticker, p.Open, p.Close

@@ -106,7 +106,7 @@ def inf_to_null_and_round(df, infinite=None, round_cols=ROUNDED_RATIOS, places=6
 
 
 def financial_metrics(df):
-    """All ratios in the reference order."""
+    """Capitalisation, then all ratios, then rounding."""
     out = df
     for step in (market_cap_ev, valuation_yields, profitability_ratios, solvency_ratios, cashflow_ratios):
         out = step(out)

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from panelloom import schema as S

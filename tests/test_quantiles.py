@@ -85,7 +85,7 @@ def test_median_imputation_with_unknown_groups(spark, limit):
     assert sorted(round(v, 9) for v in ratio) == sorted([1.0, 3.0, -4.0, 1.5, 7.0, 3.0, 1.0])
 
 
-def _reference_winsor(col):
+def _order_statistic_winsor(col):
     if abs(col.skew()) < 3:
         far = ((col - col.mean()) / col.std()).abs() > 3
     else:
@@ -112,6 +112,6 @@ def test_winsor_equals_order_statistics(spark, frame):
     got = soft_winsorize(df, cols).toPandas().set_index("i").sort_index()
     shares = outlier_share(df, cols).toPandas().set_index("column")
     for c in cols:
-        want, low, high = _reference_winsor(pdf[c])
+        want, low, high = _order_statistic_winsor(pdf[c])
         np.testing.assert_allclose(got[c].to_numpy(dtype=float), want.to_numpy(), rtol=1e-9)
         np.testing.assert_allclose(shares.loc[c, ["low", "high"]].to_numpy(dtype=float), [low, high])
