@@ -1,5 +1,6 @@
 """Session set-up and the few physical decisions the operators share."""
 
+import atexit
 import tempfile
 import uuid
 
@@ -32,14 +33,15 @@ def local_session(cores=8, app="panelloom", memory="16g"):
 def shared_folder(spark):
     """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder, because there every task sees it.
+    It may be of any scheme, ``file:`` included: shared mounts are common. Where it is unset, only
+    a session whose tasks run inside the driver (``local``, ``local[n]``) gets a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     folder = getattr(spark, "_panelloom_folder", None)
     if folder is None:
         folder = tempfile.mkdtemp(prefix="panelloom-")
@@ -47,6 +49,37 @@ def shared_folder(spark):
     return folder
 
 
+def run_folder(spark):
+    """This application's own folder inside the shared one; removed when the driver ends."""
+    sc = spark.sparkContext
+    folder = getattr(sc, "_panelloom_run", None)
+    if folder is None:
+        folder = sc._panelloom_run = f"{shared_folder(spark)}/panelloom/{sc.applicationId}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_release_quietly, spark)
+    return folder
+
+
+def scratch_path(spark):
+    """A fresh path in the run's folder."""
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def release(spark):
+    """Remove what this run has staged; frames that read from it can no longer be used."""
+    sc = spark.sparkContext
+    folder = getattr(sc, "_panelloom_run", None)
+    if folder is not None:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        sc._panelloom_run = None
+
+
+def _release_quietly(spark):
+    """At the end of the driver: a session that was stopped before has nothing to ask."""
+    if spark.sparkContext._jsc is not None:
+        release(spark)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
@@ -57,7 +90,7 @@ def stage(df: DataFrame) -> DataFrame:
     """
     if getattr(df, "_panelloom_staged", False):
         return df
-    path = f"{shared_folder(df.sparkSession)}/panelloom/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._panelloom_staged = True
