@@ -46,9 +46,11 @@ def near_dedup(spark, docs, sf_dir):
     are copies of a row that has one.
     """
     classes = omh.near_duplicates(docs)
-    stay = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return _columns(kept.dropDuplicates(["doc_id", "text"]))
+    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
+    stay = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key.alias("__key")).distinct()
+    # the join deals the rows out by the key, which serves the removal of repeated rows as well
+    kept = docs.withColumn("__key", key).join(stay, "__key", "left_semi")
+    return _columns(kept.dropDuplicates(["__key", "text"]))
 
 
 def decontamination(spark, docs, sf_dir):

@@ -1,36 +1,17 @@
-"""What the text operators share: shipping the package, mapping Arrow batches, staged tables."""
+"""What the text operators share: mapping Arrow batches, staged tables, ranges of identifiers."""
 
 import os
-import tempfile
-import zipfile
 import zlib
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from panelloom.session import stage
+from panelloom.session import ship_package, stage
 
 TOKENIZER_FOLDER = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def ship_package(spark):
-    """Send this package to the workers once per session, so that tasks can import it."""
-    sc = spark.sparkContext
-    if getattr(sc, "_panelloom_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="panelloom-zip-"), "panelloom.zip")
-    with zipfile.ZipFile(path, "w") as archive:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(path)
-    sc._panelloom_shipped = True
-
-
 def map_batches(df, fn, schema):
     """``mapInArrow`` over batches of bounded size, with the package shipped first."""
     ship_package(df.sparkSession)
@@ -106,3 +87,12 @@ def ordered_buckets(df, key, count):
 
 def bucket_count(spark):
     return max(1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def computed(df, name, expression):
+    """Add a column that is computed once per row.
+
+    A filter or a further projection may be merged with a plain alias, and the expression then
+    stands in its place, possibly at every element of a lambda; what a generator returns stays.
+    """
+    return df.select("*", F.explode(F.array(expression)).alias(name))

@@ -18,7 +18,7 @@ count as one; repeated rows are each treated alike, a null document identifier l
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import ascii_lower, staged
+from panelloom.llm.common import ascii_lower, computed, staged
 
 WINDOW = 13
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -96,8 +96,9 @@ def phrase_hits(docs, benchmark, doc_id="doc_id", text="text", item_id="item_id"
     kept = [c for c in docs.columns if c not in new]
     joined = docs.select(*[f"`{c}`" for c in kept]).withColumn("__h", F.xxhash64(text)).join(
         found, F.col(doc_id).eqNullSafe(F.col("i")) & (F.col("__h") == F.col("t")), "left")
-    checked = joined.withColumn("__w", words(F.col(text))).withColumn(
-        "__hits", F.expr("filter(coalesce(__found, array()), c -> slice(__w, c.start + 1, size(c.w)) = c.w)"))
+    split = computed(joined, "__w", words(F.col(text)))
+    checked = computed(split, "__hits", F.expr(
+        "filter(coalesce(__found, array()), c -> slice(__w, c.start + 1, size(c.w)) = c.w)"))
     covered = F.expr("size(array_distinct(flatten(transform(__hits, h -> sequence(h.start, h.start + size(h.w) - 1)))))")
     counted = checked.select(
         *[f"`{c}`" for c in kept], F.size("__w").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),

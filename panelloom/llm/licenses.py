@@ -22,7 +22,7 @@ of one template count as one place per start. Repeated rows give repeated result
 
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import small_rows
+from panelloom.llm.common import computed, small_rows
 
 SHINGLE = 5
 WINDOW = 7
@@ -56,19 +56,10 @@ def _words(text):
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", -1), "")
 
 
-def _computed(df, name, expression):
-    """Add a column that is computed once per row.
-
-    A filter on a plain alias is pushed below it with the expression put in its place, here at
-    every element of a lambda; what a generator returns stays where it is.
-    """
-    return df.select("*", F.explode(F.array(expression)).alias(name))
-
-
 def _prepared(df, text):
     """Add ``__h`` (shingle hashes) and ``__b``: per band the least hash of every window."""
-    words = _computed(df, "__w", _words(F.col(text))).filter(F.size("__w") >= SHINGLE)
-    hashed = _computed(words, "__h", F.expr(
+    words = computed(df, "__w", _words(F.col(text))).filter(F.size("__w") >= SHINGLE)
+    hashed = computed(words, "__h", F.expr(
         f"transform(sequence(1, size(__w) - {SHINGLE - 1}), i -> xxhash64(slice(__w, i, {SHINGLE})))"))
     span = WINDOW - SHINGLE + 1
     count = f"greatest(size(__h) - {span - 1}, 1)"
@@ -78,7 +69,7 @@ def _prepared(df, text):
         # past the end of a short text there is nothing; least() skips nulls, xxhash64 does not
         cells = [f"if(i + {k} < size(__h), {own.format(k=k)}, null)" if k else own.format(k=k) for k in range(span)]
         bands.append(f"transform(sequence(0, {count} - 1), i -> least({', '.join(cells)}))")
-    return _computed(hashed, "__b", F.expr(f"array({', '.join(bands)}, __h)"))
+    return computed(hashed, "__b", F.expr(f"array({', '.join(bands)}, __h)"))
 
 
 def template_windows(spark, templates=TEMPLATES):
