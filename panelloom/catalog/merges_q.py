@@ -6,7 +6,8 @@ from panelloom import schema as S
 from panelloom.catalog import fixtures as X
 from panelloom.catalog.registry import query, r, rounded, rs
 from panelloom.operators import aggregates as A, filters as C, joins as J, reshape as R
-from panelloom.session import stage
+from panelloom.session import scratch_path, stage
+from panelloom.sources import readers, sinks
 
 # --- filters --------------------------------------------------------------------------------
 
@@ -263,3 +264,62 @@ def set_difference(t):
     SELECT Ticker, Date FROM statements_a INTERSECT SELECT Ticker, Date FROM statements_b""")
 def key_intersection(t):
     return A.key_intersection(X.statements_a(t), X.statements_b(t))
+
+
+# --- written and read back ------------------------------------------------------------------
+
+
+@query("write_panel", needs=["prices"], sql=f"""
+    SELECT Ticker, Date, {r('Open', 'Open', 8)}, Volume FROM prices WHERE year(Date) BETWEEN 1996 AND 1998""")
+def write_panel(t):
+    path = scratch_path(t.spark)
+    sinks.write_panel(X.prices(t).select("Ticker", "Date", "Open", "Volume"), path)
+    return rounded(sinks.read_written(t.spark, path, "1996-01-01", "1998-12-31"), "Open", places=8)
+
+
+@query("upsert_store", needs=["prices"], sql="""
+    SELECT Ticker, Date, CASE WHEN year(Date) >= 1997 THEN -Volume ELSE Volume END AS Volume FROM prices""")
+def upsert_store(t):
+    path, rows = scratch_path(t.spark), stage(X.prices(t).select("Ticker", "Date", "Volume"))
+    sinks.upsert_store(rows, path)
+    return sinks.upsert_store(rows.filter("year(Date) >= 1997").withColumn("Volume", -F.col("Volume")), path)
+
+
+@query("read_csv_list", sql="SELECT p_brand AS Symbol, count(*) AS n FROM part GROUP BY 1")
+def read_csv_list(t):
+    path = scratch_path(t.spark)
+    t.read("part").select(F.col("p_brand").alias("Symbol")).write.csv(path, header=True)
+    return readers.read_csv_list(t.spark, path, "Symbol string").groupBy("Symbol").agg(F.count("*").alias("n"))
+
+
+@query("write_report_csv", sql="SELECT s_suppkey AS Key, s_name AS Name, s_acctbal AS Balance FROM supplier")
+def write_report_csv(t):
+    rows = t.read("supplier").selectExpr("s_suppkey AS Key", "s_name AS Name", "s_acctbal AS Balance")
+    path = sinks.write_report_csv(rows, scratch_path(t.spark), "2026-01-05")
+    return t.spark.read.schema(rows.schema).csv(path, header=True)
+
+
+@query("strip_column_spaces", sql="SELECT r_regionkey AS RegionKey, r_name AS Name FROM region")
+def strip_column_spaces(t):
+    return R.strip_column_spaces(t.read("region").selectExpr("r_regionkey AS `Region Key`", "r_name AS ` Name `"))
+
+
+@query("report", needs=["prices"], sql=f"""
+    SELECT Ticker, rank AS Probability_Top, max(Date) AS Date, {r('max_by(Open, Date)', 'Open', 4)}
+    FROM prices JOIN (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS Ticker, s_acctbal / 100e0 AS rank FROM supplier) USING (Ticker)
+    GROUP BY 1, 2""")
+def report(t):
+    from panelloom.modelling.report import report
+    ranking = t.read("supplier").selectExpr("'S' || CAST(s_suppkey AS STRING) AS Ticker", "s_acctbal / 100e0 AS Probability_Top")
+    panel = X.prices(t).select("Ticker", "Date", "Open")
+    flat, path = report(ranking.join(panel.select("Ticker").distinct(), "Ticker", "left_semi"), panel, scratch_path(t.spark), "2026-01-05")
+    return rounded(t.spark.read.schema(flat.schema).csv(path, header=True), "Open", places=4)
+
+
+@query("save_exclusions", needs=["constituents", "exclusions"], sql="""
+    SELECT Ticker FROM constituents UNION SELECT Ticker FROM exclusions""")
+def save_exclusions(t):
+    path = scratch_path(t.spark)
+    sinks.save_exclusions(X.exclusions(t), path)
+    sinks.save_exclusions(X.constituents(t), path)
+    return sinks.read_exclusions(t.spark, path)

@@ -9,12 +9,13 @@ from panelloom.catalog.registry import query, r, rounded, rs
 from panelloom.catalog.stats_q import _SPREAD, _spread
 from panelloom.modelling import contributions as N, forest as O, report as Q, validation as V
 from panelloom.operators import joins as J
+from panelloom.operators.filters import split_latest_date
 from panelloom.operators.power import fit_exponents
+from panelloom.operators.ranking import expanding_folds
 from panelloom.plans import features as P, macro, raw_panel as R, train as T
 from panelloom.session import stage
 
 AS_OF = "2001-12-31"
-TOP = 550
 INVERSE = {S.squeeze(c): c for c in S.INCOME + S.BALANCE + S.CASH_FLOW}
 TO_RAW = {S.squeeze(v): k for k, v in S.PROVIDER_B_NAMES.items()}
 
@@ -29,12 +30,20 @@ def provider_b(t):
             .withColumnsRenamed({**TO_RAW, "ReportDate": "Report Date", "PublishDate": "Publish Date"}))
 
 
+def provider_a(t):
+    """Provider A as dated, with an earlier period of the same month next to every third row."""
+    rows = X.statements_a(t).withColumnsRenamed(INVERSE).withColumn(R.PERIOD_END, F.date_sub("Date", 31))
+    clash = rows.filter(F.crc32(F.col("Ticker").cast("binary")) % 3 == 0).withColumns(
+        {R.PERIOD_END: F.date_sub(R.PERIOD_END, 9), "Total Revenue": F.col("Total Revenue") * 2})
+    return rows.unionByName(clash)
+
+
 def raw_panel(t):
     """The raw panel of all suppliers that qualify, from landed fixtures."""
     t = X.Tables(t.spark, t.folder, landed=True) if t.landed is None else t
     return R.build_raw_panel(
-        provider_b(t), X.prices(t), X.statements_a(t).withColumnsRenamed(INVERSE), X.info(t), X.constituents(t),
-        AS_OF, exclusions=X.exclusions(t), metric="Revenue", min_rows=19, top=TOP)
+        provider_b(t), X.prices(t), provider_a(t), X.info(t), X.constituents(t),
+        AS_OF, exclusions=X.exclusions(t), metric="Revenue", min_rows=19, top=None)
 
 
 def _carry(c, n):
@@ -45,8 +54,8 @@ _FLOW_SQL = ["TotalRevenue", "NetIncome", "EBITDA", "BasicAverageShares", "Depre
 _STOCK_SQL = ["TotalAssets", "TotalDebt"]
 _FIN_SQL = [f"{c}_TTM" for c in _FLOW_SQL] + _STOCK_SQL
 RAW_STEPS = [
-    ("uni", f"""SELECT Ticker FROM statements_b_raw WHERE Ticker NOT IN (SELECT Ticker FROM exclusions)
-        GROUP BY Ticker HAVING count(*) >= 19 ORDER BY avg(TotalRevenue) DESC, Ticker LIMIT {TOP}"""),
+    ("uni", """SELECT Ticker FROM statements_b_raw WHERE Ticker NOT IN (SELECT Ticker FROM exclusions)
+        GROUP BY Ticker HAVING count(*) >= 19"""),
     ("second", f"""SELECT * REPLACE (CAST(NULL AS DOUBLE) AS EBITDA, CAST(NULL AS DOUBLE) AS TotalDebt, CAST(NULL AS DOUBLE) AS FreeCashFlow)
         FROM statements_b WHERE Ticker IN (SELECT Ticker FROM uni) AND Date <= DATE '{AS_OF}'"""),
     ("px", "SELECT * FROM prices WHERE Ticker IN (SELECT Ticker FROM uni)"),
@@ -141,28 +150,12 @@ def feature_panel(t):
     return P.build_features(raw_panel(landed), X.market(landed), AS_OF)
 
 
-_PHASES = {}
-
-
-def _phase(t, name, build):
-    """A phase's result, kept for the session: the phases hand over through written tables."""
-    key = (t.spark.sparkContext.applicationId, t.folder, name)
-    if key not in _PHASES:
-        _PHASES[key] = build()
-    return _PHASES[key]
-
-
 def _clean(t):
-    return _phase(t, "clean", lambda: stage(feature_panel(t)))
+    return stage(feature_panel(t))
 
 
 def _trained(t):
-    return _phase(t, "trained", lambda: T.train(_clean(t)))
-
-
-def _ranked(t):
-    trained = _trained(t)
-    return O.ranked_predictions(trained.model, trained.live)
+    return T.train(_clean(t))
 
 
 @query("build_features")
@@ -194,19 +187,22 @@ def fit_forest(t):
 
 @query("ranked_predictions")
 def ranked_predictions(t):
-    return _ranked(t)
+    trained = _trained(t)
+    return O.ranked_predictions(trained.model, trained.live)
 
 
 @query("train_and_rank")
 def train_and_rank(t):
     panel = _clean(t)
-    return Q.report_join(T.train_and_rank(panel), panel).select(
+    return Q.report_join(T.train_and_rank(panel)[0], panel).select(
         "Ticker", "Predicted_Class", "Probability_Top", "Signal", "Date", "Sector", "Industry", "Open", "Close")
 
 
 @query("report_join")
 def report_join(t):
-    return Q.report_join(_ranked(t), _clean(t))
+    panel = _clean(t)
+    trained = T.train(panel)
+    return Q.report_join(O.ranked_predictions(trained.model, trained.live), panel)
 
 
 @query("feature_importance")
@@ -223,11 +219,55 @@ def prediction_contributions(t):
 
 @query("time_series_cv")
 def time_series_cv(t):
-    _, history, _ = T.prepare(_clean(t))
-    return V.time_series_cv(history, parallelism=3)
+    return V.time_series_cv(split_latest_date(_clean(t))[0], parallelism=3)
 
 
 @query("grid_search_ts")
 def grid_search_ts(t):
-    _, history, _ = T.prepare(_clean(t))
-    return V.grid_search_ts(history, {"numTrees": [S.FOREST["numTrees"]]}, parallelism=3)
+    return V.grid_search_ts(split_latest_date(_clean(t))[0], {"numTrees": [S.FOREST["numTrees"]]}, parallelism=3)
+
+
+@query("history_figures")
+def history_figures(t):
+    confusion, precise = T.history_figures(_trained(t))
+    return confusion.withColumn("precision", F.lit(precise.first()["precision"]))
+
+
+@query("encoded_fixture", needs=["prices", "info"], extra=[
+    ("secs", "SELECT Sector, row_number() OVER (ORDER BY Sector) AS code FROM (SELECT DISTINCT Sector FROM info WHERE Sector IS NOT NULL)"),
+    ("panel", "SELECT p.Ticker, p.Date, p.Open, i.Sector FROM prices p JOIN info i ON i.Ticker = p.Ticker")],
+    sql=f"""
+    SELECT Ticker, Date, {r('''coalesce(CASE WHEN count(Open) OVER w >= 5 AND p.Sector IS NOT NULL THEN
+        (Open - avg(Open) OVER w) / nullif(stddev_samp(Open) OVER w, 0) END, 0e0)''', 'z', 6)},
+      CAST(coalesce(code, (SELECT count(*) + 1 FROM secs)) AS INTEGER) AS code
+    FROM panel p LEFT JOIN secs s ON s.Sector = p.Sector WINDOW w AS (PARTITION BY Date, p.Sector)""")
+def encoded_fixture(t):
+    """Scaling and one-hot codes over table-derived rows."""
+    from pyspark.ml.functions import vector_to_array
+    panel = X.prices(t).select("Ticker", "Date", "Open").join(X.info(t).select("Ticker", "Sector"), "Ticker")
+    scaled = stage(O.scale_features(panel, ["Open"]))
+    vectors = O.encoder(["Open"], ["Sector"]).fit(scaled).transform(scaled).withColumn("v", vector_to_array("features"))
+    return rounded(vectors.select("Ticker", "Date", F.col("v")[0].alias("z"), F.expr(
+        "CAST(array_position(slice(v, 2, size(v) - 1), 1.0D) AS INT)").alias("code")), "z")
+
+
+@query("model_invariants", sql="""
+    SELECT * FROM (VALUES ('additive contributions', true), ('balanced weights', true), ('importance sums to one', true),
+      ('one confusion count per row', true), ('whole folds', true)) v(figure, holds)""")
+def model_invariants(t):
+    """What must hold for any fitted model, as rows that SQL can state."""
+    trained = _trained(t)
+    n = trained.history.count()
+    weights = [row["w"] for row in O.class_weights(trained.history).groupBy(O.LABEL).agg(F.sum("weight").alias("w")).collect()]
+    gap = N.additivity_gap(N.prediction_contributions(trained.model, trained.live, trained.names)).first()["gap"]
+    importance = sum(row["importance"] for row in O.feature_importance(t.spark, trained.model, trained.names).collect())
+    confusion = T.history_figures(trained)[0].agg(F.sum("count")).first()[0]
+    folds = {row["fold"]: row["count"] for row in expanding_folds(trained.history.select("Ticker", "Date")).groupBy("fold").count().collect()}
+    held = {
+        "additive contributions": gap < 1e-9,
+        "balanced weights": all(abs(w - n / len(weights)) < 1e-6 * n for w in weights),
+        "importance sums to one": abs(importance - 1) < 1e-9,
+        "one confusion count per row": confusion == n,
+        "whole folds": all(folds[k] == n // 6 for k in range(1, 6)) and sum(folds.values()) == n,
+    }
+    return t.spark.createDataFrame([(k, bool(v)) for k, v in held.items()], "figure string, holds boolean")

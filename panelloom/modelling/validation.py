@@ -6,25 +6,30 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
-from panelloom.modelling.forest import LABEL, fit_forest
+from panelloom.modelling.forest import LABEL, encoder, fit_forest, fixed_layout, predictors, scale_features
 from panelloom.operators.aggregates import precision
 from panelloom.operators.ranking import expanding_folds
 from panelloom.schema import KEY, TIME
 from panelloom.session import stage
 
 
-def time_series_cv(encoded, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1, **params):
+def time_series_cv(panel, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1, **params):
     """Precision of each expanding fold as a DataFrame (fold, precision).
 
-    Folds follow row order within (date, entity). The fits run as Spark jobs; with
-    ``parallelism`` several are submitted at once.
+    Folds follow row order within (date, entity). Each fold scales its two sides by themselves
+    and learns the codes from its own training rows, so nothing of a test block is known
+    before. The fits run as Spark jobs; with ``parallelism`` several are submitted at once.
     """
-    spark = encoded.sparkSession
-    placed = stage(expanding_folds(encoded.select(*order, label, "features"), folds, order))
+    spark = panel.sparkSession
+    numeric, categorical = predictors(panel)
+    placed = stage(expanding_folds(panel.select(*order, label, *numeric, *categorical), folds, order))
 
     def score(fold):
-        model = fit_forest(placed.filter(F.col("fold") < fold), label, **params)
-        tested = model.transform(placed.filter(F.col("fold") == fold))
+        train, test = (scale_features(placed.filter(rows), numeric)
+                       for rows in (F.col("fold") < fold, F.col("fold") == fold))
+        codes = encoder(numeric, categorical).fit(train)
+        history = fixed_layout(codes.transform(train).select(*order, label, "features"), order)
+        tested = fit_forest(history, label, **params).transform(codes.transform(test))
         return fold, precision(tested, label, "prediction").first()["precision"] or 0.0
 
     with ThreadPool(parallelism) as pool:
@@ -36,13 +41,13 @@ def cv_summary(scores):
     return scores.agg(F.avg("precision").alias("mean"), F.stddev_pop("precision").alias("std"))
 
 
-def grid_search_ts(encoded, grid, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1):
+def grid_search_ts(panel, grid, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1):
     """Mean fold precision of every combination in ``grid`` (name -> values), best first."""
     names = list(grid)
     rows = []
     for values in product(*grid.values()):
         params = dict(zip(names, values))
-        mean = cv_summary(time_series_cv(encoded, folds, label, order, parallelism, **params)).first()["mean"]
+        mean = cv_summary(time_series_cv(panel, folds, label, order, parallelism, **params)).first()["mean"]
         rows.append((str(params), float(mean)))
-    return encoded.sparkSession.createDataFrame(rows, "params string, precision double").orderBy(
+    return panel.sparkSession.createDataFrame(rows, "params string, precision double").orderBy(
         F.desc("precision"), "params")

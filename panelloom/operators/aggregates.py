@@ -8,7 +8,7 @@ from panelloom.functions.dates import as_date
 from panelloom.functions.text import clean_symbol, remap_symbol
 from panelloom.operators.filters import exclude_listed
 from panelloom.operators.joins import first_event_after
-from panelloom.operators.quantiles import DIRECT_LIMIT, group_quantiles
+from panelloom.operators.quantiles import stacked_quantiles
 from panelloom.operators.windows import bias_corrected_skew, keep_last
 from panelloom.schema import KEY, TIME
 
@@ -19,19 +19,18 @@ def min_history_filter(df, rows=19, key=KEY):
 
 
 def universe_top_n(df, metric="Revenue", rows=19, n=550, exclusions=None, key=KEY):
-    """The n entities with the highest mean metric among those with enough history.
+    """The n entities (all with None) with the highest mean metric among those with enough history.
 
     Counts and sums are one partial aggregate; the history test is a filter on its result.
     """
     named = df.select(remap_symbol(clean_symbol(key)).alias(key), metric)
     if exclusions is not None:
         named = exclude_listed(named, exclusions.select(clean_symbol(key).alias(key)), key)
-    return (
-        named.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.avg(metric).alias("__mean"))
-        .filter((F.col("__n") >= rows) & F.col(key).isNotNull())
-        .orderBy(F.desc_nulls_last("__mean"), key).limit(n)
-        .select(key, F.col("__mean").alias(f"mean_{metric}"))
-    )
+    known = named.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.avg(metric).alias("__mean")).filter(
+        (F.col("__n") >= rows) & F.col(key).isNotNull())
+    if n is not None:
+        known = known.orderBy(F.desc_nulls_last("__mean"), key).limit(n)
+    return known.select(key, F.col("__mean").alias(f"mean_{metric}"))
 
 
 def stale_tickers(universe, stored, as_of, key=KEY, time=TIME):
@@ -65,20 +64,18 @@ def skewness(df, cols):
     return one.unpivot([], list(cols), "column", "skew").orderBy(F.desc_nulls_last("skew"), "column")
 
 
-def describe(df, cols, direct_limit=DIRECT_LIMIT):
-    """count, mean, std, min, quartiles and max per column. ``df`` is read more than once."""
-    moments = df.agg(*[
-        F.struct(F.count(c).cast("double").alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                 F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(c)
-        for c in cols])
-    quartiles = group_quantiles(df, cols, [0.25, 0.5, 0.75], (), direct_limit)
-    m = moments.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), *[F.col(c)[x].alias(x) for x in ("count", "mean", "std", "min", "max")])
-        for c in cols])))
-    q = quartiles.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), *[F.col(c)[i].alias(x) for i, x in enumerate(("q25", "q50", "q75"))])
-        for c in cols])))
-    return m.join(q, "column").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+def describe(df, cols):
+    """count, mean, std, min, quartiles and max per column, also of columns without values.
+
+    ``df`` is read three times: once for the moments and the sketch, twice for the quartiles.
+    """
+    cols = list(cols)
+    figures = {"mean": F.avg("__x"), "std": F.stddev_samp("__x"), "min": F.min("__x"), "max": F.max("__x")}
+    found = stacked_quantiles(df, cols, [0.25, 0.5, 0.75], also=figures)
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "__i int, column string")
+    return names.join(found, "__i", "left").select(
+        "column", F.coalesce("__n", F.lit(0)).cast("double").alias("count"), "mean", "std", "min",
+        *[F.col("__q")[k].alias(q) for k, q in enumerate(("q25", "q50", "q75"))], "max")
 
 
 def row_at_extreme(df, col, largest=True, ties=()):

@@ -6,19 +6,19 @@ aggregates with map-side combining and are joined back, never from a window over
 
 from pyspark.sql import functions as F
 
-from panelloom.operators.quantiles import ACCURACY, DIRECT_LIMIT, group_quantiles
+from panelloom.operators.quantiles import ACCURACY, group_quantiles
 from panelloom.schema import TIME
 from panelloom.session import lookup_join
 
 
-def cross_section_quantile(df, col, k=5, time=TIME, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
+def cross_section_quantile(df, col, k=5, time=TIME, accuracy=ACCURACY):
     """``<col>_Quantile``: 1..k per date by right-closed bins between linear quantiles.
 
     Repeated edges are merged, which lowers the labels above them; dates with fewer than
     ``k`` values get null. The source column is dropped. ``df`` is read more than once.
     """
     probs = [i / k for i in range(k + 1)]
-    edges = group_quantiles(df, [col], probs, [time], direct_limit, accuracy)
+    edges = group_quantiles(df, [col], probs, [time], accuracy)
     edges = edges.select(time, F.array_distinct(col).alias("__edges"), F.col(f"{col}__n").alias("__n"))
     joined = lookup_join(df, edges, [time])
     value, e = F.col(col), F.col("__edges")

@@ -2,60 +2,53 @@
 
 from pyspark.sql import functions as F
 
-from panelloom.operators.quantiles import ACCURACY, DIRECT_LIMIT, column_quantiles, group_quantiles
+from panelloom.operators.quantiles import ACCURACY, stacked_quantiles
 from panelloom.session import lookup_join, stage
 
 
-def _medians(df, value, group, direct_limit, accuracy):
-    """(per-group medians, median of all rows). The latter counts rows without a group as well."""
-    if df.agg(F.count(value)).first()[0] <= direct_limit:
-        both = stage(df.rollup(group).agg(
-            F.grouping(group).alias("__all"), F.percentile(value, 0.5).alias("__median")))
-        overall = both.filter("__all = 1").first()
-        table = both.filter((F.col("__all") == 0) & F.col(group).isNotNull()).drop("__all")
-        return table, overall["__median"] if overall else None
-    per_group = group_quantiles(df, [value], [0.5], [group], direct_limit, accuracy)
-    overall = column_quantiles(df, [value], [0.5], direct_limit, accuracy)[value][0]
-    return stage(per_group.select(group, F.col(value)[0].alias("__median"))), overall
+def _joined(df, value_expr, group, accuracy):
+    """``df`` with ``__median``: the group's median of ``value_expr``, else that of all rows.
 
-
-def _joined(df, value_expr, group, direct_limit, accuracy):
-    """``df`` with ``__median``: the group's median of ``value_expr``, else the overall one."""
-    narrow = df.select(group, value_expr.alias("__value"))
-    table, overall = _medians(narrow, "__value", group, direct_limit, accuracy)
-    out = lookup_join(df, table, [group], ready=True)
-    return out.withColumn("__median", F.coalesce("__median", F.lit(overall).cast("double")))
+    Both come from one pass: every value counts once for its group and once for the whole.
+    Groups are numbered by their text behind a mark, the whole is the unmarked empty text.
+    """
+    name = F.concat(F.lit("g"), F.col(group).cast("string"))
+    both = df.select(F.explode(F.array(name, F.lit(""))).alias("__group"), value_expr.alias("__value"))
+    table = stage(stacked_quantiles(both, ["__value"], [0.5], ["__group"], accuracy).select(
+        "__group", F.col("__q")[0].alias("__median")))
+    overall = table.filter("__group = ''").first()
+    out = lookup_join(df.withColumn("__group", name), table, ["__group"], ready=True).drop("__group")
+    return out.withColumn("__median", F.coalesce("__median", F.lit(overall and overall["__median"]).cast("double")))
 
 
-def group_median_impute(df, col, group, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
+def group_median_impute(df, col, group, accuracy=ACCURACY):
     """Null to the group's median, else to the median of the whole column.
 
     Like its siblings below it reads two or three columns of ``df`` a few times: a costly
     input should be staged first, projections and small joins over a staged one need not.
     """
-    joined = _joined(df, F.col(col), group, direct_limit, accuracy)
+    joined = _joined(df, F.col(col), group, accuracy)
     return joined.select([
         F.coalesce(F.col(c), F.col("__median")).alias(c) if c == col else F.col(c) for c in df.columns])
 
 
-def group_ratio_impute(df, col, group, denominator, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
+def group_ratio_impute(df, col, group, denominator, accuracy=ACCURACY):
     """Null to (median of col/denominator in the group) x own denominator.
 
     Only positive denominators enter the median, any sign is projected. What is still null
     (no denominator) takes the group's, else the overall, median of the filled column.
     """
     valid = F.when(F.col(denominator) > 0, F.col(col) / F.col(denominator))
-    joined = _joined(df, valid, group, direct_limit, accuracy)
-    filled = joined.select([
+    joined = _joined(df, valid, group, accuracy)
+    filled = stage(joined.select([
         F.coalesce(F.col(c), F.col("__median") * F.col(denominator)).alias(c) if c == col else F.col(c)
-        for c in df.columns])
-    return group_median_impute(filled, col, group, direct_limit, accuracy)
+        for c in df.columns]))
+    return group_median_impute(filled, col, group, accuracy)
 
 
-def current_assets_by_group(df, group="Sector", assets="CurrentAssets", total="TotalAssets",
-                            direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
+def current_assets_by_group(df, group="Sector", assets="CurrentAssets", total="TotalAssets", accuracy=ACCURACY):
     """Null current assets to total assets x the group's median ratio (zero totals have no ratio)."""
-    joined = _joined(df, F.try_divide(assets, total), group, direct_limit, accuracy)
+    joined = _joined(df, F.try_divide(assets, total), group, accuracy)
     return joined.select([
         F.coalesce(F.col(c), F.col(total) * F.col("__median")).alias(c) if c == assets else F.col(c)
         for c in df.columns])

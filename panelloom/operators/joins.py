@@ -10,6 +10,7 @@ from panelloom.operators.windows import keep_last
 from panelloom.schema import (
     BOTH_PROVIDERS, DIMENSION_PATCHES, KEY, PUBLICATION_TOLERANCE_DAYS, SOURCE, STATEMENT_METADATA, TIME,
 )
+from panelloom.session import lookup_join, stage
 
 
 def outer_join_statements(income, balance, cash_flow, keys, metadata=STATEMENT_METADATA):
@@ -48,12 +49,15 @@ def coalesce_merge(first, second, keys=(KEY, TIME), tag=SOURCE, both=BOTH_PROVID
     """Full outer merge over the union of columns: the first side's value, else the second's.
 
     Both sides are reduced to one row per key, which also means no key can be hot in the
-    join. ``order`` (column names, ascending) decides which duplicate is the last one. With
-    ``tag``, rows present on both sides carry ``both``.
+    join. ``order`` (column names, ascending, present on both sides) decides which duplicate is
+    the last one; with ``dedupe`` it is required. With ``tag``, rows present on both sides carry
+    ``both``.
     """
     keys = list(keys)
     if dedupe:
-        by = [F.desc(c) for c in order] or [F.lit(0)]
+        if not order:
+            raise ValueError("which duplicate is the last one? name the columns in order")
+        by = [F.desc(c) for c in order]
         first, second = keep_last(first, keys, by), keep_last(second, keys, by)
     a = first.withColumn("__a", F.lit(True)).alias("a")
     b = second.withColumn("__b", F.lit(True)).alias("b")
@@ -84,30 +88,30 @@ def upsert_panel(new, stored, keys=(KEY, TIME)):
 def first_event_after(periods, events, entity, end, at, keep, days=PUBLICATION_TOLERANCE_DAYS):
     """For each period the first event of its entity with ``end < at <= end + days``, else null.
 
-    The entity's time line is cut into days. An event of the same day is found in a window
-    over (entity, day); later days need only each day's first event, which is pre-aggregated
-    before the shuffle. A hot entity is therefore spread over its days, and no pair of
-    period and event is ever formed.
+    The entity's time line is cut into hours. An event of the same hour is found in a window
+    over (entity, hour); later hours need only each hour's first event, which is pre-aggregated
+    before the shuffle. A hot entity is therefore spread over its hours, and no pair of
+    period and event is ever formed. Periods and events are read once and staged together.
     """
     left = periods.select(entity, *[F.col(c) for c in keep], F.col(end).alias("__t"), F.lit(1).alias("__p"))
     right = events.select(F.col(entity), *[F.lit(None).cast(periods.schema[c].dataType).alias(c) for c in keep],
                           F.col(at).alias("__t"), F.lit(0).alias("__p")).distinct()
-    both = left.union(right).withColumn("__day", F.to_date("__t"))
+    both = stage(left.union(right).withColumn("__hour", F.date_trunc("hour", "__t")))
     event_time = F.when(F.col("__p") == 0, F.col("__t"))
     # backwards, so that "the next event" is a running value; at equal times the period comes
     # first and does not see the event
-    within = Window.partitionBy(entity, "__day").orderBy(F.desc("__t"), F.desc("__p"))
-    same_day = both.withColumn(
+    within = Window.partitionBy(entity, "__hour").orderBy(F.desc("__t"), F.desc("__p"))
+    same_hour = both.withColumn(
         "__same", F.last(event_time, True).over(within.rowsBetween(Window.unboundedPreceding, -1)))
 
-    days_of = both.groupBy(entity, "__day").agg(F.min(event_time).alias("__first"))
-    after = Window.partitionBy(entity).orderBy(F.desc("__day")).rowsBetween(Window.unboundedPreceding, -1)
-    later = days_of.select(entity, "__day", F.last("__first", True).over(after).alias("__later"))
+    hours = both.groupBy(entity, "__hour").agg(F.min(event_time).alias("__first"))
+    after = Window.partitionBy(entity).orderBy(F.desc("__hour")).rowsBetween(Window.unboundedPreceding, -1)
+    later = hours.select(entity, "__hour", F.last("__first", True).over(after).alias("__later"))
 
     found = F.coalesce("__same", "__later")
     in_reach = found <= F.col("__t") + F.make_interval(days=F.lit(days))
     return (
-        same_day.filter("__p = 1").join(later, [entity, "__day"], "left")
+        same_hour.filter("__p = 1").join(later, [entity, "__hour"], "left")
         .select(entity, *keep, F.col("__t").alias(end), F.when(in_reach, found).alias(at))
     )
 
@@ -133,11 +137,11 @@ def refill_dimension(df, lookup, cols=("Sector", "Industry"), key=KEY):
 
 
 def patch_by_key(df, patches=DIMENSION_PATCHES, cols=("Sector", "Industry"), key=KEY):
-    """Overwrite dimensions of the listed entities; ``patches`` is a short literal list."""
+    """Overwrite dimensions of the listed entities; the list's true size decides how it is joined."""
     spark = df.sparkSession
     table = spark.createDataFrame(
         [tuple(p) for p in patches], ", ".join([f"{key} string"] + [f"__{c} string" for c in cols]))
-    joined = df.join(F.broadcast(table), key, "left")
+    joined = lookup_join(df, table, [key])
     return joined.select([
         F.coalesce(F.col(f"__{c}"), F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns
     ])

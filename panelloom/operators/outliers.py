@@ -5,14 +5,14 @@ Fitting yields a few numbers per column, which are collected; applying them is a
 
 from pyspark.sql import functions as F
 
-from panelloom.operators.quantiles import ACCURACY, DIRECT_LIMIT, column_quantiles, stack_columns
+from panelloom.operators.quantiles import ACCURACY, column_quantiles, stack_columns
 from panelloom.operators.windows import bias_corrected_skew
 from panelloom.session import stage
 
 SKEW_LIMIT, Z_LIMIT, MAD_LIMIT, IQR_FACTOR = 3.0, 3.0, 6.0, 3.0
 
 
-def fit_outlier_rule(df, cols, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
+def fit_outlier_rule(df, cols, accuracy=ACCURACY):
     """``{column: rule}``; ``df`` is read several times, so stage it first.
 
     A value is far out when it lies more than ``reach`` from ``centre`` (three deviations from
@@ -20,17 +20,15 @@ def fit_outlier_rule(df, cols, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
     below ``low`` or above ``high`` (three interquartile ranges beyond the quartiles).
     """
     cols = list(cols)
-    moments = stack_columns(df, cols).groupBy("__i").agg(
-        F.avg("__x").alias("mean"), F.stddev_samp("__x").alias("std"),
-        bias_corrected_skew(F.count("__x"), F.skewness("__x"), F.var_pop("__x")).alias("skew"))
-    moments = {cols[row["__i"]]: row for row in moments.collect()}
-    quartiles = column_quantiles(df, cols, [0.25, 0.5, 0.75], direct_limit, accuracy)
+    quartiles, moments = column_quantiles(df, cols, [0.25, 0.5, 0.75], accuracy, also={
+        "mean": F.avg("__x"), "std": F.stddev_samp("__x"),
+        "skew": bias_corrected_skew(F.count("__x"), F.skewness("__x"), F.var_pop("__x"))})
     known = [c for c in cols if c in moments]
     skewed = [c for c in known if moments[c]["skew"] is None or abs(moments[c]["skew"]) >= SKEW_LIMIT]
     deviations = {}
     if skewed:
         distance = df.select([F.abs(F.col(c) - quartiles[c][1]).alias(c) for c in skewed])
-        deviations = column_quantiles(distance, skewed, [0.5], direct_limit, accuracy)
+        deviations = column_quantiles(distance, skewed, [0.5], accuracy)
     rules = {}
     for c in known:
         q1, median, q3 = quartiles[c]

@@ -75,6 +75,9 @@ def _search(data, cols, tolerance, rounds):
         likelihood = _log_likelihoods(data, open_cols, tried)
         for i, c in enumerate(open_cols):
             states[c].advance([likelihood.get((i, j)) for j in range(3)], tolerance)
+    left = [c for c in cols if not states[c].done]
+    if left:
+        raise ValueError(f"no exponent within {rounds} rounds for {left}")
     return {c: states[c].value for c in cols}
 
 

@@ -1,26 +1,24 @@
-"""Exact quantiles of groups of any size.
+"""Exact quantiles of groups of any size, by narrowing; one path for all sizes.
 
-Spark's ``percentile`` keeps every distinct value of a group in one task. That is fine for
-groups known to be small, and it is what happens here when the largest group is below
-``direct_limit``. Beyond it the ranks are found by narrowing:
+1. one scan: a mergeable sketch per group and column brackets each wanted quantile, next to the
+   counts (and whatever other figures the caller asks for);
+2. one scan counts, exactly, how many values lie in each bracket, and their least and largest;
+3. brackets that hold a wanted rank and more than ``leaf`` values are cut into equal widths and
+   counted again, until every bracket is small or a single value;
+4. the values inside are shuffled as (value, count) pairs, and a running count picks the ranks.
 
-1. a mergeable sketch per group brackets each wanted quantile between two values;
-2. one pass counts, exactly, how many values lie at or below each bracket end;
-3. only values inside the brackets that hold a wanted rank are shuffled, as (value, count)
-   pairs, and a running count picks the wanted ranks.
-
-Step 2 makes the result exact whatever the sketch returned; the sketch only decides how few
-values step 3 moves.
+Steps 2 and 3 make the result exact whatever the sketch returned. Groups and columns are rows, so
+many columns cost as many jobs as one, and no task holds more than ``leaf`` distinct values.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panelloom.session import lookup_join
+from panelloom.session import lookup_join, stage
 
-DIRECT_LIMIT = 250_000
 ACCURACY = 10_000
-NARROWED_AT_ONCE = 6
+LEAF = 200_000
+CUTS = 256
 
 
 def stack_columns(df, cols, by=()):
@@ -33,122 +31,102 @@ def stack_columns(df, cols, by=()):
     return df.select(*by, F.inline(F.array(*cells))).filter("__x IS NOT NULL")
 
 
-def group_quantiles(df, cols, probs, by=(), direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
-    """One row per group: ``by``; per column an array of linearly interpolated quantiles, and
-    the count of its values as ``<column>__n``.
+def stacked_quantiles(df, cols, probs, by=(), accuracy=ACCURACY, also=None, leaf=LEAF):
+    """Rows (by..., __i, __n, __q, also...): linearly interpolated quantiles per group and column.
 
-    Rows with a null group key are left out. ``df`` is read up to three times, so an expensive
-    input should be staged by the caller.
+    ``also`` maps names to aggregates of ``__x`` for the first scan. Rows with a null group key
+    are left out, as are groups without values of a column. ``df`` is read three times, so an
+    expensive input should be staged by the caller.
     """
-    by, cols, probs = list(by), list(cols), [float(p) for p in probs]
+    by, cols, probs, also = list(by), list(cols), [float(p) for p in probs], also or {}
     data = df.select(*by, *cols).dropna(subset=by) if by else df.select(*cols)
-    if len(cols) == 1:
-        sizes = data.groupBy(*by).agg(F.count(cols[0]).alias("__n"))
-    else:
-        sizes = stack_columns(data, cols, by).groupBy(*by, "__i").agg(F.count("__x").alias("__n"))
-    largest = sizes.agg(F.max("__n")).first()[0] or 0
-    if largest > direct_limit:
-        return _narrowed(data, by, cols, probs, accuracy)
-    if len(cols) == 1:
-        return data.groupBy(*by).agg(
-            F.percentile(cols[0], probs).alias(cols[0]), F.count(cols[0]).alias(f"{cols[0]}__n"))
-    long = stack_columns(data, cols, by).groupBy(*by, "__i").agg(
-        F.percentile("__x", probs).alias("__q"), F.count("__x").alias("__n"))
-    return _spread_columns(long, by, cols)
-
-
-def _spread_columns(long, by, cols):
-    return long.groupBy(*by).agg(
-        *[F.first(F.when(F.col("__i") == i, F.col("__q")), True).alias(c) for i, c in enumerate(cols)],
-        *[F.first(F.when(F.col("__i") == i, F.col("__n")), True).alias(f"{c}__n") for i, c in enumerate(cols)])
-
-
-def _narrowed(data, by, cols, probs, accuracy):
-    group = by or ["__all"]
-    if not by:
-        data = data.withColumn("__all", F.lit(0))
+    long, key = stack_columns(data, cols, by), [*by, "__i"]
     margin = 2.0 / accuracy
     ends = sorted({min(max(x, 0.0), 1.0) for p in probs for x in (p - margin, p + margin)})
-
-    sketch = data.groupBy(*group).agg(
-        *[F.approx_percentile(c, ends, accuracy).alias(f"__s_{c}") for c in cols],
-        *[F.count(c).alias(f"__n_{c}") for c in cols],
-    )
-    marked = _with_marks(data, sketch, group, by)
-    counts = marked.groupBy(*group).agg(
-        *[F.first(f"__{x}_{c}").alias(f"__{x}_{c}") for c in cols for x in ("s", "n")],
-        *[F.array(*[F.count_if(F.col(c) <= F.col(f"__s_{c}")[j]) for j in range(len(ends))])
-          .alias(f"__r_{c}") for c in cols],
-    )
-
-    def ranks(n, p):
-        at = F.round((n - 1) * p, 9)
-        return F.floor(at), F.ceil(at), at - F.floor(at)
-
-    def marks_of(c):
-        """Bracket ends, rank before each bucket, and whether the bucket holds a wanted rank."""
-        n, r = F.col(f"__n_{c}"), F.col(f"__r_{c}")
-        starts = [F.lit(0).cast("bigint"), *[r[j] for j in range(len(ends))], n]
-        wanted = []
-        for start, stop in zip(starts, starts[1:]):
-            hit = F.lit(False)
-            for p in probs:
-                for rank in ranks(n, p)[:2]:
-                    hit = hit | ((rank >= start) & (rank < stop))
-            wanted.append(hit)
-        return [F.col(f"__s_{c}"), n, F.array(*starts[:-1]).alias(f"__at_{c}"), F.array(*wanted).alias(f"__w_{c}")]
-
-    marks = counts.select(*group, *[x for c in cols for x in marks_of(c)])
-
-    def cell(i, c):
-        s, v = F.col(f"__s_{c}"), F.col(c).cast("double")
-        bucket = sum(((v > s[j]).cast("int") for j in range(1, len(ends))), (v > s[0]).cast("int"))
-        return F.when(v.isNotNull() & F.get(F.col(f"__w_{c}"), bucket),
-                      F.struct(F.lit(i).alias("__i"), F.col(f"__n_{c}").alias("__n"), bucket.alias("__b"),
-                               F.get(F.col(f"__at_{c}"), bucket).alias("__at"), v.alias("__v")))
-
-    inside = _with_marks(data, marks, group, by).select(
-        *group, F.inline(F.array_compact(F.array(*[cell(i, c) for i, c in enumerate(cols)]))))
-    counted = inside.groupBy(*group, "__i", "__n", "__at", "__b", "__v").agg(F.count(F.lit(1)).alias("__m"))
-    running = Window.partitionBy(*group, "__i", "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    marks = stage(long.groupBy(*key).agg(
+        F.approx_percentile("__x", ends, accuracy).alias("__s"), F.count("__x").alias("__n"),
+        *[figure.alias(name) for name, figure in also.items()]))
+
+    x = F.col("__x")
+    bucket = sum(((x > F.col("__s")[j]).cast("int") for j in range(1, len(ends))), (x > F.col("__s")[0]).cast("int"))
+    inside = lookup_join(long, marks.select(*key, "__s"), key, "inner", ready=True).select(*key, bucket.alias("__b"), "__x")
+    open_ = _holding(_sized(inside, key), marks.select(*key, "__n"), key, probs, before=None)
+    while not open_.filter((F.col("__m") > leaf) & (F.col("__lo") < F.col("__hi"))).isEmpty():
+        width = (F.col("__hi") - F.col("__lo")) / CUTS
+        cut = F.least(F.floor((x - F.col("__lo")) / width), F.lit(CUTS - 1)).cast("int")
+        cells = _within(long, open_, key).select(
+            *key, "__b", "__at", F.when(width > 0, cut).otherwise((x > F.col("__lo")).cast("int")).alias("__c"), "__x")
+        narrowed = _sized(cells, [*key, "__b", "__at"], "__c")
+        open_ = _holding(narrowed, marks.select(*key, "__n"), key, probs, before="__at")
+
+    counted = _within(long, open_, key).groupBy(*key, "__n", "__at", "__b", "__x").agg(F.count(F.lit(1)).alias("__m"))
+    running = Window.partitionBy(*key, "__b", "__at").orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
     placed = counted.withColumn("__stop", F.col("__at") + F.sum("__m").over(running))
     placed = placed.withColumn("__start", F.col("__stop") - F.col("__m"))
 
     def at(rank):
-        return F.max(F.when((F.col("__start") <= rank) & (rank < F.col("__stop")), F.col("__v")))
+        return F.max(F.when((F.col("__start") <= rank) & (rank < F.col("__stop")), x))
 
     picks, values = [], []
     for k, p in enumerate(probs):
-        low, high, part = ranks(F.col("__n"), p)
+        low, high, part = _ranks(F.col("__n"), p)
         picks += [at(low).alias(f"__lo{k}"), at(high).alias(f"__hi{k}")]
-        lo, hi, frac = F.col(f"__lo{k}"), F.col(f"__hi{k}"), ranks(F.col("__n"), p)[2]
-        values.append(lo + (hi - lo) * frac)
-    long = placed.groupBy(*group, "__i", "__n").agg(*picks).select(*group, "__i", "__n", F.array(*values).alias("__q"))
-    wide = _spread_columns(long, group, cols)
-    return wide if by else wide.drop("__all")
-
-
-def _with_marks(data, table, group, by):
-    """The group's figures next to its rows; a single group's figures are literals."""
-    if by:
-        return lookup_join(data, table, group, "inner")
-    row = table.first().asDict()
-    kinds = {f.name: f.dataType for f in table.schema}
-    return data.withColumns({c: F.lit(v).cast(kinds[c]) for c, v in row.items() if c not in group})
-
-
-def column_quantiles(df, cols, probs, direct_limit=DIRECT_LIMIT, accuracy=ACCURACY):
-    """Quantiles of whole columns as a dict ``column -> list``; a few numbers, so on the driver."""
-    cols, out = list(cols), {}
-    narrow = df.select(*cols)
-    small = narrow.count() <= direct_limit
-    step = len(cols) if small else NARROWED_AT_ONCE
-    for at in range(0, len(cols), step):
-        some = cols[at:at + step]
-        if small:
-            long = stack_columns(narrow, some).groupBy("__i").agg(F.percentile("__x", probs).alias("__q"))
-            out |= {some[row["__i"]]: row["__q"] for row in long.collect()}
-        else:
-            row = _narrowed(narrow.select(*some), [], some, [float(p) for p in probs], accuracy).first()
-            out |= {c: row[c] for c in some if row is not None}
-    return {c: out.get(c) or [None] * len(probs) for c in cols}
+        lo, hi = F.col(f"__lo{k}"), F.col(f"__hi{k}")
+        values.append(lo + (hi - lo) * part)
+    out = placed.groupBy(*key, "__n").agg(*picks).select(*key, "__n", F.array(*values).alias("__q"))
+    return lookup_join(out, marks.select(*key, *also), key, "inner", ready=True) if also else out
+
+
+def _ranks(n, p):
+    at = F.round((n - 1) * p, 9)
+    return F.floor(at), F.ceil(at), at - F.floor(at)
+
+
+def _sized(rows, key, part="__b"):
+    """Values, least and largest value per part of a group."""
+    return rows.groupBy(*key, part).agg(
+        F.count(F.lit(1)).alias("__m"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
+
+
+def _holding(parts, sizes, key, probs, before):
+    """The parts that hold a wanted rank: ``__at`` is the rank before each, ``__b`` numbers them."""
+    over, order = (key, "__b") if before is None else ([*key, "__b", before], "__c")
+    earlier = Window.partitionBy(*over).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("__m").over(earlier), F.lit(0)) + (F.lit(0) if before is None else F.col(before))
+    placed = parts.withColumn("__start", start)
+    if before is not None:
+        placed = placed.drop(before)
+    placed = lookup_join(placed.withColumnRenamed("__start", "__at"), sizes, key, "inner", ready=True)
+    hit = F.lit(False)
+    for p in probs:
+        for rank in _ranks(F.col("__n"), p)[:2]:
+            hit = hit | ((rank >= F.col("__at")) & (rank < F.col("__at") + F.col("__m")))
+    return stage(placed.filter(hit).select(
+        *key, F.col("__b" if before is None else "__c").alias("__b"), "__at", "__m", "__n", "__lo", "__hi"))
+
+
+def _within(long, open_, key):
+    """Values next to the open part they lie in; parts of one group and column do not overlap."""
+    return lookup_join(long, open_, key, "inner", ready=True).filter(
+        (F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
+
+
+def group_quantiles(df, cols, probs, by=(), accuracy=ACCURACY, leaf=LEAF):
+    """One row per group: ``by``; per column an array of quantiles and ``<column>__n``, its count."""
+    cols, by = list(cols), list(by)
+    long = stacked_quantiles(df, cols, probs, by, accuracy, leaf=leaf)
+    wide = long.groupBy(*by).agg(
+        *[F.first(F.when(F.col("__i") == i, F.col("__q")), True).alias(c) for i, c in enumerate(cols)],
+        *[F.first(F.when(F.col("__i") == i, F.col("__n")), True).alias(f"{c}__n") for i, c in enumerate(cols)])
+    return wide
+
+
+def column_quantiles(df, cols, probs, accuracy=ACCURACY, also=None, leaf=LEAF):
+    """Quantiles of whole columns as a dict ``column -> list``; a few numbers, so on the driver.
+
+    With ``also``, a second dict ``column -> row`` holds the other figures of the first scan.
+    """
+    cols = list(cols)
+    rows = {cols[r["__i"]]: r for r in stacked_quantiles(df, cols, probs, (), accuracy, also, leaf).collect()}
+    quantiles = {c: rows[c]["__q"] if c in rows else [None] * len(probs) for c in cols}
+    return quantiles if also is None else (quantiles, rows)

@@ -22,15 +22,22 @@ def single_to_long(df, entity, key=KEY):
     return df.withColumn(key, F.lit(entity))
 
 
+def _only(value):
+    """The value of a cell; a second one is an error, not a choice."""
+    return F.when(F.count(value) <= 1, F.max(value)).otherwise(
+        F.raise_error(F.lit("a cell has more than one value")))
+
+
 def long_to_wide(df, entities, value, time=TIME, key=KEY):
     """A (time x entity) matrix of one value for a short list of entities."""
-    return df.filter(F.col(key).isin(list(entities))).groupBy(time).pivot(key, list(entities)).agg(F.first(value))
+    return df.filter(F.col(key).isin(list(entities))).groupBy(time).pivot(key, list(entities)).agg(_only(value))
 
 
 def dense_grid(panel, extra=None, time=TIME, key=KEY):
     """Every entity at every month known to the panel or to ``extra``; absent cells are null.
 
-    The months arrive as one array from a scalar subquery and are exploded per entity.
+    The result has months x entities rows by definition, so no job here is built on it. The
+    months arrive as one array from a scalar subquery and are exploded per entity.
     """
     months = panel.select(time)
     if extra is not None:
@@ -46,7 +53,7 @@ def transpose_statement(df, items, ids, item="Item", value="Value", aliases=None
         pairs = [F.lit(x) for pair in aliases.items() for x in pair]
         name = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(item)), F.col(item))
         df = df.withColumn(item, name)
-    return df.filter(F.col(item).isin(list(items))).groupBy(*ids).pivot(item, list(items)).agg(F.first(value, True))
+    return df.filter(F.col(item).isin(list(items))).groupBy(*ids).pivot(item, list(items)).agg(_only(value))
 
 
 def strip_column_spaces(df):

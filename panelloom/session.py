@@ -1,8 +1,11 @@
 """Session set-up and the few physical decisions the operators share."""
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,7 @@ def local_session(cores=8, app="panelloom", memory="16g"):
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.files.minPartitionNum", str(cores))
     )
     for name, value in LOCAL_CONF.items():
         builder = builder.config(name, value)
@@ -74,6 +78,19 @@ def release(spark):
         sc._panelloom_run = None
 
 
+@contextmanager
+def run_scope(spark):
+    """A run with a folder of its own, removed at the end of the block with all it has staged."""
+    sc = spark.sparkContext
+    outer = getattr(sc, "_panelloom_run", None)
+    sc._panelloom_run = None
+    try:
+        yield
+    finally:
+        release(spark)
+        sc._panelloom_run = outer
+
+
 def _release_quietly(spark):
     """At the end of the driver: a session that was stopped before has nothing to ask."""
     if spark.sparkContext._jsc is not None:
@@ -107,15 +124,20 @@ def lookup_join(df: DataFrame, table: DataFrame, keys, how="left", ready=False)
     return df.join(table if ready else stage(table), list(keys), how)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute an input that has fewer splits than the session has cores.
-
-    A small file set (or a file of one row group) would otherwise be read and pre-aggregated by
-    one task. An input of many splits is returned as it is, without a shuffle. Hashing the
-    first column avoids the local sort that a round-robin exchange needs to be repeatable.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
+def ship_package(spark):
+    """Send this package to the workers, once per session, so that tasks can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_panelloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="panelloom-zip-"), "panelloom.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._panelloom_shipped = True
 
 
 def null_if_nan(df: DataFrame) -> DataFrame:

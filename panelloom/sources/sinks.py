@@ -1,12 +1,15 @@
 """Panels and reports to files."""
 
+import datetime
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from panelloom.functions.dates import as_date
 from panelloom.functions.text import clean_symbol
 from panelloom.operators.joins import upsert_panel
 from panelloom.schema import KEY, TIME
+from panelloom.session import stage
 
 
 def write_panel(df, path, time=TIME):
@@ -19,13 +22,22 @@ def write_panel(df, path, time=TIME):
     dated.write.mode("overwrite").partitionBy("year").parquet(path)
 
 
-def read_written(spark, path):
-    return spark.read.parquet(path).drop("year")
+def read_written(spark, path, first=None, last=None):
+    """A written panel; with dates ``first`` or ``last`` only the years between them are listed."""
+    df = spark.read.parquet(path)
+    for bound, keep in ((first, lambda y: F.col("year") >= y), (last, lambda y: F.col("year") <= y)):
+        if bound is not None:
+            df = df.filter(keep(_day(bound).year))
+    return df.drop("year")
+
+
+def _day(value):
+    return value if isinstance(value, datetime.date) else datetime.date.fromisoformat(str(value)[:10])
 
 
 def write_report_csv(df, folder, as_of):
     """``<folder>/Y_M_D.csv`` (no zero padding), a directory of headed CSV parts."""
-    day = df.sparkSession.range(1).select(as_date(as_of).alias("d")).first()["d"]
+    day = _day(as_of)
     path = f"{folder}/{day.year}_{day.month}_{day.day}.csv"
     df.write.mode("overwrite").csv(path, header=True)
     return path
@@ -37,41 +49,88 @@ def append_exclusions(new, stored, key=KEY):
     return both.dropna().filter(F.col(key) != "").distinct().orderBy(key)
 
 
+def save_exclusions(new, path, key=KEY):
+    """Append the symbols that the list at ``path`` does not hold; whether any were new.
+
+    Nothing is written otherwise. The list is a folder that only grows; read it with
+    ``read_exclusions``.
+    """
+    spark = new.sparkSession
+    stored = read_exclusions(spark, path, key)
+    fresh = append_exclusions(new, stored, key).join(stored, key, "left_anti")
+    if fresh.isEmpty():
+        return False
+    fresh.coalesce(1).write.mode("append").parquet(path)
+    return True
+
+
+def read_exclusions(spark, path, key=KEY):
+    try:
+        return spark.read.parquet(path).select(key).distinct()
+    except AnalysisException:
+        return spark.createDataFrame([], f"{key} string")
+
+
 # --- versioned store: Spark cannot overwrite what it is reading ---------------------------
+#
+# Each write goes to a folder of its own name; a record table says which folder holds which
+# year since when. Readers follow the record, so a folder without one is never seen, and years
+# that a write does not touch keep their files.
 
 
-def _versions(spark, root):
+def _records(spark, root):
     try:
         return spark.read.parquet(f"{root}/_versions")
     except AnalysisException:
         return None
 
 
+def current_years(spark, root):
+    """{year: folder}: of the records of a year the one of the highest version, then name, counts."""
+    known = _records(spark, root)
+    if known is None:
+        return {}
+    best = known.groupBy("year").agg(F.max(F.struct("version", "folder")).alias("r"))
+    return {row["year"]: row["r"]["folder"] for row in best.collect()}
+
+
 def latest_version(spark, root):
-    known = _versions(spark, root)
+    known = _records(spark, root)
     return None if known is None else known.agg(F.max("version")).first()[0]
 
 
-def open_store(spark, root):
-    """The latest version of the store, None when nothing was saved yet."""
-    version = latest_version(spark, root)
-    return None if version is None else read_written(spark, f"{root}/v{version}")
+def open_store(spark, root, first=None, last=None):
+    """The store as last recorded, None when nothing was saved yet or no year is in reach."""
+    years = current_years(spark, root)
+    low, high = (None if x is None else _day(x).year for x in (first, last))
+    wanted = [f"{root}/{folder}/year={year}" for year, folder in sorted(years.items())
+              if (low is None or year >= low) and (high is None or year <= high)]
+    return spark.read.parquet(*wanted) if wanted else None
 
 
-def save_version(df, root):
-    """Write a new version directory, then record it; readers see it only after the record."""
+def save_version(df, root, time=TIME):
+    """Write the years of ``df`` to a new folder, then record them."""
     spark = df.sparkSession
     version = (latest_version(spark, root) or 0) + 1
-    write_panel(df, f"{root}/v{version}")
-    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("append").parquet(f"{root}/_versions")
+    folder = f"v{version}-{uuid.uuid4().hex[:12]}"
+    write_panel(df, f"{root}/{folder}", time)
+    years = spark.read.parquet(f"{root}/{folder}").select("year").distinct()
+    years.select(F.lit(version).alias("version"), "year", F.lit(folder).alias("folder")).coalesce(1).write.mode(
+        "append").parquet(f"{root}/_versions")
     return version
 
 
-def upsert_store(new, root):
-    """Merge new rows into the store and return the result as read back; None if nothing is new."""
+def upsert_store(new, root, time=TIME):
+    """Merge new rows into the store and return it as read back; None if nothing is new.
+
+    Only the years of ``new`` are read and written.
+    """
     spark = new.sparkSession
-    if new.isEmpty():
+    new = stage(new)
+    touched = {row["y"] for row in new.select(F.year(time).alias("y")).distinct().collect()}
+    if not touched:
         return None
-    stored = open_store(spark, root)
-    save_version(new if stored is None else upsert_panel(new, stored), root)
+    years = current_years(spark, root)
+    paths = [f"{root}/{years[y]}/year={y}" for y in sorted(touched & years.keys())]
+    save_version(upsert_panel(new, spark.read.parquet(*paths)) if paths else new, root, time)
     return open_store(spark, root)

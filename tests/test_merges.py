@@ -1,11 +1,13 @@
 """Joins, reshaping, sources and sinks."""
 
 import datetime as dt
+import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from panelloom import schema as S
+from panelloom import schema as S, session
 from panelloom.functions import dates, text
 from panelloom.functions import metrics as M
 from panelloom.operators import aggregates as A, filters as C, joins as J, ranking as K, reshape as R
@@ -110,6 +112,77 @@ def test_store_can_be_updated_from_itself(spark, tmp_path):
     assert sinks.upsert_store(new.filter("false"), root) is None
 
 
+def files(spark, root, year):
+    return sorted(p.rsplit("/", 1)[1] for p in sinks.open_store(spark, root, f"{year}-01-01", f"{year}-12-31").inputFiles())
+
+
+def test_untouched_years_keep_their_files(spark, tmp_path):
+    root, schema = str(tmp_path / "store"), "Ticker string, Date date, Open double"
+    sinks.upsert_store(spark.createDataFrame([("A", d("2019-01-01"), 1.0), ("A", d("2020-01-01"), 1.0)], schema), root)
+    before = {y: files(spark, root, y) for y in (2019, 2020)}
+    out = sinks.upsert_store(spark.createDataFrame([("A", d("2020-01-01"), 2.0), ("B", d("2021-01-01"), 3.0)], schema), root)
+    assert files(spark, root, 2019) == before[2019] and files(spark, root, 2020) != before[2020]
+    assert sorted(map(tuple, out.collect())) == [
+        ("A", d("2019-01-01"), 1.0), ("A", d("2020-01-01"), 2.0), ("B", d("2021-01-01"), 3.0)]
+    # two writers never share a folder; the record decides
+    folders = [p.name for p in (tmp_path / "store").iterdir() if p.name.startswith("v")]
+    assert len(set(folders)) == 2 and sinks.current_years(spark, root)[2019] != sinks.current_years(spark, root)[2020]
+    sinks.write_panel(out, str(tmp_path / "p"))
+    plan = sinks.read_written(spark, str(tmp_path / "p"), first="2020-06-01")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_exclusions_are_saved_once(spark, tmp_path):
+    path = str(tmp_path / "list")
+    frame = lambda *names: spark.createDataFrame([(n,) for n in names], "Ticker string")
+    assert sinks.save_exclusions(frame("B", "A", None), path) and not sinks.save_exclusions(frame("A"), path)
+    before = sorted(p.name for p in (tmp_path / "list").iterdir())
+    assert not sinks.save_exclusions(frame("A", "B"), path)
+    assert before == sorted(p.name for p in (tmp_path / "list").iterdir())
+    assert sinks.save_exclusions(frame("C"), path)
+    assert sorted(r[0] for r in sinks.read_exclusions(spark, path).collect()) == ["A", "B", "C"]
+
+
+def test_cells_with_two_values_are_refused(spark):
+    rows = [("A", d("2020-01-01"), "Total Revenue", 1.0), ("A", d("2020-01-01"), "Total Revenue", 2.0)]
+    df = spark.createDataFrame(rows, "Ticker string, Date date, Item string, Value double")
+    with pytest.raises(Exception, match="more than one value"):
+        R.transpose_statement(df, ["Total Revenue"], ["Ticker", "Date"]).collect()
+    with pytest.raises(Exception, match="more than one value"):
+        R.long_to_wide(df, ["A"], "Value").collect()
+    one = R.transpose_statement(df.limit(1), ["Total Revenue", "Other"], ["Ticker", "Date"]).first()
+    assert (one["Total Revenue"], one["Other"]) == (1.0, None)
+
+
+def test_merge_wants_an_order(spark):
+    df = spark.createDataFrame([("X", d("2020-01-01"), 1.0)], "Ticker string, Date date, u double")
+    with pytest.raises(ValueError):
+        J.coalesce_merge(df, df)
+
+
+def test_two_periods_of_one_month_keep_the_later(spark):
+    schema = "Ticker string, PeriodEnd timestamp, Item string, Value double"
+    items = spark.createDataFrame([("A", dt.datetime(2020, 3, 31), "Total Revenue", 5.0), ("A", dt.datetime(2020, 4, 30), "Total Revenue", 6.0)], schema)
+    events = spark.createDataFrame([("A", dt.datetime(2020, 5, 20))], "Ticker string, Published timestamp")
+    dated = provider_a_statements(items, None, None, events)
+    assert dated.count() == 2 and {r.Date for r in dated.collect()} == {d("2020-06-01")}
+    other = dated.limit(0)
+    kept = J.coalesce_merge(dated, other, order=["PeriodEnd"]).collect()
+    assert [r["Total Revenue"] for r in kept] == [6.0]
+    guessed = provider_a_statements(items, None, None, None)
+    assert {r.Date for r in guessed.collect()} == {d("2020-05-01"), d("2020-06-01")}
+
+
+def test_a_run_leaves_nothing_behind(spark):
+    outer = session.run_folder(spark)
+    with session.run_scope(spark):
+        df = session.stage(spark.range(3).toDF("x"))
+        assert df.count() == 3
+        folder = session.run_folder(spark).removeprefix("file://")
+        assert folder != outer and os.path.isdir(folder)
+    assert not os.path.exists(folder) and session.run_folder(spark) == outer
+
+
 def test_positions_and_folds(spark):
     df = spark.range(1003).select((F.col("id") % 7).cast("string").alias("Ticker"), F.date_add(F.lit(d("2020-01-01")), (F.col("id") / 7).cast("int")).alias("Date"))
     got = [tuple(r) for r in K.ordered_position(df, chunks=5).orderBy("__pos").collect()]
@@ -156,7 +229,7 @@ def test_incremental_raw_panel(spark, tmp_path):
     store = sinks.upsert_store(full, root)
     assert store.count() == full.count()
     behind = build_raw_panel(
-        Q.provider_b(t), X.prices(t), X.statements_a(t).withColumnsRenamed(Q.INVERSE), X.info(t), X.constituents(t),
+        Q.provider_b(t), X.prices(t), Q.provider_a(t), X.info(t), X.constituents(t),
         "2001-12-31", X.exclusions(t), stored=store.filter("Ticker <> 'S3'"))
     assert {r[0] for r in behind.select("Ticker").distinct().collect()} <= {"S3"} | {
         r[0] for r in A.stale_tickers(store.select("Ticker"), store, "2001-12-31").collect()}

@@ -59,6 +59,11 @@ def test_contributions_add_up(spark, trained):
     sliced = N.prediction_contributions(trained.model, trained.live, trained.names, at_once=100)
     assert len(N.tree_slices(trained.model, 100)) > 1
     assert sliced.count() == out.count() and N.additivity_gap(sliced).first()["gap"] < 1e-9
+    # several rows of one entity stay apart, whatever the slices
+    several = trained.live.unionAll(trained.live)
+    for at_once in (100, 10**9):
+        twice = N.prediction_contributions(trained.model, several, trained.names, at_once=at_once)
+        assert twice.count() == 2 * out.count()
 
 
 def test_contributions_equal_the_subset_definition():
@@ -89,10 +94,16 @@ def test_contributions_equal_the_subset_definition():
     np.testing.assert_allclose(N.expected_value(leaves), 0.15 + 0.03 + 0.49)
 
 
-def test_validation(spark, trained):
-    scores = V.time_series_cv(trained.history, folds=3, parallelism=2, **TREES)
+def test_history_figures(trained):
+    confusion, precise = T.history_figures(trained)
+    assert confusion.agg(F.sum("count")).first()[0] == trained.history.count()
+    assert 0 <= precise.first()["precision"] <= 1
+
+
+def test_validation(spark, trained, feature_panel):
+    scores = V.time_series_cv(feature_panel, folds=3, parallelism=2, **TREES)
     assert [r["fold"] for r in scores.orderBy("fold").collect()] == [1, 2, 3]
-    grid = V.grid_search_ts(trained.history, {"numTrees": [4], "maxDepth": [2, 3]}, folds=2)
+    grid = V.grid_search_ts(feature_panel, {"numTrees": [4], "maxDepth": [2, 3]}, folds=2)
     assert grid.count() == 2
     importance = O.feature_importance(spark, trained.model, trained.names).collect()
     assert len(importance) == len(trained.names) and abs(sum(r["importance"] for r in importance) - 1) < 1e-9

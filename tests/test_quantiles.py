@@ -4,6 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from panelloom.operators.cross_section import cross_section_quantile
 from panelloom.operators.impute import group_median_impute, group_ratio_impute
 from panelloom.operators.outliers import outlier_share, soft_winsorize
@@ -29,9 +31,9 @@ def to_spark(spark, pdf):
     return spark.createDataFrame([tuple(r) for r in clean.itertuples(index=False)], schema)
 
 
-@pytest.mark.parametrize("limit,accuracy", [(10**9, 10_000), (0, 10_000), (0, 20)])
-def test_group_quantiles_equal_pandas(spark, frame, limit, accuracy):
-    got = group_quantiles(to_spark(spark, frame), ["x", "y"], PROBS, ["g"], limit, accuracy).toPandas().set_index("g")
+@pytest.mark.parametrize("accuracy,leaf", [(10_000, 200_000), (20, 200_000), (20, 10), (10_000, 1)])
+def test_group_quantiles_equal_pandas(spark, frame, accuracy, leaf):
+    got = group_quantiles(to_spark(spark, frame), ["x", "y"], PROBS, ["g"], accuracy, leaf).toPandas().set_index("g")
     want = frame.groupby("g")[["x", "y"]].quantile(PROBS)
     for g in want.index.get_level_values(0).unique():
         for c in ("x", "y"):
@@ -39,79 +41,72 @@ def test_group_quantiles_equal_pandas(spark, frame, limit, accuracy):
         assert got.loc[g, "x__n"] == frame[frame.g == g].x.count()
 
 
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_column_quantiles_equal_pandas(spark, frame, limit):
-    got = column_quantiles(to_spark(spark, frame), ["x", "y"], PROBS, limit)
+@pytest.mark.parametrize("leaf", [200_000, 3])
+def test_column_quantiles_equal_pandas(spark, frame, leaf):
+    got, rows = column_quantiles(to_spark(spark, frame), ["x", "y"], PROBS, 50, {"top": F.max("__x")}, leaf)
     for c in ("x", "y"):
         np.testing.assert_allclose(got[c], frame[c].quantile(PROBS).to_numpy(), rtol=1e-12)
+        assert rows[c]["top"] == frame[c].max()
 
 
 def test_unknown_columns_have_no_quantiles(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert column_quantiles(df, ["x"], [0.5]) == {"x": [None]}
-    assert column_quantiles(df, ["x"], [0.5], direct_limit=-1) == {"x": [None]}
 
 
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_labels_equal_qcut(spark, frame, limit):
-    pdf = frame.rename(columns={"g": "Date"})
-    pdf["i"] = range(len(pdf))
-    few = pd.DataFrame({"Date": ["few"] * 3 + ["same"] * 8, "x": [1.0, 2.0, 3.0] + [4.0] * 8, "y": 0.0,
-                        "i": range(len(pdf), len(pdf) + 11)})
-    pdf = pd.concat([pdf, few], ignore_index=True)
+def labels(spark, values):
+    df = spark.createDataFrame([(i, "d", v) for i, v in enumerate(values)], "i int, Date string, x double")
+    return [r.x_Quantile for r in cross_section_quantile(df, "x").orderBy("i").collect()]
 
-    def cut(values):
-        known = values.dropna()
-        if len(known) < 5:
-            return pd.Series(np.nan, index=values.index)
-        return (pd.qcut(known, 5, labels=False, duplicates="drop") + 1).reindex(values.index)
 
-    for c in ("x", "y"):
-        df = to_spark(spark, pdf[["i", "Date", c]])
-        got = cross_section_quantile(df, c, direct_limit=limit).toPandas().set_index("i")[f"{c}_Quantile"].sort_index()
-        want = pdf.groupby("Date")[c].transform(cut)
-        np.testing.assert_array_equal(got.astype(float).to_numpy(), want.to_numpy())
+def test_labels_of_literal_months(spark):
+    assert labels(spark, [10.0, 1.0, 2.0, 9.0, 3.0, 8.0, 4.0, 7.0, 5.0, 6.0]) == [5, 1, 1, 5, 2, 4, 2, 4, 3, 3]
+    assert labels(spark, [1.0, 2.0, 3.0]) == [None] * 3  # fewer values than labels
+    assert labels(spark, [4.0] * 8) == [None] * 8  # no two edges differ
+    assert labels(spark, [None, 1.0, 2.0, 3.0, 4.0, 5.0]) == [None, 1, 2, 3, 4, 5]
+    # eight equal values: the edges 0 and 0 merge, which lowers the labels above
+    assert labels(spark, [0.0] * 8 + [1.0, 2.0]) == [1] * 8 + [2, 2]
+
+
+def test_labels_split_a_month_evenly(spark, frame):
+    values = sorted(v for v in frame.x.tolist() if v == v)
+    got = labels(spark, values)
+    assert got == sorted(got)
+    sizes = [got.count(k) for k in range(1, 6)]
+    assert sum(sizes) == len(values) and max(sizes) - min(sizes) <= 1
 
 
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_median_imputation_with_unknown_groups(spark, limit):
+def test_median_imputation_with_unknown_groups(spark):
     rows = [("a", 1.0, 10.0), ("a", 3.0, 10.0), ("a", None, -20.0), ("b", None, 5.0), (None, 7.0, 10.0), (None, None, 10.0),
             ("a", None, None)]
     df = spark.createDataFrame(rows, "g string, v double, d double")
-    plain = sorted(map(str, [r["v"] for r in group_median_impute(df, "v", "g", limit).collect()]))
+    plain = sorted(map(str, [r["v"] for r in group_median_impute(df, "v", "g").collect()]))
     assert plain == sorted(["1.0", "3.0", "2.0", "3.0", "7.0", "3.0", "2.0"])
-    ratio = [r["v"] for r in group_ratio_impute(df, "v", "g", "d", limit).orderBy("g", "d").collect()]
+    ratio = [r["v"] for r in group_ratio_impute(df, "v", "g", "d").orderBy("g", "d").collect()]
     # group a: median ratio 0.2, a negative denominator is projected; b and the unknown group: 0.3
     assert sorted(round(v, 9) for v in ratio) == sorted([1.0, 3.0, -4.0, 1.5, 7.0, 3.0, 1.0])
 
 
-def _order_statistic_winsor(col):
-    if abs(col.skew()) < 3:
-        far = ((col - col.mean()) / col.std()).abs() > 3
-    else:
-        med = col.median()
-        mad = (col.dropna() - med).abs().median()
-        far = ((col - med) / mad).abs() > 6
-    q1, q3 = col.quantile(0.25), col.quantile(0.75)
-    beyond = (col < q1 - 3 * (q3 - q1)) | (col > q3 + 3 * (q3 - q1))
-    low = (far & beyond & (col < q1)).sum() / col.count()
-    high = (far & beyond & (col > q3)).sum() / col.count()
-    lower = col.quantile(low, interpolation="lower")
-    upper = col.quantile(1 - high, interpolation="higher")
-    out = col.copy()
-    out[col > upper] = upper + np.log1p(col[col > upper] - upper)
-    out[col < lower] = lower - np.log1p(lower - col[col < lower])
-    return out, low * 100, high * 100
-
-
-def test_winsor_equals_order_statistics(spark, frame):
-    rng = np.random.default_rng(9)
-    pdf = frame.assign(i=range(len(frame)), z=rng.normal(size=len(frame)), t=rng.standard_t(2, len(frame)))
-    cols = ["x", "y", "z", "t"]
-    df = to_spark(spark, pdf[["i", *cols]])
-    got = soft_winsorize(df, cols).toPandas().set_index("i").sort_index()
-    shares = outlier_share(df, cols).toPandas().set_index("column")
-    for c in cols:
-        want, low, high = _order_statistic_winsor(pdf[c])
-        np.testing.assert_allclose(got[c].to_numpy(dtype=float), want.to_numpy(), rtol=1e-9)
-        np.testing.assert_allclose(shares.loc[c, ["low", "high"]].to_numpy(dtype=float), [low, high])
+def test_tails_are_compressed_from_the_nearest_outlier_on(spark):
+    # 101 values around zero and two far ones above: 50 is the outlier nearest to the bulk
+    values = [x / 50 for x in range(-50, 51)] + [50.0, 60.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    got = [r.x for r in soft_winsorize(df, ["x"]).orderBy("i").collect()]
+    assert got[:-1] == values[:-1]
+    assert got[-1] == pytest.approx(50 + np.log(11))
+    share = outlier_share(df, ["x"]).first()
+    assert (share["low"], share["high"], share["total"]) == pytest.approx((0, 200 / 103, 200 / 103))
+
+
+def test_compression_keeps_order_and_the_inside(spark, frame):
+    values = [(i, v) for i, v in enumerate(frame.x.tolist()) if v == v]
+    df = spark.createDataFrame(values, "i int, x double")
+    got = {r.i: r.x for r in soft_winsorize(df, ["x"]).collect()}
+    pairs = sorted((v, got[i]) for i, v in values)
+    changed = [v for v, x in pairs if x != v]
+    assert changed and [x for _, x in pairs] == sorted(x for _, x in pairs)
+    inside = [v for v, x in pairs if x == v]
+    assert all(v < min(inside) or v > max(inside) for v in changed)
+    share = outlier_share(df, ["x"]).first()
+    # the outliers are what was changed and the two that mark the bounds
+    assert round(share["total"] * len(values) / 100) == len(changed) + 2

@@ -46,30 +46,36 @@ def test_ffill_limit(spark, panel, limit):
     np.testing.assert_array_equal(got, want.to_numpy(dtype=float))
 
 
-def test_rolling_impute(spark, panel):
-    pdf = panel.copy()
-    pdf.loc[pdf.Ticker == "T1", "x"] = pdf.loc[pdf.Ticker == "T1", "x"].where(lambda s: s.isna() | (np.arange(len(s)) != 7), 1e6)
-    pdf.loc[pdf.Ticker == "T2", "x"] = 5.0
-    pdf.loc[(pdf.Ticker == "T3") & (np.arange(len(pdf)) % 9 != 0), "x"] = np.nan
-
-    def fill(s):
-        skew = s.skew()
-        roll = s.rolling(4, min_periods=1)
-        return s.fillna(roll.mean() if pd.notna(skew) and abs(skew) < 3 else roll.median())
-
-    got = back(W.rolling_impute(frame(spark, pdf), ["x", "Open"]), ["x", "Open"])
-    for k, c in enumerate(["x", "Open"]):
-        want = pdf.groupby("Ticker")[c].transform(fill).to_numpy(dtype=float)
-        np.testing.assert_allclose(got[:, k], want, rtol=1e-9)
-
-
-def test_ttm(spark, panel):
-    out = W.ttm_flows(frame(spark, panel), ["x", "Open"], averaged=["Open"])
-    got = back(out, ["x_TTM", "Open_TTM"])
-    for k, (c, times) in enumerate([("x", 4), ("Open", 1)]):
-        filled = panel.assign(v=panel.groupby("Ticker")[c].ffill(limit=2))
-        want = filled.groupby("Ticker").v.transform(lambda s: s.rolling(4, min_periods=1).mean() * times)
-        np.testing.assert_allclose(got[:, k], want.to_numpy(dtype=float), rtol=1e-9)
+def series(spark, values, name="x"):
+    return spark.createDataFrame([("A", month(i), v) for i, v in enumerate(values)], f"Ticker string, Date date, {name} double")
+
+
+def test_rolling_impute_of_literal_series(spark):
+    def filled(values):
+        return [r.x for r in W.rolling_impute(series(spark, values), ["x"]).orderBy("Date").collect()]
+
+    # mild skew: the mean of the known among the last four
+    assert filled([1.0, 2.0, None, 4.0, None]) == [1.0, 2.0, 1.5, 4.0, 3.0]
+    # nothing known in reach stays unknown
+    assert filled([None, 1.0, 2.0, 4.0, None, None, None, None])[0] is None
+    assert filled([3.0, 1.0, 2.0, None, None, None, None, None])[-1] is None
+    # one far value among zeros: the median, where the mean would be 25 or more
+    assert filled([0.0] * 12 + [100.0, None])[-1] == 0.0
+    # too few values, or all equal: no skew is known, the median again
+    assert filled([5.0, 7.0, None]) == [5.0, 7.0, 6.0]
+    assert filled([5.0, 5.0, 5.0, None]) == [5.0] * 4
+
+
+def test_ttm_of_literal_series(spark):
+    df = spark.createDataFrame(
+        [("A", month(i), x, o) for i, (x, o) in enumerate([(1.0, 2.0), (2.0, 4.0), (None, 6.0), (4.0, 8.0)])]
+        + [("B", month(i), x, 1.0) for i, x in enumerate([8.0, None, None, None, 1.0])],
+        "Ticker string, Date date, x double, Open double")
+    out = W.ttm_flows(df, ["x", "Open"], averaged=["Open"]).orderBy("Ticker", "Date").collect()
+    assert [r.x_TTM for r in out[:4]] == pytest.approx([4.0, 6.0, 20 / 3, 9.0])
+    assert [r.Open_TTM for r in out[:4]] == [2.0, 3.0, 4.0, 5.0]
+    # carried over two months, not three
+    assert [r.x_TTM for r in out[4:]] == pytest.approx([32.0, 32.0, 32.0, 32.0, 68 / 3])
 
 
 def test_growth_limits_and_zero_base(spark):
@@ -85,28 +91,46 @@ def test_lag_stays_within_the_entity(spark):
     assert got == {("A", month(0)): None, ("A", month(1)): 1.0, ("B", month(0)): None}
 
 
-def test_returns_and_betas_equal_the_dense_grid(spark, panel):
-    rng = np.random.default_rng(3)
-    index = pd.DataFrame({"Ticker": "MKT", "Date": [month(i) for i in range(-2, 42) if i != 17]})
-    index["Open"] = np.round(rng.normal(100, 5, len(index)), 2)
-    index["Close"] = np.round(rng.normal(100, 5, len(index)), 2)
-    both = pd.concat([panel[["Ticker", "Date", "Open", "Close"]], index])
-    opens, closes = (both.pivot(index="Date", columns="Ticker", values=c).sort_index() for c in ("Open", "Close"))
-    raw = opens.pct_change(fill_method=None)
-    r = raw.fillna(0)
-    m = r["MKT"]
-    beta = r.rolling(12, min_periods=6).cov(m).div(m.rolling(12, min_periods=6).var(), axis=0)
-    var = r.rolling(12, min_periods=6).var()
-    intra = closes / opens - 1
-    excess = intra.sub(intra["MKT"], axis=0)
-    out = W.returns_and_betas(frame(spark, panel), frame(spark, index))
-    got = out.toPandas()
-    assert len(got) == len(panel)
-    for row in got.itertuples():
-        for name, table in (("MonthlyReturn", r), ("ShortTermBeta", beta), ("Variance", var), ("MonthlyExcessReturn", excess)):
-            np.testing.assert_allclose(float(getattr(row, name) if getattr(row, name) is not None else np.nan),
-                                       table.loc[row.Date, row.Ticker], rtol=1e-7, atol=1e-10)
-        assert row.Return_IsMissing == int(np.isnan(raw.loc[row.Date, row.Ticker]))
+MARKET_MOVES = [None, 0.10, -0.05, 0.02, 0.07, -0.03, 0.01, 0.04, -0.06, 0.05, 0.03, -0.02, 0.06, -0.01]
+ENTITY_MOVES = [None, 0.20, -0.12, 0.01, 0.09, -0.01, 0.03, 0.02, -0.15, 0.12, 0.01, -0.05, 0.08, 0.02]
+
+
+def opens(moves, start):
+    out = [start]
+    for m in moves[1:]:
+        out.append(out[-1] * (1 + m))
+    return out
+
+
+def covariance(a, b):
+    return sum((x - sum(a) / len(a)) * (y - sum(b) / len(b)) for x, y in zip(a, b)) / (len(a) - 1)
+
+
+@pytest.mark.parametrize("gap", [None, 8])
+def test_returns_and_betas_of_literal_returns(spark, gap):
+    n = len(MARKET_MOVES)
+    schema = "Ticker string, Date date, Open double, Close double"
+    index = [("MKT", month(i), v, v * 1.01) for i, v in enumerate(opens(MARKET_MOVES, 100.0))]
+    rows = [("A", month(i), v, v * 1.03) for i, v in enumerate(opens(ENTITY_MOVES, 50.0)) if i != gap]
+    out = {r.Date: r for r in W.returns_and_betas(
+        spark.createDataFrame(rows, schema), spark.createDataFrame(index, schema)).collect()}
+    assert len(out) == n - (gap is not None)
+    own, market = [m or 0.0 for m in ENTITY_MOVES], [m or 0.0 for m in MARKET_MOVES]
+    unknown = {0}
+    if gap is not None:  # no return into the gap and none out of it
+        unknown |= {gap, gap + 1}
+        own[gap] = own[gap + 1] = 0.0
+    for i in range(n):
+        if i == gap:
+            continue
+        row, a, m = out[month(i)], own[max(0, i - 11):i + 1], market[max(0, i - 11):i + 1]
+        assert row.MonthlyReturn == pytest.approx(own[i], abs=1e-12) and row.Return_IsMissing == int(i in unknown)
+        assert row.MonthlyExcessReturn == pytest.approx(0.02)
+        if i < 5:
+            assert row.ShortTermBeta is None and row.Variance is None
+        else:
+            assert row.ShortTermBeta == pytest.approx(covariance(a, m) / covariance(m, m))
+            assert row.Variance == pytest.approx(covariance(a, a))
 
 
 def test_keep_last_limits_groups_before_the_shuffle(spark, panel):
@@ -116,33 +140,21 @@ def test_keep_last_limits_groups_before_the_shuffle(spark, panel):
     assert out.count() == len(want)
 
 
-def test_identity_cascade_all_patterns(spark):
-    values = [None, 0.0, 100.0]
-    rows = [(t, s, g) for t in values for s in [None, 0.0, 30.0, -30.0] for g in [None, 0.0, 90.0, -90.0]]
-
-    def stepwise(t, s, g):
-        if t is None and s is not None and g is not None:
-            t = s + g
-        if t == 0:
-            s, g = (0.0 if s is None else s), (0.0 if g is None else g)
-        if s is None and t is not None and g is not None:
-            s = t - g
-        if g is None and t is not None and s is not None:
-            g = t - s
-        if t is not None and s is None and g is None:
-            s, g = t * (1 - 0.8), t * 0.8
-        if g is not None and t is None and s is None:
-            t = g / 0.8
-            s = t * (1 - 0.8)
-        if s is not None and t is None and g is None:
-            t = s / (1 - 0.8)
-            g = t * 0.8
-        low = lambda v: None if v is None else max(v, 0.0)
-        return t, low(s), low(g)
-
-    df = spark.createDataFrame(rows, "t double, s double, g double")
-    got = [tuple(r) for r in M.identity_split(df.coalesce(1), "t", "s", "g").collect()]
-    assert sorted(got, key=str) == sorted((stepwise(*r) for r in rows), key=str)
+def test_identity_of_total_and_parts(spark):
+    """(total, first, second) before and after; the usual split is one to four."""
+    cases = [
+        ((100.0, 30.0, 70.0), (100.0, 30.0, 70.0)), ((None, 30.0, 70.0), (100.0, 30.0, 70.0)),
+        ((100.0, None, 70.0), (100.0, 30.0, 70.0)), ((100.0, 30.0, None), (100.0, 30.0, 70.0)),
+        ((100.0, None, None), (100.0, 20.0, 80.0)), ((None, None, 80.0), (100.0, 20.0, 80.0)),
+        ((None, 20.0, None), (100.0, 20.0, 80.0)), ((0.0, None, None), (0.0, 0.0, 0.0)),
+        ((0.0, 30.0, None), (0.0, 30.0, 0.0)), ((100.0, None, 130.0), (100.0, 0.0, 130.0)),
+        ((100.0, -5.0, 70.0), (100.0, 0.0, 70.0)), ((None, -30.0, 90.0), (60.0, 0.0, 90.0)),
+        ((None, None, None), (None, None, None)),
+    ]
+    df = spark.createDataFrame([(i, *before) for i, (before, _) in enumerate(cases)], "i int, t double, s double, g double")
+    for row in M.identity_split(df, "t", "s", "g").collect():
+        got, want = (row["t"], row["s"], row["g"]), cases[row["i"]][1]
+        assert got == want if None in want else got == pytest.approx(want), cases[row["i"]]
 
 
 def test_exponents_maximise_the_likelihood(spark):
