@@ -105,19 +105,19 @@ QUERIES = {f.__name__: f for f in (
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = ("list_filter(regexp_split_to_array(" + _LOWER.format("coalesce(text, '')") +
-          r", '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')")
+          r", '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
 
 ORACLE = {
     "op5_line_dedup": f"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-line AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS at FROM split),
+line AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM split),
 keyed AS (SELECT *, {_LOWER.format(f"trim(line, {_SPACE})")} AS key FROM line),
 repeated AS (SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
              GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
 marked AS (SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.last AS dropped
            FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
 SELECT doc_id, count(*) AS n_lines, CAST(count_if(dropped) AS BIGINT) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
     "op10_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
