@@ -182,7 +182,7 @@ def _buckets(prepared):
     following = F.expr("transform(slice(__buckets, 2, size(__buckets)), (x, i) -> xxhash64(x, __buckets[i]))")
     rows = nodes.select(F.col("__key").alias("key"), F.explode(F.concat(F.col("__buckets"), following)).alias("bucket"))
     several = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    return rows.join(several, "bucket", "left_semi")
+    return rows.join(several.hint("merge"), "bucket", "left_semi")
 
 
 def _candidates(members, number):
@@ -201,7 +201,11 @@ def _candidates(members, number):
 def near_links(df, text="text", prepared=None):
     """Verified links (a, b) between keys of different texts, and the prepared rows."""
     members = staged(_buckets(prepared).withColumn("group", F.col("key")))
+    # the texts are moved once, and only those that share a bucket are kept for the rounds; the
+    # merge hints keep the plan the same at every size
+    keys = members.select("key").distinct()
     texts = prepared.select(F.col("__key").alias("key"), F.col("__text").alias("text"))
+    own = staged(texts.join(keys.hint("merge"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
     links, groups = None, None
     for number in range(ROUNDS):
         pairs = _candidates(members, number)
@@ -211,8 +215,6 @@ def near_links(df, text="text", prepared=None):
         pairs = staged(pairs)
         if pairs.isEmpty():
             break
-        wanted = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
-        own = staged(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
         full = pairs.join(own.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a").join(
             own.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
         found = staged(map_batches(full, _verified, "a binary, b binary"))
