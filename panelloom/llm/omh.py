@@ -12,7 +12,12 @@ allows, hence it is exact: a path outside the band has too many unmatched shingl
 
 A bucket never yields all its pairs. Its members meet the bucket's leader (the least hash of the
 text's key, in each round another hash); verified links make groups; buckets that still hold
-several groups go to the next round, up to ``ROUNDS``. Equal texts are one node from the start.
+several groups go to the next round, up to ``ROUNDS``. Whatever these rounds leave in buckets of
+several groups is settled exactly by positional prefix filtering: with a text's shingles in one
+global order, rare ones first, two texts that match ``M`` shingles have a first common shingle at
+positions i and j with min(n - i, m - j) >= M. Every shingle also flips one of a text's parity
+bits, so the bits of two texts differ in at most n + m - 2 M places. Pairs that fail either are
+under 0.8, the others are aligned. Equal texts are one node from the start.
 
 Recall: two texts of similarity J share a sketch with probability about J ** K, 0.26 at 0.8, so
 at least one of 24 with 0.999. ``tests/llm`` measures it against all pairs.
@@ -25,6 +30,8 @@ identifier. Repeated rows stay, in the same class; a null identifier is the leas
 
 import bisect
 import re
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +47,8 @@ SKETCHES = 24
 #: shingles in a sketch, for texts of from .. to shingles; the ranges overlap by more than 1 / 0.8
 LEVELS = ((1, 1, 12), (3, 9, 40), (6, 32, 1 << 62))
 ROUNDS = 3
+#: 64-bit words of a text's parity bits
+PARITY = 8
 FIND = re.compile(r"[^\W_]+").findall
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 MULTIPLIERS = np.array([(0xD1342543DE82EF95 * (2 * j + 1) ^ 0x2545F4914F6CDD1D << (j % 7)) % (1 << 64) | 1
@@ -186,11 +195,7 @@ def _buckets(prepared):
 
 
 def _candidates(members, number):
-    """Pairs (a, b) of a member and its bucket's leader that are in different groups so far.
-
-    A bucket keeps two leaders of different groups, so in a bucket of several groups the first
-    leader's own group meets another group as well.
-    """
+    """Pairs (a, b) of a member and its bucket's leader that are in different groups so far."""
     order = F.struct(F.xxhash64("key", F.lit(number)).alias("h"), "key", "group")
     first = members.groupBy("bucket").agg(F.min(order).alias("lead"), F.min("group").alias("g0"), F.max("group").alias("g1"))
     first = first.filter("g0 != g1").select("bucket", F.col("lead.key").alias("lead"), F.col("lead.group").alias("lead_group"))
@@ -198,6 +203,71 @@ def _candidates(members, number):
         F.col("key").alias("a"), F.col("lead").alias("b")).distinct()
 
 
+def parity(h):
+    """Per bit how often the hashes fall on it, modulo 2, as ``PARITY`` words."""
+    bits = np.bincount((h >> np.uint64(40)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _shingled(batches):
+    for batch in slices(batches):
+        marks = [shingles(FIND(t.lower())) for t in batch.column(batch.num_columns - 1).to_pylist()]
+        bits = np.array([parity(h) for h in marks], np.int64).reshape(-1, PARITY)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], pa.array([h.view(np.int64) for h in marks], pa.list_(pa.int64())),
+             *[pa.array(bits[:, k].copy()) for k in range(PARITY)]],
+            [*batch.schema.names[:-1], "marks", *[f"p{k}" for k in range(PARITY)]])
+
+
+def _unsettled(members):
+    """(key, group) of the texts in buckets that hold several groups."""
+    several = members.groupBy("bucket").agg(F.min("group").alias("g0"), F.max("group").alias("g1")).filter("g0 != g1")
+    return members.join(several.select("bucket").hint("merge"), "bucket", "left_semi").select("key", "group").distinct()
+
+
+def _prefix_pairs(texts):
+    """Pairs (a, b) of different groups that may reach ``SIMILARITY``, from (key, group, text).
+
+    A pair of n and m shingles needs M >= t / (1 + t) * (n + m) matches, hence a common shingle with
+    that many left in both texts. A shingle's most frequent group meets only the other groups, so
+    a large group costs no pairs of its own.
+    """
+    bits = [f"p{k}" for k in range(PARITY)]
+    marks = staged(map_batches(texts, _shingled, "key binary, group binary, marks array<bigint>" + "".join(
+        f", {p} bigint" for p in bits)).withColumn("row", F.monotonically_increasing_id()))
+    rows = marks.select("row", F.explode("marks").alias("h"))
+    shared = rows.groupBy("h").agg(F.count("*").alias("f")).filter("f > 1")
+    rated = rows.join(shared.hint("merge"), "h").groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("f", "h"))).alias("common"))
+    # shingles of one text alone come first in the order and match nothing
+    first = marks.join(rated.hint("merge"), "row").withColumns(
+        {"n": F.size("marks"), "alone": F.size("marks") - F.size("common")})
+    reach = F.floor((1 - SIMILARITY) * F.col("n") + 1e-6).cast("int") + 1 - F.col("alone")
+    first = first.filter(reach > 0).select("key", "group", "n", "alone", *bits, F.posexplode(F.slice("common", 1, reach)).alias("at", "x"))
+    postings = staged(first.select("key", "group", "n", *bits, (F.col("n") - F.col("alone") - F.col("at")).alias("left"), F.col("x.h").alias("h")))
+    sizes = postings.groupBy("h", "group").agg(F.count("*").alias("c")).groupBy("h").agg(
+        F.max_by("group", F.struct("c", "group")).alias("largest"), F.count("*").alias("groups")).filter("groups > 1")
+    met = postings.join(sizes.select("h", "largest").hint("merge"), "h")
+    one = met.filter("group != largest").select("h", F.col("key").alias("a"), F.col("group").alias("ga"), F.col("n").alias("na"), F.col("left").alias("la"),
+                                                   *[F.col(p).alias(f"a{p}") for p in bits])
+    two = met.select("h", F.col("key").alias("b"), F.col("group").alias("gb"), F.col("n").alias("nb"), F.col("left").alias("lb"), "largest", *bits)
+    need = SIMILARITY * (F.col("na") + F.col("nb")) - 1e-6
+    differing = reduce(add, [F.bit_count(F.col(f"a{p}").bitwiseXOR(F.col(p))) for p in bits])
+    # two members outside the largest group meet twice; one order of them is enough
+    return one.join(two.hint("merge"), "h").filter(
+        (F.col("ga") != F.col("gb")) & ((F.col("gb") == F.col("largest")) | (F.col("a") < F.col("b")))
+        & (F.least("la", "lb") * (1 + SIMILARITY) >= need)
+        & ((F.col("na") + F.col("nb") - differing) * ((1 + SIMILARITY) / 2) >= need)).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _aligned_pairs(pairs, own):
+    """The pairs of (a, b) whose texts in (key, text) are near copies."""
+    full = pairs.join(own.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a").join(
+        own.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    return staged(map_batches(full, _verified, "a binary, b binary"))
+
+
 def near_links(df, text="text", prepared=None):
     """Verified links (a, b) between keys of different texts, and the prepared rows."""
     members = staged(_buckets(prepared).withColumn("group", F.col("key")))
@@ -215,15 +285,18 @@ def near_links(df, text="text", prepared=None):
         pairs = staged(pairs)
         if pairs.isEmpty():
             break
-        full = pairs.join(own.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a").join(
-            own.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-        found = staged(map_batches(full, _verified, "a binary, b binary"))
+        found = _aligned_pairs(pairs, own)
+        links = found if links is None else links.unionAll(found)
+        groups = staged(components(links))
+        moved = members.select("bucket", "key").join(
+            groups.select(F.col("node").alias("key"), F.col("component").alias("found")), "key", "left")
+        members = staged(moved.select("bucket", "key", F.coalesce("found", "key").alias("group")))
+    open_ = staged(_unsettled(members))
+    if not open_.isEmpty():
+        pairs = staged(_prefix_pairs(own.join(open_.hint("merge"), "key").select("key", "group", "text")))
+        found = _aligned_pairs(pairs, own)
         links = found if links is None else links.unionAll(found)
         groups = staged(components(links))
-        if number + 1 < ROUNDS:
-            moved = members.select("bucket", "key").join(
-                groups.select(F.col("node").alias("key"), F.col("component").alias("found")), "key", "left")
-            members = staged(moved.select("bucket", "key", F.coalesce("found", "key").alias("group")))
     return links, groups
 
 

@@ -142,6 +142,45 @@ def test_near_copies_of_odd_rows_and_a_large_group(spark):
     assert {(r.class_id, r.class_rows) for r in omh.near_duplicates(frame).collect()} == {(0, 400)}
 
 
+def templated_family(texts, planted, words=200, changed=4, near=4, seed=11):
+    """Texts of one template with ``changed`` random words, most pairs at 0.69, and copies at 0.81.
+
+    Returns the texts and the planted pairs (index, index of the copy).
+    """
+    rng = np.random.default_rng(seed)
+    base = [f"t{x}" for x in range(words)]
+    out = []
+    for i in range(texts):
+        own = list(base)
+        for at in rng.choice(words, changed, replace=False):
+            own[at] = f"u{i}x{at}"
+        out.append(own)
+    pairs = []
+    for i in rng.choice(texts, planted, replace=False).tolist():
+        own = list(out[i])
+        for at in rng.choice(words, near, replace=False):
+            own[at] = f"p{i}x{at}"
+        pairs.append((i, len(out)))
+        out.append(own)
+    return [" ".join(x) for x in out], pairs
+
+
+def test_close_pairs_in_a_templated_family_are_all_found(spark, monkeypatch):
+    texts, planted = templated_family(600, 300)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(omh, "ROUNDS", 1)  # one leader per bucket: most of the family is left to the prefixes
+    got = {r.doc_id: r.class_id for r in omh.near_duplicates(frame).collect()}
+    want = classes_by_all_pairs(dict(enumerate(texts)))
+    assert len(set(want.values())) < len(want) - 250 and all(want[a] == want[b] for a, b in planted)
+    assert got == want
+
+
+def test_parity_bits_bound_the_difference():
+    a, b = omh.shingles([f"w{x}" for x in range(300)]), omh.shingles([f"w{x}" for x in range(20, 310)])
+    differing = sum(int(x).bit_count() for x in (omh.parity(a) ^ omh.parity(b)).view(np.uint64))
+    assert 0 < differing <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
 def test_components_of_chains_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     frame = spark.createDataFrame(edges + edges[:5], "a long, b long")
