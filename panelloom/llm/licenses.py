@@ -10,8 +10,10 @@ or two shingles only, with probability 1 - (1 - J) ** BANDS, as start points of
 
 Documents whose bands meet no template's bands are done. For the others the windows are joined
 with the template windows on (band, value); each meeting proposes a place, and the share of the
-template's shingles found there is computed exactly; places of at least 0.8 are matches. All of
-it is DataFrame functions.
+template's shingles found there is computed exactly; places of at least 0.8 are matches. Words
+put into a copy move its tail away by any distance, so the template's shingles are also followed
+through the whole text: a shortest stretch that holds 0.8 of them is a match, overlapping
+stretches are one, and the containment is that of the whole of it. All of it is DataFrame functions.
 
 Templates of five or six words are shorter than a window; for them a last band holds windows of
 five words, that is single shingles.
@@ -83,6 +85,27 @@ def template_windows(spark, templates=TEMPLATES):
         (F.col("band") == BANDS) == (F.col("length") < WINDOW - SHINGLE + 1))
 
 
+def _runs(hits, size):
+    """SQL: (s, e, c) of the stretches of ``hits`` (i: position, k: number of the shingle, from 1).
+
+    For every end the shortest stretch starts at the ``need``-th latest of the shingles' last
+    positions; where that start moves on, the stretch holds no shorter one.
+    """
+    need = f"cast(ceil({CONTAINMENT} * {size} - 1e-6) as int)"
+    step = ("element_at(transform(array(transform(acc.last, (y, j) -> if(j + 1 = x.k, x.i, y))), l -> "
+            f"struct(l as last, sort_array(l, false)[{need} - 1] as s)), 1)")
+    joined = ("if(size(acc.out) > 0 and try_element_at(acc.out, -1).e >= z.s, "
+              "concat(slice(acc.out, 1, size(acc.out) - 1), array(struct(try_element_at(acc.out, -1).s as s, x.i as e))), "
+              "concat(acc.out, array(struct(z.s as s, x.i as e))))")
+    moved = ("element_at(transform(array(" + step + "), z -> struct(z.last as last, greatest(z.s, acc.prev) as prev, "
+             f"if(z.s > acc.prev, {joined}, acc.out) as out)), 1)")
+    spans = (f"aggregate({hits}, struct(array_repeat(-1, {size}) as last, -1 as prev, "
+             f"cast(array() as array<struct<s:int,e:int>>) as out), (acc, x) -> {moved}, acc -> acc.out)")
+    share = f"size(array_distinct(transform(filter({hits}, h -> h.i between r.s and r.e), h -> h.k))) / {size}"
+    return (f"if(size({hits}) >= {need}, transform({spans}, r -> struct(r.s as s, r.e as e, {share} as c)), "
+            "cast(array() as array<struct<s:int,e:int,c:double>>))")
+
+
 def scan(df, text="text", keys=("doc_id",), templates=TEMPLATES):
     """Matches: ``keys``, ``license``, ``start`` (word), ``containment``, one row per place."""
     if len(templates) > MOST_TEMPLATES:
@@ -92,18 +115,28 @@ def scan(df, text="text", keys=("doc_id",), templates=TEMPLATES):
     table = df.sparkSession.createDataFrame(rows, windows.select("license", "hs", "length", "band", "offset", "value").schema)
     known = F.array(*[F.array(*[F.lit(v) for v in sorted({r["value"] for r in rows if r["band"] == b})]).cast("array<bigint>")
                       for b in range(BANDS + 1)])
-    frame = df.select(*[f"`{k}`" for k in keys], F.col(text).alias("__text"))
+    frame = df.select(*[f"`{k}`" for k in keys], F.col(text).alias("__text")).withColumn("__row", F.monotonically_increasing_id())
     meets = F.lit(False)
     for b in range(BANDS + 1):
         meets = meets | F.arrays_overlap(F.col("__b")[b], known[b])
-    near = _prepared(frame, "__text").filter(meets).select(*[f"`{k}`" for k in keys], "__h", F.posexplode("__b").alias("band", "values"))
+    near = _prepared(frame, "__text").filter(meets).select(*[f"`{k}`" for k in keys], "__row", "__h", F.posexplode("__b").alias("band", "values"))
     inside = near.withColumn("__k", known).select(
-        *[f"`{k}`" for k in keys], "__h", "band",
+        *[f"`{k}`" for k in keys], "__row", "__h", "band",
         F.inline(F.expr("filter(transform(values, (v, i) -> struct(i as at, v as value)), "
                         "x -> array_contains(__k[band], x.value))")))
     placed = inside.join(F.broadcast(table), ["band", "value"]).withColumn("start", F.col("at") - F.col("offset"))
-    share = F.size(F.array_intersect(
-        F.slice("__h", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("length") + F.least(F.col("start"), F.lit(0)) + 2),
-        F.col("hs"))) / F.size("hs")
-    found = placed.withColumn("containment", share).filter(F.col("containment") >= CONTAINMENT)
+    one = placed.groupBy("__row", "license", "hs").agg(
+        *[F.first(f"`{k}`").alias(k) for k in keys], F.first("__h").alias("__h"), F.first("length").alias("length"),
+        F.collect_set("start").alias("starts"))
+    near = one.withColumn("near", F.expr(
+        "filter(transform(starts, s -> struct(s as start, size(array_intersect(slice(__h, greatest(s, 0) + 1, "
+        "length + least(s, 0) + 2), hs)) / size(hs) as containment)), x -> x.containment >= " + str(CONTAINMENT) + ")"))
+    hits = computed(near, "hits", F.expr(
+        "filter(transform(__h, (v, i) -> struct(i as i, array_position(hs, v) as k)), x -> x.k > 0)")).drop("__h")
+    runs = computed(hits, "runs", F.expr(_runs("hits", "size(hs)")))
+    meet = "r.s <= x.start + length + 2 and r.e >= x.start"
+    found = runs.select(*[f"`{k}`" for k in keys], "license", F.inline(F.expr(
+        "concat(transform(near, x -> struct(x.start as start, greatest(x.containment, coalesce(array_max(transform("
+        f"filter(runs, r -> {meet}), r -> r.c)), 0.0D)) as containment)), "
+        f"transform(filter(runs, r -> not exists(near, x -> {meet})), r -> struct(r.s as start, r.c as containment)))")))
     return found.select(*[f"`{k}`" for k in keys], "license", F.greatest("start", F.lit(0)).alias("start"), "containment")

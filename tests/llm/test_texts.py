@@ -329,6 +329,19 @@ def test_edited_notices_are_found(spark):
     assert licenses.scan(frame.limit(0)).count() == 0
 
 
+def test_words_put_into_a_notice_do_not_hide_its_tail(spark):
+    free = ("This program is free software: you can redistribute it and/or modify it under the terms of the "
+            "GNU General Public License, version 2 or later, as published by the Free Software Foundation")
+    long = [f"term{x}" for x in range(104)]
+    put = [*long[:50], *[f"put{x}" for x in range(20)], *long[50:]]
+    far = [*long[:50], *[f"put{x}" for x in range(500)], *long[50:]]
+    rows = [(1, free), (2, " ".join(put)), (3, " ".join(far)), (5, " ".join(long[:70])), (1, free)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    templates = (*licenses.TEMPLATES, ("Long", " ".join(long)))
+    got = sorted({(r.doc_id, r.license, r.start, r.containment) for r in licenses.scan(frame, templates=templates).collect()})
+    assert got == [(1, "GPL", 0, 0.84), (2, "Long", 0, 0.96), (3, "Long", 0, 0.96)]
+
+
 # ---- decontamination --------------------------------------------------------------------------
 
 
