@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelloom.llm import bpe, brown, decontam, langid, licenses, lines, merkle, omh, pii, repair
+from panelloom.llm import bpe, brown, decontam, langid, licenses, lines, merkle, omh, pii, ranking, repair, whitening
 from panelloom.llm.common import id_remainder
 
 
@@ -92,6 +92,23 @@ def op10_decontamination(spark, sf_dir):
                         _sha(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
 
 
+def op11_whitening(spark, sf_dir):
+    """The first components of every usable vector, whitened over all of them."""
+    out, model, error = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    n = model.centre.n if model else 0
+    explained = model.explained.tolist()[:whitening.COMPONENTS] if model else []
+    shares = F.array(*[F.lit(e) for e in explained]) if explained else F.array().cast("array<double>")
+    return out.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(n).cast("long").alias("n"),
+        F.expr("try_cast(deviation as bigint)").alias("deviation"), "whitened",
+        F.get(shares, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
+def op12_bag_ranking(spark, sf_dir):
+    """The best documents of every benchmark item."""
+    return ranking.best_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark, sf_dir):
     """The corpus pipeline at the top of the repository."""
     import corpus_pipeline
@@ -100,14 +117,32 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_language, op3_order_minhash, op4_brown_lm, op5_line_dedup, op6_merkle, op7_token_files,
-    op8_pii, op9_license_scan, op10_decontamination, pipeline)}
+    op8_pii, op9_license_scan, op10_decontamination, op11_whitening, op12_bag_ranking, pipeline)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = ("list_filter(regexp_split_to_array(" + _LOWER.format("coalesce(text, '')") +
           r", '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
 
+_TERMS = ("regexp_extract_all(" + _LOWER.format("coalesce(text, '')") +
+          r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
 ORACLE = {
+    "op12_bag_ranking": f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+whole AS (SELECT count(*) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM d WHERE len(w) > 0),
+q AS (SELECT item_id, t, count(*) AS qtf
+      FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY ALL),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d)
+       WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+wt AS (SELECT t, CAST(floor(1000 * ln((2 * big_n + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS wt FROM df, whole),
+m AS (SELECT doc_id, 75 + ((25 * len(w) * big_n) // big_l) AS m FROM d, whole WHERE len(w) > 0),
+scored AS (SELECT item_id, doc_id, CAST(sum(qtf * wt * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+           FROM q JOIN wt USING (t) JOIN tf USING (t) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20""",
     "op5_line_dedup": f"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 line AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM split),
