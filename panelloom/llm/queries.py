@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelloom.llm import bpe, brown, decontam, langid, licenses, lines, merkle, omh, pii, ranking, repair, whitening
+from panelloom.llm import bpe, brown, decontam, langid, lattice, licenses, lines, merkle, omh, pii, ranking, repair, whitening
 from panelloom.llm.common import id_remainder
 
 
@@ -109,6 +109,11 @@ def op12_bag_ranking(spark, sf_dir):
     return ranking.best_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_lattice_dedup(spark, sf_dir):
+    """Near-duplicate links and components of every vector."""
+    return lattice.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark, sf_dir):
     """The corpus pipeline at the top of the repository."""
     import corpus_pipeline
@@ -117,7 +122,8 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_language, op3_order_minhash, op4_brown_lm, op5_line_dedup, op6_merkle, op7_token_files,
-    op8_pii, op9_license_scan, op10_decontamination, op11_whitening, op12_bag_ranking, pipeline)}
+    op8_pii, op9_license_scan, op10_decontamination, op11_whitening, op12_bag_ranking,
+    op13_lattice_dedup, pipeline)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
