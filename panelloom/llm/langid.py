@@ -9,7 +9,10 @@ language is the one with the largest mean probability over its words; that mean
 Fitting reads a bounded sample of labelled rows: about ``PER_LANGUAGE`` rows of each language,
 chosen by a hash of the identifier among texts of up to ``LONGEST_FITTED`` characters (a language
 of which there is no such text is not learned). Training chains are pieces of these texts joined
-across languages, so the transitions see switches. Prediction reads every text whole.
+across languages, so the transitions see switches. Prediction reads every text whole, and a worker
+holds the words of ``BYTES_AT_ONCE`` bytes of texts at a time, or of one longer text. ``certainty`` is
+the mean over a text's words of their own best probability: it is high for a text of several
+languages whose every word is clear.
 
 Cases: a null text, or one without letters, is ``und`` with score 0; so is every text when there
 is no labelled row. Rows repeat as they are; label, source and identifier are never inputs of a
@@ -23,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import id_remainder, map_batches, texts_of
+from panelloom.llm.common import id_remainder, map_batches, slices, texts_of
 
 PER_LANGUAGE = 250
 LONGEST_FITTED = 20_000
@@ -31,7 +34,9 @@ BUCKETS = 1 << 17
 LEXICON = 20_000
 UNDETERMINED = "und"
 FIND = re.compile(r"[^\W\d_]+").findall
-WORDS_AT_ONCE = 1 << 20
+#: words whose chains are worked on at once (one longer text goes alone), and bytes of text taken from a batch
+WORDS_AT_ONCE = 1 << 17
+BYTES_AT_ONCE = 1 << 20
 
 
 def feature_rows(words):
@@ -209,21 +214,26 @@ class Predictor:
                 outer.fresh.append(word)
                 return number
 
-        self.numbers, self.fresh = Numbers(), []
-        self.known = np.zeros((0, len(self.model.languages)))
+        self.numbers, self.fresh, self.filled = Numbers(), [], 0
+        self.known = np.zeros((1024, len(self.model.languages)))
 
     def scores(self, words):
         if len(self.numbers) > self.limit:
             self.reset()
         ids = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         if self.fresh:
-            self.known = np.concatenate([self.known, self.model.emissions(self.fresh)])
-            self.fresh = []
+            more = self.filled + len(self.fresh)
+            if more > len(self.known):  # grows by doubling
+                room = np.zeros((max(more, 2 * len(self.known)), self.known.shape[1]))
+                room[:self.filled] = self.known[:self.filled]
+                self.known = room
+            self.known[self.filled:more] = self.model.emissions(self.fresh)
+            self.fresh, self.filled = [], more
         return self.known[ids]
 
     def predict(self, texts, with_runs=False):
-        """Per text (language, score, runs): a run is (first word, words, language)."""
-        out = [(UNDETERMINED, 0.0, [])] * len(texts)
+        """Per text (language, score, certainty, runs): a run is (first word, words, language)."""
+        out = [(UNDETERMINED, 0.0, 0.0, [])] * len(texts)
         if not self.model.languages:
             return out
         words = [FIND(t.lower()) for t in texts]
@@ -240,13 +250,14 @@ class Predictor:
             starts = np.cumsum(lengths) - lengths
             means = np.add.reduceat(marginal, starts, axis=0) / lengths[:, None]
             best = means.argmax(axis=1)
+            clear = np.add.reduceat(marginal.max(axis=1), starts) / lengths
             for row, i in enumerate(some):
                 runs = []
                 if with_runs:
                     label = marginal[starts[row]:starts[row] + lengths[row]].argmax(axis=1)
                     cuts = [0, *(np.flatnonzero(np.diff(label)) + 1).tolist(), len(label)]
                     runs = [(a, b - a, self.model.languages[label[a]]) for a, b in zip(cuts, cuts[1:])]
-                out[i] = (self.model.languages[best[row]], min(1.0, float(means[row, best[row]])), runs)
+                out[i] = (self.model.languages[best[row]], min(1.0, float(means[row, best[row]])), min(1.0, float(clear[row])), runs)
         return out
 
 
@@ -261,7 +272,8 @@ def labelled_sample(df, doc_id="doc_id", text="text", lang="lang", per_language=
     share = F.create_map([x for k, n in counts.items() for x in (F.lit(k), F.lit(per_language / n))])
     chosen = rows.filter(draw < F.element_at(share, F.col("l"))).select("l", "t")
     # the draw gives the expected number; no repetition of identifiers may exceed it without bound
-    return [(r["l"], FIND(r["t"].lower())) for r in chosen.limit(2 * per_language * len(counts) + 100).collect()]
+    first = chosen.orderBy(F.xxhash64("t"), "l").limit(2 * per_language * len(counts) + 100)
+    return [(r["l"], FIND(r["t"].lower())) for r in first.collect()]
 
 
 def fit(df, doc_id="doc_id", text="text", lang="lang", per_language=PER_LANGUAGE):
@@ -271,32 +283,36 @@ def fit(df, doc_id="doc_id", text="text", lang="lang", per_language=PER_LANGUAGE
 _PREDICTORS = {}
 
 
-def _predicted(batches, shared, with_runs):
+def _predicted(batches, shared, with_runs, at, keep):
+    """Predictions of column ``at``; the first ``keep`` columns are passed on."""
     model, name = shared[0].value, shared[1]
     predictor = _PREDICTORS.get(name)
     if predictor is None:
         _PREDICTORS.clear()
         predictor = _PREDICTORS[name] = Predictor(model)
     run = pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
-    for batch in batches:
-        got = predictor.predict(texts_of(batch.column(batch.num_columns - 1)), with_runs)
-        columns = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
-        names = ["lang_pred", "score"]
+    for batch in slices(batches, rows=8192, nbytes=BYTES_AT_ONCE):
+        got = predictor.predict(texts_of(batch.column(at)), with_runs)
+        columns = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
+                   pa.array([g[2] for g in got], pa.float64())]
+        names = ["lang_pred", "score", "certainty"]
         if with_runs:
-            columns.append(pa.array([[dict(zip(("first", "words", "lang"), r)) for r in g[2]] for g in got], run))
+            columns.append(pa.array([[dict(zip(("first", "words", "lang"), r)) for r in g[3]] for g in got], run))
             names.append("runs")
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *names])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:keep], *columns], [*batch.schema.names[:keep], *names])
 
 
 def predict(df, model, text="text", keys=("doc_id",), runs=False):
-    """``keys``, ``lang_pred`` and ``score`` of every row; with ``runs`` also the labelled word runs."""
+    """``keys``, ``lang_pred``, ``score`` and ``certainty`` of every row; with ``runs`` also the labelled word runs."""
     shared = (df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex)
     kinds = "".join(f"`{k}` {df.schema[k].dataType.simpleString()}, " for k in keys)
-    schema = kinds + "lang_pred string, score double" + (
+    schema = kinds + "lang_pred string, score double, certainty double" + (
         ", runs array<struct<first:int, words:int, lang:string>>" if runs else "")
-    # the text as the last column even where a key is the text itself
-    frame = df.select(*[f"`{k}`" for k in keys], F.col(text).alias("__text"))
-    return map_batches(frame, lambda it: _predicted(it, shared, runs), schema)
+    keys = list(keys)
+    # the text goes to the workers once, also where it is a key itself
+    sent = [F.col(f"`{k}`") for k in keys] + ([] if text in keys else [F.col(f"`{text}`").alias("__text")])
+    at = keys.index(text) if text in keys else len(keys)
+    return map_batches(df.select(*sent), lambda it: _predicted(it, shared, runs, at, len(keys)), schema)
 
 
 def held_out(doc_id="doc_id"):
