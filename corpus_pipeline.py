@@ -10,8 +10,9 @@ from panelloom.llm import bpe, decontam, langid, lines, omh
 from panelloom.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: a text whose best language has less than this mean probability over its words is rejected
-LEAST_SCORE = 0.4
+#: a text over whose words the best language has less than this mean probability is rejected: its words
+#: are of no language that is known. Words of several languages, each clear by itself, are kept.
+LEAST_CERTAINTY = 0.4
 ORACLE_SQL = None  # a trained model and sketches: tests/llm compares with brute force
 
 
@@ -22,14 +23,15 @@ def _columns(df):
 def language(spark, docs, sf_dir):
     """Rows in a recognised language; the label is the prediction.
 
-    Rows without letters (null texts among them), and rows of which no language is likely, go. A
-    table without labels has nothing to learn from: then rows with letters stay, labels as is.
+    Rows without letters (null texts among them), and rows whose words are likely in no language, go;
+    code-switched rows stay, with the language of most of their words. A table without labels has
+    nothing to learn from: then rows with letters stay, labels as is.
     """
     model = langid.fit(docs.filter(~langid.held_out()))
     if not model.languages:
         return _columns(docs.filter(F.col("text").rlike(r"\p{L}")))
     known = langid.predict(docs, model, keys=("doc_id", "source", "text"))
-    kept = known.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    kept = known.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("certainty") >= LEAST_CERTAINTY))
     return _columns(kept.withColumns({"lang": F.col("lang_pred"), "n_chars": F.length("text").cast("long")}))
 
 
@@ -54,13 +56,16 @@ def near_dedup(spark, docs, sf_dir):
 
 
 def decontamination(spark, docs, sf_dir):
-    """Documents without a contaminating share of benchmark words."""
+    """Documents without a contaminating share of benchmark words.
+
+    Rows without words stay, and so do all rows if there is no benchmark item; rows that repeat are judged alike.
+    """
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return _columns(decontam.phrase_hits(docs, benchmark).filter(~F.col("contaminated")))
 
 
 def tokens(spark, docs, sf_dir):
-    """Token ids of what is left."""
+    """Token ids of what is left, a row per row; a null text has no ids."""
     coded = bpe.encode(docs, keys=("doc_id", "lang", "source"))
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
