@@ -1,7 +1,7 @@
 """Byte-pair encoding and decoding of whole texts with a published vocabulary.
 
 The vocabulary is a tokenizer file with byte-level BPE (``byte_bpe_50k.json``); its path is a
-parameter, the driver reads it and broadcasts its content, whose size is fixed by the file.
+parameter (by default that of the installed public files), the driver reads it and broadcasts its content, whose size is fixed by the file.
 
 Method: a short word is held as a contiguous array of parts (one id from each part boundary on)
 next to the array of the ranks of adjacent parts. The minimum of the ranks is scanned for, the
@@ -16,16 +16,15 @@ lone ids of a vocabulary that does not hold them decode to nothing. Rows repeat
 
 import heapq
 import json
-import os
 import re
 
 import numpy as np
 import pyarrow as pa
 import regex
 
-from panelloom.llm.common import TOKENIZER_FOLDER, list_array, map_batches, slices, texts_of
+from panelloom.llm.common import list_array, map_batches, slices, texts_of, vocabulary
 
-VOCABULARY = os.path.join(TOKENIZER_FOLDER, "byte_bpe_50k.json")
+VOCABULARY = "byte_bpe_50k.json"
 NONE = 1 << 30
 SHORT = 256
 CACHED = 250_000
@@ -197,7 +196,7 @@ def loaded(content):
 
 
 def _read(spark, path):
-    with open(path, "rb") as file:
+    with open(path or vocabulary(VOCABULARY), "rb") as file:
         return spark.sparkContext.broadcast(file.read())
 
 
@@ -228,21 +227,21 @@ def _kinds(df, keys):
     return "".join(f"`{k}` {df.schema[k].dataType.simpleString()}, " for k in keys)
 
 
-def encode(df, text="text", keys=("doc_id",), path=VOCABULARY):
+def encode(df, text="text", keys=("doc_id",), path=None):
     """``keys`` and ``ids`` (array of int), one row per row of ``df``."""
     content = _read(df.sparkSession, path)
     return map_batches(_keys(df, text, keys), lambda it: _encoded(it, content.value),
                        _kinds(df, keys) + "ids array<int>")
 
 
-def decode(df, ids="ids", keys=("doc_id",), path=VOCABULARY):
+def decode(df, ids="ids", keys=("doc_id",), path=None):
     """``keys``, the ids and ``decoded``, one row per row of ``df``; null ids give an empty text."""
     content = _read(df.sparkSession, path)
     return map_batches(_keys(df, ids, keys), lambda it: _decoded(it, content.value),
                        _kinds(df, keys) + f"`{ids}` array<int>, decoded string")
 
 
-def encode_decode(df, text="text", keys=("doc_id",), path=VOCABULARY):
+def encode_decode(df, text="text", keys=("doc_id",), path=None):
     """Encode, then decode what was encoded, in one pass through the workers."""
     content = _read(df.sparkSession, path)
     return map_batches(_keys(df, text, keys),

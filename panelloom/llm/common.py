@@ -8,10 +8,18 @@ from pyspark.sql import functions as F
 
 from panelloom.session import ship_package, stage
 
-TOKENIZER_FOLDER = os.environ.get("TOKENIZER_FOLDER", "/opt/tokenizers")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def vocabulary(name):
+    """Path of a published tokenizer file, in ``TOKENIZER_FOLDER`` if that is set; the driver reads it."""
+    folder = os.environ.get("TOKENIZER_FOLDER")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
 def map_batches(df, fn, schema):
     """``mapInArrow`` over batches of bounded size, with the package shipped first."""
     ship_package(df.sparkSession)

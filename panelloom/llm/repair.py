@@ -2,20 +2,21 @@
 
 Texts are encoded with a published tokenizer file, an end id is added to each, and the ids are
 written in ascending order of the identifier. A shard is a run of documents of about
-``SHARD_IDS`` ids (a longer document is a shard of its own). Per shard, frequent neighbouring ids
-are replaced by nonterminals, round after round, all pairs of a round at once, never across the
-end of a document; rules and the length of each rule's expansion are stored with the shard.
-Rounds end after ``ROUNDS`` or when no pair is frequent.
+``SHARD_IDS`` ids (a longer document is a shard of its own). Per shard, neighbouring ids that occur
+together ``FREQUENT`` times or more are replaced by nonterminals, round after round, all such pairs of
+a round at once, never across the end of a document, until no pair is left that occurs so often;
+rules and the length of each rule's expansion are stored with the shard.
 
 File format: Parquet, one row per shard, so any store that Spark reaches will do and a lost
 task's part is never seen: ``bucket`` and ``shard`` (order), ``n_ids``, ``doc_ids``, ``counts``
-(ids per document), ``symbols_per`` (symbols per document), ``rules`` (little-endian 32-bit pairs;
-rule r makes symbol FIRST + r), ``lengths`` (32-bit expansion lengths), ``symbols`` (32-bit,
-zlib level 1). A document's symbols are a slice, so it is decoded without the others.
+(ids per document), ``rules`` (little-endian 32-bit pairs; rule r makes symbol FIRST + r),
+``lengths`` (32-bit expansion lengths of the rules), ``blocks`` (``BLOCK`` 32-bit symbols each, zlib
+level 1) and ``block_ids`` (ids that each block expands to). A range of ids is found by these
+lengths: the blocks that hold it are opened, the symbols that reach into it expanded.
 
 Texts of Latin characters are split into words by the tokenizer's own pattern, and each distinct
-word is encoded once by the library; other texts, and those that hold a special token, go through
-the library whole.
+word is encoded once by the library's model; other texts, and those that hold a special token, go
+through the library whole.
 
 Cases: a null text counts as empty and has the end id alone; ties in the identifier are ordered
 by a hash of the text; a null identifier comes first. No rows: no shards, empty results.
@@ -24,119 +25,116 @@ by a hash of the text; a null identifier comes first. No rows: no shards, empty
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import TOKENIZER_FOLDER, bucket_count, map_batches, ordered_buckets, slices
+from panelloom.llm.bpe import byte_alphabet
+from panelloom.llm.common import bucket_count, map_batches, ordered_buckets, slices, vocabulary
 from panelloom.session import scratch_path
 
-VOCABULARY = os.path.join(TOKENIZER_FOLDER, "word_bpe_49k.json")
+VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 SHARD_IDS = 1 << 20
 FIRST = 1 << 17  # symbols from here on are nonterminals
-ROUNDS = 4
-PER_ROUND = 512
+FREQUENT = 16
+BLOCK = 1 << 12
 TABLE = 1 << 18
 
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.A).findall
-# letters and numbers among the characters below U+0250; \w without them is the underscore
-LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\s\w]|_)+").findall
-OTHER = re.compile("[^\0-ɏ]|<\\||[\x1c-\x1f]").search
+# letters among the characters below U+0250 and what they become in lower case, by Python's own classes
+_LETTER = re.compile(r"[^\W\d_²³¹¼½¾]").match
+LETTERS = "".join(sorted({x for c in map(chr, range(0x250)) for x in (c, *c.lower()) if _LETTER(x)}))
+ASCII_WORDS = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9]+", re.A).findall
+LATIN_WORDS = re.compile(rf"[{LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{LETTERS}0-9²³¹¼½¾]+|[²³¹¼½¾]").findall
+# texts that go through the library whole: other characters, separators that Python alone takes for spaces
+OTHER = re.compile("[^\0-\x1b\x20-\u024f]").search
+SPECIAL = "<|"
+
+
+class Words(dict):
+    """Word to its packed 16-bit ids, found by the library's model when a word is first seen.
+
+    The model takes a word's bytes as the printable characters that stand for them.
+    """
+
+    def __init__(self, model):
+        self.tokens = model.tokenize
+        self.printable = {b: c for b, c in enumerate(byte_alphabet()) if chr(b) != c}
+
+    def __missing__(self, word):
+        plain = word if word.isascii() else word.encode("utf-8", "replace").decode("latin-1").translate(self.printable)
+        got = self[word] = array("H", [t.id for t in self.tokens(plain)]).tobytes()
+        return got
 
 
 class Encoder:
-    """Text to ids; the library encodes each new word once, many words per call."""
+    """Text to ids; each distinct word is encoded once, until the words kept are ``limit``."""
 
     def __init__(self, content, limit=700_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(content.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.known, self.limit = {}, limit
+        self.words, self.limit = Words(self.tokenizer.model), limit
 
     def _library(self, text):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def _learn(self, words):
-        """Encode words that are not known yet; a word's ids end with its first end-of-word id."""
-        words = list(words)
-        for at in range(0, len(words), 4096):
-            some = words[at:at + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u2")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some):
-                packed, start = ids.tobytes(), 0
-                for word, cut in zip(some, (2 * cuts).tolist()):
-                    self.known[word] = packed[start:cut]
-                    start = cut
-            else:
-                self.known.update((w, self._library(w)) for w in some)
-
     def encode(self, texts):
         """Packed 16-bit ids of each text."""
-        if len(self.known) > self.limit:
-            self.known = {}
-        words = []
+        if len(self.words) > self.limit:
+            self.words.clear()
+        get, out = self.words.__getitem__, []
         for text in texts:
-            if OTHER(text):
-                words.append(None)
+            if SPECIAL in text or OTHER(text):
+                out.append(self._library(text))
             else:
                 text = text.lower()
-                words.append(ASCII_WORDS(text) if text.isascii() else LATIN_WORDS(text))
-        new = set().union(*[w for w in words if w]) - self.known.keys()
-        self._learn(new)
-        get = self.known.__getitem__
-        return [self._library(t) if w is None else b"".join(map(get, w)) for t, w in zip(texts, words)]
+                out.append(b"".join(map(get, (ASCII_WORDS if text.isascii() else LATIN_WORDS)(text))))
+        return out
 
 
 # ---- the grammar ------------------------------------------------------------------------------
 
 
 def compress(ids, counts):
-    """(rules, symbols, symbols per document) of the ids of a shard's documents."""
+    """(rules, symbols) of the ids of a shard's documents, of which there are ``counts``."""
     s = ids.astype(np.int64)
     last = np.zeros(len(s), bool)
     last[np.cumsum(counts) - 1] = True
-    rules = []
-    for _ in range(ROUNDS):
-        if len(s) < 2:
-            break
-        key = s[:-1] << 20 | s[1:]
+    rules, made = [np.zeros((0, 2), np.int64)], 0
+    while len(s) > 1:
+        key = s[:-1] << 32 | s[1:]
         slot = ((key * -7046029254386353131) >> 40) & (TABLE - 1)
         open_ = ~last[:-1]
-        heavy = np.bincount(slot[open_], minlength=TABLE) >= max(16, len(s) >> 12)
-        some = open_ & heavy[slot]
+        # slots of a hash table that cannot hold a frequent pair spare most of the sorting
+        some = open_ & (np.bincount(slot[open_], minlength=TABLE) >= FREQUENT)[slot]
         pairs, n = np.unique(key[some], return_counts=True)
-        good = n >= max(16, len(s) >> 12)
-        pairs, n = pairs[good], n[good]
-        if not len(pairs):
-            break
-        if len(pairs) > PER_ROUND:
-            pairs = np.sort(pairs[np.argsort(-n, kind="stable")[:PER_ROUND]])
+        pairs = pairs[n >= FREQUENT]
         at = np.flatnonzero(some)
-        place = np.minimum(np.searchsorted(pairs, key[at]), len(pairs) - 1)
-        hit = pairs[place] == key[at]
-        at, place = at[hit], place[hit]
+        if len(pairs):
+            place = np.minimum(np.searchsorted(pairs, key[at]), len(pairs) - 1)
+            hit = pairs[place] == key[at]
+            at, place = at[hit], place[hit]
+        else:
+            break
         # of overlapping hits every second one, from the left
         run = np.concatenate([[True], np.diff(at) > 1])
         number = np.arange(len(at))
         first = np.maximum.accumulate(np.where(run, number, 0))
         even = (number - first) % 2 == 0
         at, place = at[even], place[even]
-        s[at] = FIRST + len(rules) + place
+        s[at] = FIRST + made + place
         last[at] = last[at + 1]
         stay = np.ones(len(s), bool)
         stay[at + 1] = False
         s, last = s[stay], last[stay]
-        rules += [(int(p) >> 20, int(p) & 0xFFFFF) for p in pairs]
-    ends = np.flatnonzero(last)
-    return np.array(rules, "<u4").reshape(-1, 2), s.astype("<u4"), np.diff(ends, prepend=-1)
+        rules.append(np.column_stack([pairs >> 32, pairs & 0xFFFFFFFF]))
+        made += len(pairs)
+    return np.concatenate(rules).astype("<u4"), s.astype("<u4")
 
 
 def expand(rules, symbols):
@@ -154,19 +152,52 @@ def expand(rules, symbols):
 
 
 def expansion_lengths(rules):
-    lengths = np.ones(len(rules), "<u4")
-    for r, pair in enumerate(rules.tolist()):
-        lengths[r] = sum(int(lengths[x - FIRST]) if x >= FIRST else 1 for x in pair)
-    return lengths
+    lengths = [1] * len(rules)
+    for r, (a, b) in enumerate(rules.tolist()):
+        lengths[r] = (lengths[a - FIRST] if a >= FIRST else 1) + (lengths[b - FIRST] if b >= FIRST else 1)
+    return np.array(lengths, "<u4")
+
+
+def widths(symbols, lengths):
+    """Ids that each symbol expands to."""
+    out = np.ones(len(symbols), np.int64)
+    made = symbols >= FIRST
+    out[made] = lengths[symbols[made] - FIRST]
+    return out
+
+
+def blocks_of(symbols, lengths):
+    """(compressed blocks, ids of each block)."""
+    at = range(0, len(symbols), BLOCK)
+    wide = widths(symbols, lengths)
+    return ([zlib.compress(symbols[k:k + BLOCK].tobytes(), 1) for k in at],
+            np.add.reduceat(wide, list(at)).tolist() if len(symbols) else [])
+
+
+def opened(block):
+    return np.frombuffer(zlib.decompress(block), "<u4")
+
+
+def decode_range(shard, start, stop):
+    """Ids from ``start`` to before ``stop`` of a shard row (a mapping); other blocks stay closed."""
+    ends = np.cumsum(shard["block_ids"])
+    stop = min(stop, int(ends[-1]) if len(ends) else 0)
+    if start >= stop:
+        return np.zeros(0, "<u4")
+    first, final = np.searchsorted(ends, [start, stop - 1], side="right").tolist()
+    symbols = np.concatenate([opened(b) for b in shard["blocks"][first:final + 1]])
+    rules, lengths = np.frombuffer(shard["rules"], "<u4").reshape(-1, 2), np.frombuffer(shard["lengths"], "<u4")
+    before = int(ends[first]) - shard["block_ids"][first]  # ids of the closed blocks in front
+    reach = np.cumsum(widths(symbols, lengths)) + before
+    low, high = np.searchsorted(reach, [start, stop - 1], side="right").tolist()
+    begin = int(reach[low - 1]) if low else before
+    return expand(rules, symbols[low:high + 1])[start - begin:stop - begin]
 
 
 def decode_document(shard, number):
-    """Ids of one document of a shard row (a mapping), without touching the others."""
-    ends = np.cumsum(shard["symbols_per"])
-    symbols = np.frombuffer(zlib.decompress(shard["symbols"]), "<u4")
-    rules = np.frombuffer(shard["rules"], "<u4").reshape(-1, 2)
-    start = ends[number] - shard["symbols_per"][number]
-    return expand(rules, symbols[start:ends[number]])
+    """Ids of one document of a shard row."""
+    start = sum(shard["counts"][:number])
+    return decode_range(shard, start, start + shard["counts"][number])
 
 
 # ---- files ------------------------------------------------------------------------------------
@@ -191,8 +222,8 @@ def _packed(batches, content):
             [*batch.columns[:-1], pa.array(encoder.encode(texts), pa.binary())], [*batch.schema.names[:-1], "ids"])
 
 
-SHARD = ("bucket int, shard int, n_ids long, doc_ids array<{kind}>, counts array<long>, symbols_per array<long>, "
-         "rules binary, lengths binary, symbols binary")
+SHARD = ("bucket int, shard int, n_ids long, doc_ids array<{kind}>, counts array<long>, "
+         "rules binary, lengths binary, blocks array<binary>, block_ids array<long>")
 
 
 def _shards(batches, end_id, shard_ids):
@@ -201,14 +232,15 @@ def _shards(batches, end_id, shard_ids):
     def row():
         flat = np.concatenate(ids)
         counts = np.array([len(x) for x in ids])
-        rules, symbols, per = compress(flat, counts)
+        rules, symbols = compress(flat, counts)
+        lengths = expansion_lengths(rules)
+        blocks, sizes = blocks_of(symbols, lengths)
         return pa.RecordBatch.from_arrays(
             [pa.array([bucket], pa.int32()), pa.array([number], pa.int32()), pa.array([len(flat)], pa.int64()),
              pa.array([docs], pa.list_(kind)), pa.array([counts.tolist()], pa.list_(pa.int64())),
-             pa.array([per.tolist()], pa.list_(pa.int64())), pa.array([rules.tobytes()], pa.binary()),
-             pa.array([expansion_lengths(rules).tobytes()], pa.binary()),
-             pa.array([zlib.compress(symbols.tobytes(), 1)], pa.binary())],
-            ["bucket", "shard", "n_ids", "doc_ids", "counts", "symbols_per", "rules", "lengths", "symbols"])
+             pa.array([rules.tobytes()], pa.binary()), pa.array([lengths.tobytes()], pa.binary()),
+             pa.array([blocks], pa.list_(pa.binary())), pa.array([sizes], pa.list_(pa.int64()))],
+            ["bucket", "shard", "n_ids", "doc_ids", "counts", "rules", "lengths", "blocks", "block_ids"])
 
     end = np.array([end_id], np.uint32)
     for batch in batches:
@@ -229,10 +261,10 @@ def _shards(batches, end_id, shard_ids):
         yield row()
 
 
-def write_shards(df, path, doc_id="doc_id", text="text", vocabulary=VOCABULARY, end_id=END_ID, shard_ids=SHARD_IDS):
+def write_shards(df, path, doc_id="doc_id", text="text", tokenizer=None, end_id=END_ID, shard_ids=SHARD_IDS):
     """Encode, order and compress all texts of ``df`` into the Parquet folder ``path``."""
     spark = df.sparkSession
-    with open(vocabulary, "rb") as file:
+    with open(tokenizer or vocabulary(VOCABULARY), "rb") as file:
         content = spark.sparkContext.broadcast(file.read())
     kind = df.schema[doc_id].dataType.simpleString()
     count = bucket_count(spark)
@@ -252,7 +284,7 @@ def _read(batches):
         for at in range(batch.num_rows):
             row = {n: batch.column(c)[at].as_py() for c, n in enumerate(names)}
             rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
-            ids = expand(rules, np.frombuffer(zlib.decompress(row["symbols"]), "<u4"))
+            ids = expand(rules, np.concatenate([opened(b) for b in row["blocks"]]))
             ends = np.cumsum(np.array(row["counts"], np.int64))
             starts = ends - row["counts"]
             data = memoryview(ids.tobytes())
@@ -281,12 +313,12 @@ def read_shards(spark, path):
         "__shards", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(buckets, "bucket").select(
         "bucket", "shard", (F.col("__buckets") + F.col("__shards")).alias("before"))
     placed = shards.join(offsets, ["bucket", "shard"]).select(
-        "bucket", "shard", "before", "doc_ids", "counts", "rules", "symbols")
+        "bucket", "shard", "before", "doc_ids", "counts", "rules", "blocks")
     kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
     return map_batches(placed, _read, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long, bucket int, shard int")
 
 
-def write_and_read(df, doc_id="doc_id", text="text", vocabulary=VOCABULARY):
+def write_and_read(df, doc_id="doc_id", text="text", tokenizer=None):
     """Write ``df`` to a fresh folder of the shared one and read the documents back."""
-    path = write_shards(df, scratch_path(df.sparkSession), doc_id, text, vocabulary)
+    path = write_shards(df, scratch_path(df.sparkSession), doc_id, text, tokenizer)
     return read_shards(df.sparkSession, path)

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from panelloom.llm import bpe, queries, repair
+from panelloom.llm.common import vocabulary
 
 SF = "/root/testdata/sf0.001"
 HARD = [
@@ -35,7 +36,7 @@ def hard_frame(spark):
 
 
 def test_encoding_equals_the_library(spark, documents):
-    tokenizer = library(bpe.VOCABULARY)
+    tokenizer = library(vocabulary(bpe.VOCABULARY))
     for row in queries.op1_bpe(spark, SF).collect():
         ids = tokenizer.encode(documents[row.doc_id] or "", add_special_tokens=False).ids
         assert row.n_tokens == len(ids)
@@ -45,7 +46,7 @@ def test_encoding_equals_the_library(spark, documents):
 
 
 def test_hard_texts_and_round_trip(spark):
-    tokenizer = library(bpe.VOCABULARY)
+    tokenizer = library(vocabulary(bpe.VOCABULARY))
     rows = {r.doc_id: r for r in bpe.encode_decode(hard_frame(spark)).collect()}
     assert len(rows) == len(HARD)
     for i, text in enumerate(HARD):
@@ -54,7 +55,7 @@ def test_hard_texts_and_round_trip(spark):
 
 
 def test_long_words_take_the_same_merges():
-    model = bpe.ByteBpe(open(bpe.VOCABULARY, "rb").read())
+    model = bpe.ByteBpe(open(vocabulary(bpe.VOCABULARY), "rb").read())
     rng = np.random.default_rng(1)
     for n in (2, 17, 255, 300, 900):
         parts = [model.byte_ids[b] for b in rng.integers(97, 103, n)]
@@ -68,7 +69,7 @@ def test_decode_of_given_ids(spark):
 
 
 def test_token_files_equal_the_library(spark, documents):
-    tokenizer = library(repair.VOCABULARY)
+    tokenizer = library(vocabulary(repair.VOCABULARY))
     rows = {r.doc_id: r for r in queries.op7_token_files(spark, SF).collect()}
     start = 0
     for doc_id in sorted(documents):
@@ -81,7 +82,7 @@ def test_token_files_equal_the_library(spark, documents):
 
 
 def test_hard_texts_in_files(spark):
-    tokenizer = library(repair.VOCABULARY)
+    tokenizer = library(vocabulary(repair.VOCABULARY))
     rows = {r.doc_id: r for r in repair.write_and_read(hard_frame(spark)).collect()}
     for i, text in enumerate(HARD):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
@@ -97,21 +98,49 @@ def test_repeated_rows_and_null_identifiers_in_files(spark):
     assert empty.count() == 0
 
 
-def test_grammar_round_trip_and_random_access():
+def a_shard(docs):
+    counts = [len(d) for d in docs]
+    rules, symbols = repair.compress(np.concatenate(docs), np.array(counts))
+    lengths = repair.expansion_lengths(rules)
+    blocks, sizes = repair.blocks_of(symbols, lengths)
+    return rules, symbols, {"rules": rules.tobytes(), "lengths": lengths.tobytes(), "blocks": blocks, "block_ids": sizes, "counts": counts}
+
+
+def test_grammar_round_trip_and_random_access(monkeypatch):
     rng = np.random.default_rng(3)
     docs = [rng.choice([7, 8, 9, 7], n).astype(np.uint32) for n in (1, 2, 3000, 5, 1, 40_000)]
     docs.append(np.full(999, 5, np.uint32))
-    counts = np.array([len(d) for d in docs])
-    rules, symbols, per = repair.compress(np.concatenate(docs), counts)
-    assert len(rules) and len(symbols) < counts.sum()
-    shard = {"rules": rules.tobytes(), "symbols": zlib.compress(symbols.tobytes()), "symbols_per": per.tolist()}
+    docs += [rng.integers(0, 40_000, 60_000).astype(np.uint32)]
+    rules, symbols, shard = a_shard(docs)
+    assert len(rules) and len(symbols) < sum(shard["counts"]) and len(shard["blocks"]) > 10
     for at, ids in enumerate(docs):
         assert (repair.decode_document(shard, at) == ids).all()
-    lengths = repair.expansion_lengths(rules)
-    for r in range(len(rules)):
-        assert len(repair.expand(rules, np.array([repair.FIRST + r], "<u4"))) == lengths[r]
+    for r, length in enumerate(np.frombuffer(shard["lengths"], "<u4").tolist()):
+        assert len(repair.expand(rules, np.array([repair.FIRST + r], "<u4"))) == length
+    whole = np.concatenate(docs)
+    for start in rng.integers(0, len(whole), 60).tolist():
+        stop = start + int(rng.integers(0, 9000))
+        assert (repair.decode_range(shard, start, stop) == whole[start:stop]).all()
+    opened = []
+    plain = repair.opened
+    monkeypatch.setattr(repair, "opened", lambda block: opened.append(block) or plain(block))
+    repair.decode_range(shard, len(whole) - 50, len(whole) - 20)
+    assert len(opened) == 1  # a short range at the end opens the last block alone
+
+
+def test_no_frequent_pair_is_left_inside_a_document():
+    rng = np.random.default_rng(4)
+    docs = [rng.choice(60, int(n), p=np.arange(60, 0, -1) / 1830).astype(np.uint32) for n in rng.integers(1, 400, 200)]
+    rules, symbols, shard = a_shard(docs)
+    ends = set(np.cumsum(shard["counts"]).tolist())
+    left, at = {}, 0
+    for a, b, wide in zip(symbols.tolist(), symbols.tolist()[1:], repair.widths(symbols, np.frombuffer(shard["lengths"], "<u4")).tolist()):
+        at += wide
+        if at not in ends:
+            left[a, b] = left.get((a, b), 0) + 1
+    assert len(rules) > 100 and max(left.values()) < repair.FREQUENT
 
 
 def test_vocabularies_are_not_in_the_repository():
-    assert json.loads(open(bpe.VOCABULARY).read())["model"]["type"] == "BPE"
-    assert not bpe.VOCABULARY.startswith("/root/repo")
+    assert json.loads(open(vocabulary(bpe.VOCABULARY)).read())["model"]["type"] == "BPE"
+    assert not vocabulary(bpe.VOCABULARY).startswith("/root/repo")
