@@ -59,39 +59,88 @@ def test_contributions_add_up(spark, trained):
     sliced = N.prediction_contributions(trained.model, trained.live, trained.names, at_once=100)
     assert len(N.tree_slices(trained.model, 100)) > 1
     assert sliced.count() == out.count() and N.additivity_gap(sliced).first()["gap"] < 1e-9
-    # several rows of one entity stay apart, whatever the slices
-    several = trained.live.unionAll(trained.live)
-    for at_once in (100, 10**9):
-        twice = N.prediction_contributions(trained.model, several, trained.names, at_once=at_once)
-        assert twice.count() == 2 * out.count()
 
 
-def test_contributions_equal_the_subset_definition():
-    """One tree, every subset of features by hand."""
+def test_rows_of_one_entity_keep_their_identity(trained):
+    entity = trained.history.groupBy("Ticker").count().orderBy(F.desc("count"), "Ticker").first()["Ticker"]
+    months = trained.history.filter(F.col("Ticker") == entity)
+    twice = months.unionAll(months)  # repeated keys as well
+    out = N.prediction_contributions(trained.model, twice, trained.names)
+    assert N.additivity_gap(out).first()["gap"] < 1e-9
+    per = out.groupBy("row", "Ticker", "Date").agg(F.count("*").alias("n"), F.sum("contribution").alias("s"))
+    rows = per.collect()
+    assert len(rows) == 2 * months.count() and {r["n"] for r in rows} == {len(trained.names)}
+    by_date = {}
+    for r in rows:
+        by_date.setdefault(r["Date"], []).append(round(r["s"], 9))
+    assert all(len(x) == 2 and x[0] == x[1] for x in by_date.values()) and len({x[0] for x in by_date.values()}) > 1
+
+
+def grown(rng, depth, features):
+    """Saved nodes of a random tree whose paths repeat features, with weights that add up."""
+    nodes = []
+
+    def grow(level, stats):
+        key = len(nodes)
+        nodes.append(None)
+        if level == depth or min(stats) < 1:
+            nodes[key] = (stats, -1, -1, 0, [], -1)
+            return key
+        part = [float(rng.integers(0, int(s) + 1)) for s in stats]
+        if sum(part) in (0.0, sum(stats)):
+            part = [s / 2 for s in stats]
+        feature = int(rng.integers(features))
+        kind = -1 if feature else 4  # feature 0 is a category
+        bounds = [float(rng.normal())] if feature else [float(c) for c in rng.choice(4, 2, replace=False)]
+        low = grow(level + 1, part)
+        high = grow(level + 1, [s - x for s, x in zip(stats, part)])
+        nodes[key] = (stats, low, high, feature, bounds, kind)
+        return key
+
+    grow(0, [800.0, 700.0])
+    return [{"treeID": 0, "id": i, "impurityStats": n[0], "leftChild": n[1], "rightChild": n[2],
+             "split": {"featureIndex": n[3], "leftCategoriesOrThreshold": n[4], "numCategories": n[5]}} for i, n in enumerate(nodes)]
+
+
+def worth(nodes, row, known, at=0):
+    """Value of a tree when only the features in ``known`` are used."""
+    n = nodes[at]
+    stats, split = n["impurityStats"], n["split"]
+    if n["leftChild"] < 0:
+        return stats[1] / sum(stats) if sum(stats) else 0.0
+    below = (n["leftChild"], n["rightChild"])
+    if split["featureIndex"] in known:
+        x, bounds = row[split["featureIndex"]], split["leftCategoriesOrThreshold"]
+        left = x <= bounds[0] if split["numCategories"] == -1 else x in bounds
+        return worth(nodes, row, known, below[0 if left else 1])
+    return sum(sum(nodes[b]["impurityStats"]) / sum(stats) * worth(nodes, row, known, b) for b in below)
+
+
+@pytest.mark.parametrize("depth, features", [(1, 2), (3, 3), (4, 6), (7, 4)])
+def test_contributions_equal_the_subset_definition(depth, features):
+    """Random trees, every subset of features by hand."""
     from itertools import combinations
     from math import factorial
-    leaves = [(1.0, [(0, 0.3, [("threshold", [0.0], True)]), (1, 0.5, [("threshold", [1.0], True)])]),
-              (0.2, [(0, 0.3, [("threshold", [0.0], True)]), (1, 0.5, [("threshold", [1.0], False)])]),
-              (0.7, [(0, 0.7, [("threshold", [0.0], False)])])]
-    x = np.array([[-1.0, 2.0], [1.0, 0.0]])
-
-    def worth(row, known):
-        total = 0.0
-        for value, path in leaves:
-            p = value
-            for f, share, conditions in path:
-                p *= N._holds(np.array([row[f]]), conditions)[0] if f in known else share
-            total += p
-        return total
-
-    got = N.attribute(x, leaves)
-    for i, row in enumerate(x):
-        for f in (0, 1):
-            others = [g for g in (0, 1) if g != f]
-            want = sum(factorial(k) * factorial(1 - k) / 2 * (worth(row, {*s, f}) - worth(row, set(s)))
-                       for k in (0, 1) for s in combinations(others, k))
-            assert abs(got[i, f] - want) < 1e-12
-    np.testing.assert_allclose(N.expected_value(leaves), 0.15 + 0.03 + 0.49)
+    rng = np.random.default_rng(depth)
+    for _ in range(3):
+        nodes = grown(rng, depth, features)
+        tree = N.tree_arrays(nodes, 1)
+        x = np.column_stack([rng.integers(0, 4, 5), rng.normal(size=(5, features - 1))]).astype(float)
+        got = N.attribute(x, tree)
+        for i, row in enumerate(x):
+            for f in range(features):
+                others = [g for g in range(features) if g != f]
+                want = sum(factorial(k) * factorial(features - 1 - k) / factorial(features)
+                           * (worth(nodes, row, {*s, f}) - worth(nodes, row, set(s)))
+                           for k in range(features) for s in combinations(others, k))
+                assert got[i, f] == pytest.approx(want, abs=1e-12)
+        assert N.expected_value(tree) == pytest.approx(worth(nodes, x[0], set()))
+
+
+def test_deep_trees_are_attributed(trained, feature_panel):
+    deep = T.train(feature_panel, numTrees=3, maxDepth=12, minInstancesPerNode=1)
+    assert max(t.depth for t in deep.model.trees) >= 10
+    assert N.additivity_gap(N.prediction_contributions(deep.model, deep.live, deep.names)).first()["gap"] < 1e-9
 
 
 def test_history_figures(trained):
