@@ -1,10 +1,12 @@
 """Panels and reports to files."""
 
 import datetime
+import json
+import os
+import time as clock
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from panelloom.functions.text import clean_symbol
 from panelloom.operators.joins import upsert_panel
@@ -65,42 +67,101 @@ def save_exclusions(new, path, key=KEY):
 
 
 def read_exclusions(spark, path, key=KEY):
-    try:
-        return spark.read.parquet(path).select(key).distinct()
-    except AnalysisException:
+    """The list at ``path``, empty where there is no such folder; what cannot be read is an error."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], f"{key} string")
+    return spark.read.parquet(path).select(key).distinct()
 
 
 # --- versioned store: Spark cannot overwrite what it is reading ---------------------------
 #
-# Each write goes to a folder of its own name; a record table says which folder holds which
-# year since when. Readers follow the record, so a folder without one is never seen, and years
-# that a write does not touch keep their files.
+# Each write goes to a folder of its own name; a commit says which folder holds which year from this
+# version on. A commit is a small file named by its version that is created only if there is none of
+# that name, so of two writers that start from one version a single one gets the next number. The
+# other reads what was committed meanwhile, merges anew if that touched its years, and tries the
+# following number. Readers follow the commits: a folder without one is never seen, and years that a
+# write does not touch keep their files.
+
+COMMITS = "_commits"
+COMMIT_SCHEMA = "version long, year int, folder string, of int"
+#: seconds after which a commit file that was created but never filled is taken for abandoned
+ABANDONED = 30.0
+
+
+def _file_system(spark, path):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark, path):
+    at, fs = _file_system(spark, path)
+    return fs.exists(at)
+
+
+def _remove(spark, path):
+    at, fs = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def create_once(spark, path, text):
+    """Create a small file with its content unless the name is taken; whether it was created."""
+    at, fs = _file_system(spark, path)
+    if fs.getUri().getScheme() == "file":  # a link is made whole or not at all
+        local = fs.makeQualified(at).toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        draft = f"{os.path.dirname(local)}/.{uuid.uuid4().hex}"
+        with open(draft, "w") as file:
+            file.write(text)
+        try:
+            os.link(draft, local)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(draft)
+        return True
+    if fs.exists(at):
+        return False
+    try:
+        out = fs.create(at, False)
+    except Exception as error:  # the JVM's exception says whether another writer was first
+        if fs.exists(at):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
 
 
-def _records(spark, root):
-    try:
-        return spark.read.parquet(f"{root}/_versions")
-    except AnalysisException:
+def commits(spark, root):
+    """(version, year, folder) of all whole commits, None when nothing was committed."""
+    if not path_exists(spark, f"{root}/{COMMITS}"):
         return None
+    rows = spark.read.schema(COMMIT_SCHEMA).json(f"{root}/{COMMITS}").filter("folder IS NOT NULL")
+    whole = rows.groupBy("version").agg(F.count("*").alias("n"), F.max("of").alias("of")).filter("n = of")
+    return rows.join(whole.select("version"), "version", "left_semi").select("version", "year", "folder")
 
 
-def current_years(spark, root):
-    """{year: folder}: of the records of a year the one of the highest version, then name, counts."""
-    known = _records(spark, root)
+def _state(spark, root):
+    """(last version, {year: (version, folder)}); the commits are a few rows per write."""
+    known = commits(spark, root)
     if known is None:
-        return {}
-    best = known.groupBy("year").agg(F.max(F.struct("version", "folder")).alias("r"))
-    return {row["year"]: row["r"]["folder"] for row in best.collect()}
+        return 0, {}
+    best = known.groupBy("year").agg(F.max(F.struct("version", "folder")).alias("r"), F.max("version").alias("v")).collect()
+    years = {row["year"]: tuple(row["r"]) for row in best if row["year"] is not None}
+    return max((row["v"] for row in best), default=0), years
+
+
+def current_years(spark, root):
+    """{year: folder} as last committed."""
+    return {year: folder for year, (_, folder) in _state(spark, root)[1].items()}
 
 
 def latest_version(spark, root):
-    known = _records(spark, root)
-    return None if known is None else known.agg(F.max("version")).first()[0]
+    return _state(spark, root)[0] or None
 
 
 def open_store(spark, root, first=None, last=None):
-    """The store as last recorded, None when nothing was saved yet or no year is in reach."""
+    """The store as last committed, None when nothing was saved yet or no year is in reach."""
     years = current_years(spark, root)
     low, high = (None if x is None else _day(x).year for x in (first, last))
     wanted = [f"{root}/{folder}/year={year}" for year, folder in sorted(years.items())
@@ -108,29 +169,60 @@ def open_store(spark, root, first=None, last=None):
     return spark.read.parquet(*wanted) if wanted else None
 
 
-def save_version(df, root, time=TIME):
-    """Write the years of ``df`` to a new folder, then record them."""
+def _written(df, root, version, time):
+    """Write ``df`` to a fresh folder; (folder, its years)."""
     spark = df.sparkSession
-    version = (latest_version(spark, root) or 0) + 1
     folder = f"v{version}-{uuid.uuid4().hex[:12]}"
     write_panel(df, f"{root}/{folder}", time)
-    years = spark.read.parquet(f"{root}/{folder}").select("year").distinct()
-    years.select(F.lit(version).alias("version"), "year", F.lit(folder).alias("folder")).coalesce(1).write.mode(
-        "append").parquet(f"{root}/_versions")
+    return folder, [row["year"] for row in spark.read.parquet(f"{root}/{folder}").select("year").distinct().collect()]
+
+
+def _commit(spark, root, version, years, folder):
+    rows = [{"version": version, "year": year, "folder": folder, "of": len(years)} for year in sorted(years)]
+    return create_once(spark, f"{root}/{COMMITS}/{version:012d}.json", "".join(json.dumps(row) + "\n" for row in rows))
+
+
+def _settled(spark, root, version):
+    """The state once commit ``version``, which exists, is whole or abandoned."""
+    until = clock.monotonic() + ABANDONED
+    while True:
+        last, years = _state(spark, root)
+        if last >= version or clock.monotonic() > until:
+            return max(last, version), years
+        clock.sleep(0.2)
+
+
+def save_version(df, root, time=TIME):
+    """Write the years of ``df`` to a new folder, then commit them whatever they held before."""
+    spark = df.sparkSession
+    version = _state(spark, root)[0] + 1
+    folder, years = _written(df, root, version, time)
+    while not _commit(spark, root, version, years, folder):
+        version = _settled(spark, root, version)[0] + 1
     return version
 
 
 def upsert_store(new, root, time=TIME):
     """Merge new rows into the store and return it as read back; None if nothing is new.
 
-    Only the years of ``new`` are read and written.
+    Only the years of ``new`` are read and written. Writers may run side by side: the merge is
+    repeated over what others have committed to these years in the meantime.
     """
     spark = new.sparkSession
     new = stage(new)
     touched = {row["y"] for row in new.select(F.year(time).alias("y")).distinct().collect()}
     if not touched:
         return None
-    years = current_years(spark, root)
-    paths = [f"{root}/{years[y]}/year={y}" for y in sorted(touched & years.keys())]
-    save_version(upsert_panel(new, spark.read.parquet(*paths)) if paths else new, root, time)
-    return open_store(spark, root)
+    last, years = _state(spark, root)
+    while True:
+        base = {y: years[y] for y in touched & years.keys()}
+        paths = [f"{root}/{folder}/year={y}" for y, (_, folder) in sorted(base.items())]
+        merged = upsert_panel(new, spark.read.parquet(*paths)) if paths else new
+        folder, written = _written(merged, root, last + 1, time)
+        while not _commit(spark, root, last + 1, written, folder):
+            last, years = _settled(spark, root, last + 1)
+            if {y: years[y] for y in touched & years.keys()} != base:
+                break  # another writer's rows are in these years now
+        else:
+            return open_store(spark, root)
+        _remove(spark, f"{root}/{folder}")

@@ -112,6 +112,67 @@ def test_store_can_be_updated_from_itself(spark, tmp_path):
     assert sinks.upsert_store(new.filter("false"), root) is None
 
 
+def test_interleaved_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    root, schema = str(tmp_path / "store"), "Ticker string, Date date, Open double, v double"
+    def row(ticker, open_, v=None, year=2020):
+        return spark.createDataFrame([(ticker, d(f"{year}-03-01"), open_, v)], schema)
+    sinks.upsert_store(row("A", 1.0, 5.0), root)
+    commit, calls = sinks._commit, []
+
+    def late(spark_, root_, version, years, folder):
+        if not calls:  # between the first writer's read and its commit a second one comes through
+            calls.append(version)
+            sinks.upsert_store(row("A", 2.0).unionAll(row("B", 9.0)), root)
+            sinks.upsert_store(row("D", 4.0, year=2022), root)
+        return commit(spark_, root_, version, years, folder)
+
+    monkeypatch.setattr(sinks, "_commit", late)
+    out = sinks.upsert_store(row("A", None, 6.0).unionAll(row("C", 3.0)), root)
+    assert calls == [2] and sinks.latest_version(spark, root) == 4
+    assert sorted(map(tuple, out.collect())) == [
+        ("A", d("2020-03-01"), 2.0, 6.0), ("B", d("2020-03-01"), 9.0, None), ("C", d("2020-03-01"), 3.0, None),
+        ("D", d("2022-03-01"), 4.0, None)]
+    folders = {p.name for p in (tmp_path / "store").iterdir() if p.name.startswith("v")}
+    assert len(folders) == 4  # the attempt that lost has removed its folder
+
+
+def test_many_writers_at_once(spark, tmp_path):
+    from multiprocessing.pool import ThreadPool
+    root, schema = str(tmp_path / "store"), "Ticker string, Date date, Open double"
+    def write(i):
+        sinks.upsert_store(spark.createDataFrame([(f"T{i}", d("2020-01-01"), float(i)), (f"T{i}", d(f"20{10 + i}-01-01"), 0.0)], schema), root)
+    with ThreadPool(4) as pool:
+        pool.map(write, range(4))
+    rows = {(r.Ticker, r.Date.year) for r in sinks.open_store(spark, root).collect()}
+    assert rows == {(f"T{i}", y) for i in range(4) for y in (2020, 2010 + i)}
+    assert sinks.latest_version(spark, root) == 4
+
+
+def test_a_commit_is_made_once_and_unfinished_ones_are_not_read(spark, tmp_path, monkeypatch):
+    root, schema = str(tmp_path / "store"), "Ticker string, Date date, Open double"
+    path = f"{root}/{sinks.COMMITS}/x.json"
+    assert sinks.create_once(spark, path, "{}") and not sinks.create_once(spark, path, "{}")
+    (tmp_path / "store" / sinks.COMMITS / "x.json").unlink()
+    monkeypatch.setattr(sinks, "ABANDONED", 0.5)
+    (tmp_path / "store" / sinks.COMMITS / f"{1:012d}.json").write_text("")  # its writer was lost
+    sinks.upsert_store(spark.createDataFrame([("A", d("2020-01-01"), 1.0)], schema), root)
+    assert sinks.latest_version(spark, root) == 2 and sinks.open_store(spark, root).count() == 1
+
+
+def test_an_unreadable_store_is_not_taken_for_an_empty_one(spark, tmp_path):
+    root, schema = str(tmp_path / "store"), "Ticker string, Date date, Open double"
+    sinks.upsert_store(spark.createDataFrame([("A", d("2020-01-01"), 1.0)], schema), root)
+    folder = next(p for p in (tmp_path / "store").iterdir() if p.name.startswith("v"))
+    folder.rename(tmp_path / "elsewhere")
+    with pytest.raises(Exception):
+        sinks.upsert_store(spark.createDataFrame([("A", d("2020-01-01"), 2.0)], schema), root)
+    listing = tmp_path / "list"
+    listing.mkdir()
+    (listing / "part-0.parquet").write_bytes(b"not a table")
+    with pytest.raises(Exception):
+        sinks.read_exclusions(spark, str(listing)).collect()
+
+
 def files(spark, root, year):
     return sorted(p.rsplit("/", 1)[1] for p in sinks.open_store(spark, root, f"{year}-01-01", f"{year}-12-31").inputFiles())
 
