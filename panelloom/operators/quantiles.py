@@ -3,8 +3,10 @@
 1. one scan: a mergeable sketch per group and column brackets each wanted quantile, next to the
    counts (and whatever other figures the caller asks for);
 2. one scan counts, exactly, how many values lie in each bracket, and their least and largest;
-3. brackets that hold a wanted rank and more than ``leaf`` values are cut into equal widths and
-   counted again, until every bracket is small or a single value;
+3. brackets that hold a wanted rank and more than ``leaf`` values are cut into ``CUTS`` ranges of the
+   values' order keys and counted again, until every bracket is small or a single value. A key is
+   the value's place among all doubles, so a pass leaves a 256th of them and eight passes end at
+   single values whatever the values spread over, infinities included;
 4. the values inside are shuffled as (value, count) pairs, and a running count picks the ranks.
 
 Steps 2 and 3 make the result exact whatever the sketch returned. Groups and columns are rows, so
@@ -31,6 +33,32 @@ def stack_columns(df, cols, by=()):
     return df.select(*by, F.inline(F.array(*cells))).filter("__x IS NOT NULL")
 
 
+def order_key(x):
+    """The place of a double among all doubles as a long: same order, different for different values.
+
+    Zero is 0, negative values mirror the positive ones, and NaN comes last. The power of two below the value
+    is taken from its logarithm and put right where that is rounded; all other steps are exact.
+    """
+    size = F.abs(x)
+    guess = F.floor(F.log2(size)).cast("double")
+    ratio = size / F.pow(F.lit(2.0), guess)
+    power = guess + F.when(ratio >= 2, 1).when(ratio < 1, -1).otherwise(0)
+    whole = float(1 << 52)
+    normal = (power + 1023).cast("long") * (1 << 52) + ((size / F.pow(F.lit(2.0), power) - 1) * whole).cast("long")
+    small = (size * float(1 << 537) * float(1 << 537)).cast("long")  # whole multiples of the least double
+    key = F.when(size < 2.0 ** -1022, small).when(size == float("inf"), F.lit(2047 << 52)).otherwise(normal)
+    return F.when(F.isnan(x), F.lit((1 << 63) - 1)).when(x < 0, -key).otherwise(key)
+
+
+def _cut(key, low, high):
+    """Range 0 .. ``CUTS`` - 1 of a key between ``low`` and ``high``; no difference passes 64 bits."""
+    half = CUTS // 2
+    below = F.expr(f"(__k - __klo) div ((-1 - __klo) div {half} + 1)")
+    above = F.expr(f"{half} + __k div (__khi div {half} + 1)")
+    plain = F.expr(f"(__k - __klo) div ((__khi - __klo) div {CUTS} + 1)")
+    return F.when((low < 0) & (high >= 0), F.when(key < 0, below).otherwise(above)).otherwise(plain).cast("int")
+
+
 def stacked_quantiles(df, cols, probs, by=(), accuracy=ACCURACY, also=None, leaf=LEAF):
     """Rows (by..., __i, __n, __q, also...): linearly interpolated quantiles per group and column.
 
@@ -52,10 +80,9 @@ def stacked_quantiles(df, cols, probs, by=(), accuracy=ACCURACY, also=None, leaf
     inside = lookup_join(long, marks.select(*key, "__s"), key, "inner", ready=True).select(*key, bucket.alias("__b"), "__x")
     open_ = _holding(_sized(inside, key), marks.select(*key, "__n"), key, probs, before=None)
     while not open_.filter((F.col("__m") > leaf) & (F.col("__lo") < F.col("__hi"))).isEmpty():
-        width = (F.col("__hi") - F.col("__lo")) / CUTS
-        cut = F.least(F.floor((x - F.col("__lo")) / width), F.lit(CUTS - 1)).cast("int")
-        cells = _within(long, open_, key).select(
-            *key, "__b", "__at", F.when(width > 0, cut).otherwise((x > F.col("__lo")).cast("int")).alias("__c"), "__x")
+        ends_of = open_.withColumns({"__klo": order_key(F.col("__lo")), "__khi": order_key(F.col("__hi"))})
+        cells = _within(long, ends_of, key).withColumn("__k", order_key(x)).select(
+            *key, "__b", "__at", _cut(F.col("__k"), F.col("__klo"), F.col("__khi")).alias("__c"), "__x")
         narrowed = _sized(cells, [*key, "__b", "__at"], "__c")
         open_ = _holding(narrowed, marks.select(*key, "__n"), key, probs, before="__at")
 
@@ -72,7 +99,8 @@ def stacked_quantiles(df, cols, probs, by=(), accuracy=ACCURACY, also=None, leaf
         low, high, part = _ranks(F.col("__n"), p)
         picks += [at(low).alias(f"__lo{k}"), at(high).alias(f"__hi{k}")]
         lo, hi = F.col(f"__lo{k}"), F.col(f"__hi{k}")
-        values.append(lo + (hi - lo) * part)
+        # equal neighbours need no difference, which infinities do not have
+        values.append(F.when((part == 0) | (lo == hi), lo).otherwise(lo + (hi - lo) * part))
     out = placed.groupBy(*key, "__n").agg(*picks).select(*key, "__n", F.array(*values).alias("__q"))
     return lookup_join(out, marks.select(*key, *also), key, "inner", ready=True) if also else out
 

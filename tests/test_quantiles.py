@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from panelloom.operators.cross_section import cross_section_quantile
 from panelloom.operators.impute import group_median_impute, group_ratio_impute
 from panelloom.operators.outliers import outlier_share, soft_winsorize
-from panelloom.operators.quantiles import column_quantiles, group_quantiles
+from panelloom.operators.quantiles import column_quantiles, group_quantiles, order_key
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
 
@@ -49,6 +49,37 @@ def test_column_quantiles_equal_pandas(spark, frame, leaf):
         assert rows[c]["top"] == frame[c].max()
 
 
+def test_order_keys_follow_the_doubles(spark):
+    import struct
+    rng = np.random.default_rng(1)
+    bits = np.concatenate([rng.integers(0, 0x7FF0 << 48, 4000, np.int64), [0, 1, 2, 1 << 52, (1 << 52) - 1, 0x7FEF << 48, 0x7FF0 << 48]])
+    powers = [2.0 ** k * f for k in range(-1074, 1024, 7) for f in (1.0, 1 + 2 ** -52, 1 - 2 ** -53) if 2.0 ** k * f > 0]
+    values = [*np.frombuffer(bits.tobytes(), np.float64).tolist(), *powers, 2.0 ** 29, 8.0, float(np.nextafter(8, 0))]
+    values += [-v for v in values]
+    want = {v: struct.unpack("<q", struct.pack("<d", abs(v)))[0] * (-1 if v < 0 else 1) for v in values}
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = {r.x: r.k for r in df.select("x", order_key(F.col("x")).alias("k")).collect()}
+    assert all(got[v] == want[v] for v in values)
+
+
+def test_passes_are_bounded_for_any_spread(spark, monkeypatch):
+    from panelloom.operators import quantiles
+    rng = np.random.default_rng(2)
+    x = 10.0 ** rng.uniform(-300, 300, 6000) * rng.choice([-1, 1], 6000)
+    x[:40], x[40:80], x[80:100] = np.inf, -np.inf, 0.0
+    passes, plain = [], quantiles._sized
+    monkeypatch.setattr(quantiles, "_sized", lambda *a: passes.append(1) or plain(*a))
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    got = column_quantiles(df, ["x"], PROBS, 20, leaf=10)["x"]
+    assert len(passes) <= 1 + 8
+    ordered = np.sort(x)
+    for p, value in zip(PROBS, got):
+        at = p * (len(x) - 1)
+        low, high = ordered[int(np.floor(at))], ordered[int(np.ceil(at))]
+        want = low if low == high or at == int(at) else low + (high - low) * (at - np.floor(at))
+        assert value == pytest.approx(want, rel=1e-9)
+
+
 def test_unknown_columns_have_no_quantiles(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert column_quantiles(df, ["x"], [0.5]) == {"x": [None]}
