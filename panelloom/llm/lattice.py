@@ -251,6 +251,8 @@ def _smallest_reached(n, a, b):
 def _compare(rep, copies, ball, role, cell, units, cells, cosine):
     """(rep, added links, representative of the piece) of one piece of work."""
     left, right = np.flatnonzero(role != 1), np.flatnonzero(role != 0)
+    if not len(left) or not len(right):  # a chunk that no vector was dealt to
+        return None
     found_a, found_b = [], []
     for at in range(0, len(left), 512):
         some = left[at:at + 512]

@@ -154,7 +154,8 @@ def fit(rows, d):
     factors = []
     for k in range(PASSES):
         g = gram(rows, d, lambda x: solved(centre.centred(x), factors))
-        shift = 11 * (n * d + d * (d + 1)) * UNIT * max(np.trace(g), 1e-300)
+        scale = np.trace(g) or 1.0
+        shift = 11 * (n * d + d * (d + 1)) * UNIT * scale
         near = k > 0 and np.abs(g - np.eye(d)).max() < 1e-3
         if k == PASSES - 1 and not near:
             # directions without variance keep the matrix singular: its root has the same product
@@ -164,7 +165,7 @@ def fit(rows, d):
         try:
             factors.append(factor(g, 0.0 if k else shift))
         except np.linalg.LinAlgError:
-            factors.append(factor(g, min(shift, 1e-2 * np.trace(g))))
+            factors.append(factor(g, min(shift, 1e-2 * scale)))
         if near:
             break
     r = np.eye(d)
