@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from panelloom.llm.common import staged
 
 
-def _state(edges):
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
-    return row["n"], row["s"]
+def _finished(edges):
+    """Whether the links are stars: every node is tied to one smaller node, which is tied to none."""
+    roles = edges.select(F.col("u").alias("n"), F.lit(1).alias("low"), F.lit(0).alias("high")).unionAll(
+        edges.select(F.col("v").alias("n"), F.lit(0).alias("low"), F.lit(1).alias("high")))
+    odd = roles.groupBy("n").agg(F.sum("low").alias("low"), F.max("high").alias("high"))
+    return odd.filter("low > 1 or (low > 0 and high > 0)").isEmpty()
 
 
 def _large_star(edges):
@@ -36,13 +39,8 @@ def components(links, a="a", b="b"):
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct()
     edges = staged(edges)
-    state = _state(edges)
-    while state[0]:
+    while not _finished(edges):
         edges = staged(_small_star(_large_star(edges)))
-        now = _state(edges)
-        if now == state:
-            break
-        state = now
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return nodes.unionAll(roots)

@@ -3,21 +3,22 @@
 A text is its sequence of 5-word shingles, each labelled with the number of its occurrence. A
 sketch keeps, for one hash, the ``K`` shingles of least hash *in text order*, so two texts share
 it if they share these shingles in the same order: it follows edit similarity where a plain
-MinHash follows sets. ``SKETCHES`` sketches per text, and the pairs of neighbouring sketches,
-are the buckets.
+MinHash follows sets. ``SKETCHES`` sketches per text are its buckets.
 
 Two texts are near copies if their alignment matches M labelled shingles in order with
 M / (n + m - M) at least 0.8. The alignment runs inside the band of diagonals that such a value
 allows, hence it is exact: a path outside the band has too many unmatched shingles.
 
 A bucket never yields all its pairs. Its members meet the bucket's leader (the least hash of the
-text's key, in each round another hash); verified links make groups; buckets that still hold
-several groups go to the next round, up to ``ROUNDS``. Whatever these rounds leave in buckets of
-several groups is settled exactly by positional prefix filtering: with a text's shingles in one
-global order, rare ones first, two texts that match ``M`` shingles have a first common shingle at
-positions i and j with min(n - i, m - j) >= M. Every shingle also flips one of a text's parity
-bits, so the bits of two texts differ in at most n + m - 2 M places. Pairs that fail either are
-under 0.8, the others are aligned. Equal texts are one node from the start.
+text's key); verified links make groups. Whatever is left in buckets of several groups is settled
+exactly by positional prefix filtering: with a text's shingles in one global order, rare ones first,
+two texts that match ``M`` shingles have a first common shingle at positions i and j with
+min(n - i, m - j) >= M. Every shingle also flips one of a text's parity bits, so the bits of two texts
+differ in at most n + m - 2 M places. Pairs that fail either are under 0.8, the others are aligned and
+link their groups. The texts that have a shingle in their prefixes are compared by these bits inside
+tasks, in pieces of two chunks of at most ``CHUNK`` texts: a pair is written down only if it may reach
+0.8, and members of a shingle's largest group do not meet each other. Equal texts are one node from
+the start.
 
 Recall: two texts of similarity J share a sketch with probability about J ** K, 0.26 at 0.8, so
 at least one of 24 with 0.999. ``tests/llm`` measures it against all pairs.
@@ -30,8 +31,6 @@ identifier. Repeated rows stay, in the same class; a null identifier is the leas
 
 import bisect
 import re
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +45,10 @@ SIMILARITY = 0.8
 SKETCHES = 24
 #: shingles in a sketch, for texts of from .. to shingles; the ranges overlap by more than 1 / 0.8
 LEVELS = ((1, 1, 12), (3, 9, 40), (6, 32, 1 << 62))
-ROUNDS = 3
 #: 64-bit words of a text's parity bits
 PARITY = 8
+#: texts of a shingle's prefixes that one piece of work holds on either side
+CHUNK = 4096
 FIND = re.compile(r"[^\W_]+").findall
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 MULTIPLIERS = np.array([(0xD1342543DE82EF95 * (2 * j + 1) ^ 0x2545F4914F6CDD1D << (j % 7)) % (1 << 64) | 1
@@ -168,39 +168,28 @@ def _prepared(batches):
 
 
 def _verified(batches):
-    """(a, b) of verified pairs; the side that repeats is kept from row to row."""
-    name, kept = None, None
+    """(a, b) of the pairs whose shingle lists ``ma`` and ``mb`` align."""
     for batch in slices(batches, rows=256):
-        a, b, names = [], [], batch.to_pydict()
-        for ka, kb, ta, tb in zip(names["a"], names["b"], names["ta"], names["tb"]):
-            if kb != name:
-                name, kept = kb, shingles(FIND(tb.lower()))
-            if aligned(shingles(FIND(ta.lower())), kept):
-                a.append(ka)
-                b.append(kb)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        ma, mb = batch.column(2), batch.column(3)
+        good = np.array([bool(aligned(ma[k].values.to_numpy().view(np.uint64), mb[k].values.to_numpy().view(np.uint64)))
+                         for k in range(batch.num_rows)], bool)
+        mask = pa.array(good)
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
 
 def _buckets(prepared):
-    """(bucket, key) rows, single-member buckets removed.
-
-    The second kind of bucket joins two neighbouring sketches: few texts share it, so inside a
-    large bucket it brings the closest texts before a leader of their own.
-    """
+    """(bucket, key) rows, single-member buckets removed."""
     nodes = prepared.filter("size(__buckets) > 0").select("__key", "__buckets").dropDuplicates(["__key"])
-    following = F.expr("transform(slice(__buckets, 2, size(__buckets)), (x, i) -> xxhash64(x, __buckets[i]))")
-    rows = nodes.select(F.col("__key").alias("key"), F.explode(F.concat(F.col("__buckets"), following)).alias("bucket"))
+    rows = nodes.select(F.col("__key").alias("key"), F.explode("__buckets").alias("bucket"))
     several = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     return rows.join(several.hint("merge"), "bucket", "left_semi")
 
 
-def _candidates(members, number):
-    """Pairs (a, b) of a member and its bucket's leader that are in different groups so far."""
-    order = F.struct(F.xxhash64("key", F.lit(number)).alias("h"), "key", "group")
-    first = members.groupBy("bucket").agg(F.min(order).alias("lead"), F.min("group").alias("g0"), F.max("group").alias("g1"))
-    first = first.filter("g0 != g1").select("bucket", F.col("lead.key").alias("lead"), F.col("lead.group").alias("lead_group"))
-    return members.join(first, "bucket").filter("group != lead_group").select(
-        F.col("key").alias("a"), F.col("lead").alias("b")).distinct()
+def _candidates(members):
+    """Pairs (a, b) of a member and its bucket's leader."""
+    first = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("key").alias("h"), "key")).alias("lead"))
+    return members.join(first, "bucket").filter(F.col("key") != F.col("lead.key")).select(
+        F.col("key").alias("a"), F.col("lead.key").alias("b")).distinct()
 
 
 def parity(h):
@@ -210,13 +199,12 @@ def parity(h):
 
 
 def _shingled(batches):
+    """(key, text) to (key, marks, bits): shingles in text order and parity words."""
     for batch in slices(batches):
-        marks = [shingles(FIND(t.lower())) for t in batch.column(batch.num_columns - 1).to_pylist()]
-        bits = np.array([parity(h) for h in marks], np.int64).reshape(-1, PARITY)
+        marks = [shingles(FIND(t.lower())) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array([h.view(np.int64) for h in marks], pa.list_(pa.int64())),
-             *[pa.array(bits[:, k].copy()) for k in range(PARITY)]],
-            [*batch.schema.names[:-1], "marks", *[f"p{k}" for k in range(PARITY)]])
+            [batch.column(0), pa.array([h.view(np.int64) for h in marks], pa.list_(pa.int64())),
+             pa.array([parity(h) for h in marks], pa.list_(pa.int64()))], ["key", "marks", "bits"])
 
 
 def _unsettled(members):
@@ -225,79 +213,153 @@ def _unsettled(members):
     return members.join(several.select("bucket").hint("merge"), "bucket", "left_semi").select("key", "group").distinct()
 
 
-def _prefix_pairs(texts):
-    """Pairs (a, b) of different groups that may reach ``SIMILARITY``, from (key, group, text).
+def _postings(texts):
+    """(h, row, gid, n, left, bits): the shingles of each text's prefix, from (row, gid, marks, bits).
 
     A pair of n and m shingles needs M >= t / (1 + t) * (n + m) matches, hence a common shingle with
-    that many left in both texts. A shingle's most frequent group meets only the other groups, so
-    a large group costs no pairs of its own.
+    that many left in both texts. ``left`` counts the shingles of the text from this one on.
     """
-    bits = [f"p{k}" for k in range(PARITY)]
-    marks = staged(map_batches(texts, _shingled, "key binary, group binary, marks array<bigint>" + "".join(
-        f", {p} bigint" for p in bits)).withColumn("row", F.monotonically_increasing_id()))
-    rows = marks.select("row", F.explode("marks").alias("h"))
+    rows = texts.select("row", F.explode("marks").alias("h"))
     shared = rows.groupBy("h").agg(F.count("*").alias("f")).filter("f > 1")
     rated = rows.join(shared.hint("merge"), "h").groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("f", "h"))).alias("common"))
     # shingles of one text alone come first in the order and match nothing
-    first = marks.join(rated.hint("merge"), "row").withColumns(
+    first = texts.join(rated.hint("merge"), "row").withColumns(
         {"n": F.size("marks"), "alone": F.size("marks") - F.size("common")})
     reach = F.floor((1 - SIMILARITY) * F.col("n") + 1e-6).cast("int") + 1 - F.col("alone")
-    first = first.filter(reach > 0).select("key", "group", "n", "alone", *bits, F.posexplode(F.slice("common", 1, reach)).alias("at", "x"))
-    postings = staged(first.select("key", "group", "n", *bits, (F.col("n") - F.col("alone") - F.col("at")).alias("left"), F.col("x.h").alias("h")))
-    sizes = postings.groupBy("h", "group").agg(F.count("*").alias("c")).groupBy("h").agg(
-        F.max_by("group", F.struct("c", "group")).alias("largest"), F.count("*").alias("groups")).filter("groups > 1")
-    met = postings.join(sizes.select("h", "largest").hint("merge"), "h")
-    one = met.filter("group != largest").select("h", F.col("key").alias("a"), F.col("group").alias("ga"), F.col("n").alias("na"), F.col("left").alias("la"),
-                                                   *[F.col(p).alias(f"a{p}") for p in bits])
-    two = met.select("h", F.col("key").alias("b"), F.col("group").alias("gb"), F.col("n").alias("nb"), F.col("left").alias("lb"), "largest", *bits)
-    need = SIMILARITY * (F.col("na") + F.col("nb")) - 1e-6
-    differing = reduce(add, [F.bit_count(F.col(f"a{p}").bitwiseXOR(F.col(p))) for p in bits])
-    # two members outside the largest group meet twice; one order of them is enough
-    return one.join(two.hint("merge"), "h").filter(
-        (F.col("ga") != F.col("gb")) & ((F.col("gb") == F.col("largest")) | (F.col("a") < F.col("b")))
-        & (F.least("la", "lb") * (1 + SIMILARITY) >= need)
-        & ((F.col("na") + F.col("nb") - differing) * ((1 + SIMILARITY) / 2) >= need)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _aligned_pairs(pairs, own):
-    """The pairs of (a, b) whose texts in (key, text) are near copies."""
-    full = pairs.join(own.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a").join(
-        own.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-    return staged(map_batches(full, _verified, "a binary, b binary"))
-
-
-def near_links(df, text="text", prepared=None):
-    """Verified links (a, b) between keys of different texts, and the prepared rows."""
-    members = staged(_buckets(prepared).withColumn("group", F.col("key")))
-    # the texts are moved once, and only those that share a bucket are kept for the rounds; the
-    # merge hints keep the plan the same at every size
+    return first.filter(reach > 0).select("row", "gid", "n", "alone", "bits", F.posexplode(F.slice("common", 1, reach)).alias("at", "x")).select(
+        F.col("x.h").alias("h"), "row", "gid", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left"), "bits")
+
+
+def _pieces(postings, chunk=CHUNK):
+    """Pieces (h, i, j) of postings: chunk i of the texts outside a shingle's largest group against all.
+
+    They meet every later chunk of their own kind (j >= i) and every chunk of the largest group (j < 0).
+    """
+    sizes = postings.groupBy("h", "gid").agg(F.count("*").alias("c")).groupBy("h").agg(
+        F.max(F.struct("c", "gid")).alias("x"), F.sum("c").alias("total")).filter(F.col("total") > F.col("x.c"))
+    plan = sizes.select("h", F.col("x.gid").alias("main"), F.ceil(F.col("x.c") / chunk).cast("int").alias("qm"),
+                        F.ceil((F.col("total") - F.col("x.c")) / chunk).cast("int").alias("qs"))
+    rows = postings.join(plan.hint("merge"), "h")
+    main = F.col("gid") == F.col("main")
+    part = F.pmod(F.xxhash64("row"), F.when(main, F.col("qm")).otherwise(F.col("qs")).cast("long")).cast("int")
+    # (i, j, role): the roles are left 0, right 1, and 2 where a chunk meets itself
+    pieces = F.expr("""
+        if(main, transform(sequence(0, qs - 1), i -> struct(i as i, -1 - part as j, 1 as role)),
+           concat(transform(sequence(0, qm - 1), j -> struct(part as i, -1 - j as j, 0 as role)),
+                  transform(sequence(part, qs - 1), j -> struct(part as i, j as j, if(j = part, 2, 0) as role)),
+                  if(part > 0, transform(sequence(0, part - 1), i -> struct(i as i, part as j, 1 as role)), array())))""")
+    return rows.withColumns({"main": main, "part": part}).select("h", "row", "gid", "n", "left", "bits", F.explode(pieces).alias("x")).select(
+        "h", "x.i", "x.j", "x.role", "row", "gid", "n", "left", "bits")
+
+
+def _may_match(role, row, gid, n, left, bits):
+    """Positions (a, b) of the pairs of one piece that may reach ``SIMILARITY``."""
+    one, two = np.flatnonzero(role != 1), np.flatnonzero(role != 0)
+    out_a, out_b = [], []
+    for at in range(0, len(one), 256):
+        some = one[at:at + 256]
+        total = n[some][:, None] + n[two][None, :]
+        need = SIMILARITY * total - 1e-6
+        open_ = (gid[some][:, None] != gid[two][None, :]) & (
+            np.minimum(left[some][:, None], left[two][None, :]) * (1 + SIMILARITY) >= need)
+        open_ &= (role[some][:, None] != 2) | (some[:, None] < two[None, :])
+        i, j = np.nonzero(open_)
+        i, j = some[i], two[j]
+        for k in range(0, len(i), 1 << 17):
+            a, b = i[k:k + (1 << 17)], j[k:k + (1 << 17)]
+            differing = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+            both = n[a] + n[b]
+            good = (both - differing) * ((1 + SIMILARITY) / 2) >= SIMILARITY * both - 1e-6
+            out_a.append(a[good])
+            out_b.append(b[good])
+    return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (role[:0], role[:0])
+
+
+PIECE = ("h", "i", "j")
+
+
+def _matched(batches):
+    """(a, b) row numbers from pieces that arrive one after the other."""
+    held = []
+
+    def settle(tables):
+        table = pa.concat_tables(tables)
+        h, i, j, role, row, gid, n, left = (table.column(k).combine_chunks().to_numpy(zero_copy_only=False)
+                                            for k in (*PIECE, "role", "row", "gid", "n", "left"))
+        bits = table.column("bits").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, PARITY).view(np.uint64)
+        n, left = n.astype(np.int64), left.astype(np.int64)
+        cuts = np.flatnonzero((h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+        found = []
+        for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(h)]):
+            if y - x > 1:
+                a, b = _may_match(role[x:y], row[x:y], gid[x:y], n[x:y], left[x:y], bits[x:y])
+                if len(a):
+                    found.append((row[x:y][a], row[x:y][b]))
+        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+        both = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        keys = [table.column(k).combine_chunks().to_numpy(zero_copy_only=False) for k in PIECE]
+        if held and [k[0] for k in keys] != [held[0].column(k)[0].as_py() for k in PIECE]:
+            yield settle(held)
+            held = []
+        differs = (keys[0] != keys[0][-1]) | (keys[1] != keys[1][-1]) | (keys[2] != keys[2][-1])
+        cut = int(np.flatnonzero(differs)[-1]) + 1 if differs.any() else 0
+        if cut:  # the last piece may go on in the next batch
+            yield settle([*held, table.slice(0, cut)])
+            held = []
+        held.append(table.slice(cut))
+    if held:
+        yield settle(held)
+
+
+def _prefix_pairs(texts, chunk=CHUNK):
+    """Pairs (a, b) of rows of different groups that may reach ``SIMILARITY``."""
+    pieces = _pieces(staged(_postings(texts)), chunk)
+    dealt = pieces.repartition(*PIECE).sortWithinPartitions(*PIECE)
+    return map_batches(dealt, _matched, "a long, b long").distinct()
+
+
+def _aligned_pairs(pairs, texts, by, name):
+    """(a, b) of ``name`` for the pairs of ``by`` whose marks align."""
+    full = pairs
+    for side in ("a", "b"):
+        own = texts.select(F.col(by).alias(side), F.col(name).alias(f"n{side}"), F.col("marks").alias(f"m{side}"))
+        full = full.join(own, side)
+    return staged(map_batches(full.select("na", "nb", "ma", "mb"), _verified, "a binary, b binary"))
+
+
+def near_groups(prepared, chunk=CHUNK):
+    """(node, component) of keys that have a near copy: least key of the group; None without any."""
+    members = staged(_buckets(prepared))
+    # the texts are moved once, and only those that share a bucket are kept; the merge hints keep the
+    # plan the same at every size
     keys = members.select("key").distinct()
     texts = prepared.select(F.col("__key").alias("key"), F.col("__text").alias("text"))
-    own = staged(texts.join(keys.hint("merge"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")))
-    links, groups = None, None
-    for number in range(ROUNDS):
-        pairs = _candidates(members, number)
-        if links is not None:
-            done = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = staged(pairs)
-        if pairs.isEmpty():
-            break
-        found = _aligned_pairs(pairs, own)
-        links = found if links is None else links.unionAll(found)
-        groups = staged(components(links))
-        moved = members.select("bucket", "key").join(
-            groups.select(F.col("node").alias("key"), F.col("component").alias("found")), "key", "left")
-        members = staged(moved.select("bucket", "key", F.coalesce("found", "key").alias("group")))
-    open_ = staged(_unsettled(members))
-    if not open_.isEmpty():
-        pairs = staged(_prefix_pairs(own.join(open_.hint("merge"), "key").select("key", "group", "text")))
-        found = _aligned_pairs(pairs, own)
-        links = found if links is None else links.unionAll(found)
-        groups = staged(components(links))
-    return links, groups
+    some = texts.join(keys.hint("merge"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    own = staged(map_batches(some, _shingled, "key binary, marks array<bigint>, bits array<bigint>"))
+    pairs = staged(_candidates(members))
+    if pairs.isEmpty():
+        return None
+    groups = staged(components(_aligned_pairs(pairs, own, "key", "key")))
+    named = groups.select(F.col("node").alias("key"), F.col("component").alias("group"))
+    grouped = staged(members.join(named, "key", "left").select("bucket", "key", F.coalesce("group", "key").alias("group")))
+    # groups are told apart by a 64-bit hash where texts are compared
+    open_ = staged(_unsettled(grouped).join(own, "key").select(
+        F.monotonically_increasing_id().alias("row"), "group", F.xxhash64("group").alias("gid"), "marks", "bits"))
+    pairs = staged(_prefix_pairs(open_.select("row", "gid", "marks", "bits"), chunk))
+    if pairs.isEmpty():
+        return groups
+    merged = staged(components(_aligned_pairs(pairs, open_, "row", "group")))
+    merged = merged.select(F.col("node").alias("group"), F.col("component").alias("further"))
+    every = named.unionAll(merged.select("group", "group")).distinct()  # groups of a single text among them
+    return every.join(merged, "group", "left").select(
+        F.col("key").alias("node"), F.coalesce("further", "group").alias("component")).distinct()
 
 
 def near_duplicates(df, text="text", doc_id="doc_id"):
@@ -306,7 +368,7 @@ def near_duplicates(df, text="text", doc_id="doc_id"):
     kind = df.schema[doc_id].dataType.simpleString()
     prepared = staged(map_batches(
         frame, _prepared, f"__id {kind}, __text string, __key binary, __buckets array<bigint>"))
-    _, groups = near_links(df, text, prepared)
+    groups = near_groups(prepared)
     rows = prepared.select("__id", "__key")
     if groups is not None:
         rows = rows.join(groups.withColumnRenamed("node", "__key"), "__key", "left").select(

@@ -9,7 +9,7 @@ import pytest
 from compare import compare, duck
 
 import corpus_pipeline
-from panelloom.llm import components, decontam, licenses, lines, merkle, omh, pii, queries
+from panelloom.llm import common, components, decontam, licenses, lines, merkle, omh, pii, queries
 
 SMALL, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 ODD = [
@@ -165,16 +165,40 @@ def templated_family(texts, planted, words=200, changed=4, near=4, seed=11):
     return [" ".join(x) for x in out], pairs
 
 
-def test_close_pairs_in_a_templated_family_are_all_found(spark, monkeypatch):
+def test_close_pairs_in_a_templated_family_are_all_found(spark):
     texts, planted = templated_family(600, 300)
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    monkeypatch.setattr(omh, "ROUNDS", 1)  # one leader per bucket: most of the family is left to the prefixes
     got = {r.doc_id: r.class_id for r in omh.near_duplicates(frame).collect()}
     want = classes_by_all_pairs(dict(enumerate(texts)))
     assert len(set(want.values())) < len(want) - 250 and all(want[a] == want[b] for a, b in planted)
     assert got == want
 
 
+def test_rows_of_a_templated_family_grow_with_its_size(spark, monkeypatch):
+    """Twice the texts give about twice the rows of every staged table, and the classes of all pairs."""
+    sizes, plain = {}, omh.staged
+    for count in (1000, 2000):
+        rows = sizes[count] = []
+        monkeypatch.setattr(omh, "staged", lambda df: (out := plain(df), rows.append(out.count()))[0])
+        texts, planted = templated_family(count, 100)
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r.doc_id: r.class_id for r in omh.near_duplicates(frame).collect()}
+        assert all(got[a] == got[b] for a, b in planted)
+        if count == 1000:
+            assert got == classes_by_all_pairs(dict(enumerate(texts)))
+    assert len(sizes[1000]) == len(sizes[2000])
+    assert sum(sizes[2000]) < 2.6 * sum(sizes[1000]) and max(sizes[2000]) < 2.6 * max(sizes[1000])
+
+
+def test_pieces_in_chunks_give_the_same_pairs(spark):
+    texts, planted = templated_family(150, 60)
+    frame = spark.createDataFrame([(f"{i:03d}".encode(), t) for i, t in enumerate(texts)], "key binary, text string")
+    marked = common.staged(common.map_batches(frame, omh._shingled, "key binary, marks array<bigint>, bits array<bigint>")
+                           .selectExpr("monotonically_increasing_id() as row", "xxhash64(key) % 7 as gid", "marks", "bits"))
+    whole = {tuple(r) for r in omh._prefix_pairs(marked).collect()}
+    assert len(whole) >= 30 and whole == {tuple(r) for r in omh._prefix_pairs(marked, chunk=16).collect()}
+
+
 def test_parity_bits_bound_the_difference():
     a, b = omh.shingles([f"w{x}" for x in range(300)]), omh.shingles([f"w{x}" for x in range(20, 310)])
     differing = sum(int(x).bit_count() for x in (omh.parity(a) ^ omh.parity(b)).view(np.uint64))
