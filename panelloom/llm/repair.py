@@ -40,7 +40,7 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 SHARD_IDS = 1 << 20
 FIRST = 1 << 17  # symbols from here on are nonterminals
-FREQUENT = 16
+FREQUENT = 32
 BLOCK = 1 << 12
 TABLE = 1 << 18
 
@@ -49,9 +49,23 @@ _LETTER = re.compile(r"[^\W\d_²³¹¼½¾]").match
 LETTERS = "".join(sorted({x for c in map(chr, range(0x250)) for x in (c, *c.lower()) if _LETTER(x)}))
 ASCII_WORDS = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9]+", re.A).findall
 LATIN_WORDS = re.compile(rf"[{LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{LETTERS}0-9²³¹¼½¾]+|[²³¹¼½¾]").findall
-# texts that go through the library whole: other characters, separators that Python alone takes for spaces
-OTHER = re.compile("[^\0-\x1b\x20-\u024f]").search
-SPECIAL = "<|"
+# texts that go through the library whole: those with a character from U+0250 on, with one of the
+# separators that Python alone takes for spaces, or with the start of a special token
+HIGH = re.compile("[^\0-\u024f]").search
+APART = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+
+
+def _plain(text):
+    """Whether a text can be cut at white space and encoded piece by piece."""
+    if any(x in text for x in APART):
+        return False
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not HIGH(text)
+    return True
 
 
 class Words(dict):
@@ -70,31 +84,42 @@ class Words(dict):
         return got
 
 
+class Pieces(dict):
+    """Lower-case text between white space to packed ids; no match of the word pattern spans white space."""
+
+    def __init__(self, model):
+        self.words = Words(model)
+
+    def __missing__(self, piece):
+        if piece.isalpha() and piece.isascii():
+            got = self.words[piece]
+        else:
+            got = b"".join(map(self.words.__getitem__, (ASCII_WORDS if piece.isascii() else LATIN_WORDS)(piece)))
+        if len(piece) <= 64:
+            self[piece] = got
+        return got
+
+
 class Encoder:
-    """Text to ids; each distinct word is encoded once, until the words kept are ``limit``."""
+    """Text to ids; each distinct piece is encoded once, until ``limit`` of them are kept."""
 
     def __init__(self, content, limit=700_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(content.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words, self.limit = Words(self.tokenizer.model), limit
+        self.pieces, self.limit = Pieces(self.tokenizer.model), limit
 
     def _library(self, text):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def encode(self, texts):
         """Packed 16-bit ids of each text."""
-        if len(self.words) > self.limit:
-            self.words.clear()
-        get, out = self.words.__getitem__, []
-        for text in texts:
-            if SPECIAL in text or OTHER(text):
-                out.append(self._library(text))
-            else:
-                text = text.lower()
-                out.append(b"".join(map(get, (ASCII_WORDS if text.isascii() else LATIN_WORDS)(text))))
-        return out
+        for kept in (self.pieces, self.pieces.words):
+            if len(kept) > self.limit:
+                kept.clear()
+        get = self.pieces.__getitem__
+        return [b"".join(map(get, t.lower().split())) if _plain(t) else self._library(t) for t in texts]
 
 
 # ---- the grammar ------------------------------------------------------------------------------
@@ -108,19 +133,28 @@ def compress(ids, counts):
     rules, made = [np.zeros((0, 2), np.int64)], 0
     while len(s) > 1:
         key = s[:-1] << 32 | s[1:]
-        slot = ((key * -7046029254386353131) >> 40) & (TABLE - 1)
-        open_ = ~last[:-1]
-        # slots of a hash table that cannot hold a frequent pair spare most of the sorting
-        some = open_ & (np.bincount(slot[open_], minlength=TABLE) >= FREQUENT)[slot]
-        pairs, n = np.unique(key[some], return_counts=True)
-        pairs = pairs[n >= FREQUENT]
-        at = np.flatnonzero(some)
-        if len(pairs):
-            place = np.minimum(np.searchsorted(pairs, key[at]), len(pairs) - 1)
-            hit = pairs[place] == key[at]
-            at, place = at[hit], place[hit]
-        else:
-            break
+        # a hash table of counts; the slot behind it takes the pairs across the ends of documents
+        slot = np.where(last[:-1], TABLE, ((key * -7046029254386353131) >> 40) & (TABLE - 1))
+        heavy = np.bincount(slot, minlength=TABLE + 1) >= FREQUENT
+        heavy[TABLE] = False
+        at = np.flatnonzero(heavy[slot])
+        k, slot = key[at], slot[at]
+        # one pair stands for its slot; what it hides is seen once that pair is gone
+        standing = np.zeros(TABLE, np.int64)
+        standing[slot] = k
+        own = standing[slot] == k
+        frequent = np.flatnonzero(np.bincount(slot[own], minlength=TABLE) >= FREQUENT)
+        if len(frequent):
+            pairs, number = standing[frequent], np.full(TABLE, -1)
+            number[frequent] = np.arange(len(frequent))
+            place = np.where(own, number[slot], -1)
+        else:  # a frequent pair may still be hidden by rare ones
+            pairs, back, n = np.unique(k, return_inverse=True, return_counts=True)
+            number = np.cumsum(n >= FREQUENT) - 1
+            place, pairs = np.where((n >= FREQUENT)[back], number[back], -1), pairs[n >= FREQUENT]
+            if not len(pairs):
+                break
+        at, place = at[place >= 0], place[place >= 0]
         # of overlapping hits every second one, from the left
         run = np.concatenate([[True], np.diff(at) > 1])
         number = np.arange(len(at))
