@@ -180,6 +180,44 @@ def test_exponents_maximise_the_likelihood(spark):
     assert list(out.columns) == ["c", "d", "k", "a_Yeo", "b_Yeo"]
 
 
+def test_three_scans_give_exact_exponents(spark, monkeypatch):
+    from panelloom.operators import power
+    rng = np.random.default_rng(12)
+    data = pd.DataFrame({"wide": rng.standard_cauchy(4000) * 100, "pos": rng.lognormal(3, 2, 4000), "mix": rng.normal(0.5, 2, 4000),
+                         "far": 1e6 + rng.normal(0, 10, 4000), "gap": np.where(rng.random(4000) < 0.2, np.nan, rng.gamma(2, 3, 4000))})
+    frame = to_spark(spark, data)
+    scans = []
+    for name in ("_histograms", "_log_likelihoods"):
+        plain = getattr(power, name)
+        monkeypatch.setattr(power, name, lambda *a, plain=plain: scans.append(1) or plain(*a))
+    fitted = fit_exponents(frame, list(data))
+    assert len(scans) == 2  # the third gives mean and deviation
+    data["tiny"] = rng.exponential(1e-4, 4000)  # an exponent of some thousands: more exact steps
+    fitted |= fit_exponents(to_spark(spark, data[["tiny"]]), ["tiny"])
+
+    def slope(x, lam):
+        h = 1e-3 * max(1, abs(lam))
+
+        def likelihood(v):
+            size = np.log1p(np.abs(x)).astype(np.longdouble)
+            p = np.where(x < 0, 2 - v, v).astype(np.longdouble)
+            y = np.sign(x) * np.where(p == 0, size, np.expm1(p * size) / np.where(p == 0, 1, p))
+            return -np.log(y.var()) / 2 + (v - 1) * np.mean(np.sign(x) * size)
+        return likelihood(lam - 2 * h) - 8 * likelihood(lam - h) + 8 * likelihood(lam + h) - likelihood(lam + 2 * h)
+
+    for c in data:
+        if c == "far":
+            continue  # its likelihood is flat far beyond the precision of doubles
+        x = data[c].dropna().to_numpy()
+        reach = 0.5 * max(1, abs(fitted[c]) / 10)
+        low, high = fitted[c] - reach, fitted[c] + reach
+        assert slope(x, low) > 0 > slope(x, high)
+        for _ in range(40):
+            middle = (low + high) / 2
+            low, high = (middle, high) if slope(x, middle) > 0 else (low, middle)
+        assert fitted[c] == pytest.approx(low, abs=1e-6 * max(1, abs(low))), c
+
+
 def test_duplicate_months_are_refused(spark):
     rows = [("A", dt.date(2020, 1, 1), 1.0), ("A", dt.date(2020, 1, 15), 2.0)]
     df = spark.createDataFrame(rows, "Ticker string, Date date, v double")
