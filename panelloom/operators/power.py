@@ -1,11 +1,12 @@
-"""Yeo-Johnson power transform with maximum-likelihood exponent, in three scans for any table.
+"""Yeo-Johnson power transform with maximum-likelihood exponent, in two scans.
 
 1. A histogram of every column over the signed logarithm t = log(1 + |x|): per bin the number of
    values and the sums of the first powers of their distances from its middle. Histograms of parts add up, so
    this is a grouped aggregate. For x of one sign the transform is an exponential of t, whose sums
    over a bin follow from these powers, so the likelihood of any exponent is known on the driver.
-2. One scan evaluates the likelihood itself around the exponents found and takes the last step.
-3. One scan gives mean and deviation of the transformed columns.
+2. One scan evaluates the likelihood itself around the exponents found, next to mean and deviation
+   of the transformed columns. Where the step that it asks for is above ``TOLERANCE``, the step is
+   taken and the scan repeated.
 """
 
 import math
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 
 from panelloom.session import stage
 
-FINE_STEP = 2e-4
-#: width of a histogram bin in t, and the powers of the distance that are kept
-WIDTH, POWERS = 1 / 16, 6
+FINE_STEP, TOLERANCE = 2e-4, 1e-6
+#: bins of a unit of t from 1 on, and of an octave of t below; the least octave; the powers that are kept
+BINS, OCTAVES, POWERS = 16, 100, 6
 #: exponents that are tried: 1 plus and minus multiples of a quarter, from 40 on in steps of a tenth
 GRID = sorted({1.0 + sign * x for sign in (-1, 1) for x in [0.25 * k for k in range(160)] + [40 * 1.1 ** k for k in range(140)]})
 
@@ -36,7 +37,7 @@ def yeo_johnson(x, exponent):
 
 
 def _log_likelihoods(data, cols, candidates):
-    """``{(column index, candidate index): likelihood per row}`` for a few exponents per column.
+    """``{(column index, candidate index): (likelihood per row, mean, deviation)}`` for a few exponents per column.
 
     Each row is expanded to its (column, exponent) pairs inside the task and reduced by a
     partial aggregate, so one job serves all columns and only figures are shuffled.
@@ -50,40 +51,45 @@ def _log_likelihoods(data, cols, candidates):
         .select("i", "x", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("j"))
         .withColumn("lam", F.get(exponents, F.col("i") * width + F.col("j")))
     )
+    shaped = yeo_johnson(F.col("x"), F.col("lam"))
     rows = long.groupBy("i", "j").agg(
-        F.var_pop(yeo_johnson(F.col("x"), F.col("lam"))).alias("v"),
-        F.avg(_signed_log(F.col("x"))).alias("s"),
-    ).collect()
+        F.var_pop(shaped).alias("v"), F.avg(shaped).alias("m"), F.avg(_signed_log(F.col("x"))).alias("s")).collect()
     out = {}
     for row in rows:
         lam = candidates[cols[row["i"]]][row["j"]]
-        out[row["i"], row["j"]] = (
-            -0.5 * math.log(row["v"]) + (lam - 1) * row["s"] if row["v"] and row["v"] > 0 else None)
+        likelihood = -0.5 * math.log(row["v"]) + (lam - 1) * row["s"] if row["v"] and row["v"] > 0 else None
+        out[row["i"], row["j"]] = likelihood, row["m"], row["v"] and math.sqrt(row["v"])
     return out
 
 
 def _narrow(df, cols):
-    return stage(df.select([F.col(c).cast("double").alias(c) for c in cols]))
+    """The columns as doubles; a table that is not staged is read several times, so it is staged."""
+    narrow = df.select([F.col(c).cast("double").alias(c) for c in cols])
+    return narrow if getattr(df, "_panelloom_staged", False) else stage(narrow)
 
 
 def _histograms(data, cols):
-    """Per column the rows (negative?, middle, count, sums of powers); at most a few thousand each.
+    """Per column the rows (negative?, middle, count, sums of powers, least, largest).
 
-    t stays below 710 for any double, hence a column has no more than 2 * 710 / ``WIDTH`` bins.
+    t stays below 710 for any double, hence a column has at most ``2 * BINS * (710 + OCTAVES)`` bins.
+    Below 1 they narrow with t: an exponent far from one matters where the product of both is large.
     """
     cells = [F.struct(F.lit(i).alias("i"), F.col(c).alias("x")) for i, c in enumerate(cols)]
     t = F.log1p(F.abs("x"))
+    octave = F.greatest(F.coalesce(F.floor(F.log2(t) * BINS), F.lit(-BINS * OCTAVES)), F.lit(-BINS * OCTAVES))
     binned = data.select(F.inline(F.array(*cells))).filter("x IS NOT NULL").select(
-        "i", (F.col("x") < 0).alias("neg"), F.floor(t / WIDTH).alias("bin"), t.alias("t"), "x")
-    d = F.col("t") - (F.col("bin") + 0.5) * WIDTH
+        "i", (F.col("x") < 0).alias("neg"), F.when(t >= 1, F.floor(t * BINS)).otherwise(octave - BINS).alias("bin"), t.alias("t"), "x")
+    place = F.col("bin") + 0.5
+    binned = binned.withColumn("middle", F.when(F.col("bin") > 0, place / BINS).otherwise(F.pow(F.lit(2.0), (place + BINS) / BINS)))
+    d = F.col("t") - F.col("middle")
     sums, power = [], F.lit(1.0)
     for k in range(POWERS + 1):
         sums.append(F.sum(power).alias(f"s{k}"))
         power = power * d
-    rows = binned.groupBy("i", "neg", "bin").agg(F.min("x").alias("low"), F.max("x").alias("high"), *sums).collect()
+    rows = binned.groupBy("i", "neg", "bin", "middle").agg(F.min("x").alias("low"), F.max("x").alias("high"), *sums).collect()
     out = {c: [] for c in cols}
     for r in rows:
-        out[cols[r["i"]]].append((r["neg"], (r["bin"] + 0.5) * WIDTH, *[r[f"s{k}"] for k in range(POWERS + 1)], r["low"], r["high"]))
+        out[cols[r["i"]]].append((r["neg"], r["middle"], *[r[f"s{k}"] for k in range(POWERS + 1)], r["low"], r["high"]))
     return {c: _Histogram(v) for c, v in out.items()}
 
 
@@ -151,33 +157,34 @@ class _Histogram:
 def fit_exponents(df, cols):
     """Exponent per column of largest likelihood; 1 for columns without spread.
 
-    Two scans, unless a column's values are so close that its exponent is far from one: then the
-    exact steps are repeated until they are small.
+    Two scans, unless a column's histogram leaves a step above ``TOLERANCE`` to be taken.
     """
-    cols = list(cols)
-    return _search(_narrow(df, cols), cols)
+    return {c: exponent for c, (exponent, _, _) in fit_yeo_johnson(df, cols).items()}
 
 
 def _search(data, cols, rounds=12):
+    """``{column: (exponent, mean, deviation)}``; mean and deviation are those at the exponent."""
     found = {c: h.exponent() for c, h in _histograms(data, cols).items()}
-    out = {c: 1.0 if found[c] is None else found[c] for c in cols}
-    open_cols = [c for c in cols if found[c] is not None]
-    for _ in range(rounds):
-        if not open_cols:
-            break
-        steps = {c: FINE_STEP * max(1.0, abs(out[c])) for c in open_cols}
-        exact = _log_likelihoods(data, open_cols, {c: [out[c] - steps[c], out[c], out[c] + steps[c]] for c in open_cols})
+    at = {c: 1.0 if found[c] is None else found[c] for c in cols}
+    out, open_cols = {}, list(cols)
+    for number in range(rounds):
+        steps = {c: FINE_STEP * max(1.0, abs(at[c])) for c in open_cols}
+        exact = _log_likelihoods(data, open_cols, {c: [at[c] - steps[c], at[c], at[c] + steps[c]] for c in open_cols})
         left = []
         for i, c in enumerate(open_cols):
-            a, b, d = (exact.get((i, j)) for j in range(3))
-            if None in (a, b, d) or d - 2 * b + a >= 0:
+            (a, _, _), (b, mean, std), (d, _, _) = (exact.get((i, j), (None, None, None)) for j in range(3))
+            out[c] = at[c], mean, std
+            if found[c] is None or None in (a, b, d) or d - 2 * b + a >= 0:
                 continue
             move = -(d - a) / 2 * steps[c] / (d - 2 * b + a)
-            # one step from a histogram's exponent is the last; far off, no step is longer than a tenth
-            out[c] += max(-500 * steps[c], min(500 * steps[c], move))
-            if abs(move) > 2 * steps[c]:
+            gain = (d - a) ** 2 / (8 * (2 * b - a - d))
+            # a gain below rounding errors says nothing; far off, steps stay below four tenths
+            if abs(move) > TOLERANCE * max(1.0, abs(at[c])) and gain > 1e-14 * max(1.0, abs(b)) and number < rounds - 1:
+                at[c] += max(-2000 * steps[c], min(2000 * steps[c], move))
                 left.append(c)
         open_cols = left
+        if not open_cols:
+            break
     return out
 
 
@@ -186,7 +193,7 @@ def fit_yeo_johnson(df, cols, exponents=None):
     cols = list(cols)
     data = _narrow(df, cols)
     if exponents is None:
-        exponents = _search(data, cols)
+        return _search(data, cols)
     shaped = {c: yeo_johnson(F.col(c), exponents[c]) for c in cols}
     row = data.agg(*[x for c in cols for x in (
         F.avg(shaped[c]).alias(f"{c}|mean"), F.stddev_pop(shaped[c]).alias(f"{c}|std"))]).first()

@@ -1,16 +1,19 @@
-"""Exact quantiles of groups of any size, by narrowing; one path for all sizes.
+"""Exact quantiles of groups of any size, by narrowing.
 
 1. one scan: a mergeable sketch per group and column brackets each wanted quantile, next to the
-   counts (and whatever other figures the caller asks for);
-2. one scan counts, exactly, how many values lie in each bracket, and their least and largest;
-3. brackets that hold a wanted rank and more than ``leaf`` values are cut into ``CUTS`` ranges of the
-   values' order keys and counted again, until every bracket is small or a single value. A key is
-   the value's place among all doubles, so a pass leaves a 256th of them and eight passes end at
-   single values whatever the values spread over, infinities included;
-4. the values inside are shuffled as (value, count) pairs, and a running count picks the ranks.
-
-Steps 2 and 3 make the result exact whatever the sketch returned. Groups and columns are rows, so
-many columns cost as many jobs as one, and no task holds more than ``leaf`` distinct values.
+   counts (and whatever other figures the caller asks for). The sketch's error bounds the number
+   of values in a bracket;
+2. where that bound is above ``leaf``, one scan counts how many values lie in each bracket, and
+   their least and largest, and brackets that hold a wanted rank and more than ``leaf`` values are
+   cut into ``CUTS`` ranges of the values' order keys and counted again, until every bracket is small
+   or a single value. A key is the value's place among all doubles, so a pass leaves a 256th of them
+   and eight passes end at single values whatever the values spread over, infinities included;
+3. the values inside the brackets are shuffled as (value, count) pairs, those between them as counts,
+   and a running count picks the ranks.
+
+The counts make the result exact; a rank outside its bracket would be an error, not another value.
+Groups and columns are rows, so many columns cost as many jobs as one, and no task holds more than
+``leaf`` distinct values of a bracket.
 """
 
 from pyspark.sql import Window
@@ -63,7 +66,7 @@ def stacked_quantiles(df, cols, probs, by=(), accuracy=ACCURACY, also=None, leaf
     """Rows (by..., __i, __n, __q, also...): linearly interpolated quantiles per group and column.
 
     ``also`` maps names to aggregates of ``__x`` for the first scan. Rows with a null group key
-    are left out, as are groups without values of a column. ``df`` is read three times, so an
+    are left out, as are groups without values of a column. ``df`` is read at least twice, so an
     expensive input should be staged by the caller.
     """
     by, cols, probs, also = list(by), list(cols), [float(p) for p in probs], also or {}
@@ -71,11 +74,77 @@ def stacked_quantiles(df, cols, probs, by=(), accuracy=ACCURACY, also=None, leaf
     long, key = stack_columns(data, cols, by), [*by, "__i"]
     margin = 2.0 / accuracy
     ends = sorted({min(max(x, 0.0), 1.0) for p in probs for x in (p - margin, p + margin)})
-    marks = stage(long.groupBy(*key).agg(
+    marks = long.groupBy(*key).agg(
         F.approx_percentile("__x", ends, accuracy).alias("__s"), F.count("__x").alias("__n"),
-        *[figure.alias(name) for name, figure in also.items()]))
+        *[figure.alias(name) for name, figure in also.items()])
+    most = leaf * accuracy / 8  # a bracket holds 6 n / accuracy values at most, but for equal ones
+    rows = None
+    if by:
+        marks = stage(marks)
+        few = marks.filter(F.col("__n") > most).isEmpty()
+    else:  # one row per column: on the driver
+        schema, rows = marks.schema, marks.collect()
+        few = all(r["__n"] <= most for r in rows)
+        if not few:
+            marks = stage(df.sparkSession.createDataFrame(rows, schema))
+    if few:
+        brackets = [tuple(ends.index(min(max(x, 0.0), 1.0)) for x in (p - margin, p + margin)) for p in probs]
+        joined = (lookup_join(long, marks.select(*key, "__s", "__n"), key, "inner", ready=True) if by else
+                  long.withColumns({"__s": _by_index(schema, rows, "__s"), "__n": _by_index(schema, rows, "__n")}))
+        placed = _placed(joined, key, len(ends), brackets, 4 * accuracy)
+    else:
+        placed = _narrowed(long, marks, key, probs, ends, leaf)
 
     x = F.col("__x")
+
+    def at(rank):
+        return F.max(F.when((F.col("__start") <= rank) & (rank < F.col("__stop")), x))
+
+    picks, values = [], []
+    for k, p in enumerate(probs):
+        low, high, part = _ranks(F.col("__n"), p)
+        picks += [at(low).alias(f"__lo{k}"), at(high).alias(f"__hi{k}")]
+        lo, hi = F.col(f"__lo{k}"), F.col(f"__hi{k}")
+        # equal neighbours need no difference, which infinities do not have
+        value = F.when((part == 0) | (lo == hi), lo).otherwise(lo + (hi - lo) * part)
+        values.append(F.when(lo.isNull() | hi.isNull(), F.raise_error(F.lit("a rank outside its bracket")).cast("double")).otherwise(value))
+    out = placed.groupBy(*key, "__n").agg(*picks).select(*key, "__n", F.array(*values).alias("__q"))
+    if not also:
+        return out
+    if rows is not None:
+        return out.withColumns({name: _by_index(schema, rows, name) for name in also})
+    return lookup_join(out, marks.select(*key, *also), key, "inner", ready=True)
+
+
+def _by_index(schema, rows, name):
+    """A figure of the column number ``__i`` from a few rows on the driver."""
+    known = {r["__i"]: r[name] for r in rows}
+    kind = schema[name].dataType.simpleString()
+    cells = [F.lit(known.get(i)).cast(kind) for i in range(max(known, default=0) + 1)]
+    return F.get(F.array(*cells), F.col("__i"))
+
+
+def _placed(joined, key, ends, brackets, whole):
+    """Values inside the brackets, and the counts of those between, with the ranks they take.
+
+    Of groups of less than ``whole`` values, whose brackets may be less than a rank wide, all are inside.
+    """
+    x, s = F.col("__x"), F.col("__s")
+    bucket = sum(((x > s[j]).cast("int") for j in range(1, ends)), (x > s[0]).cast("int"))
+    inside = F.col("__n") < whole
+    for low, high in brackets:
+        inside = inside | ((x >= s[low]) & (x <= s[high]))
+    # what a bucket holds below the bracket that begins at its end comes first in it, as one null
+    cells = joined.select(*key, "__n", bucket.alias("__b"), F.when(inside, x).alias("__x"))
+    counted = cells.groupBy(*key, "__n", "__b", "__x").agg(F.count(F.lit(1)).alias("__m"))
+    running = Window.partitionBy(*key).orderBy("__b", F.asc_nulls_first("__x")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("__stop", F.sum("__m").over(running))
+    return placed.withColumn("__start", F.col("__stop") - F.col("__m"))
+
+
+def _narrowed(long, marks, key, probs, ends, leaf):
+    """The same for groups of any size: brackets are counted and cut until they are small."""
+    x = F.col("__x")
     bucket = sum(((x > F.col("__s")[j]).cast("int") for j in range(1, len(ends))), (x > F.col("__s")[0]).cast("int"))
     inside = lookup_join(long, marks.select(*key, "__s"), key, "inner", ready=True).select(*key, bucket.alias("__b"), "__x")
     open_ = _holding(_sized(inside, key), marks.select(*key, "__n"), key, probs, before=None)
@@ -85,24 +154,10 @@ def stacked_quantiles(df, cols, probs, by=(), accuracy=ACCURACY, also=None, leaf
             *key, "__b", "__at", _cut(F.col("__k"), F.col("__klo"), F.col("__khi")).alias("__c"), "__x")
         narrowed = _sized(cells, [*key, "__b", "__at"], "__c")
         open_ = _holding(narrowed, marks.select(*key, "__n"), key, probs, before="__at")
-
     counted = _within(long, open_, key).groupBy(*key, "__n", "__at", "__b", "__x").agg(F.count(F.lit(1)).alias("__m"))
     running = Window.partitionBy(*key, "__b", "__at").orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
     placed = counted.withColumn("__stop", F.col("__at") + F.sum("__m").over(running))
-    placed = placed.withColumn("__start", F.col("__stop") - F.col("__m"))
-
-    def at(rank):
-        return F.max(F.when((F.col("__start") <= rank) & (rank < F.col("__stop")), x))
-
-    picks, values = [], []
-    for k, p in enumerate(probs):
-        low, high, part = _ranks(F.col("__n"), p)
-        picks += [at(low).alias(f"__lo{k}"), at(high).alias(f"__hi{k}")]
-        lo, hi = F.col(f"__lo{k}"), F.col(f"__hi{k}")
-        # equal neighbours need no difference, which infinities do not have
-        values.append(F.when((part == 0) | (lo == hi), lo).otherwise(lo + (hi - lo) * part))
-    out = placed.groupBy(*key, "__n").agg(*picks).select(*key, "__n", F.array(*values).alias("__q"))
-    return lookup_join(out, marks.select(*key, *also), key, "inner", ready=True) if also else out
+    return placed.withColumn("__start", F.col("__stop") - F.col("__m"))
 
 
 def _ranks(n, p):
@@ -143,6 +198,8 @@ def group_quantiles(df, cols, probs, by=(), accuracy=ACCURACY, leaf=LEAF):
     """One row per group: ``by``; per column an array of quantiles and ``<column>__n``, its count."""
     cols, by = list(cols), list(by)
     long = stacked_quantiles(df, cols, probs, by, accuracy, leaf=leaf)
+    if len(cols) == 1:
+        return long.select(*by, F.col("__q").alias(cols[0]), F.col("__n").alias(f"{cols[0]}__n"))
     wide = long.groupBy(*by).agg(
         *[F.first(F.when(F.col("__i") == i, F.col("__q")), True).alias(c) for i, c in enumerate(cols)],
         *[F.first(F.when(F.col("__i") == i, F.col("__n")), True).alias(f"{c}__n") for i, c in enumerate(cols)])

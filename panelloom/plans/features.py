@@ -8,7 +8,7 @@ from panelloom.functions.text import clean_label
 from panelloom.operators import windows as W
 from panelloom.operators.cross_section import cross_section_quantile
 from panelloom.operators.filters import drop_rows_any_null
-from panelloom.operators.impute import current_assets_by_group, group_ratio_impute
+from panelloom.operators.impute import statement_ratios
 from panelloom.operators.joins import patch_by_key
 from panelloom.operators.outliers import soft_winsorize
 from panelloom.operators.power import transform_yeo_johnson
@@ -31,10 +31,8 @@ def clean_raw(raw, unit_errors=S.UNIT_ERRORS):
 
 def complete_statements(df):
     """Sector ratios and accounting identities. Reads a few columns of ``df`` several times."""
-    out = group_ratio_impute(df, "DepreciationAndAmortization_TTM", "Sector", "TotalAssets")
-    for step in (M.identity_ebitda, M.identity_free_cash_flow, M.identity_debt, M.identity_liabilities):
-        out = step(out)
-    return M.current_assets_floor(current_assets_by_group(out))
+    identities = (M.identity_ebitda, M.identity_free_cash_flow, M.identity_debt, M.identity_liabilities)
+    return M.current_assets_floor(statement_ratios(df, "DepreciationAndAmortization_TTM", "TotalAssets", identities))
 
 
 def derive_features(df, as_of, growth=S.GROWTH_COLUMNS):

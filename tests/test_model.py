@@ -29,6 +29,22 @@ def test_feature_panel_is_complete(feature_panel):
     assert all(0.1 < r["s"] < 0.35 for r in shares)
 
 
+def test_the_feature_job_takes_few_spark_jobs(spark):
+    """Every exchange is a job of its own under adaptive execution; it was 151 before."""
+    from panelloom.catalog import fixtures as X, plans_q
+    from panelloom.plans.features import build_features
+    from panelloom.session import stage
+    tables = X.Tables(spark, "/root/testdata/sf0.01", landed=True)
+    raw, index = stage(plans_q.raw_panel(tables)), stage(X.market(tables))
+    spark.sparkContext.setJobGroup("features", "count")
+    try:
+        stage(build_features(raw, index, plans_q.AS_OF))
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("features"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 64, jobs
+
+
 def test_predictors_leave_out_statements_and_target(feature_panel):
     numeric, categorical = O.predictors(feature_panel)
     assert categorical == ["Sector"]
