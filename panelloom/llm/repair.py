@@ -40,7 +40,7 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 SHARD_IDS = 1 << 20
 FIRST = 1 << 17  # symbols from here on are nonterminals
-FREQUENT = 32
+FREQUENT = 64
 BLOCK = 1 << 12
 TABLE = 1 << 18
 
@@ -68,56 +68,64 @@ def _plain(text):
     return True
 
 
-class Words(dict):
-    """Word to its packed 16-bit ids, found by the library's model when a word is first seen.
+class Pieces(dict):
+    """Lower-case text between white space to packed 16-bit ids; no match of the word pattern spans it.
 
-    The model takes a word's bytes as the printable characters that stand for them.
+    Words and short pieces are kept in two generations of ``limit`` each, so that frequent ones
+    stay when the younger one is full. A word's ids come from the library's model, which takes its bytes as the
+    printable characters that stand for them.
     """
 
-    def __init__(self, model):
-        self.tokens = model.tokenize
+    def __init__(self, model, limit=500_000):
+        self.tokens, self.limit, self.older = model.tokenize, limit, {}
         self.printable = {b: c for b, c in enumerate(byte_alphabet()) if chr(b) != c}
 
-    def __missing__(self, word):
+    def _word(self, word):
         plain = word if word.isascii() else word.encode("utf-8", "replace").decode("latin-1").translate(self.printable)
-        got = self[word] = array("H", [t.id for t in self.tokens(plain)]).tobytes()
-        return got
-
-
-class Pieces(dict):
-    """Lower-case text between white space to packed ids; no match of the word pattern spans white space."""
-
-    def __init__(self, model):
-        self.words = Words(model)
+        return array("H", [t.id for t in self.tokens(plain)]).tobytes()
 
     def __missing__(self, piece):
-        if piece.isalpha() and piece.isascii():
-            got = self.words[piece]
-        else:
-            got = b"".join(map(self.words.__getitem__, (ASCII_WORDS if piece.isascii() else LATIN_WORDS)(piece)))
-        if len(piece) <= 64:
+        got = self.older.get(piece)
+        if got is None:
+            if piece.isalpha():
+                got = self._word(piece)
+            elif piece[-1] in ".,;:!?" and piece[:-1].isalpha():  # a word and one mark behind it
+                got = (self.get(piece[:-1]) or self._word(piece[:-1])) + self._mark(piece[-1])
+            else:
+                words = (ASCII_WORDS if piece.isascii() else LATIN_WORDS)(piece)
+                got = b"".join(self[w] if w.isalpha() else self._word(w) for w in words)
+        if len(piece) <= 32:
             self[piece] = got
         return got
 
+    def _mark(self, mark):
+        got = self.get(mark)
+        if got is None:
+            got = self[mark] = self._word(mark)
+        return got
+
+    def settle(self):
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+
 
 class Encoder:
-    """Text to ids; each distinct piece is encoded once, until ``limit`` of them are kept."""
+    """Text to ids, piece by piece where the text can be cut, else by the library whole."""
 
-    def __init__(self, content, limit=700_000):
+    def __init__(self, content):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(content.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.pieces, self.limit = Pieces(self.tokenizer.model), limit
+        self.pieces = Pieces(self.tokenizer.model)
 
     def _library(self, text):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def encode(self, texts):
         """Packed 16-bit ids of each text."""
-        for kept in (self.pieces, self.pieces.words):
-            if len(kept) > self.limit:
-                kept.clear()
+        self.pieces.settle()
         get = self.pieces.__getitem__
         return [b"".join(map(get, t.lower().split())) if _plain(t) else self._library(t) for t in texts]
 
