@@ -159,9 +159,10 @@ def returns_and_betas(panel, index, window=12, min_rows=6, key=KEY, time=TIME):
     """MonthlyReturn, ShortTermBeta, Variance, Return_IsMissing and MonthlyExcessReturn.
 
     Returns run against the previous month of the common calendar; a month without a price
-    counts as a zero return. The (month x entity) grid is never built: an absent cell adds
-    nothing to the sums of a range frame over the month number, and the row count of the
-    frame comes from the calendar.
+    counts as a zero return. The (month x entity) grid is never built: the moments of the months
+    that are there, centred over a range frame of the month number, are merged with those of the
+    absent ones, whose number and market returns come from the calendar. No figure is the
+    difference of raw sums of squares, so a small spread around a large return keeps its digits.
     """
     months = market_calendar(panel, index, window, min_rows, time)
     joined = lookup_join(panel, months, [time])
@@ -169,26 +170,29 @@ def returns_and_betas(panel, index, window=12, min_rows=6, key=KEY, time=TIME):
     frame = w.rangeBetween(-(window - 1), 0)
     step = F.when(F.col("__pos") - F.lag("__pos").over(w) == 1,
                   F.try_divide("Open", F.lag("Open").over(w)) - 1)
-    n = F.col("__rows")
+    n, k = F.col("__rows"), F.col("__k")
     enough = n >= min_rows
     return (
         joined
         .withColumn("__raw", step)
         .withColumn("MonthlyReturn", F.coalesce("__raw", F.lit(0.0)))
         .withColumns({
-            "__r": F.sum("MonthlyReturn").over(frame),
-            "__rr": F.sum(F.col("MonthlyReturn") * F.col("MonthlyReturn")).over(frame),
-            "__rm": F.sum(F.col("MonthlyReturn") * F.col("__m")).over(frame),
+            "__k": F.count("MonthlyReturn").over(frame),
+            "__r": F.avg("MonthlyReturn").over(frame),
+            "__rr": F.var_pop("MonthlyReturn").over(frame),
+            "__rm": F.covar_pop("MonthlyReturn", "__m").over(frame),
+            "__mm": F.avg("__m").over(frame),
+        })
+        .withColumns({
+            # absent months are zeros: merging them moves both means
+            "__moved": F.col("__r") * F.col("__r") * (n - k) / n,
+            "__apart": F.when(k < n, F.col("__r") * (F.col("__mm") - F.col("__m_sum") / n)).otherwise(0.0),
         })
         .select(
             *panel.columns,
             "MonthlyReturn",
-            F.when(enough, F.try_divide(
-                (F.col("__rm") - F.col("__r") * F.col("__m_sum") / n) / (n - 1), F.col("__m_var"),
-            )).alias("ShortTermBeta"),
-            F.when(enough, F.greatest(
-                (F.col("__rr") - F.col("__r") * F.col("__r") / n) / (n - 1), F.lit(0.0),
-            )).alias("Variance"),
+            F.when(enough, F.try_divide(k * (F.col("__rm") + F.col("__apart")) / (n - 1), F.col("__m_var"))).alias("ShortTermBeta"),
+            F.when(enough, k * (F.col("__rr") + F.col("__moved")) / (n - 1)).alias("Variance"),
             F.col("__raw").isNull().cast("int").alias("Return_IsMissing"),
             (F.try_divide("Close", "Open") - 1 - F.col("__m_intra")).alias("MonthlyExcessReturn"),
         )

@@ -157,6 +157,33 @@ def test_identity_of_total_and_parts(spark):
         assert got == want if None in want else got == pytest.approx(want), cases[row["i"]]
 
 
+def test_a_small_spread_around_a_large_return_keeps_its_digits(spark):
+    rng = np.random.default_rng(8)
+    months = [dt.date(2020 + k // 12, k % 12 + 1, 1) for k in range(14)]
+    returns, market = 1e6 + 1e-3 * rng.normal(size=14), rng.normal(0.01, 0.05, 14)
+    opens, index = np.cumprod(1 + returns), 100 * np.cumprod(1 + market)
+    gone = {5, 9}  # months without a row count as zero returns
+    rows = [(t, m, float(o), float(o)) for t in ("A", "B") for k, (m, o) in enumerate(zip(months, opens)) if t == "A" or k not in gone]
+    schema = "Ticker string, Date date, Open double, Close double"
+    out = W.returns_and_betas(spark.createDataFrame(rows, schema), spark.createDataFrame(
+        [("M", m, float(o), float(o)) for m, o in zip(months, index)], schema))
+    got = {(r.Ticker, r.Date): r for r in out.collect()}
+    seen = {"A": np.concatenate([[0], opens[1:] / opens[:-1] - 1])}
+    seen["B"] = np.where([k in gone or k - 1 in gone or k == 0 for k in range(14)], 0, seen["A"])
+    m = np.concatenate([[0], index[1:] / index[:-1] - 1])
+    for t in ("A", "B"):
+        for k in range(5, 14):
+            if t == "B" and k in gone:
+                continue
+            low = max(0, k - 11)
+            r, x = seen[t][low:k + 1].astype(np.longdouble), m[low:k + 1].astype(np.longdouble)
+            assert got[t, months[k]].Variance == pytest.approx(float(r.var(ddof=1)), rel=1e-6)
+            beta = ((r - r.mean()) * (x - x.mean())).sum() / (len(r) - 1) / x.var(ddof=1)
+            assert got[t, months[k]].ShortTermBeta == pytest.approx(float(beta), rel=1e-6, abs=1e-9)
+    steady = seen["A"][2:14]
+    assert got["A", months[13]].Variance == pytest.approx(steady.var(ddof=1), rel=1e-6) and steady.var() < 1e-4
+
+
 def test_exponents_maximise_the_likelihood(spark):
     rng = np.random.default_rng(2)
     data = pd.DataFrame({"a": rng.lognormal(0, 1, 3000), "b": -rng.lognormal(0, 0.5, 3000), "c": rng.normal(0, 1e-3, 3000),
