@@ -1,5 +1,11 @@
-"""Time-ordered validation."""
+"""Time-ordered validation over prepared folds.
 
+Folds follow row order within (date, entity). Each fold scales its two sides by themselves and
+learns the codes from its own training rows, so nothing of a test block is known before. That is
+done once per fold and written; every parameter set that is tried reads the same tables.
+"""
+
+from collections import namedtuple
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -12,29 +18,43 @@ from panelloom.operators.ranking import expanding_folds
 from panelloom.schema import KEY, TIME
 from panelloom.session import stage
 
+#: a prepared fold: its number, the encoded rows before it and its own
+Fold = namedtuple("Fold", "number history tested")
 
-def time_series_cv(panel, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1, **params):
-    """Precision of each expanding fold as a DataFrame (fold, precision).
 
-    Folds follow row order within (date, entity). Each fold scales its two sides by themselves
-    and learns the codes from its own training rows, so nothing of a test block is known
-    before. The fits run as Spark jobs; with ``parallelism`` several are submitted at once.
-    """
-    spark = panel.sparkSession
+def fold_store(panel, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1):
+    """The folds of ``panel``, scaled, encoded and staged; as many tables as twice the folds."""
     numeric, categorical = predictors(panel)
     placed = stage(expanding_folds(panel.select(*order, label, *numeric, *categorical), folds, order))
 
-    def score(fold):
-        train, test = (scale_features(placed.filter(rows), numeric)
-                       for rows in (F.col("fold") < fold, F.col("fold") == fold))
-        codes = encoder(numeric, categorical).fit(train)
-        history = fixed_layout(codes.transform(train).select(*order, label, "features"), order)
-        tested = fit_forest(history, label, **params).transform(codes.transform(test))
-        return fold, precision(tested, label, "prediction").first()["precision"] or 0.0
+    def prepared(number):
+        before, own = (scale_features(placed.filter(rows), numeric)
+                       for rows in (F.col("fold") < number, F.col("fold") == number))
+        codes = encoder(numeric, categorical).fit(before)
+        wanted = [*order, label, "features"]
+        return Fold(number, fixed_layout(codes.transform(before).select(*wanted), order),
+                    stage(codes.transform(own).select(*wanted)))
 
+    return _together(panel.sparkSession, prepared, range(1, folds + 1), parallelism)
+
+
+def _together(spark, work, items, parallelism):
+    """``work`` of each item, several submitted at once; the fits run as Spark jobs."""
     with ThreadPool(parallelism) as pool:
-        rows = pool.map(inheritable_thread_target(spark)(score), range(1, folds + 1))
-    return spark.createDataFrame(rows, "fold int, precision double")
+        return pool.map(inheritable_thread_target(spark)(work), list(items), chunksize=1)
+
+
+def fold_precision(fold, label=LABEL, **params):
+    """Precision on a fold of a forest fitted to the rows before it; 0 without a positive prediction."""
+    tested = fit_forest(fold.history, label, **params).transform(fold.tested)
+    return precision(tested, label, "prediction").first()["precision"] or 0.0
+
+
+def time_series_cv(panel, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1, **params):
+    """Precision of each expanding fold as a DataFrame (fold, precision)."""
+    store = fold_store(panel, folds, label, order, parallelism)
+    rows = _together(panel.sparkSession, lambda f: (f.number, fold_precision(f, label, **params)), store, parallelism)
+    return panel.sparkSession.createDataFrame(rows, "fold int, precision double")
 
 
 def cv_summary(scores):
@@ -42,12 +62,14 @@ def cv_summary(scores):
 
 
 def grid_search_ts(panel, grid, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1):
-    """Mean fold precision of every combination in ``grid`` (name -> values), best first."""
-    names = list(grid)
-    rows = []
-    for values in product(*grid.values()):
-        params = dict(zip(names, values))
-        mean = cv_summary(time_series_cv(panel, folds, label, order, parallelism, **params)).first()["mean"]
-        rows.append((str(params), float(mean)))
-    return panel.sparkSession.createDataFrame(rows, "params string, precision double").orderBy(
-        F.desc("precision"), "params")
+    """Mean fold precision of every combination in ``grid`` (name -> values), best first.
+
+    All combinations share the prepared folds and are submitted together.
+    """
+    spark, names = panel.sparkSession, list(grid)
+    store = fold_store(panel, folds, label, order, parallelism)
+    points = [dict(zip(names, values)) for values in product(*grid.values())]
+    scored = _together(spark, lambda work: (str(work[0]), work[1].number, fold_precision(work[1], label, **work[0])),
+                       product(points, store), parallelism)
+    return spark.createDataFrame(scored, "params string, fold int, precision double").groupBy("params").agg(
+        F.avg("precision").alias("precision")).orderBy(F.desc("precision"), "params")

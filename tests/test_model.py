@@ -168,7 +168,18 @@ def test_history_figures(trained):
 def test_validation(spark, trained, feature_panel):
     scores = V.time_series_cv(feature_panel, folds=3, parallelism=2, **TREES)
     assert [r["fold"] for r in scores.orderBy("fold").collect()] == [1, 2, 3]
-    grid = V.grid_search_ts(feature_panel, {"numTrees": [4], "maxDepth": [2, 3]}, folds=2)
-    assert grid.count() == 2
     importance = O.feature_importance(spark, trained.model, trained.names).collect()
     assert len(importance) == len(trained.names) and abs(sum(r["importance"] for r in importance) - 1) < 1e-9
+
+
+def test_grid_points_share_prepared_folds(spark, feature_panel, monkeypatch):
+    scaled, plain = [], V.scale_features
+    monkeypatch.setattr(V, "scale_features", lambda *a: scaled.append(1) or plain(*a))
+    grid = {"numTrees": [4], "maxDepth": [2, 3], "seed": [1, 2]}
+    out = V.grid_search_ts(feature_panel, grid, folds=2, parallelism=3)
+    rows = out.collect()
+    assert len(rows) == 4 and len(scaled) == 2 * 2  # both sides of each fold, whatever the grid
+    assert [r["precision"] for r in rows] == sorted((r["precision"] for r in rows), reverse=True)
+    single = V.cv_summary(V.time_series_cv(feature_panel, folds=2, numTrees=4, maxDepth=3, seed=2)).first()["mean"]
+    chosen = next(r for r in rows if "'maxDepth': 3, 'seed': 2" in r["params"])
+    assert chosen["precision"] == pytest.approx(single, abs=1e-12)
