@@ -99,6 +99,32 @@ def test_files(spark, tmp_path):
     assert [r[0] for r in stored.collect()] == ["A", "B"]
 
 
+def test_many_entities_turn_quickly(spark, tmp_path):
+    """The plan does not grow with the entities: planning and running take seconds."""
+    import time
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    entities = [f"E{i}" for i in range(20_000)]
+    table = pa.table({"Date": [d("2020-01-01"), d("2020-02-01")], **{f"Open|{e}": [float(i), None] for i, e in enumerate(entities)}})
+    pq.write_table(table, str(tmp_path / "wide.parquet"))
+    wide = spark.read.schema("Date date, " + ", ".join(f"`Open|{e}` double" for e in entities)).parquet(str(tmp_path / "wide.parquet"))
+    start = time.monotonic()
+    long = R.wide_to_long(wide, ["Open"], entities)
+    plan = long._jdf.queryExecution().simpleString()
+    rows = {(r.Ticker, r.Date): r.Open for r in long.collect()}
+    assert time.monotonic() - start < 90
+    assert len(rows) == 40_000 and rows["E77", d("2020-01-01")] == 77.0 and rows["E77", d("2020-02-01")] is None
+    assert plan.count("E19999") <= 4
+
+
+def test_columns_of_several_types_and_names(spark):
+    wide = spark.createDataFrame([(d("2020-01-01"), 1, 2.5, "x")], "Date date, `v|A` int, `v|B` double, other string")
+    assert sorted(map(tuple, R.wide_to_long(wide, ["v"], ["A", "B"]).collect())) == [(d("2020-01-01"), "A", 1.0), (d("2020-01-01"), "B", 2.5)]
+    assert R.wide_to_long(wide, ["v"], []).count() == 0 and R.wide_to_long(wide.limit(0), ["v"], ["A"]).count() == 0
+    with pytest.raises(ValueError):
+        R.wide_to_long(wide, ["v"], ["C"])
+
+
 def test_store_can_be_updated_from_itself(spark, tmp_path):
     root = str(tmp_path / "store")
     schema = "Ticker string, Date date, Open double, v double"
