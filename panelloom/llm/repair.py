@@ -10,8 +10,8 @@ rules and the length of each rule's expansion are stored with the shard.
 File format: Parquet, one row per shard, so any store that Spark reaches will do and a lost
 task's part is never seen: ``bucket`` and ``shard`` (order), ``n_ids``, ``doc_ids``, ``counts``
 (ids per document), ``rules`` (little-endian 32-bit pairs; rule r makes symbol FIRST + r),
-``lengths`` (32-bit expansion lengths of the rules), ``blocks`` (``BLOCK`` 32-bit symbols each, zlib
-level 1) and ``block_ids`` (ids that each block expands to). A range of ids is found by these
+``lengths`` (32-bit expansion lengths of the rules), ``blocks`` (``BLOCK`` 32-bit symbols each; the
+file's own codec packs them) and ``block_ids`` (ids that each block expands to). A range of ids is found by these
 lengths: the blocks that hold it are opened, the symbols that reach into it expanded.
 
 Texts of Latin characters are split into words by the tokenizer's own pattern, and each distinct
@@ -42,7 +42,8 @@ SHARD_IDS = 1 << 20
 FIRST = 1 << 17  # symbols from here on are nonterminals
 FREQUENT = 64
 BLOCK = 1 << 12
-TABLE = 1 << 18
+TABLE_BITS = 18
+TABLE = 1 << TABLE_BITS
 
 # letters among the characters below U+0250 and what they become in lower case, by Python's own classes
 _LETTER = re.compile(r"[^\W\d_²³¹¼½¾]").match
@@ -135,33 +136,35 @@ class Encoder:
 
 def compress(ids, counts):
     """(rules, symbols) of the ids of a shard's documents, of which there are ``counts``."""
-    s = ids.astype(np.int64)
+    s = ids.astype(np.uint32)
     last = np.zeros(len(s), bool)
     last[np.cumsum(counts) - 1] = True
-    rules, made = [np.zeros((0, 2), np.int64)], 0
+    rules, made = [np.zeros((0, 2), np.uint32)], 0
     while len(s) > 1:
-        key = s[:-1] << 32 | s[1:]
+        a, b = s[:-1], s[1:]
         # a hash table of counts; the slot behind it takes the pairs across the ends of documents
-        slot = np.where(last[:-1], TABLE, ((key * -7046029254386353131) >> 40) & (TABLE - 1))
+        slot = ((a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA77)) >> np.uint32(32 - TABLE_BITS)).astype(np.intp)
+        slot[np.flatnonzero(last[:-1])] = TABLE
         heavy = np.bincount(slot, minlength=TABLE + 1) >= FREQUENT
         heavy[TABLE] = False
         at = np.flatnonzero(heavy[slot])
-        k, slot = key[at], slot[at]
+        a, b, slot = a[at], b[at], slot[at]
         # one pair stands for its slot; what it hides is seen once that pair is gone
-        standing = np.zeros(TABLE, np.int64)
-        standing[slot] = k
-        own = standing[slot] == k
+        standing = np.zeros((2, TABLE), np.uint32)
+        standing[0, slot], standing[1, slot] = a, b
+        own = (standing[0, slot] == a) & (standing[1, slot] == b)
         frequent = np.flatnonzero(np.bincount(slot[own], minlength=TABLE) >= FREQUENT)
         if len(frequent):
-            pairs, number = standing[frequent], np.full(TABLE, -1)
+            pairs, number = standing[:, frequent].T, np.full(TABLE, -1)
             number[frequent] = np.arange(len(frequent))
             place = np.where(own, number[slot], -1)
         else:  # a frequent pair may still be hidden by rare ones
-            pairs, back, n = np.unique(k, return_inverse=True, return_counts=True)
+            both, back, n = np.unique(a.astype(np.uint64) << np.uint64(32) | b, return_inverse=True, return_counts=True)
             number = np.cumsum(n >= FREQUENT) - 1
-            place, pairs = np.where((n >= FREQUENT)[back], number[back], -1), pairs[n >= FREQUENT]
-            if not len(pairs):
+            place, both = np.where((n >= FREQUENT)[back], number[back], -1), both[n >= FREQUENT]
+            if not len(both):
                 break
+            pairs = np.column_stack([both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)]).astype(np.uint32)
         at, place = at[place >= 0], place[place >= 0]
         # of overlapping hits every second one, from the left
         run = np.concatenate([[True], np.diff(at) > 1])
@@ -174,23 +177,29 @@ def compress(ids, counts):
         stay = np.ones(len(s), bool)
         stay[at + 1] = False
         s, last = s[stay], last[stay]
-        rules.append(np.column_stack([pairs >> 32, pairs & 0xFFFFFFFF]))
+        rules.append(pairs)
         made += len(pairs)
     return np.concatenate(rules).astype("<u4"), s.astype("<u4")
 
 
-def expand(rules, symbols):
-    """Ids of symbols; a pass opens every nonterminal once."""
-    s = symbols
-    while True:
-        nonterminal = s >= FIRST
-        if not nonterminal.any():
-            return s.astype("<u4")
-        out = np.repeat(s, np.where(nonterminal, 2, 1))
-        at = np.flatnonzero(nonterminal) + np.arange(np.count_nonzero(nonterminal))
-        pair = rules[s[nonterminal] - FIRST]
-        out[at], out[at + 1] = pair[:, 0], pair[:, 1]
-        s = out
+def expanded_rules(rules):
+    """(ids of all rules one after the other, where each begins)."""
+    flat = []
+    for a, b in rules.tolist():  # a rule's parts come before it
+        flat.append((flat[a - FIRST] if a >= FIRST else (a,)) + (flat[b - FIRST] if b >= FIRST else (b,)))
+    sizes = np.fromiter(map(len, flat), np.int64, len(flat))
+    return np.fromiter((x for own in flat for x in own), np.uint32, int(sizes.sum())), np.cumsum(sizes) - sizes
+
+
+def expand(rules, symbols, lengths=None):
+    """Ids of symbols."""
+    wide = widths(symbols, expansion_lengths(rules) if lengths is None else lengths)
+    flat, starts = expanded_rules(rules)
+    out = np.repeat(symbols, wide).astype("<u4")
+    at = np.flatnonzero(out >= FIRST)
+    before = np.repeat(np.cumsum(wide) - wide, wide)[at]
+    out[at] = flat[starts[out[at] - FIRST] + at - before]
+    return out
 
 
 def expansion_lengths(rules):
@@ -209,15 +218,15 @@ def widths(symbols, lengths):
 
 
 def blocks_of(symbols, lengths):
-    """(compressed blocks, ids of each block)."""
+    """(blocks, ids of each block)."""
     at = range(0, len(symbols), BLOCK)
     wide = widths(symbols, lengths)
-    return ([zlib.compress(symbols[k:k + BLOCK].tobytes(), 1) for k in at],
+    return ([symbols[k:k + BLOCK].tobytes() for k in at],
             np.add.reduceat(wide, list(at)).tolist() if len(symbols) else [])
 
 
 def opened(block):
-    return np.frombuffer(zlib.decompress(block), "<u4")
+    return np.frombuffer(block, "<u4")
 
 
 def decode_range(shard, start, stop):
