@@ -7,7 +7,8 @@ an occurrence of any window is hit.
 The index: how often each benchmark term occurs in the documents; then, per window, its rarest
 and second rarest term; and for these terms the postings (term, document, position), stored as a
 table. A posting less its term's offset in the item is a shift; the lists of the two terms are
-intersected per (document, item, shift). What is left is checked word by word in the text. Every
+intersected per (document, item, shift). What is left is checked word by word in the text. The same
+lists give the proximity matches: a window's two terms within ``WINDOW`` words, in any order. Every
 step is a join or an aggregate over columns; no Python runs on the rows.
 
 Cases: null texts and texts without words have no words and no hits; items without words or
@@ -89,10 +90,16 @@ class Index:
 
 
 def phrase_hits(docs, benchmark, doc_id="doc_id", text="text", item_id="item_id", item_text="text", window=WINDOW):
-    """``docs`` with ``n_words``, ``n_hit``, ``items`` (identifiers as sorted strings) and ``contaminated``."""
+    """``docs`` with ``n_words``, ``n_hit``, ``items`` (identifiers as sorted strings), ``contaminated``, ``near``.
+
+    ``near`` is the number of items with a proximity match (``near_items``).
+    """
     index = Index(docs, benchmark, doc_id, text, item_id, item_text, window)
-    found = staged(index.candidates())
-    new = ("n_words", "n_hit", "items", "contaminated")
+    near = near_items(index, window).groupBy("i", "t").agg(F.count("*").alias("__near"))
+    exact = index.candidates()
+    found = staged(near.join(exact.withColumnsRenamed({"i": "__ei", "t": "__et"}),
+                             F.col("i").eqNullSafe(F.col("__ei")) & (F.col("t") == F.col("__et")), "left").drop("__ei", "__et"))
+    new = ("n_words", "n_hit", "items", "contaminated", "near")
     kept = [c for c in docs.columns if c not in new]
     joined = docs.select(*[f"`{c}`" for c in kept]).withColumn("__h", F.xxhash64(text)).join(
         found, F.col(doc_id).eqNullSafe(F.col("i")) & (F.col("__h") == F.col("t")), "left")
@@ -102,21 +109,32 @@ def phrase_hits(docs, benchmark, doc_id="doc_id", text="text", item_id="item_id"
     covered = F.expr("size(array_distinct(flatten(transform(__hits, h -> sequence(h.start, h.start + size(h.w) - 1)))))")
     counted = checked.select(
         *[f"`{c}`" for c in kept], F.size("__w").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
-        F.expr("array_sort(array_distinct(transform(__hits, h -> h.id)))").alias("items"))
+        F.expr("array_sort(array_distinct(transform(__hits, h -> h.id)))").alias("items"),
+        F.coalesce("__near", F.lit(0)).cast("long").alias("near"))
     return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
 
 
-def proximity_hits(index, within=WINDOW):
-    """(i, t, id, at): an item's two rarest known terms within ``within`` words, in any order."""
-    rated = index.anchors.join(index.frequency, "term").join(index.items.select("item", "id"), "item")
-    order = Window.partitionBy("item").orderBy("f", "p")
-    terms = rated.groupBy("item", "id", "term").agg(F.min("f").alias("f"), F.min("p").alias("p")).withColumn(
-        "k", F.row_number().over(order)).filter("k <= 2")
-    met = index.postings.join(terms.select("item", "id", "term", "k"), "term")
-    block = F.floor(F.col("at") / within)
-    one = met.filter("k = 1").select("i", "t", "item", "id", F.col("at").alias("a"), F.explode(
-        F.array(block - 1, block, block + 1)).alias("block"))
-    two = met.filter("k = 2").select("i", "t", "item", F.col("at").alias("b"), block.alias("block"))
-    same = one["i"].eqNullSafe(two["i"]) & (one["t"] == two["t"]) & (one["item"] == two["item"]) & (
-        one["block"] == two["block"]) & (F.abs(F.col("a") - F.col("b")) <= within)
-    return one.join(two, same).select(one["i"], one["t"], "id", F.least("a", "b").alias("at")).distinct()
+def near_items(index, within=WINDOW):
+    """(i, t, id): the items of which a window's two rarest terms stand within ``within`` words, in any order.
+
+    A window of one word is met by that word; two places of one term must be two places. The terms are
+    those that the phrase search starts from, so every phrase match is a proximity match. A document's
+    places of a term are one sorted list, and two lists are merged, so no pair of places is formed.
+    """
+    places = staged(index.postings.groupBy("i", "t", "term").agg(F.array_sort(F.collect_list("at")).alias("ps")))
+    one, two = (index.anchors.select("item", F.col("p").alias(f"p{k}"), F.col("term").alias(f"t{k}")) for k in (1, 2))
+    pairs = index.windows.join(one, ["item", "p1"]).join(two, ["item", "p2"]).join(
+        index.items.select("item", "id"), "item").select("id", F.least("t1", "t2").alias("t1"), F.greatest("t1", "t2").alias("t2"),
+                                                         (F.col("p1") == F.col("p2")).alias("alone")).distinct()
+    pairs = staged(pairs)
+    asked = pairs.select("t1", "t2", "alone").distinct()
+    first = places.withColumnsRenamed({"term": "t1", "ps": "ps1"}).join(asked, "t1")
+    second = places.withColumnsRenamed({"i": "i2", "t": "h2", "term": "t2", "ps": "ps2"})
+    both = first.join(second, first["i"].eqNullSafe(second["i2"]) & (first["t"] == second["h2"]) & (first["t2"] == second["t2"])).select(
+        "i", "t", "t1", first["t2"], "alone", "ps1", "ps2")
+    # the least distance of two merged lists is one between neighbours; a place is doubled, the second list's are odd
+    met = computed(both, "m", F.when(F.col("t1") == F.col("t2"), F.transform("ps1", lambda a: 4 * a)).otherwise(F.array_sort(F.concat(
+        F.transform("ps1", lambda a: 2 * a), F.transform("ps2", lambda a: 2 * a + 1)))))
+    close = F.expr(f"""alone or (size(m) > 1 and exists(sequence(1, size(m) - 1), k ->
+        if(t1 = t2, m[k] - m[k - 1] < 4 * {within}, m[k] % 2 <> m[k - 1] % 2 and m[k] div 2 - m[k - 1] div 2 < {within})))""")
+    return met.filter(close).join(pairs, ["t1", "t2", "alone"]).select("i", "t", "id").distinct()

@@ -1,8 +1,10 @@
-"""Fingerprints of texts as Merkle trees over sentences, paragraphs and sections.
+"""Fingerprints of texts as Merkle trees over pieces of a few words, paragraphs and sections.
 
-Leaves are the pieces of a paragraph between ". ", paragraphs are lines, a section ends after a
-paragraph whose digest says so (one in ``SECTION``), so an edit moves no section ends but its
-own. A node's digest is that of its children's digests; equal roots mean equal texts.
+Paragraphs are lines. A leaf ends after a word with a full stop and after a word whose checksum says
+so (one in ``LEAF_WORDS``), words beyond ``LONG_WORD`` characters inside as well, so every text has
+leaves of a few words whatever its marks, and an edit moves no ends but its own. A section ends after a
+paragraph whose digest says so (one in ``SECTION``). A node's digest is that of its children's
+digests; equal roots mean equal texts.
 
 A fingerprint is ``root/section:paragraph.leaf.leaf:paragraph...`` in hexadecimal, the root in
 full, the others by their first 32 bits. Likeness is 1 for equal roots, else the share of leaves
@@ -19,6 +21,7 @@ are ordered by a hash of the text, a null identifier comes last; a single row is
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import pyarrow as pa
@@ -27,21 +30,59 @@ from pyspark.sql import functions as F
 from panelloom.llm.common import bucket_count, map_batches, ordered_buckets, slices
 
 SECTION = 8
-
+LEAF_WORDS = 8
+#: characters of a word from which on it is cut as well, and one in how many places
+LONG_WORD, LONG_PIECE = 64, 32
 
 def _digest(data):
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
+class _Ends(dict):
+    """Whether a leaf ends after a word; the answers of a bounded number of words are kept."""
+
+    def __missing__(self, word):
+        ends = word.endswith(".") or zlib.crc32(word.encode("utf-8", "surrogatepass")) % LEAF_WORDS == 0
+        if len(self) < 300_000:
+            self[word] = ends
+        return ends
+
+
+_ENDS = _Ends()
+
+
+def leaves(line):
+    """Pieces of a line: (text, whether a space or the line's end follows); joined they give the line."""
+    words = line.split(" ")
+    out, first = [], 0
+    for at, word in enumerate(words):
+        if len(word) > LONG_WORD:
+            # the end of a piece inside a word depends on the four characters before it
+            cuts = [k + 4 for k in range(len(word) - 4)
+                    if zlib.crc32(word[k:k + 4].encode("utf-8", "surrogatepass")) % LONG_PIECE == 0]
+            if cuts:
+                out.append((" ".join([*words[first:at], word[:cuts[0]]]), False))
+                out += [(word[a:b], False) for a, b in zip(cuts, cuts[1:])]
+                out.append((word[cuts[-1]:], True))
+                first = at + 1
+                continue
+        if _ENDS[word]:
+            out.append((" ".join(words[first:at + 1]), True))
+            first = at + 1
+    if first < len(words):
+        out.append((" ".join(words[first:]), True))
+    return out
+
+
 def fingerprint(text):
     """The tree of a text, written out."""
     sections, paragraphs, out = [], [], []
     parts = []
     for line in text.split("\n"):
-        leaves = [_digest(b"l" + piece.encode("utf-8", "surrogatepass")) for piece in line.split(". ")]
-        paragraph = _digest(b"p" + b"".join(leaves))
+        marks = [_digest((b"l" if spaced else b"c") + piece.encode("utf-8", "surrogatepass")) for piece, spaced in leaves(line)]
+        paragraph = _digest(b"p" + b"".join(marks))
         paragraphs.append(paragraph)
-        parts.append(":" + paragraph[:4].hex() + "".join("." + leaf[:4].hex() for leaf in leaves))
+        parts.append(":" + paragraph[:4].hex() + "".join("." + mark[:4].hex() for mark in marks))
         if paragraph[-1] % SECTION == 0:
             sections.append(_digest(b"s" + b"".join(paragraphs)))
             out.append("/" + sections[-1][:4].hex() + "".join(parts))

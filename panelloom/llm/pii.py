@@ -1,14 +1,18 @@
 """Personal data in texts: fixed patterns, and bootstrapped contexts for what they miss.
 
 The base kinds are found by their expressions, leftmost and without overlap per kind. They are
-the seeds. Around every seed, and around every loosely shaped candidate that no base expression
-takes (an address with "(at)", a phone number without "+", digits grouped by dots or slashes that
-pass Luhn, octets parted by "[.]"), the two words before and the word before with the word after
-are lexical patterns. Spark scores the graph of (pattern, instance) edges in rounds: a pattern's
-confidence for a kind is the mean score of its distinct instances, smoothed; an instance that is
-not a seed scores what its patterns leave of a doubt (1 - product of 1 - confidence). Candidates
-that reach ``INSTANCE_SCORE`` through patterns with ``SUPPORT`` distinct seeds become spans. Base
-spans always stay.
+the seeds. Candidates are all other runs of tokens that hold a digit or an at sign, whatever their
+shape, as long as they could be of the kind at all (``plausible``: enough digits, marks or letters).
+The two words before and the word before with the word after are the lexical patterns of an instance.
+
+Spark scores the graph of (pattern, instance) edges in rounds. A pattern's confidence for a kind is
+the sum of its distinct instances' scores over their weights, smoothed: a seed of the kind scores 1
+and a seed of another kind 0, either with weight 1; an instance that accepted patterns have reached
+has their score (1 - product of 1 - confidence) and weight 1; an instance of which nothing is known
+yet scores 0 with weight ``UNKNOWN``, so a context full of unlabelled numbers stays rejected, while
+one in which most are seeds is accepted. A pattern is accepted from ``SUPPORT`` distinct seeds and
+``CONFIDENCE`` on, and stays so; rounds go on until none is added. Instances that reach
+``INSTANCE_SCORE`` become spans. Base spans always stay.
 
 Every expression runs in linear time: where an alternative could start at each character of a
 long run, the run is entered once, from its anchor ("@") or its first digit.
@@ -25,11 +29,14 @@ from pyspark.sql import functions as F
 from panelloom.llm.common import map_batches, slices, staged
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 SUPPORT = 5
 SMOOTHING = 1.0
+#: weight of an instance that no accepted pattern has reached
+UNKNOWN = 0.5
 CONFIDENCE = 0.8
 INSTANCE_SCORE = 0.8
+#: characters of the longest candidate; no identifier of these kinds is longer
+LONGEST = 254
 
 # fixed values: the base expressions; a digit before the start would belong to the same run
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -40,11 +47,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]").search
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
-# loose shapes of unseen identifiers
-LOOSE_AT = re.compile(r"(?:\(at\)|\[at\])[A-Za-z0-9-]+(?:(?:\.|\(dot\)|\[dot\])[A-Za-z0-9-]+)+")
-LOOSE_IP = re.compile(r"(?<![0-9])[0-9]+(?:\[\.\][0-9]+){3}")
-LOOSE_CARD = re.compile(r"(?<![0-9])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}(?![0-9])")
-LOOSE_PHONE = re.compile(r"(?<![0-9+(])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
+TOKEN = re.compile(r"\S+").finditer
+AT = ("@", "(at)", "[at]")
+EDGES = ".,;:!?\"'`"
 
 
 def luhn(digits):
@@ -92,38 +97,101 @@ def base_spans(text):
     return found
 
 
+def plausible(kind, run):
+    """Whether a run of tokens could be of a kind at all, whatever its shape."""
+    digits = sum(c.isdigit() and c.isascii() for c in run)
+    if kind == 0:
+        return any(x in run for x in AT) and sum(c.isalpha() for c in run) >= 4
+    if kind == 1:
+        return 4 <= digits <= 12 and len(NOT_DIGIT.findall(run)) >= 3 and len(run) <= 40
+    if kind == 2:
+        return 14 <= digits <= 19 and luhn(NOT_DIGIT.sub("", run))
+    return 7 <= digits <= 15 and 2 * digits >= len(run)
+
+
+def _trimmed(text, start, end):
+    """A run without marks at its ends; a bracket goes unless its partner is in the run."""
+    while start < end:
+        run = text[start:end]
+        if run[-1] in EDGES or (run[-1] in ")]}" and run.count(run[-1]) > run.count("([{"[")]}".index(run[-1])])):
+            end -= 1
+        elif run[0] in EDGES or (run[0] in "([{" and run.count(run[0]) > run.count(")]}"["([{".index(run[0])])):
+            start += 1
+        else:
+            break
+    return start, end
+
+
+def runs(text):
+    """(start, end) of runs of tokens with digits, one space apart, and of tokens with an at sign."""
+    out, begin, finish = [], None, None
+    for m in TOKEN(text):
+        token = m.group()
+        if DIGIT(token):
+            if begin is not None and m.start() == finish + 1 and text[finish] == " ":
+                finish = m.end()
+                continue
+            if begin is not None:
+                out.append((begin, finish))
+            begin, finish = m.span()
+        else:
+            if begin is not None:
+                out.append((begin, finish))
+                begin = None
+            if any(x in token for x in AT):
+                out.append(m.span())
+    if begin is not None:
+        out.append((begin, finish))
+    return out
+
+
 def loose_spans(text, taken):
-    """(kind number, start, end) of loosely shaped candidates that touch no base span."""
-    found = []
-    if "(at)" in text or "[at]" in text:
-        for m in LOOSE_AT.finditer(text):
-            start = _local_start(text, m.start(), 0)
-            if start < m.start():
-                found.append((0, start, m.end()))
-    if DIGIT(text):
-        if "[.]" in text:
-            found += [(1, *m.span()) for m in LOOSE_IP.finditer(text)]
-        found += [(2, *m.span()) for m in LOOSE_CARD.finditer(text) if luhn(NOT_DIGIT.sub("", m.group()))]
-        found += [(3, *m.span()) for m in LOOSE_PHONE.finditer(text)]
-    if not found:
-        return found
+    """(kind number, start, end) of candidates that touch no base span."""
+    if not DIGIT(text) and not any(x in text for x in AT):
+        return []
     out, at = [], 0
     ends = sorted((s, e) for _, s, e in taken)
-    for kind, start, end in sorted(found, key=lambda s: (s[1], s[0])):
-        while at < len(ends) and ends[at][1] <= start:
+    for first, last in runs(text):
+        while at < len(ends) and ends[at][1] <= first:
             at += 1
-        near = at
-        while near < len(ends) and ends[near][0] < end and ends[near][1] <= start:
-            near += 1
-        if (near == len(ends) or ends[near][0] >= end) and (not out or out[-1][2] <= start):
-            out.append((kind, start, end))
+        if at < len(ends) and ends[at][0] < last:
+            continue
+        if last - first > LONGEST:
+            continue
+        start, end = _trimmed(text, first, last)
+        out += [(kind, start, end) for kind in range(len(KINDS)) if plausible(kind, text[start:end])]
     return out
 
 
-def contexts(text, start, end, reach=80):
+def _words_before(text, end, count):
+    """The last ``count`` whole words before a position, looking back as far as needed."""
+    reach = 64
+    while True:
+        start = max(0, end - reach)
+        words = text[start:end].split()
+        if start and not text[start - 1].isspace() and not text[start].isspace():
+            words = words[1:]  # the first may be cut
+        if len(words) >= count or not start:
+            return words[-count:]
+        reach *= 2
+
+
+def _word_after(text, start):
+    """The first whole word after a position."""
+    reach = 64
+    while True:
+        words = text[start:start + reach].split(None, 1)
+        if len(words) == 2 or start + reach >= len(text):
+            return words[:1]
+        if words and text[start:start + reach][-1].isspace():
+            return words[:1]
+        reach *= 2
+
+
+def contexts(text, start, end):
     """Lexical patterns around a span: the two words before, and the words around."""
-    left = text[max(0, start - reach):start].lower().split()[-2:]
-    right = text[end:end + reach].lower().split()[:1]
+    left = [w.lower() for w in _words_before(text, start, 2)]
+    right = [w.lower() for w in _word_after(text, end)]
     out = []
     if len(left) == 2:
         out.append("<< " + " ".join(left))
@@ -153,23 +221,37 @@ def _found(batches):
             [*batch.schema.names[:-1], "spans", "edges"])
 
 
-def score_graph(edges, rounds=ROUNDS):
+def score_graph(edges):
     """Accepted (kind, instance) from edges (kind, instance, seed, pattern), by bootstrapping.
 
-    Each round is two aggregates and a join; a pattern with very many instances is summed with
+    Each round is a few aggregates and joins; a pattern with very many instances is summed with
     map-side combining, and its score reaches its edges by a join that adaptive execution splits.
     """
     edges = staged(edges.groupBy("kind", "pattern", "instance").agg(F.max("seed").alias("seed")))
-    score = edges.groupBy("kind", "instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    for _ in range(rounds):
-        rated = edges.join(score, ["kind", "instance"])
-        patterns = rated.groupBy("kind", "pattern").agg(
-            (F.sum("score") / (F.count("*") + SMOOTHING)).alias("confidence"), F.count_if("seed").alias("seeds"))
-        good = patterns.filter((F.col("seeds") >= SUPPORT) & (F.col("confidence") >= CONFIDENCE))
-        reached = edges.join(good, ["kind", "pattern"]).groupBy("kind", "instance").agg(
-            (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("score"))
-        seeds = edges.filter("seed").select("kind", "instance", F.lit(1.0).alias("score"))
-        score = staged(reached.unionAll(seeds).groupBy("kind", "instance").agg(F.max("score").alias("score")))
+    seeds = staged(edges.filter("seed").select("kind", "instance").distinct())
+    # a seed of another kind speaks against the pattern's
+    other = seeds.select(F.col("kind").alias("of"), "instance").join(edges.filter(~F.col("seed")), "instance").filter(
+        "of <> kind").select("kind", "instance").distinct().withColumn("against", F.lit(True))
+    marked = staged(edges.join(other, ["kind", "instance"], "left").join(
+        seeds.withColumn("labelled", F.lit(True)), ["kind", "instance"], "left").select(
+        "kind", "pattern", "instance", F.coalesce("labelled", F.lit(False)).alias("seed"), F.coalesce("against", F.lit(False)).alias("against")))
+    score, known = None, 0
+    while True:
+        rated = marked.withColumn("score", F.lit(None).cast("double")) if score is None else marked.join(
+            score, ["kind", "instance"], "left")
+        worth = F.when(F.col("seed"), 1.0).when(F.col("against"), 0.0).otherwise(F.coalesce("score", F.lit(0.0)))
+        weight = F.when(F.col("seed") | F.col("against") | F.col("score").isNotNull(), 1.0).otherwise(UNKNOWN)
+        good = staged(rated.groupBy("kind", "pattern").agg(
+            (F.sum(worth * weight) / (F.sum(weight) + SMOOTHING)).alias("confidence"), F.count_if("seed").alias("seeds")).filter(
+            (F.col("seeds") >= SUPPORT) & (F.col("confidence") >= CONFIDENCE)))
+        count = good.count()
+        if count <= known:
+            break
+        known = count
+        score = staged(marked.filter(~F.col("seed") & ~F.col("against")).join(good, ["kind", "pattern"]).groupBy("kind", "instance").agg(
+            (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("score")))
+    if score is None:
+        return seeds.limit(0)
     return score.filter(F.col("score") >= INSTANCE_SCORE).select("kind", "instance")
 
 

@@ -89,7 +89,7 @@ def op10_decontamination(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.phrase_hits(docs, _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                        _sha(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
+                        _sha(F.array_join("items", ",")).alias("items_sha256"), "contaminated", F.col("near").alias("n_near"))
 
 
 def op11_whitening(spark, sf_dir):
@@ -172,9 +172,22 @@ hits AS (SELECT doc_id, id, s, h.n FROM grams h JOIN win USING (n, g)),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
             FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-          FROM (SELECT DISTINCT doc_id, id FROM hits) GROUP BY doc_id)
+          FROM (SELECT DISTINCT doc_id, id FROM hits) GROUP BY doc_id),
+place AS (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) AS at FROM d),
+bw AS (SELECT id, s, s + k AS p, w[s + k] AS term
+       FROM (SELECT id, w, s, unnest(range(0, least(len(w), 13))) AS k
+             FROM (SELECT id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s FROM b WHERE len(w) > 0))),
+f AS (SELECT term, count(*) AS f FROM place WHERE term IN (SELECT term FROM bw) GROUP BY term),
+rated AS (SELECT id, s, p, term, coalesce(f, 0) AS f, row_number() OVER (PARTITION BY id, s ORDER BY coalesce(f, 0), p) AS r
+          FROM bw LEFT JOIN f USING (term)),
+pairs AS (SELECT DISTINCT id, t1, t2, alone FROM (
+          SELECT id, s, min(term) FILTER (r = 1) AS t1, coalesce(min(term) FILTER (r = 2), min(term) FILTER (r = 1)) AS t2,
+                 count(*) = 1 AS alone, min(f) AS least FROM rated WHERE r <= 2 GROUP BY id, s) WHERE least > 0),
+near AS (SELECT doc_id, count(DISTINCT id) AS n_near FROM (
+          SELECT x.doc_id, id FROM pairs JOIN place x ON x.term = t1 JOIN place y ON y.term = t2 AND y.doc_id = x.doc_id
+            AND (alone OR (abs(x.at - y.at) < 13 AND x.at <> y.at))) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)""",
 }

@@ -247,6 +247,19 @@ def test_fingerprints_of_odd_rows(spark):
     assert [(r.n_chars, r.near_next) for r in one] == [(5, 1.0)]
 
 
+def test_texts_without_marks_are_compared_in_pieces():
+    rng = np.random.default_rng(17)
+    words = [f"w{x}" for x in rng.integers(0, 10_000, 400)]
+    one, other = " ".join(words), " ".join(words) + "x"
+    assert 0.9 < merkle.likeness(merkle.fingerprint(one), merkle.fingerprint(other)) < 1
+    run = "".join(rng.choice(list("abcdefghijklmnop"), 5000))  # not even a space
+    assert 0.9 < merkle.likeness(merkle.fingerprint(run), merkle.fingerprint(run[:2500] + "!" + run[2500:])) < 1
+    for line in (one, run, "a. b", "a b", " a  b ", "", "x" * 300, "a. " + run + " b"):
+        pieces = merkle.leaves(line)
+        assert "".join(p + (" " if spaced else "") for p, spaced in pieces)[:-1] == line
+    assert len({merkle.fingerprint(t) for t in ("a. b", "a.b", "a b", "ab", "a.  b", "a.\nb", "a. b ")}) == 7
+
+
 def test_differing_branches_locate_the_edit():
     paragraphs = [f"paragraph {i}. with two sentences" for i in range(200)]
     a = merkle.fingerprint("\n".join(paragraphs))
@@ -306,6 +319,74 @@ def test_bootstrapping_finds_what_the_expressions_miss(spark):
     assert pii.find(frame.limit(0)).count() == 0
 
 
+def accepted_by_hand(edges):
+    """(kind, instance) by the stated scores, over sets."""
+    marked = defaultdict(set)
+    seeds = {(k, i) for k, i, seed, _ in edges if seed}
+    for k, i, _, p in edges:
+        marked[k, p].add(i)
+    score, good = {}, {}
+    while True:
+        now = {}
+        for (k, p), instances in marked.items():
+            top = low = 0.0
+            for i in instances:
+                if (k, i) in seeds:
+                    top, low = top + 1, low + 1
+                elif any((o, i) in seeds for o in range(4)):
+                    low += 1
+                elif (k, i) in score:
+                    top, low = top + score[k, i], low + 1
+                else:
+                    low += pii.UNKNOWN
+            if sum((k, i) in seeds for i in instances) >= pii.SUPPORT and top / (low + pii.SMOOTHING) >= pii.CONFIDENCE:
+                now[k, p] = top / (low + pii.SMOOTHING)
+        if len(now) <= len(good):
+            return {x for x, v in score.items() if v >= pii.INSTANCE_SCORE}
+        good, doubt = now, defaultdict(lambda: 1.0)
+        for (k, p), c in good.items():
+            for i in marked[k, p]:
+                if not any((o, i) in seeds for o in range(4)):
+                    doubt[k, i] *= 1 - c
+        score = {x: 1 - v for x, v in doubt.items()}
+
+
+def test_graph_scores_by_brute_force(spark):
+    rng = np.random.default_rng(21)
+    edges = []
+    for p in range(40):
+        purity = rng.random()
+        for _ in range(int(rng.integers(4, 40))):
+            k, own = int(rng.integers(0, 2)), rng.random() < 0.5 + purity / 2
+            edges.append((k, f"{'s' if own else 'u'}{int(rng.integers(0, 60))}{'' if own else k}", bool(own), f"p{p}"))
+    edges += [(0, f"s{i}", True, "clear") for i in range(30)] + [(0, "fresh", False, "clear"), (0, "fresh", False, "p0")]
+    frame = spark.createDataFrame(edges, "kind int, instance string, seed boolean, pattern string")
+    want = accepted_by_hand(edges)
+    assert {(r.kind, r.instance) for r in pii.score_graph(frame).collect()} == want and (0, "fresh") in want
+
+
+def test_unlabelled_contexts_add_nothing_and_true_ones_add_all(spark):
+    rows = [f"the parcel number is +1 (555) 555-{1000 + i} today" for i in range(5)]
+    rows += [f"the parcel number is 555-777-{1000 + i} today" for i in range(100)]  # five seeds among 105
+    rows += [f"please ring me under +49 89 {100000 + i} soon" for i in range(100)]
+    rows += [f"please ring me under 089/{200000 + i}x7 soon" for i in range(30)]  # no expression knows this shape
+    rows += ["please ring me under 5 soon", "please ring me under pressure soon"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    added = {r.doc_id: [tuple(x) for x in r.spans if x not in r.base] for r in pii.find(frame).collect()}
+    assert all(not added[i] for i in range(205)) and not added[235] and not added[236]
+    for i in range(205, 235):
+        start = rows[i].index("089/")
+        assert added[i] == [(3, start, start + len("089/200000x7"))]
+
+
+def test_contexts_look_as_far_as_words_reach():
+    long = "w" * 500
+    text = f"a {long} {'v' * 300} 5551234567 {long} b"
+    at = text.index("555")
+    assert pii.contexts(text, at, at + 10) == [f"<< {long} {'v' * 300}", f"<> {'v' * 300} _ {long}"]
+    assert pii.contexts("5551234567", 0, 10) == [] and pii.contexts("x 5551234567", 2, 12) == []
+
+
 def test_long_runs_are_linear():
     for text in ("a" * 300_000, "1" * 300_000, "1.2.3." * 100_000, "+1 " * 100_000, "(555) " * 50_000, "@" * 100_000):
         pii.loose_spans(text, pii.base_spans(text))
@@ -384,8 +465,43 @@ def test_hits_of_odd_rows(spark):
     assert decontam.phrase_hits(docs.limit(0), bench).count() == 0
     assert decontam.phrase_hits(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
     index = decontam.Index(docs, bench)
-    near = {r.id for r in decontam.proximity_hits(index).collect()}
-    assert "1" in near
+    near = {r.id for r in decontam.near_items(index).collect()}
+    assert near == {"1", "2", "10"}
+
+
+def near_by_hand(docs, items, within=13):
+    def words(t):
+        return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower()) if w]
+
+    lists = {i: words(t) for i, t in docs}
+    f = Counter(w for ws in lists.values() for w in ws)
+    out = set()
+    for item, text in items:
+        w = words(text)
+        n = min(len(w), within)
+        for s in range(len(w) - n + 1 if w else 0):
+            ranked = sorted(range(s, s + n), key=lambda p: (f[w[p]], p))[:2]
+            if f[w[ranked[0]]] == 0:
+                continue
+            for i, ws in lists.items():
+                places = [[a for a, x in enumerate(ws) if x == w[p]] for p in ranked]
+                if (places[0] if len(ranked) == 1 else any(a != b and abs(a - b) < within for a in places[0] for b in places[1])):
+                    out.add((i, str(item)))
+    return out
+
+
+def test_proximity_of_long_items_by_brute_force(spark):
+    rng = np.random.default_rng(14)
+    names = [f"w{x}" for x in range(300)]
+    items = [(k, " ".join(rng.choice(names, n))) for k, n in enumerate((40, 25, 13, 5, 1, 60, 16))] + [(9, "twin a twin")]
+    docs = [(i, " ".join(rng.choice(names, int(rng.integers(5, 200))))) for i in range(60)]
+    docs += [(100, f"x {items[0][1]} y"), (101, " ".join(reversed(items[5][1].split()))), (102, "twin b twin a"), (103, "twin a")]
+    # the rarest words of the whole item stand far apart; a verbatim copy must be found all the same
+    far = "rare0 " + " ".join(["w1", "w2", "w3", "w4"] * 9) + " rare1"
+    items, docs = [*items, (20, far)], [*docs, (104, f"w9 {far} w8")]
+    index = decontam.Index(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.i, r.id) for r in decontam.near_items(index).collect()}
+    assert got == near_by_hand(docs, items) and {(104, "20"), (100, "0"), (101, "5"), (102, "9")} <= got
 
 
 # ---- the pipeline -----------------------------------------------------------------------------
