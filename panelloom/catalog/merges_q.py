@@ -316,6 +316,16 @@ def report(t):
     return rounded(t.spark.read.schema(flat.schema).csv(path, header=True), "Open", places=4)
 
 
+@query("store_new_rows", needs=["prices"], sql="""
+    SELECT Ticker, Date, Volume FROM prices WHERE year(Date) < 1995 OR (year(Date) >= 1997 AND month(Date) % 2 = 1)""")
+def store_new_rows(t):
+    """Rows that a store does not hold, by the key filters of its years."""
+    path = scratch_path(t.spark)
+    rows = X.prices(t).select("Ticker", "Date", "Volume")
+    sinks.upsert_store(rows.filter("year(Date) >= 1995 AND (year(Date) < 1997 OR month(Date) % 2 = 0)"), path)
+    return sinks.new_rows_of_store(rows, path)[0]
+
+
 @query("save_exclusions", needs=["constituents", "exclusions"], sql="""
     SELECT Ticker FROM constituents UNION SELECT Ticker FROM exclusions""")
 def save_exclusions(t):

@@ -205,6 +205,34 @@ def report_join(t):
     return Q.report_join(O.ranked_predictions(trained.model, trained.live), panel)
 
 
+_SCORED = ("scored", """SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS Ticker,
+    count(*) FILTER (l_returnflag = 'R') / CAST(count(*) AS DOUBLE) AS p FROM lineitem GROUP BY 1""")
+_RANKED = f"""SELECT Ticker, CAST(p > 0.25 AS INTEGER) AS Predicted_Class, {r('p', 'Probability_Top', 9)},
+    CASE WHEN p > 0.25 THEN 'Top_Quantile' ELSE 'Neutral' END AS Signal FROM scored"""
+
+
+def _scored(t):
+    """Suppliers with the share of returned lines as their probability."""
+    share = F.count_if(F.col("l_returnflag") == "R") / F.count("*").cast("double")
+    rows = t.read("lineitem").groupBy(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("Ticker")).agg(share.alias("p"))
+    return rows.withColumn("prediction", (F.col("p") > 0.25).cast("double"))
+
+
+@query("rank_scores", extra=[_SCORED], sql=_RANKED)
+def rank_scores(t):
+    return rounded(O.rank_scores(_scored(t), F.col("p")), "Probability_Top", places=9)
+
+
+@query("report_of_scores", needs=["prices"], extra=[_SCORED, ("ranked", _RANKED), (
+    "latest", "SELECT * FROM prices QUALIFY row_number() OVER (PARTITION BY Ticker ORDER BY Date DESC) = 1")], sql=f"""
+    SELECT k.*, Date, {r('Open', 'Open', 8)}, Volume FROM ranked k LEFT JOIN latest l ON l.Ticker = k.Ticker""")
+def report_of_scores(t):
+    """The report join over table-derived probabilities."""
+    ranked = rounded(O.rank_scores(_scored(t), F.col("p")), "Probability_Top", places=9)
+    joined = Q.report_join(ranked, X.prices(t).select("Ticker", "Date", "Open", "Volume"))
+    return rounded(joined, "Open", places=8)
+
+
 @query("feature_importance")
 def feature_importance(t):
     trained = _trained(t)

@@ -70,15 +70,18 @@ def probability_of(target=1):
     return vector_to_array("probability")[target]
 
 
-def ranked_predictions(model, encoded_live, target=1, key=KEY):
-    """Predicted class, probability of the target class and signal, best first."""
-    scored = model.transform(encoded_live)
+def rank_scores(scored, probability, target=1, key=KEY):
+    """Predicted class, probability of the target class and signal of scored rows, best first; ties by key."""
     return scored.select(
-        key, F.col("prediction").cast("int").alias("Predicted_Class"),
-        probability_of(target).alias("Probability_Top"),
+        key, F.col("prediction").cast("int").alias("Predicted_Class"), probability.alias("Probability_Top"),
     ).withColumn("Signal", signal_label("Predicted_Class", target)).orderBy(F.desc("Probability_Top"), key)
 
 
+def ranked_predictions(model, encoded_live, target=1, key=KEY):
+    """``rank_scores`` of a model's predictions."""
+    return rank_scores(model.transform(encoded_live), probability_of(target), target, key)
+
+
 def feature_names(encoded, column="features"):
     """Names by vector position, from the assembler's metadata."""
     attributes = encoded.schema[column].metadata["ml_attr"]["attrs"]

@@ -85,33 +85,61 @@ def upsert_panel(new, stored, keys=(KEY, TIME)):
     return coalesce_merge(new, stored, keys, tag=None, dedupe=False)
 
 
-def first_event_after(periods, events, entity, end, at, keep, days=PUBLICATION_TOLERANCE_DAYS):
+#: rows of an entity's hour from which on the hour is cut, and the cuts it can get
+ROWS_AT_ONCE, MOST_CUTS = 100_000, 1000
+
+
+def time_buckets(both, entity, at="__t", rows=ROWS_AT_ONCE):
+    """``both`` with ``__hour`` and ``__part``: an hour of more than ``rows`` rows is cut by their count.
+
+    The cuts are quantiles of the hour's times from a mergeable sketch, so parts are of about ``rows``
+    rows however the times lie in the hour; equal times stay together.
+    """
+    within = F.minute(at).cast("long") * 60_000_000 + (F.expr(f"extract(SECOND FROM {at})") * 1_000_000).cast("long")
+    placed = both.withColumns({"__hour": F.date_trunc("hour", at), "__us": within})
+    shares = [k / MOST_CUTS for k in range(1, MOST_CUTS)]
+    sizes = placed.groupBy(entity, "__hour").agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.filter(F.col("__n") > rows)
+    cuts = placed.join(hot, [entity, "__hour"]).groupBy(entity, "__hour").agg(
+        F.max("__n").alias("__n"), F.approx_percentile("__us", shares, 10 * MOST_CUTS).alias("__all"))
+    # every so many of the sketch's quantiles, as the hour has rows
+    step = F.greatest(F.floor(F.lit(MOST_CUTS) * rows / F.col("__n")).cast("int"), F.lit(1))
+    cuts = cuts.withColumn("__step", step).select(entity, "__hour", F.expr(
+        "transform(sequence(0, (size(__all) - 1) div __step), k -> __all[k * __step])").alias("__cuts"))
+    joined = lookup_join(placed, cuts, [entity, "__hour"])
+    part = F.coalesce(F.size(F.filter("__cuts", lambda c: c < F.col("__us"))), F.lit(0))
+    return joined.withColumn("__part", F.when(F.col("__cuts").isNull(), 0).otherwise(part)).drop("__us", "__cuts")
+
+
+def first_event_after(periods, events, entity, end, at, keep, days=PUBLICATION_TOLERANCE_DAYS, rows=ROWS_AT_ONCE):
     """For each period the first event of its entity with ``end < at <= end + days``, else null.
 
-    The entity's time line is cut into hours. An event of the same hour is found in a window
-    over (entity, hour); later hours need only each hour's first event, which is pre-aggregated
-    before the shuffle. A hot entity is therefore spread over its hours, and no pair of
-    period and event is ever formed. Periods and events are read once and staged together.
+    The entity's time line is cut into hours, and hours of many rows into parts of about ``rows``. An
+    event of the same part is found in a window over (entity, hour, part); later ones need only each
+    part's first event, which is pre-aggregated before the shuffle. A hot entity is therefore spread
+    over its parts, and no pair of period and event is ever formed. Periods and events are read once
+    and staged together.
     """
     left = periods.select(entity, *[F.col(c) for c in keep], F.col(end).alias("__t"), F.lit(1).alias("__p"))
     right = events.select(F.col(entity), *[F.lit(None).cast(periods.schema[c].dataType).alias(c) for c in keep],
                           F.col(at).alias("__t"), F.lit(0).alias("__p")).distinct()
-    both = stage(left.union(right).withColumn("__hour", F.date_trunc("hour", "__t")))
+    both = time_buckets(stage(left.union(right)), entity, rows=rows)
     event_time = F.when(F.col("__p") == 0, F.col("__t"))
+    where = ["__hour", "__part"]
     # backwards, so that "the next event" is a running value; at equal times the period comes
     # first and does not see the event
-    within = Window.partitionBy(entity, "__hour").orderBy(F.desc("__t"), F.desc("__p"))
-    same_hour = both.withColumn(
+    within = Window.partitionBy(entity, *where).orderBy(F.desc("__t"), F.desc("__p"))
+    same_part = both.withColumn(
         "__same", F.last(event_time, True).over(within.rowsBetween(Window.unboundedPreceding, -1)))
 
-    hours = both.groupBy(entity, "__hour").agg(F.min(event_time).alias("__first"))
-    after = Window.partitionBy(entity).orderBy(F.desc("__hour")).rowsBetween(Window.unboundedPreceding, -1)
-    later = hours.select(entity, "__hour", F.last("__first", True).over(after).alias("__later"))
+    parts = both.groupBy(entity, *where).agg(F.min(event_time).alias("__first"))
+    after = Window.partitionBy(entity).orderBy(*[F.desc(c) for c in where]).rowsBetween(Window.unboundedPreceding, -1)
+    later = parts.select(entity, *where, F.last("__first", True).over(after).alias("__later"))
 
     found = F.coalesce("__same", "__later")
     in_reach = found <= F.col("__t") + F.make_interval(days=F.lit(days))
     return (
-        same_hour.filter("__p = 1").join(later, [entity, "__hour"], "left")
+        same_part.filter("__p = 1").join(later, [entity, *where], "left")
         .select(entity, *keep, F.col("__t").alias(end), F.when(in_reach, found).alias(at))
     )
 

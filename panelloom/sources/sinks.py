@@ -5,11 +5,12 @@ import json
 import os
 import time as clock
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from panelloom.functions.text import clean_symbol
-from panelloom.operators.joins import upsert_panel
+from panelloom.operators.joins import new_rows_anti, upsert_panel
 from panelloom.schema import KEY, TIME
 from panelloom.session import stage
 
@@ -83,7 +84,9 @@ def read_exclusions(spark, path, key=KEY):
 # write does not touch keep their files.
 
 COMMITS = "_commits"
-COMMIT_SCHEMA = "version long, year int, folder string, of int"
+COMMIT_SCHEMA = "version long, year int, folder string, of int, words long"
+#: a written year's keys are kept as a Bloom filter as well: bits per key, and how many of them a key sets
+KEYS, BITS, HASHES = "_keys", 10, 7
 #: seconds after which a commit file that was created but never filled is taken for abandoned
 ABANDONED = 30.0
 
@@ -138,22 +141,22 @@ def commits(spark, root):
         return None
     rows = spark.read.schema(COMMIT_SCHEMA).json(f"{root}/{COMMITS}").filter("folder IS NOT NULL")
     whole = rows.groupBy("version").agg(F.count("*").alias("n"), F.max("of").alias("of")).filter("n = of")
-    return rows.join(whole.select("version"), "version", "left_semi").select("version", "year", "folder")
+    return rows.join(whole.select("version"), "version", "left_semi").select("version", "year", "folder", "words")
 
 
 def _state(spark, root):
-    """(last version, {year: (version, folder)}); the commits are a few rows per write."""
+    """(last version, {year: (version, folder, words of its key filter)}); the commits are a few rows per write."""
     known = commits(spark, root)
     if known is None:
         return 0, {}
-    best = known.groupBy("year").agg(F.max(F.struct("version", "folder")).alias("r"), F.max("version").alias("v")).collect()
+    best = known.groupBy("year").agg(F.max(F.struct("version", "folder", "words")).alias("r"), F.max("version").alias("v")).collect()
     years = {row["year"]: tuple(row["r"]) for row in best if row["year"] is not None}
     return max((row["v"] for row in best), default=0), years
 
 
 def current_years(spark, root):
     """{year: folder} as last committed."""
-    return {year: folder for year, (_, folder) in _state(spark, root)[1].items()}
+    return {year: folder for year, (_, folder, _) in _state(spark, root)[1].items()}
 
 
 def latest_version(spark, root):
@@ -170,15 +173,34 @@ def open_store(spark, root, first=None, last=None):
 
 
 def _written(df, root, version, time):
-    """Write ``df`` to a fresh folder; (folder, its years)."""
+    """Write ``df`` to a fresh folder; (folder, {year: words of its key filter})."""
     spark = df.sparkSession
     folder = f"v{version}-{uuid.uuid4().hex[:12]}"
     write_panel(df, f"{root}/{folder}", time)
-    return folder, [row["year"] for row in spark.read.parquet(f"{root}/{folder}").select("year").distinct().collect()]
+    written = spark.read.parquet(f"{root}/{folder}")
+    words = {row["year"]: row["count"] * BITS // 64 + 1 for row in written.groupBy("year").count().collect()}
+    set_bits = _key_bits(written, time, words)
+    set_bits.groupBy("year", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).write.parquet(f"{root}/{folder}/{KEYS}")
+    return folder, words
+
+
+def _key_bits(rows, time, words, key=KEY):
+    """The bits (word, bit) that each row's key sets in its year's filter of so many words; other years are left out."""
+    known = {y: w for y, w in words.items() if y is not None}
+    if not known:
+        return rows.filter(F.lit(False)).select("*", F.lit(0).cast("long").alias("word"), F.lit(0).alias("bit"))
+    size = F.create_map(*[F.lit(x) for y, w in known.items() for x in (y, 64 * w)])
+    first, second = F.xxhash64(key, F.to_date(time)), F.xxhash64(F.lit(1), F.to_date(time), key)
+    sized = rows.withColumns({"year": F.year(time), "__first": first, "__second": second})
+    sized = sized.withColumn("__size", F.try_element_at(size, F.col("year")).cast("decimal(20,0)")).filter("__size IS NOT NULL")
+    place = F.expr(f"transform(sequence(0, {HASHES - 1}), i -> cast(pmod(cast(__first as decimal(22,0)) + i * cast(__second as decimal(22,0)), __size) as long))")
+    return sized.withColumn("__at", F.explode(place)).withColumns(
+        {"word": F.expr("__at div 64"), "bit": F.expr("cast(__at % 64 as int)")}).drop("__first", "__second", "__size", "__at")
 
 
 def _commit(spark, root, version, years, folder):
-    rows = [{"version": version, "year": year, "folder": folder, "of": len(years)} for year in sorted(years)]
+    rows = [{"version": version, "year": year, "folder": folder, "of": len(years), "words": words}
+            for year, words in sorted(years.items(), key=str)]
     return create_once(spark, f"{root}/{COMMITS}/{version:012d}.json", "".join(json.dumps(row) + "\n" for row in rows))
 
 
@@ -216,7 +238,7 @@ def upsert_store(new, root, time=TIME):
     last, years = _state(spark, root)
     while True:
         base = {y: years[y] for y in touched & years.keys()}
-        paths = [f"{root}/{folder}/year={y}" for y, (_, folder) in sorted(base.items())]
+        paths = [f"{root}/{folder}/year={y}" for y, (_, folder, _) in sorted(base.items())]
         merged = upsert_panel(new, spark.read.parquet(*paths)) if paths else new
         folder, written = _written(merged, root, last + 1, time)
         while not _commit(spark, root, last + 1, written, folder):
@@ -226,3 +248,30 @@ def upsert_store(new, root, time=TIME):
         else:
             return open_store(spark, root)
         _remove(spark, f"{root}/{folder}")
+
+
+def new_rows_of_store(new, root, time=TIME, key=KEY):
+    """The rows of ``new`` whose key is not stored yet, and the years whose files had to be read for that.
+
+    A key that its year's filter does not hold is new for certain. Only years with a key that the
+    filter may hold are read, and of them the key columns.
+    """
+    spark = new.sparkSession
+    rows = stage(new.withColumn("__row", F.monotonically_increasing_id()))
+    years = _state(spark, root)[1]
+    if not years:
+        return rows.drop("__row"), []
+    probes = _key_bits(rows.select("__row", key, time), time, {y: words for y, (_, _, words) in years.items()})
+    filters = [spark.read.parquet(f"{root}/{folder}/{KEYS}").filter(F.col("year").isin(
+        [y for y, (_, f, _) in years.items() if f == folder])) for folder in {f for _, f, _ in years.values()}]
+    table = reduce(lambda a, b: a.unionAll(b), filters)
+    held = F.coalesce((F.col("bits").bitwiseAND(F.expr("shiftleft(1L, bit)"))) != 0, F.lit(False))
+    maybe = stage(probes.join(table, ["year", "word"], "left").groupBy("__row", "year").agg(
+        F.bool_and(held).alias("maybe")).filter("maybe"))
+    read = sorted(row["year"] for row in maybe.select("year").distinct().collect())
+    if not read:
+        return rows.drop("__row"), read
+    stored = spark.read.parquet(*[f"{root}/{years[y][1]}/year={y}" for y in read]).select(key, time)
+    asked = rows.join(maybe.select("__row"), "__row", "left_semi")
+    sure = rows.join(maybe.select("__row"), "__row", "left_anti")
+    return sure.unionByName(new_rows_anti(asked, stored, key, time)).drop("__row"), read

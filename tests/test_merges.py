@@ -85,6 +85,29 @@ def test_reshape(spark):
     assert "Cross" not in plan
 
 
+def test_a_hot_hour_is_cut_by_its_rows(spark):
+    """One entity with everything in one hour: parts of bounded size, the same answers."""
+    rng = np.random.default_rng(3)
+    base = dt.datetime(2024, 1, 1, 10)
+    # most of them within one second
+    offsets = np.concatenate([rng.integers(0, 1_000_000, 3000), rng.integers(0, 3_600_000_000, 500)])
+    moments = [base + dt.timedelta(microseconds=int(x)) for x in offsets]
+    periods = [("hot", k, m) for k, m in enumerate(moments[::2])] + [("cold", -1, base - dt.timedelta(days=1)), ("none", -2, base)]
+    events = [("hot", m) for m in moments[1::2]] + [("cold", base), ("hot", None)]
+    p = spark.createDataFrame(periods, "e string, k int, at timestamp_ntz")
+    v = spark.createDataFrame(events, "e string, seen timestamp_ntz")
+    got = {r.k: r.seen for r in J.first_event_after(p, v, "e", "at", "seen", ["k"], days=2, rows=100).collect()}
+    known = sorted(m for m in moments[1::2])
+    for e, k, at in periods[:-2]:
+        assert got[k] == next((m for m in known if m > at), None)
+    assert got[-1] == base and got[-2] is None and len(got) == len(periods)
+    both = p.selectExpr("e", "at as __t").unionAll(v.filter("seen is not null").selectExpr("e", "seen as __t"))
+    parts = J.time_buckets(both, "e", rows=100).filter("e = 'hot'").groupBy("__hour", "__part").count().collect()
+    assert len(parts) > 20 and max(r["count"] for r in parts) < 250
+    plan = J.time_buckets(both, "e", rows=100)
+    assert plan.filter("e <> 'hot'").select("__part").distinct().count() == 1
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "c.csv").write_text("Symbol,Date added\nBRK.B,2010-01-01\nA ,\n")
     got = readers.read_constituents(spark, str(tmp_path / "c.csv")).collect()
@@ -185,6 +208,29 @@ def test_a_commit_is_made_once_and_unfinished_ones_are_not_read(spark, tmp_path,
     assert sinks.latest_version(spark, root) == 2 and sinks.open_store(spark, root).count() == 1
 
 
+def test_new_rows_skip_years_whose_filter_rules_them_out(spark, tmp_path):
+    root, schema = str(tmp_path / "store"), "Ticker string, Date date, Open double"
+    first = [(f"T{i}", d(f"{y}-0{m}-01"), 1.0) for y in range(2015, 2021) for m in (1, 2) for i in range(60)]
+    sinks.upsert_store(spark.createDataFrame(first, schema), root)
+    sinks.upsert_store(spark.createDataFrame([(f"T{i}", d("2019-05-01"), 2.0) for i in range(60)], schema), root)
+    new = spark.createDataFrame([("T1", d("2019-05-01"), 0.0), ("T1", d("2019-06-01"), 0.0), ("T2", d("2016-02-01"), 0.0),
+                                 ("X", d("2017-01-01"), 0.0), ("T3", d("2023-01-01"), 0.0), ("T4", None, 0.0)], schema)
+    rows, read = sinks.new_rows_of_store(new, root)
+    want = J.new_rows_anti(new, sinks.open_store(spark, root))
+    assert sorted(map(str, rows.collect())) == sorted(map(str, want.collect()))
+    assert {2016, 2019} <= set(read) and set(read) <= {2016, 2017, 2019}
+    # a filter of ten bits a key errs on about one key in a hundred
+    unseen = spark.createDataFrame([(f"U{i}", d("2018-01-01"), 0.0) for i in range(2000)], schema)
+    bits = sinks._state(spark, root)[1]
+    probes = sinks._key_bits(unseen.withColumn("__row", F.monotonically_increasing_id()), "Date", {2018: bits[2018][2]})
+    table = spark.read.parquet(f"{root}/{bits[2018][1]}/{sinks.KEYS}")
+    wrong = probes.join(table, ["year", "word"], "left").groupBy("__row").agg(F.bool_and(F.coalesce(
+        F.col("bits").bitwiseAND(F.expr("shiftleft(1L, bit)")) != 0, F.lit(False))).alias("m")).filter("m").count()
+    assert wrong < 60
+    fresh, none = sinks.new_rows_of_store(new, str(tmp_path / "other"))
+    assert fresh.count() == 6 and none == []
+
+
 def test_an_unreadable_store_is_not_taken_for_an_empty_one(spark, tmp_path):
     root, schema = str(tmp_path / "store"), "Ticker string, Date date, Open double"
     sinks.upsert_store(spark.createDataFrame([("A", d("2020-01-01"), 1.0)], schema), root)
