@@ -12,8 +12,9 @@ from panelloom.operators import joins as J
 from panelloom.operators.filters import split_latest_date
 from panelloom.operators.power import fit_exponents
 from panelloom.operators.ranking import expanding_folds
-from panelloom.plans import features as P, macro, raw_panel as R, train as T
-from panelloom.session import stage
+from panelloom.plans import features as P, macro, phases, raw_panel as R, train as T
+from panelloom.session import scratch_path, stage
+from panelloom.sources import sinks
 
 AS_OF = "2001-12-31"
 INVERSE = {S.squeeze(c): c for c in S.INCOME + S.BALANCE + S.CASH_FLOW}
@@ -86,6 +87,35 @@ def build_raw_panel(t):
     return rounded(rounded(out, *_FIN_SQL), "Open", places=8)
 
 
+def land(t, folder):
+    """The fixtures as landed files: two families of provider B, line items of provider A, long prices."""
+    b = stage(provider_b(t))
+    keys, shared = ["Ticker", "Report Date"], [c for c in b.columns if c in S.STATEMENT_METADATA]
+    values = [c for c in b.columns if c not in keys + shared]
+    for number, family in enumerate(("general", "banks")):
+        own = b.filter(F.crc32(F.col("Ticker").cast("binary")) % 2 == number)
+        for k, statement in enumerate(phases.STATEMENTS):
+            own.select(*keys, *([] if k else shared), *values[k::3]).write.parquet(f"{folder}/statements_b/{family}/{statement}")
+    a = stage(X.statements(t).filter("q >= DATE'2000-01-01'").withColumnsRenamed(INVERSE).withColumnRenamed("ReportDate", R.PERIOD_END))
+    for statement, names in zip(phases.STATEMENTS, (S.INCOME, S.BALANCE, S.CASH_FLOW)):
+        have = [c for c in names if c in a.columns]
+        a.select("Ticker", R.PERIOD_END, *have).unpivot(["Ticker", R.PERIOD_END], have, "Item", "Value").write.parquet(
+            f"{folder}/statements_a/{statement}")
+    for name, table in (("prices", X.prices(t)), ("market_index", X.market(t)), ("info", X.info(t)), ("constituents", X.constituents(t))):
+        table.write.parquet(f"{folder}/{name}")
+
+
+@query("raw_job", needs=RAW_NEEDS, extra=RAW_STEPS, sql=RAW_SQL)
+def raw_job(t):
+    """Extraction from landed files into the store, read back."""
+    landed, root = scratch_path(t.spark), scratch_path(t.spark)
+    land(t, landed)
+    sinks.save_exclusions(X.exclusions(t), f"{root}/exclusions")
+    store = phases.extract(t.spark, landed, root, AS_OF, ("general", "banks"), "Revenue", 19, None)
+    out = store.select("Ticker", "Date", "Open", "Volume", "Sector", "Industry", "DateAdded", "FinancialsSource", *_FIN_SQL)
+    return rounded(rounded(out, *_FIN_SQL), "Open", places=8)
+
+
 _SPARSE = ["TotalAssets", "NetIncome_TTM", "TotalDebt"]
 
 

@@ -183,3 +183,36 @@ def test_grid_points_share_prepared_folds(spark, feature_panel, monkeypatch):
     single = V.cv_summary(V.time_series_cv(feature_panel, folds=2, numTrees=4, maxDepth=3, seed=2)).first()["mean"]
     chosen = next(r for r in rows if "'maxDepth': 3, 'seed': 2" in r["params"])
     assert chosen["precision"] == pytest.approx(single, abs=1e-12)
+
+
+def test_three_phases_from_landed_files_to_the_report(spark, tmp_path):
+    from panelloom.catalog import fixtures as X, plans_q
+    from panelloom.plans import phases
+    from panelloom.sources import sinks
+    tables = X.Tables(spark, "/root/testdata/sf0.01", landed=True)
+    landed, root = str(tmp_path / "landed"), str(tmp_path / "kept")
+    plans_q.land(tables, landed)
+    families = ("general", "banks")
+    first = phases.run(spark, landed, root, plans_q.AS_OF, families, top=60, **TREES)
+    assert first.path.endswith("/reports/2001_12_31.csv") and first.report.count() == spark.read.csv(first.path, header=True).count() > 0
+    assert first.confusion.agg(F.sum("count")).first()[0] > 0 and 0 <= first.precision.first()["precision"] <= 1
+    stored = sinks.open_store(spark, f"{root}/raw")
+    before, version = stored.count(), sinks.latest_version(spark, f"{root}/raw")
+    assert stored.select("Ticker").distinct().count() <= 60
+    # a second run asks only for entities whose last month is behind, and loses nothing
+    phases.extract(spark, landed, root, plans_q.AS_OF, families, top=60)
+    again = sinks.open_store(spark, f"{root}/raw")
+    assert again.count() >= before and again.groupBy("Ticker", "Date").count().filter("count > 1").isEmpty()
+    assert sinks.latest_version(spark, f"{root}/raw") >= version
+
+
+def test_wide_prices_and_entities_without_data(spark):
+    import datetime
+    from panelloom.plans import phases
+    day = datetime.datetime(2020, 1, 2, 5)
+    wide = spark.createDataFrame([(day, 1.0, None, 2.0, 3.0)], "Date timestamp, `Open|A` double, `Open|B` double, `Close|A` double, `Close|B` double")
+    rows = {r.Ticker: (r.Open, r.Close) for r in phases.landed_prices(wide).collect()}
+    assert rows == {"A": (1.0, 2.0), "B": (None, 3.0)}
+    universe = spark.createDataFrame([("A",), ("B",), ("C",)], "Ticker string")
+    statements = spark.createDataFrame([("A",), ("C",)], "Ticker string")
+    assert sorted(r[0] for r in phases.without_data(universe, phases.landed_prices(wide), statements).collect()) == ["B", "C"]
