@@ -97,6 +97,15 @@ def bucket_count(spark):
     return max(1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def set_apart(df, names=None):
+    """``df`` with its columns (or ``names`` of them) as ``c0``, ``c1``, ... between marks, and name -> new name.
+
+    For operators that carry all columns along: no name of theirs can clash with a name of the operator.
+    """
+    new = {c: f"__c{k}__" for k, c in enumerate(df.columns if names is None else names)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in new.items()]), new
+
+
 def computed(df, name, expression):
     """Add a column that is computed once per row.
 

@@ -19,7 +19,7 @@ count as one; repeated rows are each treated alike, a null document identifier l
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import ascii_lower, computed, staged
+from panelloom.llm.common import ascii_lower, computed, set_apart, staged
 
 WINDOW = 13
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -100,15 +100,16 @@ def phrase_hits(docs, benchmark, doc_id="doc_id", text="text", item_id="item_id"
     found = staged(near.join(exact.withColumnsRenamed({"i": "__ei", "t": "__et"}),
                              F.col("i").eqNullSafe(F.col("__ei")) & (F.col("t") == F.col("__et")), "left").drop("__ei", "__et"))
     new = ("n_words", "n_hit", "items", "contaminated", "near")
+    apart, own = set_apart(docs)
     kept = [c for c in docs.columns if c not in new]
-    joined = docs.select(*[f"`{c}`" for c in kept]).withColumn("__h", F.xxhash64(text)).join(
-        found, F.col(doc_id).eqNullSafe(F.col("i")) & (F.col("__h") == F.col("t")), "left")
-    split = computed(joined, "__w", words(F.col(text)))
+    joined = apart.withColumn("__h", F.xxhash64(own[text])).join(
+        found, F.col(own[doc_id]).eqNullSafe(F.col("i")) & (F.col("__h") == F.col("t")), "left")
+    split = computed(joined, "__w", words(F.col(own[text])))
     checked = computed(split, "__hits", F.expr(
         "filter(coalesce(__found, array()), c -> slice(__w, c.start + 1, size(c.w)) = c.w)"))
     covered = F.expr("size(array_distinct(flatten(transform(__hits, h -> sequence(h.start, h.start + size(h.w) - 1)))))")
     counted = checked.select(
-        *[f"`{c}`" for c in kept], F.size("__w").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
+        *[F.col(own[c]).alias(c) for c in kept], F.size("__w").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
         F.expr("array_sort(array_distinct(transform(__hits, h -> h.id)))").alias("items"),
         F.coalesce("__near", F.lit(0)).cast("long").alias("near"))
     return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))

@@ -18,7 +18,7 @@ columns of these names.
 
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import ascii_lower, staged
+from panelloom.llm.common import ascii_lower, set_apart, staged
 
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3
@@ -50,14 +50,15 @@ def dedup_lines(df, doc_id="doc_id", text="text", min_chars=MIN_CHARS, min_docum
         .filter(~F.col("last.i").eqNullSafe(F.col("i")))
         .groupBy("i", "t").agg(F.collect_set("at").alias("__drops")).withColumnsRenamed({"i": "__i", "t": "__t"}))
     kept = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
-    joined = df.select(*[f"`{c}`" for c in kept]).withColumn("__h", F.xxhash64(text)).join(
-        drops, F.col(doc_id).eqNullSafe(F.col("__i")) & (F.col("__h") == F.col("__t")), "left")
-    split = joined.withColumn("__lines", F.split(F.coalesce(text, F.lit("")), "\n", -1))
+    apart, own = set_apart(df, kept)
+    joined = apart.withColumn("__h", F.xxhash64(own[text])).join(
+        drops, F.col(own[doc_id]).eqNullSafe(F.col("__i")) & (F.col("__h") == F.col("__t")), "left")
+    split = joined.withColumn("__lines", F.split(F.coalesce(own[text], F.lit("")), "\n", -1))
     n = F.size("__lines")
     stay = F.array_except(F.sequence(F.lit(0), n - 1), F.col("__drops"))
     rebuilt = F.array_join(F.transform(stay, lambda i: F.get("__lines", i)), "\n")
-    out = F.when(F.col("__drops").isNull(), F.col(text)).otherwise(rebuilt)
+    out = F.when(F.col("__drops").isNull(), F.col(own[text])).otherwise(rebuilt)
     return split.select(
-        *[out.alias(c) if c == text else F.col(f"`{c}`") for c in kept],
+        *[(out if c == text else F.col(own[c])).alias(c) for c in kept],
         n.cast("long").alias("n_lines"),
         F.when(F.col("__drops").isNull(), 0).otherwise(F.size("__drops")).cast("long").alias("n_dropped"))
