@@ -37,6 +37,7 @@ FIND = re.compile(r"[^\W\d_]+").findall
 #: words whose chains are worked on at once (one longer text goes alone), and bytes of text taken from a batch
 WORDS_AT_ONCE = 1 << 17
 BYTES_AT_ONCE = 1 << 20
+FRESH_AT_ONCE = 1 << 13
 
 
 def feature_rows(words):
@@ -201,7 +202,7 @@ def train(sample, rounds=240, chains=48, length=40, rate=0.25, seed=7):
 class Predictor:
     """Words seen before keep their scores; the cache is dropped when it grows too large."""
 
-    def __init__(self, model, limit=400_000):
+    def __init__(self, model, limit=200_000):
         self.model, self.limit = model, limit
         self.reset()
 
@@ -227,7 +228,9 @@ class Predictor:
                 room = np.zeros((max(more, 2 * len(self.known)), self.known.shape[1]))
                 room[:self.filled] = self.known[:self.filled]
                 self.known = room
-            self.known[self.filled:more] = self.model.emissions(self.fresh)
+            for at in range(0, len(self.fresh), FRESH_AT_ONCE):  # their n-grams are what takes room
+                some = self.fresh[at:at + FRESH_AT_ONCE]
+                self.known[self.filled + at:self.filled + at + len(some)] = self.model.emissions(some)
             self.fresh, self.filled = [], more
         return self.known[ids]
 

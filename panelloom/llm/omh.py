@@ -47,6 +47,8 @@ SKETCHES = 24
 LEVELS = ((1, 1, 12), (3, 9, 40), (6, 32, 1 << 62))
 #: 64-bit words of a text's parity bits
 PARITY = 8
+#: words whose hashes a worker keeps
+WORDS_KEPT = 200_000
 #: texts of a shingle's prefixes that one piece of work holds on either side
 CHUNK = 4096
 FIND = re.compile(r"[^\W_]+").findall
@@ -63,7 +65,7 @@ def mixed(x):
 class WordHashes(dict):
     def __missing__(self, word):
         value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
-        if len(self) < 500_000:
+        if len(self) < WORDS_KEPT:
             self[word] = value
         return value
 
@@ -75,7 +77,7 @@ def shingles(words):
     """Hashes of the labelled shingles of a list of words, in order; all differ."""
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_HASHES) >= 500_000:
+    if len(_HASHES) >= WORDS_KEPT:
         _HASHES.clear()
     w = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     size = min(SHINGLE, len(w))
