@@ -77,7 +77,7 @@ class Pieces(dict):
     printable characters that stand for them.
     """
 
-    def __init__(self, model, limit=400_000):
+    def __init__(self, model, limit=300_000):
         self.tokens, self.limit, self.older = model.tokenize, limit, {}
         self.printable = {b: c for b, c in enumerate(byte_alphabet()) if chr(b) != c}
 
@@ -278,6 +278,7 @@ SHARD = ("bucket int, shard int, n_ids long, doc_ids array<{kind}>, counts array
 
 
 def _shards(batches, end_id, shard_ids):
+    _ENCODERS.clear()  # a worker that has encoded needs the room of its pieces now
     bucket, number, ids, docs, size, kind = None, 0, [], [], 0, pa.int64()
 
     def row():
