@@ -191,3 +191,10 @@ def test_empty_training_table(spark):
     row = brown.score(other, model, counts).first()
     assert (row.n_tokens, row.n_known) == (3, 0) and math.isfinite(row.score)
     assert brown.score(frame, model, counts).count() == 0
+
+
+def test_classes_do_not_change_when_rows_are_repeated(spark):
+    """Words are clustered by their share alone, so twice the input gives the same classes."""
+    texts = ["red fox runs home", "blue fox runs home", "red cat sits there", "blue cat sits there", "a b c d e f"]
+    once, thrice = (brown.fit(spark.createDataFrame([(t,) for t in texts * n], "text string"))[0].classes for n in (1, 3))
+    assert once == thrice
