@@ -125,8 +125,9 @@ _THREE_COLS = f"{r('a.EBITDA', 'EBITDA')}, {r('b.TotalAssets', 'TotalAssets')},
 
 
 def _three(t):
-    st = X.statements(t)
-    return [st.dropna(subset=[c]).select("Ticker", "ReportDate", c) for c in ("EBITDA", "TotalAssets", "FreeCashFlow")]
+    figures = ("EBITDA", "TotalAssets", "FreeCashFlow")
+    st = stage(X.statements(t).select("Ticker", "ReportDate", *figures))
+    return [st.dropna(subset=[c]).select("Ticker", "ReportDate", c) for c in figures]
 
 
 @query("outer_join_statements", needs=["statements"], sql=f"""
@@ -156,6 +157,7 @@ MERGED = [("merged", f"""
 @query("coalesce_merge", needs=["statements_a", "statements_b"], extra=MERGED, sql=f"""
     SELECT Ticker, Date, {rs(_AB)}, FinancialsSource FROM merged""")
 def coalesce_merge(t):
+    t = X.landed(t)
     cols = ["Ticker", "Date", *_AB, "FinancialsSource"]
     out = J.coalesce_merge(X.statements_a(t).select(*cols), X.statements_b(t).select(*cols), order=["TotalRevenue"])
     return rounded(out, *_AB)
@@ -192,6 +194,7 @@ def new_rows_anti(t):
     FROM (SELECT Ticker, CAST(Date + INTERVAL 1 MONTH AS DATE) AS Date, Open, Close * 2 AS Close, Volume FROM prices_gappy) n
     FULL JOIN prices p ON p.Ticker = n.Ticker AND p.Date = n.Date""")
 def upsert_panel(t):
+    t = X.landed(t)
     new = X.prices_gappy(t).withColumns({"Date": F.add_months("Date", 1), "Close": F.col("Close") * 2})
     return rounded(J.upsert_panel(new, X.prices(t)), "Open", "Close", places=8)
 
@@ -242,6 +245,7 @@ def top_k(t):
     UNION ALL SELECT Ticker, NULL, PublishDate, {r('TotalRevenue')}, NULL FROM statements_b_raw
     UNION ALL SELECT Ticker, Date, NULL, NULL, Volume FROM prices""")
 def union_by_name(t):
+    t = X.landed(t)
     out = A.union_by_name(X.statements_a(t).select("Ticker", "Date", "TotalRevenue"),
                           X.statements_b_raw(t).select("Ticker", "PublishDate", "TotalRevenue"),
                           X.prices(t).select("Ticker", "Date", "Volume"))
@@ -263,6 +267,7 @@ def set_difference(t):
 @query("key_intersection", needs=["statements_a", "statements_b"], sql="""
     SELECT Ticker, Date FROM statements_a INTERSECT SELECT Ticker, Date FROM statements_b""")
 def key_intersection(t):
+    t = X.landed(t)
     return A.key_intersection(X.statements_a(t), X.statements_b(t))
 
 

@@ -8,6 +8,7 @@ from panelloom.catalog.registry import query, r, rounded, rs
 from panelloom.functions import dates, metrics as M, text
 from panelloom.sources import readers, sinks
 from panelloom.operators import joins as J
+from panelloom.session import stage
 
 # --- sources ------------------------------------------------------------------------------
 
@@ -44,8 +45,8 @@ FAMILY_SQL = [("fam", """
 def load_statements(t):
     sector = X.info(t).select("Ticker", F.when(F.col("Sector") == "ASIA", "banks").when(
         F.col("Sector") == "EUROPE", "insurance").otherwise("general").alias("family"))
-    raw = X.statements_b_raw(t).join(sector, "Ticker").withColumnsRenamed(
-        {"PublishDate": "Publish Date", "ReportDate": "Report Date"})
+    raw = stage(X.statements_b_raw(t).select("Ticker", "ReportDate", "PublishDate", "EBITDA", "TotalAssets", "FreeCashFlow").join(
+        sector, "Ticker").withColumnsRenamed({"PublishDate": "Publish Date", "ReportDate": "Report Date"}))
     families = []
     for name in ("general", "banks", "insurance"):
         part = raw.filter(F.col("family") == name)
@@ -187,6 +188,7 @@ _TAG = ["Ticker", "Date", "OperatingIncome", "NetIncome", "DepreciationAndAmorti
 
 
 def _tagged(t):
+    t = X.landed(t)
     return X.statements_a(t).select(*_TAG).union(X.statements_b(t).select(*_TAG))
 
 
