@@ -60,7 +60,7 @@ def extract(spark, landed, root, as_of, families=("general",), metric="Revenue",
     def read(name):
         return read_panel(spark, f"{landed}/{name}")
 
-    second = load_statements([[read(f"statements_b/{family}/{s}") for s in STATEMENTS] for family in families])
+    second = stage(load_statements([[read(f"statements_b/{family}/{s}") for s in STATEMENTS] for family in families]))
     events = read("events") if sinks.path_exists(spark, f"{landed}/events") else None
     first = stage(provider_a_statements(*[read(f"statements_a/{s}") for s in STATEMENTS], events))
     prices = stage(landed_prices(read("prices")))

@@ -3,7 +3,7 @@
 import pytest
 
 from conftest import DATA
-from panelloom.catalog import load
+from panelloom.catalog import fixtures as X, load, plans_q
 
 
 @pytest.mark.parametrize("name", ["left_join_statements", "outer_join_statements", "load_statements", "coalesce_merge", "upsert_panel"])
@@ -11,3 +11,22 @@ def test_sources_that_are_used_twice_are_built_once(spark, name):
     """The sides come from one written table: none of them goes back to the line items."""
     files = load().QUERIES[name](spark, f"{DATA}/sf0.001").inputFiles()
     assert files and not [f for f in files if "lineitem" in f]
+
+
+def test_raw_job_lands_tables_that_are_built_once(spark, monkeypatch):
+    seen = []
+
+    def land(t, folder):
+        seen.append(t)
+        raise InterruptedError
+
+    monkeypatch.setattr(plans_q, "land", land)
+    with pytest.raises(InterruptedError):
+        plans_q.raw_job(X.Tables(spark, f"{DATA}/sf0.001"))
+    assert seen[0].landed is not None
+
+
+def test_build_features_is_not_written_before_it_is_returned(monkeypatch):
+    panel = object()
+    monkeypatch.setattr(plans_q, "feature_panel", lambda t: panel)
+    assert plans_q.build_features(None) is panel
