@@ -1,8 +1,8 @@
 """Time-ordered validation over prepared folds.
 
-Folds follow row order within (date, entity). Each fold scales its two sides by themselves and
-learns the codes from its own training rows, so nothing of a test block is known before. That is
-done once per fold and written; every parameter set that is tried reads the same tables.
+Folds follow row order within (date, entity). The two sides of each fold are scaled by themselves and
+the codes learnt from its own training rows, so nothing of a test block is known before. Scores are
+computed once for all folds, the folds written; every parameter set that is tried reads the same tables.
 """
 
 from collections import namedtuple
@@ -16,20 +16,41 @@ from panelloom.modelling.forest import LABEL, encoder, fit_forest, fixed_layout,
 from panelloom.operators.aggregates import precision
 from panelloom.operators.ranking import expanding_folds
 from panelloom.schema import KEY, TIME
-from panelloom.session import stage
+from panelloom.session import lookup_join, stage
 
 #: a prepared fold: its number, the encoded rows before it and its own
 Fold = namedtuple("Fold", "number history tested")
 
 
+def _scaled_once(placed, numeric, time=TIME):
+    """The rows of ``placed`` scaled for every fold in one pass, and the filters of a fold's two sides.
+
+    A month inside one block has the same scores on either side of any fold. A month that a border cuts, one per
+    border at most, is scaled once up to each of its blocks and once for each block by itself: ``__last``
+    is the last block that counts, or minus the only one.
+    """
+    cut = placed.groupBy(time).agg(F.min("fold").alias("__lo"), F.max("fold").alias("__hi")).filter("__lo < __hi")
+    known = lookup_join(placed, cut, [time]).withColumns({c: F.coalesce(c, "fold") for c in ("__lo", "__hi")})
+    rows = known.withColumn("__last", F.explode(F.expr(
+        "concat(sequence(fold, __hi), if(fold > __lo, array(-fold), CAST(array() AS array<int>)))")))
+    scaled = stage(scale_features(rows, numeric, (time, "Sector", "__last")))
+
+    def sides(number):
+        before = (F.col("fold") < number) & (F.col("__last") == F.least(F.lit(number - 1), "__hi"))
+        own = (F.col("fold") == number) & (F.col("__last") == F.when(F.col("fold") > F.col("__lo"), -F.col("fold")).otherwise(F.col("fold")))
+        return scaled.filter(before), scaled.filter(own)
+
+    return sides
+
+
 def fold_store(panel, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1):
     """The folds of ``panel``, scaled, encoded and staged; as many tables as twice the folds."""
     numeric, categorical = predictors(panel)
     placed = stage(expanding_folds(panel.select(*order, label, *numeric, *categorical), folds, order))
+    sides = _scaled_once(placed, numeric)
 
     def prepared(number):
-        before, own = (scale_features(placed.filter(rows), numeric)
-                       for rows in (F.col("fold") < number, F.col("fold") == number))
+        before, own = sides(number)
         codes = encoder(numeric, categorical).fit(before)
         wanted = [*order, label, "features"]
         return Fold(number, fixed_layout(codes.transform(before).select(*wanted), order),

@@ -1,9 +1,15 @@
 """What is read, built or scaled once however often a query uses it."""
 
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import DATA
 from panelloom.catalog import fixtures as X, load, plans_q
+from panelloom.modelling import forest as O, validation as V
+from panelloom.operators.ranking import expanding_folds
+from panelloom.session import stage
 
 
 @pytest.mark.parametrize("name", ["left_join_statements", "outer_join_statements", "load_statements", "coalesce_merge", "upsert_panel"])
@@ -30,3 +36,22 @@ def test_build_features_is_not_written_before_it_is_returned(monkeypatch):
     panel = object()
     monkeypatch.setattr(plans_q, "feature_panel", lambda t: panel)
     assert plans_q.build_features(None) is panel
+
+
+def test_folds_are_scaled_in_one_pass_as_if_side_by_side(spark, monkeypatch):
+    """Borders cut months here; one sector and one month are unknown."""
+    rows = [(f"E{e:02d}", None if e == 3 and m == 5 else dt.date(2020, m, 1), int((e * 7 + m) % 5 == 0), float((e * 37 + m * 11) % 23),
+             None if e % 10 == 9 else "AB"[e % 2], "X") for e in range(40) for m in range(1, 8)]
+    panel = spark.createDataFrame(rows, f"Ticker string, Date date, {O.LABEL} int, Margin double, Sector string, Industry string")
+    calls, plain = [], V.scale_features
+    monkeypatch.setattr(V, "scale_features", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    placed = stage(expanding_folds(panel.select("Date", "Ticker", O.LABEL, "Margin", "Sector", "Industry")))
+    sides = V._scaled_once(placed, ["Margin"])
+
+    def scores(df):
+        return sorted((str(r.Date), r.Ticker, round(r.Margin, 9)) for r in df.collect())
+
+    for number in range(1, 6):
+        for got, part in zip(sides(number), (F.col("fold") < number, F.col("fold") == number)):
+            assert scores(got) == scores(plain(placed.filter(part), ["Margin"]))
+    assert len(calls) == 1
