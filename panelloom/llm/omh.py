@@ -16,9 +16,11 @@ two texts that match ``M`` shingles have a first common shingle at positions i a
 min(n - i, m - j) >= M. Every shingle also flips one of a text's parity bits, so the bits of two texts
 differ in at most n + m - 2 M places. Pairs that fail either are under 0.8, the others are aligned and
 link their groups. The texts that have a shingle in their prefixes are compared by these bits inside
-tasks, in pieces of two chunks of at most ``CHUNK`` texts: a pair is written down only if it may reach
-0.8, and members of a shingle's largest group do not meet each other. Equal texts are one node from
-the start.
+tasks, in pieces of two chunks of at most ``CHUNK`` texts; members of a shingle's largest group do not
+meet each other. Of a piece only the texts that may reach 0.8 with another one go on. They meet their
+shingles in a second task, which counts the common ones of each pair left, aligns where these suffice and
+writes the links that join further groups: rows grow with the texts of a piece, not with its pairs. Equal
+texts are one node from the start.
 
 Recall: two texts of similarity J share a sketch with probability about J ** K, 0.26 at 0.8, so
 at least one of 24 with 0.999. ``tests/llm`` measures it against all pairs.
@@ -51,6 +53,8 @@ PARITY = 8
 WORDS_KEPT = 200_000
 #: texts of a shingle's prefixes that one piece of work holds on either side
 CHUNK = 4096
+#: shingles that one piece of work holds on either side where pairs are aligned, or one text
+MARKS = 1 << 20
 FIND = re.compile(r"[^\W_]+").findall
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 MULTIPLIERS = np.array([(0xD1342543DE82EF95 * (2 * j + 1) ^ 0x2545F4914F6CDD1D << (j % 7)) % (1 << 64) | 1
@@ -279,59 +283,152 @@ def _may_match(role, row, gid, n, left, bits):
 
 
 PIECE = ("h", "i", "j")
+#: a piece with its share of the left and of the right side, where the shingles come along
+SHARE = (*PIECE, "p", "q")
 
 
-def _matched(batches):
-    """(a, b) row numbers from pieces that arrive one after the other."""
+def _whole(batches, keys):
+    """Tables of whole pieces (runs of equal ``keys``) from batches that may end inside one."""
     held = []
-
-    def settle(tables):
-        table = pa.concat_tables(tables)
-        h, i, j, role, row, gid, n, left = (table.column(k).combine_chunks().to_numpy(zero_copy_only=False)
-                                            for k in (*PIECE, "role", "row", "gid", "n", "left"))
-        bits = table.column("bits").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, PARITY).view(np.uint64)
-        n, left = n.astype(np.int64), left.astype(np.int64)
-        cuts = np.flatnonzero((h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        found = []
-        for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(h)]):
-            if y - x > 1:
-                a, b = _may_match(role[x:y], row[x:y], gid[x:y], n[x:y], left[x:y], bits[x:y])
-                if len(a):
-                    found.append((row[x:y][a], row[x:y][b]))
-        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-        both = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
-
     for batch in batches:
         if not batch.num_rows:
             continue
         table = pa.Table.from_batches([batch])
-        keys = [table.column(k).combine_chunks().to_numpy(zero_copy_only=False) for k in PIECE]
-        if held and [k[0] for k in keys] != [held[0].column(k)[0].as_py() for k in PIECE]:
-            yield settle(held)
+        columns = [_numbers(table, k) for k in keys]
+        if held and [c[0] for c in columns] != [held[0].column(k)[0].as_py() for k in keys]:
+            yield pa.concat_tables(held).combine_chunks()
             held = []
-        differs = (keys[0] != keys[0][-1]) | (keys[1] != keys[1][-1]) | (keys[2] != keys[2][-1])
+        differs = np.logical_or.reduce([c != c[-1] for c in columns])
         cut = int(np.flatnonzero(differs)[-1]) + 1 if differs.any() else 0
         if cut:  # the last piece may go on in the next batch
-            yield settle([*held, table.slice(0, cut)])
+            yield pa.concat_tables([*held, table.slice(0, cut)]).combine_chunks()
             held = []
         held.append(table.slice(cut))
     if held:
-        yield settle(held)
-
-
-def _prefix_pairs(texts, chunk=CHUNK):
-    """Pairs (a, b) of rows of different groups that may reach ``SIMILARITY``."""
+        yield pa.concat_tables(held).combine_chunks()
+
+
+def _numbers(table, name):
+    return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def _pieces_of(table, keys):
+    """(from, to) of the pieces of a table, and what ``_may_match`` needs of all its rows."""
+    columns = [_numbers(table, k) for k in keys]
+    cuts = (np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1).tolist()
+    role, row, gid, n, left = (_numbers(table, k) for k in ("role", "row", "gid", "n", "left"))
+    bits = table.column("bits").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, PARITY).view(np.uint64)
+    return (list(zip([0, *cuts], [*cuts, len(role)])),
+            (role, row, gid, n.astype(np.int64), left.astype(np.int64), bits))
+
+
+def _shares(role, n, limit):
+    """(position, p, q, role) of a piece's rows, either side cut into shares of about ``limit`` shingles."""
+    def cut(at):
+        return (np.cumsum(n[at]) - n[at]) // limit
+
+    if role[0] == 2:  # a chunk that meets itself: every share meets itself and the later ones
+        at = np.arange(len(role))
+        share = cut(at)
+        for p in range(int(share[-1]) + 1):
+            for q in range(p, int(share[-1]) + 1):
+                for own, kind in (((p, 2),) if p == q else ((p, 0), (q, 1))):
+                    yield at[share == own], p, q, kind
+        return
+    sides = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+    one, two = cut(sides[0]), cut(sides[1])
+    for p in range(int(one[-1]) + 1):
+        for q in range(int(two[-1]) + 1):
+            yield sides[0][one == p], p, q, 0
+            yield sides[1][two == q], p, q, 1
+
+
+def _matched(batches, limit=MARKS):
+    """The rows of a piece that may match another one of it, in shares; as many as rows, not as pairs."""
+    for table in _whole(batches, PIECE):
+        pieces, columns = _pieces_of(table, PIECE)
+        found = [[] for _ in range(4)]
+        for x, y in pieces:
+            role, row, gid, n, left, bits = (c[x:y] for c in columns)
+            a, b = _may_match(role, row, gid, n, left, bits) if y - x > 1 else (role[:0], role[:0])
+            if not len(a):
+                continue
+            kept = np.unique(np.concatenate([a, b]))
+            for at, p, q, kind in _shares(role[kept], n[kept], limit):
+                for out, values in zip(found, (kept[at] + x, np.full(len(at), p), np.full(len(at), q), np.full(len(at), kind))):
+                    out.append(values)
+        at, p, q, kind = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in found)
+        some = table.select([*PIECE, "row", "left"]).take(pa.array(at, pa.int64()))
+        for name, values in (("p", p), ("q", q), ("role", kind)):
+            some = some.append_column(name, pa.array(values.astype(np.int32)))
+        yield from some.combine_chunks().to_batches()
+
+
+def _near_in(role, row, gid, n, left, bits, marks, forest):
+    """Positions (a, b) of a piece's pairs that align; with ``forest`` only those that join further groups."""
+    a, b = _may_match(role, row, gid, n, left, bits)
+    if not len(a):
+        return []
+    ids = np.unique(np.concatenate(marks), return_inverse=True)[1]
+    start = np.cumsum(n) - n
+    group = np.unique(gid, return_inverse=True)[1]
+    label, held, out = np.arange(len(row)), np.zeros(len(ids), bool), []
+    firsts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])).tolist()
+    for x, y in zip(firsts, [*firsts[1:], len(a)]):
+        one, others = int(a[x]), b[x:y]
+        own = ids[start[one]:start[one] + n[one]]
+        held[own] = True
+        for at in range(0, len(others), 512):
+            some = others[at:at + 512]
+            if forest:
+                some = some[label[group[some]] != label[group[one]]]
+            if not len(some):
+                continue
+            # how many shingles each shares with the one
+            ends = np.cumsum(n[some])
+            place = np.arange(int(ends[-1])) + np.repeat(start[some] - ends + n[some], n[some])
+            common = np.add.reduceat(held[ids[place]], ends - n[some], dtype=np.int64)
+            for other in some[common * (1 + SIMILARITY) >= SIMILARITY * (n[some] + n[one]) - 1e-6].tolist():
+                u, v = label[group[one]], label[group[other]]
+                if not (forest and u == v) and aligned(marks[one], marks[other]):
+                    out.append((row[one], row[other]))
+                    label[label == v] = u
+        held[own] = False
+    return out
+
+
+def _linked(batches, forest):
+    """(a, b) row numbers of the pairs that align, from pieces with their shingles."""
+    for table in _whole(batches, SHARE):
+        pieces, columns = _pieces_of(table, SHARE)
+        lists, found = table.column("marks").combine_chunks(), []
+        for x, y in pieces:
+            marks = [lists[k].values.to_numpy().view(np.uint64) for k in range(x, y)]
+            found += _near_in(*(c[x:y] for c in columns), marks, forest)
+        pairs = np.unique(np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _prefix_pairs(texts, chunk=CHUNK, forest=False, limit=MARKS):
+    """Pairs (a, b) of rows of different groups that align.
+
+    What the parity bits leave open of a piece goes on as its rows, not as pairs, and meets its shingles
+    in the task that aligns. With ``forest`` a piece yields only pairs that join groups not yet joined in it.
+    """
     pieces = _pieces(staged(_postings(texts)), chunk)
     dealt = pieces.repartition(*PIECE).sortWithinPartitions(*PIECE)
-    return map_batches(dealt, _matched, "a long, b long").distinct()
+    open_ = staged(map_batches(
+        dealt, lambda it: _matched(it, limit), "h long, i int, j int, row long, left int, p int, q int, role int"))
+    full = open_.join(texts, "row").withColumn("n", F.size("marks"))
+    shares = full.repartition(*SHARE).sortWithinPartitions(*SHARE)
+    return map_batches(shares, lambda it: _linked(it, forest), "a long, b long").distinct()
 
 
-def _aligned_pairs(pairs, texts, by, name):
-    """(a, b) of ``name`` for the pairs of ``by`` whose marks align."""
+def _aligned_pairs(pairs, texts):
+    """The pairs (a, b) of keys whose marks align."""
     full = pairs
     for side in ("a", "b"):
-        own = texts.select(F.col(by).alias(side), F.col(name).alias(f"n{side}"), F.col("marks").alias(f"m{side}"))
+        own = texts.select(F.col("key").alias(side), F.col("key").alias(f"n{side}"), F.col("marks").alias(f"m{side}"))
         full = full.join(own, side)
     return staged(map_batches(full.select("na", "nb", "ma", "mb"), _verified, "a binary, b binary"))
 
@@ -348,16 +445,18 @@ def near_groups(prepared, chunk=CHUNK):
     pairs = staged(_candidates(members))
     if pairs.isEmpty():
         return None
-    groups = staged(components(_aligned_pairs(pairs, own, "key", "key")))
+    groups = staged(components(_aligned_pairs(pairs, own)))
     named = groups.select(F.col("node").alias("key"), F.col("component").alias("group"))
     grouped = staged(members.join(named, "key", "left").select("bucket", "key", F.coalesce("group", "key").alias("group")))
     # groups are told apart by a 64-bit hash where texts are compared
     open_ = staged(_unsettled(grouped).join(own, "key").select(
         F.monotonically_increasing_id().alias("row"), "group", F.xxhash64("group").alias("gid"), "marks", "bits"))
-    pairs = staged(_prefix_pairs(open_.select("row", "gid", "marks", "bits"), chunk))
+    pairs = staged(_prefix_pairs(open_.select("row", "gid", "marks", "bits"), chunk, forest=True))
     if pairs.isEmpty():
         return groups
-    merged = staged(components(_aligned_pairs(pairs, open_, "row", "group")))
+    for side in ("a", "b"):
+        pairs = pairs.join(open_.select(F.col("row").alias(side), F.col("group").alias(f"g{side}")), side)
+    merged = staged(components(pairs, "ga", "gb"))
     merged = merged.select(F.col("node").alias("group"), F.col("component").alias("further"))
     every = named.unionAll(merged.select("group", "group")).distinct()  # groups of a single text among them
     return every.join(merged, "group", "left").select(

@@ -199,6 +199,37 @@ def test_pieces_in_chunks_give_the_same_pairs(spark):
     assert len(whole) >= 30 and whole == {tuple(r) for r in omh._prefix_pairs(marked, chunk=16).collect()}
 
 
+def test_pairs_that_bits_leave_open_are_never_written(spark, monkeypatch):
+    """Texts just under the bound: rows that leave a task grow with the texts, and all links are found."""
+    made, plain = {}, omh.map_batches
+    for count in (150, 300):
+        own = made[count] = []
+        texts, planted = templated_family(count, 20, changed=2, near=6)
+        frame = spark.createDataFrame([(f"{i:03d}".encode(), t) for i, t in enumerate(texts)], "key binary, text string")
+        marked = common.staged(plain(frame, omh._shingled, "key binary, marks array<bigint>, bits array<bigint>")
+                               .selectExpr("monotonically_increasing_id() as row", "xxhash64(key) as gid", "key", "marks", "bits"))
+        with monkeypatch.context() as m:
+            m.setattr(omh, "map_batches", lambda df, fn, schema: (out := common.staged(plain(df, fn, schema)), own.append(out.count()))[0])
+            links = omh._prefix_pairs(marked.drop("key"), forest=True)
+            got = {r.node: r.component for r in components.components(links).collect()}
+        rows = {r.row: omh.shingles(omh.FIND(texts[int(bytes(r.key))])) for r in marked.select("row", "key").collect()}
+        near = [(a, b) for a in rows for b in rows if a < b and omh.aligned(rows[a], rows[b])]
+        assert len(near) > count and all(got[a] == got[b] for a, b in near)
+        assert links.count() < 30 * len(rows)
+    assert max(made[300]) < 2.6 * max(made[150])
+
+
+def test_shares_of_long_pieces_give_the_same_pairs(spark):
+    texts, planted = templated_family(80, 40)
+    frame = spark.createDataFrame([(f"{i:03d}".encode(), t) for i, t in enumerate(texts)], "key binary, text string")
+    marked = common.staged(common.map_batches(frame, omh._shingled, "key binary, marks array<bigint>, bits array<bigint>")
+                           .selectExpr("monotonically_increasing_id() as row", "xxhash64(key) % 7 as gid", "marks", "bits"))
+    whole = {tuple(r) for r in omh._prefix_pairs(marked).collect()}
+    assert len(whole) >= 20
+    for chunk in (omh.CHUNK, 16):
+        assert whole == {tuple(r) for r in omh._prefix_pairs(marked, chunk=chunk, limit=1500).collect()}
+
+
 def test_parity_bits_bound_the_difference():
     a, b = omh.shingles([f"w{x}" for x in range(300)]), omh.shingles([f"w{x}" for x in range(20, 310)])
     differing = sum(int(x).bit_count() for x in (omh.parity(a) ^ omh.parity(b)).view(np.uint64))
