@@ -26,6 +26,7 @@ import os
 import re
 import zlib
 from array import array
+from codecs import charmap_decode
 
 import numpy as np
 import pyarrow as pa
@@ -79,10 +80,10 @@ class Pieces(dict):
 
     def __init__(self, model, limit=300_000):
         self.tokens, self.limit, self.older = model.tokenize, limit, {}
-        self.printable = {b: c for b, c in enumerate(byte_alphabet()) if chr(b) != c}
+        self.printable = "".join(byte_alphabet())
 
     def _word(self, word):
-        plain = word if word.isascii() else word.encode("utf-8", "replace").decode("latin-1").translate(self.printable)
+        plain = word if word.isascii() else charmap_decode(word.encode("utf-8", "replace"), "strict", self.printable)[0]
         return array("H", [t.id for t in self.tokens(plain)]).tobytes()
 
     def __missing__(self, piece):
@@ -91,7 +92,8 @@ class Pieces(dict):
             if piece.isalpha():
                 got = self._word(piece)
             elif piece[-1] in ".,;:!?" and piece[:-1].isalpha():  # a word and one mark behind it
-                got = (self.get(piece[:-1]) or self._word(piece[:-1])) + self._mark(piece[-1])
+                word = piece[:-1]
+                got = (self.get(word) or self.older.get(word) or self._word(word)) + self._mark(piece[-1])
             else:
                 words = (ASCII_WORDS if piece.isascii() else LATIN_WORDS)(piece)
                 got = b"".join(self[w] if w.isalpha() else self._word(w) for w in words)
@@ -135,71 +137,83 @@ class Encoder:
 
 
 def compress(ids, counts):
-    """(rules, symbols) of the ids of a shard's documents, of which there are ``counts``."""
+    """(rules, symbols) of the ids of a shard's documents, of which there are ``counts``.
+
+    A place whose pair was too rare stays closed until a new symbol is next to it: replacing other pairs
+    adds none of its kind.
+    """
     s = ids.astype(np.uint32)
     last = np.zeros(len(s), bool)
     last[np.cumsum(counts) - 1] = True
+    open_ = ~last  # no pair goes across the end of a document
     rules, made = [np.zeros((0, 2), np.uint32)], 0
-    while len(s) > 1:
-        a, b = s[:-1], s[1:]
-        # a hash table of counts; the slot behind it takes the pairs across the ends of documents
+    standing, numbers = np.zeros(TABLE, np.uint64), np.zeros(TABLE, np.uint32)
+    while True:
+        at = np.flatnonzero(open_)
+        a, b = s[at], s[at + 1]
         slot = ((a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA77)) >> np.uint32(32 - TABLE_BITS)).astype(np.intp)
-        slot[np.flatnonzero(last[:-1])] = TABLE
-        heavy = np.bincount(slot, minlength=TABLE + 1) >= FREQUENT
-        heavy[TABLE] = False
-        at = np.flatnonzero(heavy[slot])
-        a, b, slot = a[at], b[at], slot[at]
+        heavy = (np.bincount(slot, minlength=TABLE) >= FREQUENT)[slot]
+        open_[at[~heavy]] = False
+        at, slot, both = at[heavy], slot[heavy], a[heavy].astype(np.uint64) << np.uint64(32) | b[heavy]
         # one pair stands for its slot; what it hides is seen once that pair is gone
-        standing = np.zeros((2, TABLE), np.uint32)
-        standing[0, slot], standing[1, slot] = a, b
-        own = (standing[0, slot] == a) & (standing[1, slot] == b)
-        frequent = np.flatnonzero(np.bincount(slot[own], minlength=TABLE) >= FREQUENT)
-        if len(frequent):
-            pairs, number = standing[:, frequent].T, np.full(TABLE, -1)
-            number[frequent] = np.arange(len(frequent))
-            place = np.where(own, number[slot], -1)
+        standing[slot] = both
+        own = np.flatnonzero(standing[slot] == both)
+        frequent = np.bincount(slot[own], minlength=TABLE) >= FREQUENT
+        if frequent.any():
+            chosen = np.flatnonzero(frequent)
+            pairs, numbers[chosen] = standing[chosen], np.arange(len(chosen))
+            own = own[frequent[slot[own]]]
+            at, place = at[own], numbers[slot[own]]
         else:  # a frequent pair may still be hidden by rare ones
-            both, back, n = np.unique(a.astype(np.uint64) << np.uint64(32) | b, return_inverse=True, return_counts=True)
+            pairs, back, n = np.unique(both, return_inverse=True, return_counts=True)
             number = np.cumsum(n >= FREQUENT) - 1
-            place, both = np.where((n >= FREQUENT)[back], number[back], -1), both[n >= FREQUENT]
-            if not len(both):
+            at, place, pairs = at[(n >= FREQUENT)[back]], number[back][(n >= FREQUENT)[back]], pairs[n >= FREQUENT]
+            if not len(pairs):
                 break
-            pairs = np.column_stack([both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)]).astype(np.uint32)
-        at, place = at[place >= 0], place[place >= 0]
         # of overlapping hits every second one, from the left
-        run = np.concatenate([[True], np.diff(at) > 1])
-        number = np.arange(len(at))
-        first = np.maximum.accumulate(np.where(run, number, 0))
-        even = (number - first) % 2 == 0
-        at, place = at[even], place[even]
+        apart = np.diff(at) > 1
+        if not apart.all():
+            number = np.arange(len(at))
+            first = np.maximum.accumulate(np.where(np.concatenate([[True], apart]), number, 0))
+            even = (number - first) % 2 == 0
+            at, place = at[even], place[even]
         s[at] = FIRST + made + place
         last[at] = last[at + 1]
+        open_[at], open_[at[at > 0] - 1] = True, True
         stay = np.ones(len(s), bool)
         stay[at + 1] = False
-        s, last = s[stay], last[stay]
-        rules.append(pairs)
+        s, last, open_ = s[stay], last[stay], open_[stay]
+        open_ &= ~last
+        rules.append(np.column_stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)]).astype(np.uint32))
         made += len(pairs)
     return np.concatenate(rules).astype("<u4"), s.astype("<u4")
 
 
-def expanded_rules(rules):
+def expanded_rules(rules, lengths):
     """(ids of all rules one after the other, where each begins)."""
-    flat = []
-    for a, b in rules.tolist():  # a rule's parts come before it
-        flat.append((flat[a - FIRST] if a >= FIRST else (a,)) + (flat[b - FIRST] if b >= FIRST else (b,)))
-    sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-    return np.fromiter((x for own in flat for x in own), np.uint32, int(sizes.sum())), np.cumsum(sizes) - sizes
+    flat = rules.ravel()
+    while True:  # one level of all rules in a pass
+        made = flat >= FIRST
+        if not made.any():
+            return flat, np.cumsum(lengths, dtype=np.int64) - lengths
+        wide = 1 + made
+        at, pairs = (np.cumsum(wide) - wide)[made], rules[flat[made] - FIRST]
+        flat = np.repeat(flat, wide)
+        flat[at], flat[at + 1] = pairs[:, 0], pairs[:, 1]
 
 
 def expand(rules, symbols, lengths=None):
     """Ids of symbols."""
-    wide = widths(symbols, expansion_lengths(rules) if lengths is None else lengths)
-    flat, starts = expanded_rules(rules)
-    out = np.repeat(symbols, wide).astype("<u4")
-    at = np.flatnonzero(out >= FIRST)
-    before = np.repeat(np.cumsum(wide) - wide, wide)[at]
-    out[at] = flat[starts[out[at] - FIRST] + at - before]
-    return out
+    lengths = expansion_lengths(rules) if lengths is None else lengths
+    wide = widths(symbols, lengths)
+    flat, starts = expanded_rules(rules, lengths)
+    # every id is read from its rule's expansion or, behind all of them, from the symbol itself
+    source = np.arange(len(flat), len(flat) + len(symbols))
+    made = symbols >= FIRST
+    source[made] = starts[symbols[made] - FIRST]
+    ends = np.cumsum(wide)
+    at = np.repeat(source - ends + wide, wide) + np.arange(ends[-1] if len(ends) else 0)
+    return np.concatenate([flat, symbols])[at].astype("<u4", copy=False)
 
 
 def expansion_lengths(rules):
@@ -360,11 +374,12 @@ def read_shards(spark, path):
     earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = sizes.select("bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__buckets"))
     inside = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # offsets from the narrow columns alone; the shards themselves are not moved
+    # offsets from the narrow columns alone, three numbers a shard; as their size is not known to the planner
+    # it is told to send them to the shards, which are not moved
     offsets = shards.select("bucket", "shard", "n_ids").withColumn(
         "__shards", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(buckets, "bucket").select(
         "bucket", "shard", (F.col("__buckets") + F.col("__shards")).alias("before"))
-    placed = shards.join(offsets, ["bucket", "shard"]).select(
+    placed = shards.join(F.broadcast(offsets), ["bucket", "shard"]).select(
         "bucket", "shard", "before", "doc_ids", "counts", "rules", "blocks")
     kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
     return map_batches(placed, _read, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long, bucket int, shard int")

@@ -141,6 +141,30 @@ def test_no_frequent_pair_is_left_inside_a_document():
     assert len(rules) > 50 and max(left.values()) < repair.FREQUENT
 
 
+def test_frequent_pairs_beside_rare_ones_are_found_late():
+    """Places that were closed as too rare open again next to a new symbol; runs of one id nest deeply."""
+    rng = np.random.default_rng(5)
+    phrase = rng.integers(0, 40_000, 300).astype(np.uint32)
+    docs = [np.concatenate([rng.integers(0, 40_000, int(n)).astype(np.uint32), phrase]) for n in rng.integers(0, 900, 200)]
+    docs += [np.full(1 << 15, 3, np.uint32), np.zeros(1, np.uint32)]
+    rules, symbols, shard = a_shard(docs)
+    assert (repair.expand(rules, symbols) == np.concatenate(docs)).all()
+    lengths = np.frombuffer(shard["lengths"], "<u4")
+    assert lengths.max() >= 300 and len(symbols) < sum(shard["counts"]) - 200 * 290
+    assert len(repair.expand(rules, symbols[:0])) == 0
+
+
+def test_reading_does_not_move_the_shards(spark, tmp_path):
+    """The offsets are sent to the shards; no exchange carries their blocks, whatever the planner knows of sizes."""
+    frame = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    rows = repair.read_shards(spark, repair.write_shards(frame, str(tmp_path / "shards"), shard_ids=16))
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "blocks" in line]
+    assert "SortMergeJoin" not in plan and not moved and "BroadcastHashJoin" in final
+
+
 def test_vocabularies_are_not_in_the_repository():
     assert json.loads(open(vocabulary(bpe.VOCABULARY)).read())["model"]["type"] == "BPE"
     assert not vocabulary(bpe.VOCABULARY).startswith("/root/repo")
