@@ -12,7 +12,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
-from panelloom.modelling.forest import LABEL, encoder, fit_forest, fixed_layout, predictors, scale_features
+from panelloom.modelling.forest import LABEL, encoder, fit_forest, predictors, scale_features
 from panelloom.operators.aggregates import precision
 from panelloom.operators.ranking import expanding_folds
 from panelloom.schema import KEY, TIME
@@ -53,8 +53,7 @@ def fold_store(panel, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1):
         before, own = sides(number)
         codes = encoder(numeric, categorical).fit(before)
         wanted = [*order, label, "features"]
-        return Fold(number, fixed_layout(codes.transform(before).select(*wanted), order),
-                    stage(codes.transform(own).select(*wanted)))
+        return Fold(number, *(stage(codes.transform(side).select(*wanted)) for side in (before, own)))
 
     return _together(panel.sparkSession, prepared, range(1, folds + 1), parallelism)
 
