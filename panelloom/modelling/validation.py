@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelloom.modelling.forest import LABEL, encoder, fit_forest, predictors, scale_features
 from panelloom.operators.aggregates import precision
+from panelloom.operators.cross_section import cross_section_zscore
 from panelloom.operators.ranking import expanding_folds
 from panelloom.schema import KEY, TIME
 from panelloom.session import lookup_join, stage
@@ -23,22 +24,20 @@ Fold = namedtuple("Fold", "number history tested")
 
 
 def _scaled_once(placed, numeric, time=TIME):
-    """The rows of ``placed`` scaled for every fold in one pass, and the filters of a fold's two sides.
+    """A function from a fold's number to its two sides, each scaled by itself.
 
-    A month inside one block has the same scores on either side of any fold. A month that a border cuts, one per
-    border at most, is scaled once up to each of its blocks and once for each block by itself: ``__last``
-    is the last block that counts, or minus the only one.
+    A month inside one block has the same scores on either side of any fold, so all those are scaled together,
+    once. Months that a border cuts, one per border at most, are scaled on each side by what lies there.
     """
+    group = (time, "Sector")
     cut = placed.groupBy(time).agg(F.min("fold").alias("__lo"), F.max("fold").alias("__hi")).filter("__lo < __hi")
-    known = lookup_join(placed, cut, [time]).withColumns({c: F.coalesce(c, "fold") for c in ("__lo", "__hi")})
-    rows = known.withColumn("__last", F.explode(F.expr(
-        "concat(sequence(fold, __hi), if(fold > __lo, array(-fold), CAST(array() AS array<int>)))")))
-    scaled = stage(scale_features(rows, numeric, (time, "Sector", "__last")))
+    known = lookup_join(placed, cut, [time])
+    whole = stage(cross_section_zscore(known.filter("__lo IS NULL").drop("__lo", "__hi"), numeric, group))
+    parted = stage(known.filter("__lo IS NOT NULL").drop("__lo", "__hi"))
 
     def sides(number):
-        before = (F.col("fold") < number) & (F.col("__last") == F.least(F.lit(number - 1), "__hi"))
-        own = (F.col("fold") == number) & (F.col("__last") == F.when(F.col("fold") > F.col("__lo"), -F.col("fold")).otherwise(F.col("fold")))
-        return scaled.filter(before), scaled.filter(own)
+        return [whole.filter(side).unionByName(scale_features(parted.filter(side), numeric, group))
+                for side in (F.col("fold") < number, F.col("fold") == number)]
 
     return sides
 
