@@ -198,3 +198,76 @@ def test_classes_do_not_change_when_rows_are_repeated(spark):
     texts = ["red fox runs home", "blue fox runs home", "red cat sits there", "blue cat sits there", "a b c d e f"]
     once, thrice = (brown.fit(spark.createDataFrame([(t,) for t in texts * n], "text string"))[0].classes for n in (1, 3))
     assert once == thrice
+
+
+def test_a_word_takes_the_class_that_raises_the_likelihood_most():
+    """Against the likelihood itself, with counts small, large, equal and absent."""
+    rng = np.random.default_rng(8)
+    onto = rng.poisson(6, (5, 5)).astype(float) * (rng.random((5, 5)) < 0.8)
+    after, before = (rng.poisson(2.5, (60, 5)) * (rng.random((60, 5)) < 0.6) for _ in range(2))
+    got = brown.best_classes(after, before, onto)
+    for a, b, k in zip(after, before, got):
+        values = []
+        for new in range(5):
+            moved = onto.copy()
+            moved[new] += a
+            moved[:, new] += b
+            # other words' part of the sums is the same for every class
+            values.append(brown.likelihood(moved))
+        assert values[k] == pytest.approx(max(values), abs=1e-9)
+
+
+def test_every_training_word_gets_a_class_by_its_neighbours(spark, monkeypatch):
+    """Words below the share, also those that no table that travels holds, and the scores that follow."""
+    rng = np.random.default_rng(9)
+    kinds = [[f"{c}{i}" for i in range(6)] for c in "nva"]
+    seldom = [[f"{c}rare{i}" for i in range(150)] for c in "nva"]
+    texts = []
+    for start in rng.integers(0, 3, 400):
+        words = [str(rng.choice(kinds[(start + k) % 3])) for k in range(30)]
+        for k in rng.choice(30, 3, replace=False):
+            words[k] = str(rng.choice(seldom[(start + k) % 3]))
+        texts.append(" ".join(words))
+    texts += ["lone", "x" * 100 + " n1", None, "lone lone unheard"]
+    frame = spark.createDataFrame([(i, t, i % 9 != 8) for i, t in enumerate(texts)], "doc_id long, text string, train boolean")
+    monkeypatch.setattr(brown, "SHARE", 100)
+    monkeypatch.setattr(brown, "FREQUENT", 40)
+    model, counts = brown.fit(frame.filter("train").select("text"))
+    table = {bytes(r.word): (r.n, r.k) for r in counts.collect()}
+    want = Counter(w for i, t in enumerate(texts) if i % 9 != 8 for w in brown.tokens_of(t or ""))
+    assert {w: n for w, (n, _) in table.items()} == want and len(table) == counts.count()
+    assert len(model.classes) < len(table)
+    assert all(k < brown.CLASSES for w, (_, k) in table.items() if w != brown.END)
+    # seldom words share classes with the words in whose place they stand
+    of_kind = [{table[w.encode()][1] for w in group} for group in kinds]
+    right = [table[w.encode()][1] in of_kind[g] for g, group in enumerate(seldom) for w in group if w.encode() in table]
+    assert np.mean(right) > 0.9
+
+    def of(word):
+        return table[word][1] if word in table else brown.CLASSES + 1 + brown.ending(word)
+
+    moves = np.zeros((brown.SIZE, brown.SIZE))
+    rows = {i: [of(w) for w in brown.tokens_of(t or "")] for i, t in enumerate(texts)}
+    for i, ks in rows.items():
+        if i % 9 != 8:
+            np.add.at(moves, ([brown.CLASSES, *ks[:-1]], ks), 1)
+    assert np.allclose(brown.Model.learn(model, moves).moves, model.moves)
+    both, scores = brown.fit_and_score(frame, "train")
+    assert np.allclose(both.moves, model.moves)
+    for got in (scores, brown.score(frame, model, counts)):
+        found = {r.doc_id: r for r in got.collect()}
+        assert len(found) == len(texts)
+        for i, t in enumerate(texts):
+            words, ks = brown.tokens_of(t or ""), rows[i]
+            score = sum(model.moves[a, b] + model.emission(table.get(w, (0, 0))[0], b) for w, a, b in zip(words, [brown.CLASSES, *ks], ks))
+            base = sum(model.base(table.get(w, (0, 0))[0]) for w in words)
+            row = found[i]
+            assert (row.n_tokens, row.n_known) == (len(words), sum(w in table for w in words))
+            assert (row.score, row.base_score) == (pytest.approx(score), pytest.approx(base))
+
+
+def test_the_class_of_an_ending_in_sql(spark):
+    words = [b"", b"a", b"ab", b"abc", b"abcdef", b"abcdefg", bytes(range(128, 140)), "gr\u00fc\u00dfe".encode(), b"\x00", b"a\x00"]
+    frame = spark.createDataFrame([(w,) for w in words], "word binary")
+    got = {bytes(r.word): r.k for r in frame.select("word", brown._ending_class("word").alias("k")).collect()}
+    assert got == {w: brown.CLASSES + 1 + brown.ending(w) for w in words}
