@@ -24,6 +24,27 @@ Fold = namedtuple("Fold", "number history tested")
 
 
 def _scaled_once(placed, numeric, time=TIME):
+    """The rows of ``placed`` scaled for every fold in one pass, and the filters of a fold's two sides.
+
+    A month inside one block has the same scores on either side of any fold. A month that a border cuts, one per
+    border at most, is scaled once up to each of its blocks and once for each block by itself: ``__last``
+    is the last block that counts, or minus the only one.
+    """
+    cut = placed.groupBy(time).agg(F.min("fold").alias("__lo"), F.max("fold").alias("__hi")).filter("__lo < __hi")
+    known = lookup_join(placed, cut, [time]).withColumns({c: F.coalesce(c, "fold") for c in ("__lo", "__hi")})
+    rows = known.withColumn("__last", F.explode(F.expr(
+        "concat(sequence(fold, __hi), if(fold > __lo, array(-fold), CAST(array() AS array<int>)))")))
+    scaled = stage(scale_features(rows, numeric, (time, "Sector", "__last")))
+
+    def sides(number):
+        before = (F.col("fold") < number) & (F.col("__last") == F.least(F.lit(number - 1), "__hi"))
+        own = (F.col("fold") == number) & (F.col("__last") == F.when(F.col("fold") > F.col("__lo"), -F.col("fold")).otherwise(F.col("fold")))
+        return scaled.filter(before), scaled.filter(own)
+
+    return sides
+
+
+def _scaled_sides(placed, numeric, time=TIME):
     """A function from a fold's number to its two sides, each scaled by itself.
 
     A month inside one block has the same scores on either side of any fold, so all those are scaled together,
@@ -46,7 +67,7 @@ def fold_store(panel, folds=5, label=LABEL, order=(TIME, KEY), parallelism=1):
     """The folds of ``panel``, scaled, encoded and staged; as many tables as twice the folds."""
     numeric, categorical = predictors(panel)
     placed = stage(expanding_folds(panel.select(*order, label, *numeric, *categorical), folds, order))
-    sides = _scaled_once(placed, numeric)
+    sides = _scaled_sides(placed, numeric)
 
     def prepared(number):
         before, own = sides(number)
